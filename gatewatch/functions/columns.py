@@ -18,7 +18,10 @@ def is_kind(*kinds: str) -> Column:
 
 def event_time_from(text: Column) -> Column:
     """Epoch milliseconds or ISO-8601 text to a timestamp; NULL if neither."""
-    return F.coalesce(F.timestamp_millis(text.try_cast("bigint")), F.try_to_timestamp(text))
+    # The digits test first: a try_cast that fails is much dearer than a match.
+    is_number = text.rlike("^[+-]?[0-9]+$")
+    return (F.when(is_number, F.timestamp_millis(text.try_cast("bigint")))
+            .otherwise(F.try_to_timestamp(text)))
 
 
 def iso_text(timestamp: Column) -> Column:

@@ -106,15 +106,15 @@ def to_raw_messages(events: DataFrame) -> DataFrame:
         "username", "account_type",
         _kept(ident % 2 == 0, iso).alias("timestamp"),
     )
+    texts = events.select("event_id", F.to_json(message).alias("text"),
+                          F.unix_millis("event_time").cast("string").alias("millis"))
     # Odd rows carry the time as a JSON number instead of text.
-    millis = F.concat(F.lit(',"timestamp":'),
-                      F.unix_millis("event_time").cast("string"), F.lit("}"))
-    text = F.to_json(message)
-    return events.select(
+    open_text = F.substring("text", F.lit(1), F.length("text") - 1)
+    return texts.select(
         "event_id",
         F.when(ident % 113 == 0, "not json")
-         .when(ident % 2 == 0, text)
-         .otherwise(F.concat(F.substring(text, F.lit(1), F.length(text) - 1), millis))
+         .when(ident % 2 == 0, F.col("text"))
+         .otherwise(F.concat(open_text, F.lit(',"timestamp":'), "millis", F.lit("}")))
          .alias("value"))
 
 

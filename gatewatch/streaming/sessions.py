@@ -19,28 +19,37 @@ STATE = "login_us long, seen_us long"
 NO_LOGIN = -1
 
 
-def pair_sessions(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState,
-                  drop_late: bool, idle_ms: int | None) -> Iterator[pd.DataFrame]:
-    """Durations of one user's logouts in one micro-batch."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    login_us, seen_us = state.get if state.exists else (NO_LOGIN, NO_LOGIN)
-    rows = pd.concat(list(chunks)).sort_values(["event_us", "event_id"], ignore_index=True)
-    if drop_late:
-        rows = rows[rows["event_us"] >= seen_us].reset_index(drop=True)
-    if len(rows):
-        opened = rows["event_us"].where(rows["event_type"] == LOGIN, NO_LOGIN)
-        before = opened.shift(1, fill_value=login_us)
-        spent = (rows["event_us"] - before) / 1e6
-        rows["session_duration"] = spent.where(before != NO_LOGIN)
-        state.update((int(opened.iloc[-1]), max(int(rows["event_us"].iloc[-1]), seen_us)))
-        logouts = rows[rows["event_type"] != LOGIN]
-        if len(logouts):
-            yield logouts[["event_id", "user_id", "event_us", "device_type",
-                           "session_duration"]]
-    if idle_ms is not None:
-        state.setTimeoutDuration(idle_ms)
+def pairing(drop_late: bool = True, idle_ms: int | None = None):
+    """The state function: durations of one user's logouts in one micro-batch.
+
+    It is built as a closure so that it travels to the workers by value and
+    they need not have this package installed.
+    """
+    login, no_login = LOGIN, NO_LOGIN
+
+    def pair(key: tuple, chunks: Iterator[pd.DataFrame],
+             state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        login_us, seen_us = state.get if state.exists else (no_login, no_login)
+        rows = pd.concat(list(chunks)).sort_values(["event_us", "event_id"], ignore_index=True)
+        if drop_late:
+            rows = rows[rows["event_us"] >= seen_us].reset_index(drop=True)
+        if len(rows):
+            opened = rows["event_us"].where(rows["event_type"] == login, no_login)
+            before = opened.shift(1, fill_value=login_us)
+            spent = (rows["event_us"] - before) / 1e6
+            rows["session_duration"] = spent.where(before != no_login)
+            state.update((int(opened.iloc[-1]), max(int(rows["event_us"].iloc[-1]), seen_us)))
+            logouts = rows[rows["event_type"] != login]
+            if len(logouts):
+                yield logouts[["event_id", "user_id", "event_us", "device_type",
+                               "session_duration"]]
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
+
+    return pair
 
 
 def session_duration_stream(events: DataFrame, drop_late: bool = True,
@@ -52,15 +61,12 @@ def session_duration_stream(events: DataFrame, drop_late: bool = True,
     Rows older than the newest one seen of their user are dropped unless
     ``drop_late`` is off; ``idle_ms`` forgets users that stay silent that long.
     """
-    def pair(key, chunks, state):
-        return pair_sessions(key, chunks, state, drop_late, idle_ms)
-
     timeout = (GroupStateTimeout.NoTimeout if idle_ms is None
                else GroupStateTimeout.ProcessingTimeTimeout)
     marks = session_marks(events).select(
         "event_id", "user_id", "event_type", F.unix_micros("event_time").alias("event_us"),
         "device_type")
     return (marks.groupBy("user_id")
-            .applyInPandasWithState(pair, OUTPUT, STATE, "append", timeout)
+            .applyInPandasWithState(pairing(drop_late, idle_ms), OUTPUT, STATE, "append", timeout)
             .select("event_id", "user_id", F.timestamp_micros("event_us").alias("event_time"),
                     "device_type", "session_duration"))
