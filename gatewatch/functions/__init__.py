@@ -1,16 +1,14 @@
 from gatewatch.functions.columns import (
     event_time_from,
-    failed,
     has_location,
     is_kind,
     iso_text,
     or_unknown,
     seconds_between,
-    status_label,
     success_count,
 )
 
 __all__ = [
-    "event_time_from", "failed", "has_location", "is_kind", "iso_text",
-    "or_unknown", "seconds_between", "status_label", "success_count",
+    "event_time_from", "has_location", "is_kind", "iso_text",
+    "or_unknown", "seconds_between", "success_count",
 ]

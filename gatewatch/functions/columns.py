@@ -38,15 +38,6 @@ def success_count() -> Column:
     return F.sum(F.when(F.col("success"), 1).otherwise(0))
 
 
-def failed() -> Column:
-    """True where ``success`` is false or missing."""
-    return ~F.coalesce(F.col("success"), F.lit(False))
-
-
-def status_label() -> Column:
-    return F.when(F.col("success"), "success").otherwise("failure")
-
-
 def has_location() -> Column:
     return F.coalesce(F.col("city"), F.col("latitude").cast("string"),
                       F.col("longitude").cast("string")).isNotNull()

@@ -68,12 +68,10 @@ def with_route(messages: DataFrame) -> DataFrame:
     The event type is looked at before the registration mark, and a message
     that fits none of the kinds is ``unknown``.
     """
-    kind = F.col("event_type")
-    return messages.withColumn(
-        "route",
-        F.when(kind.isin(LOGIN, LOGOUT, SUSPICIOUS), kind)
-         .when(F.col("user_id").isNotNull() & F.col("registration").isNotNull(), REGISTRATION)
-         .otherwise(UNKNOWN))
+    return messages.withColumn("route", F.expr(f"""
+        CASE WHEN event_type IN ('{LOGIN}', '{LOGOUT}', '{SUSPICIOUS}') THEN event_type
+             WHEN user_id IS NOT NULL AND registration IS NOT NULL THEN '{REGISTRATION}'
+             ELSE '{UNKNOWN}' END"""))
 
 
 # Fields each kind must carry, in the order in which they are looked up.
@@ -87,19 +85,20 @@ REQUIRED_FIELDS = {
 
 def with_validity(routed: DataFrame) -> DataFrame:
     """Add ``error_type`` and ``details``; both are NULL for a valid message."""
-    missing = F.lit(None).cast("string")
-    for kind, fields in REQUIRED_FIELDS.items():
-        first_missing = F.coalesce(*[F.when(F.col(f).isNull(), F.lit(f)) for f in fields])
-        missing = F.when(F.col("route") == kind, first_missing).otherwise(missing)
+    def first_missing(fields: tuple[str, ...]) -> str:
+        tests = " ".join(f"WHEN {f} IS NULL THEN '{f}'" for f in fields)
+        return f"CASE {tests} END"
+
+    missing = "CASE route " + " ".join(
+        f"WHEN '{kind}' THEN {first_missing(fields)}"
+        for kind, fields in REQUIRED_FIELDS.items()) + " END"
     return (routed
-            .withColumn("missing", missing)
-            .withColumn("error_type",
-                        F.when(F.col("malformed"), MALFORMED)
-                         .when(F.col("missing").isNotNull(), MISSING_FIELD))
-            .withColumn("details",
-                        F.when(F.col("malformed"), "not a JSON object")
-                         .otherwise(F.concat(F.lit("missing "), F.col("missing"))))
-            .drop("missing"))
+            .withColumn("missing", F.expr(missing))
+            .selectExpr("* EXCEPT (missing)", f"""
+                CASE WHEN malformed THEN '{MALFORMED}'
+                     WHEN missing IS NOT NULL THEN '{MISSING_FIELD}' END AS error_type""", """
+                CASE WHEN malformed THEN 'not a JSON object'
+                     ELSE concat('missing ', missing) END AS details"""))
 
 
 def checked(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -109,27 +108,20 @@ def checked(messages: DataFrame, value: str = "value") -> DataFrame:
 
 def flatten(messages: DataFrame) -> DataFrame:
     """Nested message fields to the canonical flat event columns."""
+    helpers = ("value", "malformed", "route", "error_type", "details")
     kept = [c for c in messages.columns
-            if c not in EVENT_SCHEMA.fieldNames()
-            and c not in EVENT_COLUMNS
-            and c not in ("value", "malformed", "route", "error_type", "details")]
-    kind = F.col("route") if "route" in messages.columns else F.col("event_type")
-    return messages.select(
-        *kept, "event_time", "user_id",
-        kind.alias("event_type"),
-        F.col("device_info.device_id").alias("device_id"),
-        F.coalesce("device_info.device_type", "device_type").alias("device_type"),
-        F.col("device_info.os_type").alias("os_type"),
-        F.col("device_info.ip_address").alias("ip_address"),
-        F.col("location.city").alias("city"),
-        F.col("location.latitude").alias("latitude"),
-        F.col("location.longitude").alias("longitude"),
-        F.col("location.country").alias("country"),
+            if c not in (*EVENT_SCHEMA.fieldNames(), *EVENT_COLUMNS, *helpers)]
+    kind = "route" if "route" in messages.columns else "event_type"
+    return messages.selectExpr(
+        *kept, "event_time", "user_id", f"{kind} AS event_type",
+        "device_info.device_id",
+        "coalesce(device_info.device_type, device_type) AS device_type",
+        "device_info.os_type", "device_info.ip_address",
+        "location.city", "location.latitude", "location.longitude", "location.country",
         "authentication_method", "success", "failure_reason",
-        F.coalesce("activity_type", "suspicious_activity.type").alias("activity_type"),
-        F.coalesce("risk_level", "suspicious_activity.risk_level").alias("risk_level"),
-        "username", "account_type",
-    )
+        "coalesce(activity_type, suspicious_activity.type) AS activity_type",
+        "coalesce(risk_level, suspicious_activity.risk_level) AS risk_level",
+        "username", "account_type")
 
 
 def valid_events(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -152,18 +144,15 @@ def dead_letters(messages: DataFrame, value: str = "value") -> DataFrame:
 
 def is_storable() -> Column:
     """Whether a flat event passes the required-field check of the store path."""
-    kind = F.col("event_type")
-    has_device = F.coalesce("device_id", "device_type", "os_type").isNotNull()
-    complete = (
-        F.when(kind == LOGIN, F.col("authentication_method").isNotNull()
-               & F.col("success").isNotNull())
-         .when(kind == LOGOUT, True)
-         .when(kind == SUSPICIOUS, F.col("activity_type").isNotNull()
-               & F.col("risk_level").isNotNull())
-         .when(kind == REGISTRATION, F.col("username").isNotNull()
-               & F.col("account_type").isNotNull() & F.col("device_id").isNotNull())
-         .otherwise(False))
-    return F.col("user_id").isNotNull() & has_device & complete
+    return F.expr(f"""
+        user_id IS NOT NULL AND coalesce(device_id, device_type, os_type) IS NOT NULL
+        AND CASE event_type
+              WHEN '{LOGIN}' THEN authentication_method IS NOT NULL AND success IS NOT NULL
+              WHEN '{LOGOUT}' THEN true
+              WHEN '{SUSPICIOUS}' THEN activity_type IS NOT NULL AND risk_level IS NOT NULL
+              WHEN '{REGISTRATION}' THEN username IS NOT NULL AND account_type IS NOT NULL
+                                         AND device_id IS NOT NULL
+              ELSE false END""")
 
 
 def storable(events: DataFrame) -> DataFrame:

@@ -9,82 +9,79 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatewatch.functions import failed, is_kind, or_unknown, status_label
+from gatewatch.functions import is_kind
 from gatewatch.operators.ingest import is_storable
 from gatewatch.operators.sessions import session_durations
 from gatewatch.operators.store_queries import active_sessions, since
 from gatewatch.operators.users import user_status, users_table
-from gatewatch.schema import LOGIN, LOGOUT, SUSPICIOUS
+from gatewatch.schema import LOGIN, LOGOUT, SUSPICIOUS, UNKNOWN
 
 
 @dataclass(frozen=True)
 class Counter:
-    """Which events count, under which labels, and by how much."""
-
-    rows: Column
-    labels: dict[str, Column] = field(default_factory=dict)
-    step: Column | None = None
-
-
-def session_step() -> Column:
-    """+1 for a login, -1 for a logout; sums may become negative."""
-    return F.when(is_kind(LOGIN), 1).otherwise(-1)
-
-
-def _degrees(name: str) -> Column:
-    return F.coalesce(F.col(name).cast("string"), F.lit("0"))
-
-
-def counters() -> dict[str, Counter]:
-    """Counters and count-like gauges fed by single events."""
-    login, logout = is_kind(LOGIN), is_kind(LOGOUT)
-    method = F.col("authentication_method")
-    return {
-        "login_events_total": Counter(login),
-        "logout_events_total": Counter(logout),
-        "active_sessions_total": Counter(login | logout, step=session_step()),
-        "active_sessions_by_device": Counter(
-            login | logout, {"device_type": or_unknown("device_type")}, session_step()),
-        "login_attempts_total": Counter(
-            login, {"auth_method": method, "status": status_label()}),
-        "authentication_failures_total": Counter(
-            login & failed() & (F.col("failure_reason") != ""),
-            {"auth_method": method, "failure_reason": F.col("failure_reason")}),
-        "device_connections_total": Counter(
-            login, {"device_type": or_unknown("device_type"), "os_type": or_unknown("os_type")}),
-        "suspicious_activities_total": Counter(
-            is_kind(SUSPICIOUS),
-            {"activity_type": F.col("activity_type"), "risk_level": F.col("risk_level")}),
-        "login_locations_total": Counter(
-            login, {"city": or_unknown("city"), "result": status_label()}),
-        "login_locations_active": Counter(
-            login & F.col("success"),
-            {"city": or_unknown("city"), "latitude": _degrees("latitude"),
-             "longitude": _degrees("longitude")}),
-        "logouts_total": Counter(
-            logout, {"device_type": or_unknown("device_type"), "city": or_unknown("city")}),
-    }
-
-
-def store_gauges() -> dict[str, Counter]:
-    """Counts of stored rows; need the ``stored`` and ``recent`` columns."""
-    stored = F.col("stored") & is_kind(LOGIN, LOGOUT)
-    return {
-        "device_distribution": Counter(
-            stored & F.col("device_type").isNotNull(), {"device_type": F.col("device_type")}),
-        "security_alerts_current": Counter(
-            stored & F.col("recent") & ~F.col("success"),
-            {"city": F.col("city"), "reason": F.col("failure_reason")}),
-    }
+    """Which events count, under which labels, and by how much (SQL text)."""
+
+    rows: str
+    labels: dict[str, str] = field(default_factory=dict)
+    step: str = "1"
+
+
+def _unknown(column: str) -> str:
+    return f"coalesce({column}, '{UNKNOWN}')"
+
+
+IS_LOGIN = f"event_type = '{LOGIN}'"
+IS_LOGOUT = f"event_type = '{LOGOUT}'"
+IN_SESSION = f"event_type IN ('{LOGIN}', '{LOGOUT}')"
+# +1 for a login, -1 for a logout; sums may become negative.
+SESSION_STEP = f"if({IS_LOGIN}, 1, -1)"
+STATUS = "if(success, 'success', 'failure')"
+
+# Counters and count-like gauges fed by single events.
+COUNTERS = {
+    "login_events_total": Counter(IS_LOGIN),
+    "logout_events_total": Counter(IS_LOGOUT),
+    "active_sessions_total": Counter(IN_SESSION, step=SESSION_STEP),
+    "active_sessions_by_device": Counter(
+        IN_SESSION, {"device_type": _unknown("device_type")}, SESSION_STEP),
+    "login_attempts_total": Counter(
+        IS_LOGIN, {"auth_method": "authentication_method", "status": STATUS}),
+    # A missing outcome is a failure here; a failure without reason is not counted.
+    "authentication_failures_total": Counter(
+        f"{IS_LOGIN} AND NOT coalesce(success, false) AND failure_reason <> ''",
+        {"auth_method": "authentication_method", "failure_reason": "failure_reason"}),
+    "device_connections_total": Counter(
+        IS_LOGIN, {"device_type": _unknown("device_type"), "os_type": _unknown("os_type")}),
+    "suspicious_activities_total": Counter(
+        f"event_type = '{SUSPICIOUS}'",
+        {"activity_type": "activity_type", "risk_level": "risk_level"}),
+    "login_locations_total": Counter(
+        IS_LOGIN, {"city": _unknown("city"), "result": STATUS}),
+    "login_locations_active": Counter(
+        f"{IS_LOGIN} AND success",
+        {"city": _unknown("city"),
+         "latitude": "coalesce(CAST(latitude AS STRING), '0')",
+         "longitude": "coalesce(CAST(longitude AS STRING), '0')"}),
+    "logouts_total": Counter(
+        IS_LOGOUT, {"device_type": _unknown("device_type"), "city": _unknown("city")}),
+}
+
+# Counts of stored rows; they need the columns ``stored`` and ``recent``.
+STORE_GAUGES = {
+    "device_distribution": Counter(
+        f"stored AND {IN_SESSION} AND device_type IS NOT NULL", {"device_type": "device_type"}),
+    "security_alerts_current": Counter(
+        f"stored AND {IN_SESSION} AND recent AND NOT success",
+        {"city": "city", "reason": "failure_reason"}),
+}
 
 
 def counter(events: DataFrame, name: str) -> DataFrame:
     """One counter: its label columns and ``value``."""
-    spec = counters()[name]
+    spec = COUNTERS[name]
     return (events.filter(spec.rows)
-            .groupBy(*[c.alias(label) for label, c in spec.labels.items()])
-            .agg(F.coalesce(F.sum(F.lit(1) if spec.step is None else spec.step), F.lit(0))
-                 .alias("value")))
+            .groupBy(*[F.expr(text).alias(label) for label, text in spec.labels.items()])
+            .agg(F.coalesce(F.sum(F.expr(spec.step)), F.lit(0)).alias("value")))
 
 
 def session_counters(events: DataFrame) -> DataFrame:
@@ -155,76 +152,78 @@ def histogram(df: DataFrame, value: str, labels: Sequence[str],
 
 # ---- exposition ------------------------------------------------------------------
 
-def _labels(labels: dict[str, Column]) -> Column:
-    if not labels:
-        return F.array().cast("array<struct<name:string,value:string>>")
-    return F.array(*[F.struct(F.lit(n).alias("name"), c.cast("string").alias("value"))
-                     for n, c in labels.items()])
+def sample(metric: str, labels: dict[str, str], value: str) -> str:
+    """SQL text of one sample: metric name, label pairs, value."""
+    pairs = ", ".join(f"named_struct('name', '{n}', 'value', CAST({text} AS STRING))"
+                      for n, text in labels.items())
+    return (f"named_struct('metric', '{metric}', "
+            f"'labels', CAST(array({pairs}) AS ARRAY<STRUCT<name: STRING, value: STRING>>), "
+            f"'value', CAST({value} AS DOUBLE))")
 
 
-def sample(metric: str, labels: dict[str, Column], value: Column) -> Column:
-    return F.struct(F.lit(metric).alias("metric"), _labels(labels).alias("labels"),
-                    value.cast("double").alias("value"))
+def _samples(rows: DataFrame, samples: Sequence[str]) -> DataFrame:
+    """The samples of each row that are not NULL, one below the other."""
+    return rows.select(F.expr(f"inline(array_compact(array({', '.join(samples)})))"))
 
 
-def _summed(rows: DataFrame, samples: list[Column]) -> DataFrame:
-    """Emit the non-NULL samples of each row and add up equal ones."""
-    present = F.filter(F.array(*samples), lambda s: s.isNotNull())
-    return (rows.select(F.inline(present))
-            .groupBy("metric", "labels").agg(F.sum("value").alias("value")))
+def _summed(samples: DataFrame) -> DataFrame:
+    return samples.groupBy("metric", "labels").agg(F.sum("value").alias("value"))
 
 
-def label_counts(events: DataFrame, as_of: str | datetime, hours: int = 24) -> DataFrame:
+LABEL_SOURCES = ("event_type", "authentication_method", "success", "failure_reason",
+                 "device_type", "os_type", "city", "latitude", "longitude",
+                 "activity_type", "risk_level")
+
+
+def label_counts(events: DataFrame, as_of: str | datetime | None = None,
+                 hours: int = 24) -> DataFrame:
     """Events per combination of everything a counter can be labelled with.
 
     Labels have few values by nature, so one scan reduces the events to a small
-    table from which all counters follow.
+    table from which all counters follow. ``as_of`` adds what the gauges over
+    stored and recent rows need; a stream leaves it out.
     """
+    gauges = {} if as_of is None else {
+        "stored": is_storable(), "recent": F.col("event_time") >= since(as_of, hours)}
     return (events
-            .select("event_type", "authentication_method", "success", "failure_reason",
-                    "device_type", "os_type", "city", "latitude", "longitude",
-                    "activity_type", "risk_level",
-                    is_storable().alias("stored"),
-                    (F.col("event_time") >= since(as_of, hours)).alias("recent"))
-            .groupBy("event_type", "authentication_method", "success", "failure_reason",
-                     "device_type", "os_type", "city", "latitude", "longitude",
-                     "activity_type", "risk_level", "stored", "recent")
+            .select(*LABEL_SOURCES, *[c.alias(n) for n, c in gauges.items()])
+            .groupBy(*LABEL_SOURCES, *gauges)
             .agg(F.count(F.lit(1)).alias("n")))
 
 
 def counter_samples(counts: DataFrame) -> DataFrame:
-    """Samples of every counter and count gauge from ``label_counts``."""
-    specs = {**counters(), **store_gauges()}
-    return _summed(counts, [
-        F.when(c.rows, sample(name, c.labels,
-                              F.col("n") if c.step is None else F.col("n") * c.step))
-        for name, c in specs.items()])
+    """Samples of every counter, and of the count gauges if they were prepared."""
+    specs = {**COUNTERS, **(STORE_GAUGES if "stored" in counts.columns else {})}
+    return _summed(_samples(counts, [
+        f"if({c.rows}, {sample(name, c.labels, f'n * {c.step}')}, NULL)"
+        for name, c in specs.items()]))
 
 
 def session_samples(active: DataFrame) -> DataFrame:
-    device = {"device_type": F.col("device_type")}
-    return _summed(active_by_device(active), [
-        sample("active_sessions_current", device, F.col("active_sessions")),
-        sample("unique_devices_active", device, F.col("unique_devices")),
-        sample("concurrent_users_current", {"user_type": F.lit("total")},
-               F.col("active_sessions")),
-    ])
+    device = {"device_type": "device_type"}
+    return _summed(_samples(active_by_device(active), [
+        sample("active_sessions_current", device, "active_sessions"),
+        sample("unique_devices_active", device, "unique_devices"),
+        sample("concurrent_users_current", {"user_type": "'total'"}, "active_sessions"),
+    ]))
 
 
 def histogram_samples(hist: DataFrame, metric: str, labels: Sequence[str]) -> DataFrame:
-    label = {n: F.col(n) for n in labels}
-    rows = hist.select(F.inline(F.filter(F.array(
-        sample(f"{metric}_bucket", {**label, "le": F.col("le")}, F.col("bucket")),
-        F.when(F.col("le") == "+Inf", sample(f"{metric}_count", label, F.col("count"))),
-        F.when(F.col("le") == "+Inf", sample(f"{metric}_sum", label, F.col("sum"))),
-    ), lambda s: s.isNotNull())))
-    return rows
+    label = {n: n for n in labels}
+    return _samples(hist, [
+        sample(f"{metric}_bucket", {**label, "le": "le"}, "bucket"),
+        f"if(le = '+Inf', {sample(f'{metric}_count', label, 'count')}, NULL)",
+        f"if(le = '+Inf', {sample(f'{metric}_sum', label, 'sum')}, NULL)",
+    ])
 
 
 def table_samples(df: DataFrame, metric: str, labels: Sequence[str], value: str) -> DataFrame:
     """Samples of a finished table with label columns and one value column."""
-    return df.select(F.inline(F.array(
-        sample(metric, {n: F.col(n) for n in labels}, F.col(value)))))
+    return _samples(df, [sample(metric, {n: n for n in labels}, value)])
+
+
+def with_label_map(samples: DataFrame) -> DataFrame:
+    return samples.select("metric", F.map_from_entries("labels").alias("labels"), "value")
 
 
 def errors_total(errors: DataFrame) -> DataFrame:
@@ -255,4 +254,4 @@ def metrics_snapshot(events: DataFrame, as_of: str | datetime, buckets: Sequence
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.select("metric", F.map_from_entries("labels").alias("labels"), "value")
+    return with_label_map(out)

@@ -29,6 +29,20 @@ def multiple_failed_attempts(events: DataFrame, attempts: int = 2, span_seconds:
     return rows.filter(F.col("first_failure") >= since)
 
 
+def failed_windows(events: DataFrame, attempts: int = 2, span: str = "24 hours",
+                   slide: str = "1 hour") -> DataFrame:
+    """Users with ``attempts`` or more failures in a sliding window.
+
+    The form of the rule that a stream can run. Failures are few, and the counts
+    per window are added up in the tasks before they are shuffled.
+    """
+    return (events.filter(is_kind(LOGIN) & ~F.col("success"))
+            .groupBy(F.window("event_time", span, slide), "user_id")
+            .agg(F.count(F.lit(1)).alias("failures"))
+            .filter(F.col("failures") >= attempts)
+            .select(F.col("window.start").alias("window_start"), "user_id", "failures"))
+
+
 def unusual_location(events: DataFrame, hot: Sequence | None = None) -> DataFrame:
     """Logins from another city than the user's previous located login."""
     located = (events.filter(is_kind(LOGIN) & has_location())

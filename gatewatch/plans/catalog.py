@@ -283,6 +283,10 @@ def rule_device_switch(events: DataFrame) -> DataFrame:
     return _with_plain("event_time")(rules.rapid_device_switch(events, 6 * 3600))
 
 
+def rule_failed_windows(events: DataFrame) -> DataFrame:
+    return _with_plain("window_start")(rules.failed_windows(events))
+
+
 def suspicious_events(events: DataFrame) -> DataFrame:
     return _with_plain("event_time")(rules.suspicious_events(events))
 
@@ -335,6 +339,28 @@ def stream_active_sessions_by_device(spark: SparkSession, sf_dir: str) -> DataFr
     return read_snapshot(spark, f"{base}/active_sessions_by_device")
 
 
+def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = shared_folder(spark)
+    jobs.start_counters(event_stream(spark, sf_dir), base, None).awaitTermination()
+    rows = read_snapshot(spark, f"{base}/counters")
+    return rows.select("metric", label_text().alias("labels"), "value")
+
+
+def stream_active_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = shared_folder(spark)
+    stored = ingest.storable(event_stream(spark, sf_dir))
+    jobs.start_latest_sessions(stored, base, None).awaitTermination()
+    return _session_columns(jobs.read_active_sessions(spark, base))
+
+
+def stream_failed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = shared_folder(spark)
+    jobs.start_failed_windows(event_stream(spark, sf_dir), base, watermark="400 days",
+                              every=None).awaitTermination()
+    return _with_plain("window_start")(
+        read_changes(spark, f"{base}/failed_windows", jobs.FAILED_WINDOW_KEYS))
+
+
 def stream_activity_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_folder(spark)
     # The test files are not ordered by time across micro-batches; a wide
@@ -431,6 +457,7 @@ def catalog() -> dict[str, Query]:
         "activity_trend": _on_events(activity_trend),
         "active_sessions_trend": _on_events(active_sessions_trend),
         "rule_multiple_failed": _on_events(rule_multiple_failed),
+        "rule_failed_windows": _on_events(rule_failed_windows),
         "rule_unusual_location": _on_events(rule_unusual_location),
         "rule_device_switch": _on_events(rule_device_switch),
         "suspicious_events": _on_events(suspicious_events),
@@ -443,6 +470,9 @@ def catalog() -> dict[str, Query]:
         "stream_shared_rate_tables": stream_shared_rate_tables,
         "stream_session_counters": stream_session_counters,
         "stream_active_sessions_by_device": stream_active_sessions_by_device,
+        "stream_counters": stream_counters,
+        "stream_active_sessions": stream_active_sessions,
+        "stream_failed_windows": stream_failed_windows,
         "stream_activity_trend": stream_activity_trend,
         "stream_user_profile": stream_user_profile,
         "stream_session_durations": stream_session_durations,

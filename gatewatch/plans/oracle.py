@@ -182,6 +182,12 @@ WHERE event_type = 'login' AND NOT success
   AND event_time >= TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR
 GROUP BY city, failure_reason"""
 
+# A failure lies in the 24 windows that start at its hour or up to 23 hours before.
+FAILED_WINDOWS = _q("""SELECT window_start, user_id, count(*) AS failures FROM (
+  SELECT user_id, date_trunc('hour', event_time) - to_hours(unnest(range(24))) AS window_start
+  FROM login_events WHERE event_type = 'login' AND NOT success) w
+GROUP BY window_start, user_id HAVING count(*) >= 2""")
+
 # JSON text, field by field, absent fields left out.
 TIME_TEXT = "strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f')"
 DEVICE_TEXT = """',"device_info":{"device_id":"' || device_id || '"'
@@ -213,43 +219,50 @@ def _samples(metric: str, labels: str, value: str, source: str) -> str:
             f"CAST({value} AS DOUBLE) AS value FROM {source}")
 
 
-def _snapshot() -> str:
+def _counted(metric: str, labels: str, where: str, value: str = "count(*)",
+             rows: str = "login_events") -> str:
+    return _samples(metric, labels, value, f"{rows} WHERE {where} GROUP BY 2")
+
+
+def _event_counters() -> list[str]:
     unknown = "coalesce({}, 'unknown')".format
     status = "CASE WHEN success THEN 'success' ELSE 'failure' END"
     login, both = "event_type = 'login'", "event_type IN ('login','logout')"
 
-    def counted(metric: str, labels: str, where: str, value: str = "count(*)",
-                rows: str = "login_events") -> str:
-        return _samples(metric, labels, value, f"{rows} WHERE {where} GROUP BY 2")
-
     balance = "sum(CASE WHEN event_type = 'login' THEN 1 ELSE -1 END)"
-    parts = [
-        counted("login_events_total", "''", login),
-        counted("logout_events_total", "''", "event_type = 'logout'"),
-        counted("active_sessions_total", "''", both, balance),
-        counted("active_sessions_by_device", _labels(device_type=unknown("device_type")),
+    return [
+        _counted("login_events_total", "''", login),
+        _counted("logout_events_total", "''", "event_type = 'logout'"),
+        _counted("active_sessions_total", "''", both, balance),
+        _counted("active_sessions_by_device", _labels(device_type=unknown("device_type")),
                 both, balance),
-        counted("login_attempts_total",
+        _counted("login_attempts_total",
                 _labels(auth_method="authentication_method", status=status), login),
-        counted("authentication_failures_total",
+        _counted("authentication_failures_total",
                 _labels(auth_method="authentication_method", failure_reason="failure_reason"),
                 f"{login} AND NOT coalesce(success, false) AND failure_reason <> ''"),
-        counted("device_connections_total",
+        _counted("device_connections_total",
                 _labels(device_type=unknown("device_type"), os_type=unknown("os_type")), login),
-        counted("suspicious_activities_total",
+        _counted("suspicious_activities_total",
                 _labels(activity_type="activity_type", risk_level="risk_level"),
                 "event_type = 'suspicious_activity'"),
-        counted("login_locations_total", _labels(city=unknown("city"), result=status), login),
-        counted("login_locations_active",
+        _counted("login_locations_total", _labels(city=unknown("city"), result=status), login),
+        _counted("login_locations_active",
                 _labels(city=unknown("city"),
                         latitude="coalesce(CAST(latitude AS VARCHAR), '0')",
                         longitude="coalesce(CAST(longitude AS VARCHAR), '0')"),
                 f"{login} AND success"),
-        counted("logouts_total",
+        _counted("logouts_total",
                 _labels(device_type=unknown("device_type"), city=unknown("city")),
                 "event_type = 'logout'"),
-        counted("device_distribution", _labels(device_type="device_type"),
-                f"{both} AND device_type IS NOT NULL", rows="stored"),
+    ]
+
+
+def _snapshot() -> str:
+    parts = [
+        *_event_counters(),
+        _counted("device_distribution", _labels(device_type="device_type"),
+                "event_type IN ('login','logout') AND device_type IS NOT NULL", rows="stored"),
         _samples("security_alerts_current", _labels(city="city", reason="reason"), "n", "alerts"),
         _samples("active_sessions_current", _labels(device_type="device_type"), "n", "by_device"),
         _samples("unique_devices_active", _labels(device_type="device_type"), "d", "by_device"),
@@ -474,6 +487,7 @@ FROM (SELECT date_trunc('hour', event_time) AS window_start,
     RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW) AS failures
   FROM login_events WHERE event_type = 'login' AND NOT success) f
 WHERE failures >= 2"""),
+        "rule_failed_windows": FAILED_WINDOWS,
         "rule_unusual_location": _previous(
             "lag(city) OVER w AS previous_city", "event_type = 'login' AND city IS NOT NULL",
             "event_id, user_id, event_time, city, previous_city")
@@ -499,6 +513,9 @@ FROM login_events WHERE event_type IN ('login','suspicious_activity')
         "stream_shared_rate_tables": _shared_tables(),
         "stream_session_counters": SESSION_COUNTERS,
         "stream_active_sessions_by_device": SESSIONS_BY_DEVICE,
+        "stream_counters": _q("\nUNION ALL\n".join(_event_counters())),
+        "stream_active_sessions": _active(SESSION_COLUMNS),
+        "stream_failed_windows": FAILED_WINDOWS,
         "stream_activity_trend": trend,
         "stream_user_profile": profiles,
         "stream_session_durations": durations,

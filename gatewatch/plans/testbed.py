@@ -6,8 +6,7 @@ row of ``events`` and no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = "2024-01-31 00:00:00"
 DURATION_BUCKETS = (3600.0, 14400.0, 43200.0, 86400.0, 259200.0)
@@ -17,105 +16,92 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _pick(number: Column, *values: str) -> Column:
-    """values[0] for 0, values[1] for 1, ..., the last one otherwise."""
-    out = None
-    for i, value in enumerate(values[:-1]):
-        out = F.when(number == i, value) if out is None else out.when(number == i, value)
-    return out.otherwise(values[-1])
-
-
 def to_login_events(events: DataFrame) -> DataFrame:
     """FIXTURES.md section 3, for batch or streaming ``events``."""
-    e = events.select(
+    keyed = events.selectExpr(
         "event_id",
-        F.col("ts").cast("timestamp").alias("event_time"),
-        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_id"),
-        F.col("event_type").alias("src"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-    )
-    ident, src, k = F.col("event_id"), F.col("src"), F.col("k")
-    is_login = src.isin("click", "view", "error")
-    signup = src == "signup"
-    has_loc = (src != "purchase") & (ident % 50 != 0)
-    flagged = (signup & (k >= 50)) | (is_login & (k % 10 == 0))
-    registers = signup & (k < 50)
-    return e.select(
+        "CAST(ts AS TIMESTAMP) AS event_time",
+        "concat('user_', user_id) AS user_id",
+        "event_type AS src",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k")
+    is_login = "src IN ('click', 'view', 'error')"
+    has_loc = "src <> 'purchase' AND event_id % 50 <> 0"
+    flagged = f"(src = 'signup' AND k >= 50) OR ({is_login} AND k % 10 = 0)"
+    registers = "src = 'signup' AND k < 50"
+    return keyed.selectExpr(
         "event_id", "event_time", "user_id",
-        # Nested so that a filter on one kind folds to a filter on the source
-        # column, which Parquet can use.
-        F.when(is_login, "login").otherwise(
-            F.when(src == "purchase", "logout").otherwise(
-                F.when(k < 50, "registration").otherwise("suspicious_activity")))
-         .alias("event_type"),
-        F.concat(F.lit("device_"), (ident % 5 + 1).cast("string")).alias("device_id"),
-        F.when(ident % 41 == 0, F.lit(None)).when(ident % 2 == 0, "mobile")
-         .otherwise("web").alias("device_type"),
-        F.when(ident % 2 == 0, _pick(k % 2, "iOS", "Android"))
-         .otherwise(_pick(k % 3, "Windows", "macOS", "Linux")).alias("os_type"),
-        F.when(has_loc, F.concat(F.lit("city_"), (k % 10).cast("string"))).alias("city"),
-        F.when(has_loc, (k % 10 + 36).cast("double")).alias("latitude"),
-        F.when(has_loc, (k % 10 + 27).cast("double")).alias("longitude"),
-        F.when(is_login, _pick(ident % 3, "password", "biometric", "2fa"))
-         .alias("authentication_method"),
-        F.when(ident % 97 == 0, F.lit(None)).when(src.isin("click", "view"), True)
-         .when(src == "error", False).alias("success"),
-        F.when((src == "error") & (k % 20 != 19),
-               _pick(k % 3, "wrong_password", "expired_session", "suspicious_location"))
-         .alias("failure_reason"),
-        F.when(flagged, _pick(k % 3, "multiple_failed_attempts", "unusual_location",
-                              "rapid_device_switch")).alias("activity_type"),
-        F.when(flagged, _pick(ident % 3, "low", "medium", "high")).alias("risk_level"),
-        F.when(registers, F.concat(F.lit("name_"), F.col("user_id"))).alias("username"),
-        F.when(registers, _pick(k % 2, "personal", "business")).alias("account_type"),
-    )
+        # Nested so that a filter on one kind folds to a test of the source
+        # column alone, and the JSON column is not read for it.
+        f"""CASE WHEN {is_login} THEN 'login' ELSE
+              CASE WHEN src = 'purchase' THEN 'logout' ELSE
+                CASE WHEN k < 50 THEN 'registration' ELSE 'suspicious_activity' END
+              END
+            END AS event_type""",
+        "concat('device_', event_id % 5 + 1) AS device_id",
+        """CASE WHEN event_id % 41 = 0 THEN NULL
+                WHEN event_id % 2 = 0 THEN 'mobile' ELSE 'web' END AS device_type""",
+        """CASE WHEN event_id % 2 = 0 THEN CASE k % 2 WHEN 0 THEN 'iOS' ELSE 'Android' END
+                ELSE CASE k % 3 WHEN 0 THEN 'Windows' WHEN 1 THEN 'macOS' ELSE 'Linux' END
+           END AS os_type""",
+        f"CASE WHEN {has_loc} THEN concat('city_', k % 10) END AS city",
+        f"CASE WHEN {has_loc} THEN CAST(36 + k % 10 AS DOUBLE) END AS latitude",
+        f"CASE WHEN {has_loc} THEN CAST(27 + k % 10 AS DOUBLE) END AS longitude",
+        f"""CASE WHEN {is_login} THEN CASE event_id % 3
+              WHEN 0 THEN 'password' WHEN 1 THEN 'biometric' ELSE '2fa' END
+            END AS authentication_method""",
+        """CASE WHEN event_id % 97 = 0 THEN NULL WHEN src IN ('click', 'view') THEN true
+                WHEN src = 'error' THEN false END AS success""",
+        """CASE WHEN src = 'error' AND k % 20 <> 19 THEN CASE k % 3
+             WHEN 0 THEN 'wrong_password' WHEN 1 THEN 'expired_session'
+             ELSE 'suspicious_location' END END AS failure_reason""",
+        f"""CASE WHEN {flagged} THEN CASE k % 3
+              WHEN 0 THEN 'multiple_failed_attempts' WHEN 1 THEN 'unusual_location'
+              ELSE 'rapid_device_switch' END END AS activity_type""",
+        f"""CASE WHEN {flagged} THEN CASE event_id % 3
+              WHEN 0 THEN 'low' WHEN 1 THEN 'medium' ELSE 'high' END END AS risk_level""",
+        f"CASE WHEN {registers} THEN concat('name_', user_id) END AS username",
+        f"""CASE WHEN {registers} THEN CASE k % 2
+              WHEN 0 THEN 'personal' ELSE 'business' END END AS account_type""")
 
 
 def login_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_login_events(raw_events(spark, sf_dir))
 
 
-def _kept(condition: Column, column: Column) -> Column:
-    return F.when(condition, column)
-
-
 def to_raw_messages(events: DataFrame) -> DataFrame:
     """FIXTURES.md section 4: one JSON text per event, some of them broken."""
-    ident, kind = F.col("event_id"), F.col("event_type")
-    login, registration = kind == "login", kind == "registration"
-    iso = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    message = F.struct(
-        _kept(~registration, kind).alias("event_type"),
-        _kept(ident % 89 != 0, F.col("user_id")).alias("user_id"),
-        F.struct("device_id", "device_type", "os_type",
-                 _kept(login, F.concat(F.lit("192.168.1."),
-                                       (ident % 255 + 1).cast("string"))).alias("ip_address"))
-         .alias("device_info"),
-        _kept(F.col("city").isNotNull(),
-              F.struct("city", "latitude", "longitude", F.lit("Turkey").alias("country")))
-         .alias("location"),
-        "authentication_method",
-        _kept(login, F.col("success")).alias("success"),
-        "failure_reason",
-        _kept(login & F.col("activity_type").isNotNull(),
-              F.struct(F.col("activity_type").alias("type"), "risk_level"))
-         .alias("suspicious_activity"),
-        _kept(~login, F.col("activity_type")).alias("activity_type"),
-        _kept(~login, F.col("risk_level")).alias("risk_level"),
-        _kept(registration, F.lit(True)).alias("registration"),
-        "username", "account_type",
-        _kept(ident % 2 == 0, iso).alias("timestamp"),
-    )
-    texts = events.select("event_id", F.to_json(message).alias("text"),
-                          F.unix_millis("event_time").cast("string").alias("millis"))
+    login, registration = "event_type = 'login'", "event_type = 'registration'"
+    texts = events.selectExpr(
+        "event_id",
+        "CAST(unix_millis(event_time) AS STRING) AS millis",
+        f"""to_json(named_struct(
+              'event_type', if({registration}, NULL, event_type),
+              'user_id', if(event_id % 89 = 0, NULL, user_id),
+              'device_info', named_struct(
+                 'device_id', device_id, 'device_type', device_type, 'os_type', os_type,
+                 'ip_address', if({login}, concat('192.168.1.', event_id % 255 + 1), NULL)),
+              'location', if(city IS NULL, NULL, named_struct(
+                 'city', city, 'latitude', latitude, 'longitude', longitude,
+                 'country', 'Turkey')),
+              'authentication_method', authentication_method,
+              'success', if({login}, success, NULL),
+              'failure_reason', failure_reason,
+              'suspicious_activity', if({login} AND activity_type IS NOT NULL,
+                 named_struct('type', activity_type, 'risk_level', risk_level), NULL),
+              'activity_type', if({login}, NULL, activity_type),
+              'risk_level', if({login}, NULL, risk_level),
+              'registration', if({registration}, true, NULL),
+              'username', username,
+              'account_type', account_type,
+              'timestamp', if(event_id % 2 = 0,
+                 date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), NULL))) AS text""")
     # Odd rows carry the time as a JSON number instead of text.
-    open_text = F.substring("text", F.lit(1), F.length("text") - 1)
-    return texts.select(
+    return texts.selectExpr(
         "event_id",
-        F.when(ident % 113 == 0, "not json")
-         .when(ident % 2 == 0, F.col("text"))
-         .otherwise(F.concat(open_text, F.lit(',"timestamp":'), "millis", F.lit("}")))
-         .alias("value"))
+        """CASE WHEN event_id % 113 = 0 THEN 'not json'
+                WHEN event_id % 2 = 0 THEN text
+                ELSE concat(substring(text, 1, length(text) - 1), ',"timestamp":', millis, '}')
+           END AS value""")
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,11 +110,10 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kafka_rows(messages: DataFrame, topic: str = "login-events") -> DataFrame:
     """The same messages in the column layout of a Kafka source."""
-    ident = F.col("event_id")
-    return messages.select(
+    return messages.selectExpr(
         "event_id",
-        F.lit(topic).alias("topic"),
-        (ident % 4).cast("int").alias("partition"),
-        F.floor(ident / 4).cast("bigint").alias("offset"),
-        F.timestamp_millis(F.lit(1704067200000) + ident * 250).alias("timestamp"),
-        F.col("value").cast("binary").alias("value"))
+        f"'{topic}' AS topic",
+        "CAST(event_id % 4 AS INT) AS partition",
+        "event_id DIV 4 AS offset",
+        "timestamp_millis(1704067200000 + event_id * 250) AS timestamp",
+        "CAST(value AS BINARY) AS value")

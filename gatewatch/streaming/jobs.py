@@ -9,11 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gatewatch.functions import is_kind, success_count
-from gatewatch.operators import ingest, metrics, rates, sessions, users
+from gatewatch.operators import (
+    ingest,
+    metrics,
+    rates,
+    rules,
+    sessions,
+    store_queries,
+    users,
+)
 from gatewatch.schema import LOGIN
 from gatewatch.sources.store import EventStore
 from gatewatch.streaming.sessions import session_duration_stream
-from gatewatch.streaming.sinks import Sink, changes_sink, snapshot_sink
+from gatewatch.streaming.sinks import Sink, changes_sink, read_changes, snapshot_sink
 
 # Table name -> processing-time trigger; one query per table.
 TRIGGERS = {
@@ -123,6 +131,47 @@ def start_active_sessions_by_device(events: DataFrame, base: str,
                  snapshot_sink(f"{base}/{name}"), "complete", every)
 
 
+def start_counters(events: DataFrame, base: str,
+                   every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
+    """All event counters as metric, labels and value; the state holds one row
+    per label combination."""
+    write = snapshot_sink(f"{base}/counters")
+
+    def expose(counts: DataFrame, epoch: int) -> None:
+        write(metrics.with_label_map(metrics.counter_samples(counts)), epoch)
+
+    return start(metrics.label_counts(events), "counters", base, expose, "complete", every)
+
+
+SESSION_KEYS = ("user_id",)
+
+
+def start_latest_sessions(events: DataFrame, base: str,
+                          every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
+    """Keep each user's latest login or logout; see ``read_active_sessions``."""
+    return start(store_queries.latest_session_rows(events), "latest_sessions", base,
+                 changes_sink(f"{base}/latest_sessions", SESSION_KEYS), "update", every)
+
+
+def read_active_sessions(spark: SparkSession, base: str) -> DataFrame:
+    return (read_changes(spark, f"{base}/latest_sessions", SESSION_KEYS)
+            .filter(is_kind(LOGIN)))
+
+
+FAILED_WINDOW_KEYS = ("window_start", "user_id")
+
+
+def start_failed_windows(events: DataFrame, base: str, attempts: int = 2,
+                         span: str = "24 hours", slide: str = "1 hour",
+                         watermark: str = WATERMARK,
+                         every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
+    """Alert rows of users with too many failures in a sliding window."""
+    alerts = rules.failed_windows(events.withWatermark("event_time", watermark),
+                                  attempts, span, slide)
+    return start(alerts, "failed_windows", base,
+                 changes_sink(f"{base}/failed_windows", FAILED_WINDOW_KEYS), "update", every)
+
+
 TREND_KEYS = ("window_start", "event_type")
 
 
