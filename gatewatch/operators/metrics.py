@@ -55,6 +55,10 @@ COUNTERS = {
     "suspicious_activities_total": Counter(
         f"event_type = '{SUSPICIOUS}'",
         {"activity_type": "activity_type", "risk_level": "risk_level"}),
+    "suspicious_activities_by_city": Counter(
+        f"event_type = '{SUSPICIOUS}'",
+        {"activity_type": "activity_type", "risk_level": "risk_level",
+         "city": _unknown("city")}),
     "login_locations_total": Counter(
         IS_LOGIN, {"city": _unknown("city"), "result": STATUS}),
     "login_locations_active": Counter(
@@ -106,6 +110,10 @@ def store_login_attempts(by_method: DataFrame) -> DataFrame:
 
 # ---- gauges over active sessions -----------------------------------------------
 
+# What the gauges over active sessions look at.
+ACTIVE_COLUMNS = ("event_type", "device_type", "device_id")
+
+
 def active_by_device(active: DataFrame) -> DataFrame:
     """Active sessions and distinct devices in use per device type."""
     return (active.groupBy("device_type")
@@ -243,7 +251,7 @@ def metrics_snapshot(events: DataFrame, as_of: str | datetime, buckets: Sequence
                           ["device_type"], buckets)
     parts = [
         counter_samples(label_counts(events, as_of)),
-        session_samples(active_sessions(stored)),
+        session_samples(active_sessions(stored, columns=ACTIVE_COLUMNS)),
         histogram_samples(durations, "session_duration_seconds", ["device_type"]),
         table_samples(user_status(users_table(stored)), "user_status_current",
                       ["status"], "users"),

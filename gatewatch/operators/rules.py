@@ -14,6 +14,10 @@ from gatewatch.schema import LOGIN, SUSPICIOUS
 ORDER = ("event_time", "event_id")
 
 
+def _user_logins(events: DataFrame) -> DataFrame:
+    return events.filter(is_kind(LOGIN) & F.col("user_id").isNotNull())
+
+
 def multiple_failed_attempts(events: DataFrame, attempts: int = 2, span_seconds: int = 86400,
                              hot: Sequence | None = None) -> DataFrame:
     """Failed logins that are at least the ``attempts``-th within the span.
@@ -21,7 +25,7 @@ def multiple_failed_attempts(events: DataFrame, attempts: int = 2, span_seconds:
     That is the case exactly if the failure ``attempts - 1`` places earlier is
     not older than the span, so a lag replaces a sliding count.
     """
-    failures = (events.filter(is_kind(LOGIN) & ~F.col("success"))
+    failures = (_user_logins(events).filter(~F.col("success"))
                 .select("event_id", "user_id", "event_time"))
     rows = lag_by_key(failures, "user_id", ORDER, {"first_failure": "event_time"},
                       offset=attempts - 1, hot=hot)
@@ -45,7 +49,7 @@ def failed_windows(events: DataFrame, attempts: int = 2, span: str = "24 hours",
 
 def unusual_location(events: DataFrame, hot: Sequence | None = None) -> DataFrame:
     """Logins from another city than the user's previous located login."""
-    located = (events.filter(is_kind(LOGIN) & has_location())
+    located = (_user_logins(events).filter(has_location())
                .select("event_id", "user_id", "event_time", "city"))
     rows = lag_by_key(located, "user_id", ORDER, {"previous_city": "city"}, hot=hot)
     return rows.filter(F.col("city") != F.col("previous_city"))
@@ -54,7 +58,7 @@ def unusual_location(events: DataFrame, hot: Sequence | None = None) -> DataFram
 def rapid_device_switch(events: DataFrame, span_seconds: int = 3600,
                         hot: Sequence | None = None) -> DataFrame:
     """Logins from another device than the previous login within the span."""
-    logins = (events.filter(is_kind(LOGIN))
+    logins = (_user_logins(events)
               .select("event_id", "user_id", "event_time", "device_id"))
     rows = lag_by_key(logins, "user_id", ORDER,
                       {"previous_device": "device_id", "previous_time": "event_time"}, hot=hot)

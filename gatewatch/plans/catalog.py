@@ -433,6 +433,7 @@ def catalog() -> dict[str, Query]:
         "auth_failures_total": _counter("authentication_failures_total"),
         "device_connections_total": _counter("device_connections_total"),
         "suspicious_activities_total": _counter("suspicious_activities_total"),
+        "suspicious_activities_by_city": _counter("suspicious_activities_by_city"),
         "login_locations_total": _counter("login_locations_total"),
         "login_locations_active": _counter("login_locations_active"),
         "logouts_by_device_city": _counter("logouts_total"),

@@ -246,6 +246,10 @@ def _event_counters() -> list[str]:
         _counted("suspicious_activities_total",
                 _labels(activity_type="activity_type", risk_level="risk_level"),
                 "event_type = 'suspicious_activity'"),
+        _counted("suspicious_activities_by_city",
+                 _labels(activity_type="activity_type", risk_level="risk_level",
+                         city=unknown("city")),
+                 "event_type = 'suspicious_activity'"),
         _counted("login_locations_total", _labels(city=unknown("city"), result=status), login),
         _counted("login_locations_active",
                 _labels(city=unknown("city"),
@@ -430,6 +434,10 @@ FROM login_events WHERE event_type = 'login' GROUP BY 1, 2"""),
         "suspicious_activities_total": _q(
             """SELECT activity_type, risk_level, count(*) AS value FROM login_events
 WHERE event_type = 'suspicious_activity' GROUP BY 1, 2"""),
+        "suspicious_activities_by_city": _q(
+            """SELECT activity_type, risk_level, coalesce(city, 'unknown') AS city,
+  count(*) AS value
+FROM login_events WHERE event_type = 'suspicious_activity' GROUP BY 1, 2, 3"""),
         "login_locations_total": _q(
             """SELECT coalesce(city, 'unknown') AS city,
   CASE WHEN success THEN 'success' ELSE 'failure' END AS result, count(*) AS value

@@ -46,14 +46,21 @@ EVENT_SCHEMA = T.StructType([
     T.StructField(CORRUPT_COLUMN, T.StringType()),
 ])
 
-# Columns of the canonical flat event, as the operators expect them.
-EVENT_COLUMNS = [
-    "event_time", "user_id", "event_type",
-    "device_id", "device_type", "os_type", "ip_address",
-    "city", "latitude", "longitude", "country",
-    "authentication_method", "success", "failure_reason",
-    "activity_type", "risk_level", "username", "account_type",
-]
+# Columns of the canonical flat event, as the operators expect them, beside
+# ``event_id``.
+FLAT_SCHEMA = T.StructType([
+    T.StructField("event_time", T.TimestampType()),
+    *[T.StructField(n, T.StringType()) for n in (
+        "user_id", "event_type", "device_id", "device_type", "os_type", "ip_address", "city")],
+    T.StructField("latitude", T.DoubleType()),
+    T.StructField("longitude", T.DoubleType()),
+    T.StructField("country", T.StringType()),
+    T.StructField("authentication_method", T.StringType()),
+    T.StructField("success", T.BooleanType()),
+    *[T.StructField(n, T.StringType()) for n in (
+        "failure_reason", "activity_type", "risk_level", "username", "account_type")],
+])
+EVENT_COLUMNS = FLAT_SCHEMA.fieldNames()
 
 LOGIN = "login"
 LOGOUT = "logout"

@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from gatewatch.operators import ingest, store_queries, users
-from gatewatch.schema import EVENT_COLUMNS, LOGIN, LOGOUT, REGISTRATION, SUSPICIOUS, UNKNOWN
+from pyspark.sql import types as T
+
+from gatewatch.operators import ingest, metrics, store_queries, users
+from gatewatch.schema import (
+    EVENT_COLUMNS,
+    FLAT_SCHEMA,
+    LOGIN,
+    LOGOUT,
+    REGISTRATION,
+    SUSPICIOUS,
+    UNKNOWN,
+)
 
 LOGIN_EVENTS = "login_events"
 SECURITY_EVENTS = "security_events"
@@ -17,6 +27,16 @@ SYSTEM_ERRORS = "system_errors"
 
 ERROR_COLUMNS = ["error_type", "details", "event_data"]
 
+# Stated, so that opening the store looks into no file.
+STORE_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    *FLAT_SCHEMA.fields,
+    *[T.StructField(n, T.StringType()) for n in ERROR_COLUMNS],
+    T.StructField("batch", T.LongType()),
+    T.StructField("table", T.StringType()),
+    T.StructField("event_date", T.DateType()),
+])
+
 
 def with_event_id(messages: DataFrame) -> DataFrame:
     """A unique id per message; from partition and offset unless there is one."""
@@ -68,10 +88,13 @@ class EventStore:
          .write.mode("overwrite").partitionBy("table", "event_date")
          .parquet(f"{self.path}/batch={batch}"))
 
+    def rows(self, *tables: str) -> DataFrame:
+        # A partition filter: only the folders of these tables are opened.
+        return (self.spark.read.schema(STORE_SCHEMA).option("basePath", self.path)
+                .parquet(self.path).filter(F.col("table").isin(*tables)).drop("batch"))
+
     def table(self, name: str) -> DataFrame:
-        # The two partition filters leave only the folders of that table.
-        return (self.spark.read.option("basePath", self.path).parquet(self.path)
-                .filter(F.col("table") == name).drop("table", "batch"))
+        return self.rows(name).drop("table")
 
     def login_events(self) -> DataFrame:
         return self.table(LOGIN_EVENTS).drop(*ERROR_COLUMNS)
@@ -88,9 +111,12 @@ class EventStore:
             F.col("event_time").alias("timestamp"))
 
     def users(self) -> DataFrame:
-        rows = (self.spark.read.option("basePath", self.path).parquet(self.path)
-                .filter(F.col("table").isin(LOGIN_EVENTS, REGISTRATIONS)))
-        return users.users_table(rows)
+        return users.users_table(self.rows(LOGIN_EVENTS, REGISTRATIONS))
+
+    def metrics(self, as_of: str | datetime, buckets: Sequence[float]) -> DataFrame:
+        """Metric snapshot of the stored events and errors."""
+        events = self.rows(LOGIN_EVENTS, SECURITY_EVENTS, REGISTRATIONS)
+        return metrics.metrics_snapshot(events, as_of, buckets, self.table(SYSTEM_ERRORS))
 
     def login_metrics(self) -> dict[str, DataFrame]:
         events = self.login_events()

@@ -39,6 +39,7 @@ PREVIEW_ROWS = {
     "device_metrics": 20,
 }
 SINGLE_QUERY_TRIGGER = "10 seconds"
+STORE_TRIGGER = "10 minutes"
 WATERMARK = "1 minute"
 
 
@@ -144,13 +145,16 @@ def start_counters(events: DataFrame, base: str,
 
 
 SESSION_KEYS = ("user_id",)
+SESSION_COLUMNS = ("event_type", "device_id", "device_type", "os_type", "city",
+                   "authentication_method", "success")
 
 
 def start_latest_sessions(events: DataFrame, base: str,
                           every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
     """Keep each user's latest login or logout; see ``read_active_sessions``."""
-    return start(store_queries.latest_session_rows(events), "latest_sessions", base,
-                 changes_sink(f"{base}/latest_sessions", SESSION_KEYS), "update", every)
+    latest = store_queries.latest_session_rows(events, SESSION_COLUMNS)
+    return start(latest, "latest_sessions", base, changes_sink(
+        f"{base}/latest_sessions", SESSION_KEYS), "update", every)
 
 
 def read_active_sessions(spark: SparkSession, base: str) -> DataFrame:
@@ -206,8 +210,9 @@ def start_session_durations(events: DataFrame, base: str, drop_late: bool = True
 
 
 def start_store(messages: DataFrame, store: EventStore, base: str,
-                every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
-    """Append messages to the event store, one folder per micro-batch."""
+                every: str | None = STORE_TRIGGER) -> StreamingQuery:
+    """Append messages to the event store, one folder per micro-batch; a longer
+    trigger means fewer and larger files."""
     return start(messages, "event_store", base,
                  lambda df, epoch: store.append(df, epoch), "append", every)
 

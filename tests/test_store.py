@@ -4,7 +4,7 @@ import pytest
 from conftest import SMALL, plan_of, rows_of
 from pyspark.sql import functions as F
 
-from gatewatch.operators import ingest, store_queries, users
+from gatewatch.operators import ingest, metrics, store_queries, users
 from gatewatch.plans import testbed
 from gatewatch.sources import store as store_module
 from gatewatch.sources.folders import shared_folder
@@ -68,6 +68,13 @@ def test_filters_reach_the_files(store):
     assert "event_date" in plan.split("PartitionFilters:")[1].split("PushedFilters:")[0]
 
 
+def test_metrics_of_the_store(store, raw):
+    valid = ingest.valid_events(raw)
+    expected = metrics.metrics_snapshot(valid, testbed.AS_OF, testbed.DURATION_BUCKETS,
+                                        ingest.dead_letters(raw))
+    assert rows_of(store.metrics(testbed.AS_OF, testbed.DURATION_BUCKETS)) == rows_of(expected)
+
+
 def test_event_id_from_partition_and_offset(spark):
     df = spark.createDataFrame([(0, 7), (1, 7), (1, 8)], "partition int, offset long")
     ids = [r["event_id"] for r in store_module.with_event_id(df).collect()]

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from conftest import SMALL, rows_of
 
+from gatewatch import run
 from gatewatch.operators import ingest, metrics, rates, sessions, users
 from gatewatch.plans import testbed
 from gatewatch.sources.files import parquet_stream
@@ -127,6 +128,29 @@ def test_store_ingestion_stream(spark, inbox, base):
         ingest.valid_events(raw).filter("event_type IN ('login', 'logout')").select("event_id"))
 
 
+def test_entry_points_on_kafka_shaped_messages(spark, inbox, base):
+    raw = testbed.raw_messages(spark, SMALL)
+    kafka_like = testbed.kafka_rows(raw).drop("event_id")
+    kafka_like.coalesce(1).write.mode("append").parquet(str(inbox))
+    messages = ingest.envelope(parquet_stream(spark, str(inbox), kafka_like.schema))
+    jobs.await_each(run.start_analytics(messages, f"{base}/a", drain=True))
+    jobs.await_each(run.start_analytics(messages, f"{base}/b", shared=True, drain=True))
+    for name in jobs.TRIGGERS:
+        assert (rows_of(read_snapshot(spark, f"{base}/a/{name}"))
+                == rows_of(read_snapshot(spark, f"{base}/b/{name}")))
+    jobs.await_each(run.start_monitoring(messages, base, drain=True))
+    store = EventStore(spark, f"{base}/store")
+    columns = ["user_id", "event_time", "device_id"]
+    assert (rows_of(jobs.read_active_sessions(spark, base).select(columns))
+            == rows_of(store.active_sessions().select(columns)))
+    profiles = read_changes(spark, f"{base}/user_profiles", jobs.PROFILE_KEYS)
+    assert rows_of(profiles) == rows_of(users.user_profiles(store.login_events()))
+    samples = read_snapshot(spark, f"{base}/counters")
+    flat = ingest.flatten(ingest.with_event_time(ingest.decode(raw)))
+    logins = samples.filter("metric = 'login_events_total'").first()["value"]
+    assert logins == flat.filter("event_type = 'login'").count()
+
+
 def numbers(spark, *rows):
     return spark.createDataFrame(list(rows), "k string, n long")
 
