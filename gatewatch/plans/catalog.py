@@ -152,16 +152,19 @@ def _history(start: str | None = None, end: str | None = None) -> Query:
 
 
 def _session_columns(rows: DataFrame) -> DataFrame:
-    return rows.select("user_id", "event_id", plain("event_time"), "device_id", "device_type",
-                       "os_type", "city", "authentication_method", "success")
+    return rows.select("user_id", "event_id", plain("event_time"),
+                       *[c for c in jobs.SESSION_COLUMNS if c != "event_type"])
 
 
 def active_sessions(stored: DataFrame) -> DataFrame:
-    return _session_columns(store_queries.active_sessions(stored))
+    return _session_columns(
+        store_queries.active_sessions(stored, columns=jobs.SESSION_COLUMNS))
 
 
 def active_sessions_successful(stored: DataFrame) -> DataFrame:
-    return _session_columns(store_queries.active_sessions(stored, successful_only=True))
+    return _session_columns(
+        store_queries.active_sessions(stored, successful_only=True,
+                                      columns=jobs.SESSION_COLUMNS))
 
 
 # ---- users --------------------------------------------------------------------------
@@ -229,12 +232,14 @@ def value_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def active_sessions_current(stored: DataFrame) -> DataFrame:
-    by_device = metrics.active_by_device(store_queries.active_sessions(stored))
+    by_device = metrics.active_by_device(
+        store_queries.active_sessions(stored, columns=metrics.ACTIVE_COLUMNS))
     return by_device.select("device_type", F.col("active_sessions").alias("value"))
 
 
 def unique_devices_active(stored: DataFrame) -> DataFrame:
-    by_device = metrics.active_by_device(store_queries.active_sessions(stored))
+    by_device = metrics.active_by_device(
+        store_queries.active_sessions(stored, columns=metrics.ACTIVE_COLUMNS))
     return by_device.select("device_type", F.col("unique_devices").alias("value"))
 
 
@@ -294,9 +299,8 @@ def suspicious_events(events: DataFrame) -> DataFrame:
 # ---- streams: drained once, then read back -------------------------------------------------
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = testbed.raw_events(spark, sf_dir).schema
     return testbed.to_login_events(
-        parquet_stream(spark, f"{sf_dir}/events.parquet", schema))
+        parquet_stream(spark, f"{sf_dir}/events.parquet", testbed.EVENTS_SCHEMA))
 
 
 def _stream_table(name: str) -> Query:
@@ -440,7 +444,8 @@ def catalog() -> dict[str, Query]:
         "security_alerts_current": _on_stored(security_alerts),
         "device_gauge": _on_stored(device_gauge),
         "concurrent_users": _on_stored(
-            lambda e: metrics.concurrent_users(store_queries.active_sessions(e))),
+            lambda e: metrics.concurrent_users(
+                store_queries.active_sessions(e, columns=["event_type"]))),
         "active_sessions_current": _on_stored(active_sessions_current),
         "unique_devices_active": _on_stored(unique_devices_active),
         "session_duration_histogram": _on_events(session_duration_histogram),

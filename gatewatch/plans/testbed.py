@@ -12,8 +12,13 @@ AS_OF = "2024-01-31 00:00:00"
 DURATION_BUCKETS = (3600.0, 14400.0, 43200.0, 86400.0, 259200.0)
 
 
+# Stated, so that building a query starts no job that looks into the files.
+EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+                 "value double, props string")
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def to_login_events(events: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from gatewatch.sources.folders import is_folder
 
 
-def parquet_stream(spark: SparkSession, path: str, schema: T.StructType,
+def parquet_stream(spark: SparkSession, path: str, schema: T.StructType | str,
                    files_per_trigger: int = 64) -> DataFrame:
     """Stream of a Parquet folder, or of one file, with a bound per micro-batch."""
     reader = (spark.readStream.schema(schema)

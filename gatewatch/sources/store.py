@@ -1,4 +1,8 @@
-"""Event store: routed events as one Parquet folder, split by table and date."""
+"""Event store: routed events as one Parquet folder, split by table and date.
+
+The folders are table, date and batch: a question about one table lists that
+table only, and a time bound opens only its dates.
+"""
 
 from __future__ import annotations
 
@@ -19,6 +23,7 @@ from gatewatch.schema import (
     SUSPICIOUS,
     UNKNOWN,
 )
+from gatewatch.sources.folders import is_folder
 
 LOGIN_EVENTS = "login_events"
 SECURITY_EVENTS = "security_events"
@@ -32,9 +37,9 @@ STORE_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     *FLAT_SCHEMA.fields,
     *[T.StructField(n, T.StringType()) for n in ERROR_COLUMNS],
-    T.StructField("batch", T.LongType()),
     T.StructField("table", T.StringType()),
     T.StructField("event_date", T.DateType()),
+    T.StructField("batch", T.LongType()),
 ])
 
 
@@ -81,17 +86,23 @@ class EventStore:
     def append(self, messages: DataFrame, batch: int) -> None:
         """Store one batch of messages; a repeated batch replaces itself.
 
-        The rebalance keeps files of a date together, and lets AQE split a date
-        that holds far more rows than others.
+        Only the folders of this batch are overwritten. The rebalance keeps the
+        files of a date together, and lets AQE split a date that holds far more
+        rows than others.
         """
-        (routed_rows(messages).hint("rebalance", "table", "event_date")
-         .write.mode("overwrite").partitionBy("table", "event_date")
-         .parquet(f"{self.path}/batch={batch}"))
+        (routed_rows(messages).withColumn("batch", F.lit(batch).cast("bigint"))
+         .hint("rebalance", "table", "event_date")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("table", "event_date", "batch").parquet(self.path))
 
     def rows(self, *tables: str) -> DataFrame:
-        # A partition filter: only the folders of these tables are opened.
+        # Only the folders of these tables are listed at all.
+        folders = [f"{self.path}/table={t}" for t in tables]
+        folders = [f for f in folders if is_folder(self.spark, f)]
+        if not folders:
+            return self.spark.createDataFrame([], STORE_SCHEMA).drop("batch")
         return (self.spark.read.schema(STORE_SCHEMA).option("basePath", self.path)
-                .parquet(self.path).filter(F.col("table").isin(*tables)).drop("batch"))
+                .parquet(*folders).drop("batch"))
 
     def table(self, name: str) -> DataFrame:
         return self.rows(name).drop("table")

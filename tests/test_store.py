@@ -61,13 +61,19 @@ def test_questions_to_the_store(store, raw):
 def test_filters_reach_the_files(store):
     plan = plan_of(store.security_metrics(testbed.AS_OF))
     partition, pushed = plan.split("PartitionFilters:")[1].split("PushedFilters:")
-    assert "event_date" in partition and "login_events" in partition
+    assert "event_date" in partition and "table=login_events" in plan
     assert "EqualTo(success," in pushed and "GreaterThanOrEqual(event_time" in pushed
     plan = plan_of(store.login_history("user_3", "2024-01-05"))
     assert "EqualTo(user_id,user_3)" in plan.split("PushedFilters:")[1]
     assert "event_date" in plan.split("PartitionFilters:")[1].split("PushedFilters:")[0]
 
 
+def test_table_without_rows(spark, tmp_path):
+    empty = EventStore(spark, str(tmp_path))
+    assert empty.login_events().count() == 0
+    assert empty.active_sessions().count() == 0
+
+
 def test_metrics_of_the_store(store, raw):
     valid = ingest.valid_events(raw)
     expected = metrics.metrics_snapshot(valid, testbed.AS_OF, testbed.DURATION_BUCKETS,
