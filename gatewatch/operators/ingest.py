@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gatewatch.functions import event_time_from, iso_text, or_unknown
 from gatewatch.schema import (
@@ -27,13 +30,15 @@ def envelope(messages: DataFrame) -> DataFrame:
                            F.col("value").cast("string").alias("value"))
 
 
-def decode(messages: DataFrame, value: str = "value") -> DataFrame:
+def decode(messages: DataFrame, value: str = "value",
+           fields: Sequence[str] | None = None) -> DataFrame:
     """Parse the JSON text once and expose the message fields as columns.
 
     Other columns of ``messages`` are kept, except those a message field
     replaces (the broker ``timestamp`` among them). ``malformed`` is true for
     text that is not a JSON object; a wrong type in one field only nulls that
-    field.
+    field. With ``fields`` only these are parsed, which is cheaper: the others
+    are NULL and broken text is a row of NULLs.
 
     The parsed struct goes through ``inline``: filters on its fields then stay
     above the parser instead of being pushed below it, where they would parse
@@ -41,8 +46,14 @@ def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     """
     names = EVENT_SCHEMA.fieldNames()
     kept = [c for c in messages.columns if c not in names]
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     text = F.col(value).cast("string")
+    if fields is not None:
+        schema = T.StructType([f for f in EVENT_SCHEMA.fields if f.name in fields])
+        parsed = messages.select(*kept, F.inline(F.array(F.from_json(text, schema))))
+        return parsed.withColumns({
+            f.name: F.lit(None).cast(f.dataType) for f in EVENT_SCHEMA.fields
+            if f.name not in fields and f.name != CORRUPT_COLUMN})
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     parsed = messages.select(*kept, F.inline(F.array(F.from_json(text, EVENT_SCHEMA, options))))
     corrupt = F.col(CORRUPT_COLUMN)
     is_object = F.coalesce(F.get_json_object(corrupt, "$").startswith("{"), F.lit(False))

@@ -37,7 +37,8 @@ IN_SESSION = f"event_type IN ('{LOGIN}', '{LOGOUT}')"
 SESSION_STEP = f"if({IS_LOGIN}, 1, -1)"
 STATUS = "if(success, 'success', 'failure')"
 
-# Counters and count-like gauges fed by single events.
+# Counters and count-like gauges fed by single events. The metric and label
+# names are fixed values.
 COUNTERS = {
     "login_events_total": Counter(IS_LOGIN),
     "logout_events_total": Counter(IS_LOGOUT),

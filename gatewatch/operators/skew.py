@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Rows of one key value that a single task may sort comfortably (it can spill).
-HOT_ROWS = 2_000_000
+HOT_ROWS = 1_000_000
 # Upper bound of hot values fetched; also the bound of the literal list built.
 MAX_HOT = 10_000
 SKETCH_ITEMS = 65_536

@@ -20,7 +20,7 @@ from gatewatch.streaming import jobs
 def start_analytics(messages: DataFrame, base: str, shared: bool = False,
                     drain: bool = False, preview: bool = False) -> list[StreamingQuery]:
     """The five rate and failure tables, as five queries or as one shared query."""
-    events = jobs.decoded_events(messages)
+    events = jobs.decoded_events(messages, jobs.RATE_FIELDS)
     if shared:
         every = None if drain else jobs.SINGLE_QUERY_TRIGGER
         return [jobs.start_shared_rate_tables(events, base, every)]
@@ -33,11 +33,12 @@ def start_monitoring(messages: DataFrame, base: str, drain: bool = False) -> lis
     seen = jobs.decoded_events(messages)
     stored = ingest.valid_events(messages)
     every = None if drain else jobs.SINGLE_QUERY_TRIGGER
+    often = None if drain else jobs.METRICS_TRIGGER
     return [
         jobs.start_store(messages, EventStore(messages.sparkSession, f"{base}/store"), base,
                          None if drain else jobs.STORE_TRIGGER),
-        jobs.start_counters(seen, base, every),
-        jobs.start_latest_sessions(stored, base, every),
+        jobs.start_counters(seen, base, often),
+        jobs.start_latest_sessions(stored, base, often),
         jobs.start_user_profiles(stored, base, every),
         jobs.start_session_durations(stored, base, every=every),
         jobs.start_activity_trend(stored, base, every=every),

@@ -23,7 +23,7 @@ from gatewatch.sources.store import EventStore
 from gatewatch.streaming.sessions import session_duration_stream
 from gatewatch.streaming.sinks import Sink, changes_sink, read_changes, snapshot_sink
 
-# Table name -> processing-time trigger; one query per table.
+# Table name -> processing-time trigger, one query per table.
 TRIGGERS = {
     "combo_metrics": "2 minutes",
     "city_metrics": "4 minutes",
@@ -31,6 +31,7 @@ TRIGGERS = {
     "method_metrics": "4 minutes",
     "device_metrics": "4 minutes",
 }
+# Rows of the sorted preview.
 PREVIEW_ROWS = {
     "combo_metrics": 100,
     "city_metrics": 50,
@@ -39,13 +40,19 @@ PREVIEW_ROWS = {
     "device_metrics": 20,
 }
 SINGLE_QUERY_TRIGGER = "10 seconds"
+METRICS_TRIGGER = "2 seconds"
 STORE_TRIGGER = "10 minutes"
 WATERMARK = "1 minute"
 
 
-def decoded_events(messages: DataFrame) -> DataFrame:
+# What the rate and failure tables look at.
+RATE_FIELDS = ("event_type", "timestamp", "device_info", "device_type", "location",
+               "authentication_method", "success", "failure_reason")
+
+
+def decoded_events(messages: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
     """Canonical events of the analytics path: decoded, not validated."""
-    rows = ingest.with_event_time(ingest.decode(messages))
+    rows = ingest.with_event_time(ingest.decode(messages, fields=fields))
     return ingest.flatten(rows)
 
 
@@ -120,20 +127,20 @@ def start_shared_rate_tables(events: DataFrame, base: str,
 
 
 def start_session_counters(events: DataFrame, base: str,
-                           every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
+                           every: str | None = METRICS_TRIGGER) -> StreamingQuery:
     return start(metrics.session_counters(events), "session_counters", base,
                  snapshot_sink(f"{base}/session_counters"), "complete", every)
 
 
 def start_active_sessions_by_device(events: DataFrame, base: str,
-                                    every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
+                                    every: str | None = METRICS_TRIGGER) -> StreamingQuery:
     name = "active_sessions_by_device"
     return start(metrics.counter(events, name), name, base,
                  snapshot_sink(f"{base}/{name}"), "complete", every)
 
 
 def start_counters(events: DataFrame, base: str,
-                   every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
+                   every: str | None = METRICS_TRIGGER) -> StreamingQuery:
     """All event counters as metric, labels and value; the state holds one row
     per label combination."""
     write = snapshot_sink(f"{base}/counters")
@@ -150,7 +157,7 @@ SESSION_COLUMNS = ("event_type", "device_id", "device_type", "os_type", "city",
 
 
 def start_latest_sessions(events: DataFrame, base: str,
-                          every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
+                          every: str | None = METRICS_TRIGGER) -> StreamingQuery:
     """Keep each user's latest login or logout; see ``read_active_sessions``."""
     latest = store_queries.latest_session_rows(events, SESSION_COLUMNS)
     return start(latest, "latest_sessions", base, changes_sink(

@@ -130,3 +130,13 @@ def test_valid_and_rejected_and_dropped_add_up(spark):
     unknown = ingest.checked(raw).filter("error_type IS NULL AND route = 'unknown'").count()
     assert (ingest.valid_events(raw).count() + ingest.dead_letters(raw).count() + unknown
             == raw.count())
+
+
+def test_parsing_only_some_fields(spark):
+    raw = testbed.raw_messages(spark, SMALL)
+    fields = ("event_type", "location", "success")
+    narrow = ingest.decode(raw, fields=fields)
+    full = ingest.decode(raw)
+    assert rows_of(narrow.select("event_id", *fields)) == rows_of(full.select("event_id", *fields))
+    assert narrow.filter("user_id IS NOT NULL OR device_info IS NOT NULL").count() == 0
+    assert set(full.columns) - set(narrow.columns) == {"malformed"}

@@ -67,6 +67,7 @@ def test_operators_with_every_user_hot(events):
     for run in (
         lambda hot: sessions.session_durations(events, hot=hot, slot_seconds=3 * 3600),
         lambda hot: rules.multiple_failed_attempts(events, 3, hot=hot),
+        lambda hot: rules.multiple_failed_attempts(events, 1, hot=hot),
         lambda hot: rules.unusual_location(events, hot=hot),
         lambda hot: rules.rapid_device_switch(events, 86400, hot=hot),
     ):

@@ -5,6 +5,8 @@ from pathlib import Path
 
 import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from conftest import SMALL, rows_of
 
 from gatewatch import run
@@ -242,6 +244,30 @@ def test_late_rows_can_be_applied():
     assert durations(pair(("u",), iter([marks((2_000_000, "logout"))]), state)) == [-3.0]
 
 
+EVENTS = st.lists(st.tuples(st.integers(1, 50), st.sampled_from(["login", "logout"])), max_size=30)
+
+
+@settings(max_examples=60, deadline=None)
+@given(events=EVENTS, size=st.integers(1, 7))
+def test_state_function_equals_the_state_machine(events, size):
+    """Any events of one user, in any micro-batches that follow each other in time."""
+    events = sorted(events, key=lambda e: e[0])
+    open_login, expected = None, []
+    for time, kind in events:
+        if kind == "login":
+            open_login = time
+        else:
+            expected.append(None if open_login is None else float(time - open_login))
+            open_login = None
+    state, pair, got = FakeState(), pairing(), []
+    for i in range(0, len(events), size):
+        batch = marks(*[(t * 1_000_000, kind) for t, kind in events[i:i + size]])
+        batch["event_id"] += i
+        halves = [batch.iloc[len(batch) // 2:], batch.iloc[:len(batch) // 2]]
+        got += durations(pair(("u",), iter(halves), state))
+    assert got == expected
+
+
 def test_stream_column_names_match_batch(spark, parts, inbox):
     deliver(parts, inbox, 0)
     live = stream(spark, inbox)
