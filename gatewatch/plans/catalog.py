@@ -298,6 +298,11 @@ def suspicious_events(events: DataFrame) -> DataFrame:
 
 # ---- streams: drained once, then read back -------------------------------------------------
 
+def _cores(spark: SparkSession) -> int:
+    """State partitions for one drained run: one per core of the session."""
+    return spark.sparkContext.defaultParallelism
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testbed.to_login_events(
         parquet_stream(spark, f"{sf_dir}/events.parquet", testbed.EVENTS_SCHEMA))
@@ -353,14 +358,14 @@ def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_active_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_folder(spark)
     stored = ingest.storable(event_stream(spark, sf_dir))
-    jobs.start_latest_sessions(stored, base, None).awaitTermination()
+    jobs.start_latest_sessions(stored, base, None, _cores(spark)).awaitTermination()
     return _session_columns(jobs.read_active_sessions(spark, base))
 
 
 def stream_failed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_folder(spark)
     jobs.start_failed_windows(event_stream(spark, sf_dir), base, watermark="400 days",
-                              every=None).awaitTermination()
+                              every=None, partitions=_cores(spark)).awaitTermination()
     return _with_plain("window_start")(
         read_changes(spark, f"{base}/failed_windows", jobs.FAILED_WINDOW_KEYS))
 
@@ -378,14 +383,14 @@ def stream_activity_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_folder(spark)
     stored = ingest.storable(event_stream(spark, sf_dir))
-    jobs.start_user_profiles(stored, base, None).awaitTermination()
+    jobs.start_user_profiles(stored, base, None, _cores(spark)).awaitTermination()
     return _flat_profiles(read_changes(spark, f"{base}/user_profiles", jobs.PROFILE_KEYS))
 
 
 def stream_session_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_folder(spark)
-    jobs.start_session_durations(event_stream(spark, sf_dir), base,
-                                 every=None).awaitTermination()
+    jobs.start_session_durations(event_stream(spark, sf_dir), base, every=None,
+                                 partitions=_cores(spark)).awaitTermination()
     return _with_plain("event_time")(spark.read.parquet(f"{base}/session_durations"))
 
 

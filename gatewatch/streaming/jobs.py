@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,8 @@ PREVIEW_ROWS = {
 SINGLE_QUERY_TRIGGER = "10 seconds"
 METRICS_TRIGGER = "2 seconds"
 STORE_TRIGGER = "10 minutes"
+# Fixed value: partitions of the small states, which hold label combinations.
+LABEL_PARTITIONS = 4
 WATERMARK = "1 minute"
 
 
@@ -66,22 +69,40 @@ def order_of(name: str) -> Sequence[str]:
     return ("reason",) if name == "failure_metrics" else rates.RATE_TABLES[name]
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """Partitions of the state of a query started inside; None keeps the session's.
+
+    A query remembers the number in its first checkpoint, so it is chosen per
+    query: few for tables of label combinations, many for state per user.
+    """
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    if number:
+        spark.conf.set("spark.sql.shuffle.partitions", number)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def start(df: DataFrame, name: str, base: str, sink: Sink, mode: str,
-          every: str | None) -> StreamingQuery:
+          every: str | None, partitions: int | None = None) -> StreamingQuery:
     """Run a query with its checkpoint below ``base``; ``every`` None drains
     what is there and stops. Sink errors fail the query, which then resumes
     from its checkpoint."""
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    return (df.writeStream.queryName(name).outputMode(mode).trigger(**trigger)
-            .option("checkpointLocation", f"{base}/checkpoints/{name}")
-            .foreachBatch(sink).start())
+    with state_partitions(df.sparkSession, partitions):
+        return (df.writeStream.queryName(name).outputMode(mode).trigger(**trigger)
+                .option("checkpointLocation", f"{base}/checkpoints/{name}")
+                .foreachBatch(sink).start())
 
 
 def start_rate_table(events: DataFrame, name: str, base: str, every: str | None,
                      preview: bool = False) -> StreamingQuery:
     """One complete-mode query that replaces ``base``/name at each trigger."""
     sink = snapshot_sink(f"{base}/{name}", order_of(name), PREVIEW_ROWS[name] if preview else 0)
-    return start(rate_table(events, name), name, base, sink, "complete", every)
+    return start(rate_table(events, name), name, base, sink, "complete", every,
+                 LABEL_PARTITIONS)
 
 
 def start_rate_tables(events: DataFrame, base: str, drain: bool = False,
@@ -123,20 +144,22 @@ def start_shared_rate_tables(events: DataFrame, base: str,
         finally:
             cells.unpersist()
 
-    return start(login_cells(events), "shared_rate_tables", base, write_all, "complete", every)
+    return start(login_cells(events), "shared_rate_tables", base, write_all, "complete", every,
+                 LABEL_PARTITIONS)
 
 
 def start_session_counters(events: DataFrame, base: str,
                            every: str | None = METRICS_TRIGGER) -> StreamingQuery:
     return start(metrics.session_counters(events), "session_counters", base,
-                 snapshot_sink(f"{base}/session_counters"), "complete", every)
+                 snapshot_sink(f"{base}/session_counters"), "complete", every,
+                 LABEL_PARTITIONS)
 
 
 def start_active_sessions_by_device(events: DataFrame, base: str,
                                     every: str | None = METRICS_TRIGGER) -> StreamingQuery:
     name = "active_sessions_by_device"
     return start(metrics.counter(events, name), name, base,
-                 snapshot_sink(f"{base}/{name}"), "complete", every)
+                 snapshot_sink(f"{base}/{name}"), "complete", every, LABEL_PARTITIONS)
 
 
 def start_counters(events: DataFrame, base: str,
@@ -148,7 +171,8 @@ def start_counters(events: DataFrame, base: str,
     def expose(counts: DataFrame, epoch: int) -> None:
         write(metrics.with_label_map(metrics.counter_samples(counts)), epoch)
 
-    return start(metrics.label_counts(events), "counters", base, expose, "complete", every)
+    return start(metrics.label_counts(events), "counters", base, expose, "complete", every,
+                 LABEL_PARTITIONS)
 
 
 SESSION_KEYS = ("user_id",)
@@ -157,11 +181,12 @@ SESSION_COLUMNS = ("event_type", "device_id", "device_type", "os_type", "city",
 
 
 def start_latest_sessions(events: DataFrame, base: str,
-                          every: str | None = METRICS_TRIGGER) -> StreamingQuery:
+                          every: str | None = METRICS_TRIGGER,
+                          partitions: int | None = None) -> StreamingQuery:
     """Keep each user's latest login or logout; see ``read_active_sessions``."""
     latest = store_queries.latest_session_rows(events, SESSION_COLUMNS)
     return start(latest, "latest_sessions", base, changes_sink(
-        f"{base}/latest_sessions", SESSION_KEYS), "update", every)
+        f"{base}/latest_sessions", SESSION_KEYS), "update", every, partitions)
 
 
 def read_active_sessions(spark: SparkSession, base: str) -> DataFrame:
@@ -175,12 +200,14 @@ FAILED_WINDOW_KEYS = ("window_start", "user_id")
 def start_failed_windows(events: DataFrame, base: str, attempts: int = 2,
                          span: str = "24 hours", slide: str = "1 hour",
                          watermark: str = WATERMARK,
-                         every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
+                         every: str | None = SINGLE_QUERY_TRIGGER,
+                         partitions: int | None = None) -> StreamingQuery:
     """Alert rows of users with too many failures in a sliding window."""
     alerts = rules.failed_windows(events.withWatermark("event_time", watermark),
                                   attempts, span, slide)
     return start(alerts, "failed_windows", base,
-                 changes_sink(f"{base}/failed_windows", FAILED_WINDOW_KEYS), "update", every)
+                 changes_sink(f"{base}/failed_windows", FAILED_WINDOW_KEYS), "update", every,
+                 partitions)
 
 
 TREND_KEYS = ("window_start", "event_type")
@@ -192,28 +219,33 @@ def start_activity_trend(events: DataFrame, base: str, width: str = "1 hour",
     """Events per window; the watermark lets the state forget closed windows."""
     trend = sessions.activity_trend(events.withWatermark("event_time", watermark), width)
     return start(trend, "activity_trend", base,
-                 changes_sink(f"{base}/activity_trend", TREND_KEYS), "update", every)
+                 changes_sink(f"{base}/activity_trend", TREND_KEYS), "update", every,
+                 LABEL_PARTITIONS)
 
 
 PROFILE_KEYS = ("user_id",)
 
 
 def start_user_profiles(events: DataFrame, base: str,
-                        every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
+                        every: str | None = SINGLE_QUERY_TRIGGER,
+                        partitions: int | None = None) -> StreamingQuery:
     """Upsert of user profiles: the fold is state, changed users are written."""
     return start(users.user_profiles(events), "user_profiles", base,
-                 changes_sink(f"{base}/user_profiles", PROFILE_KEYS), "update", every)
+                 changes_sink(f"{base}/user_profiles", PROFILE_KEYS), "update", every, partitions)
 
 
 def start_session_durations(events: DataFrame, base: str, drop_late: bool = True,
                             idle_ms: int | None = None,
-                            every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
+                            every: str | None = SINGLE_QUERY_TRIGGER,
+                            partitions: int | None = None) -> StreamingQuery:
     """Append logout durations to Parquet files (exactly once)."""
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    return (session_duration_stream(events, drop_late, idle_ms)
-            .writeStream.queryName("session_durations").outputMode("append").trigger(**trigger)
-            .option("checkpointLocation", f"{base}/checkpoints/session_durations")
-            .format("parquet").option("path", f"{base}/session_durations").start())
+    durations = session_duration_stream(events, drop_late, idle_ms)
+    with state_partitions(events.sparkSession, partitions):
+        return (durations.writeStream.queryName("session_durations").outputMode("append")
+                .trigger(**trigger)
+                .option("checkpointLocation", f"{base}/checkpoints/session_durations")
+                .format("parquet").option("path", f"{base}/session_durations").start())
 
 
 def start_store(messages: DataFrame, store: EventStore, base: str,
