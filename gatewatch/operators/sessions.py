@@ -16,9 +16,9 @@ from gatewatch.schema import LOGIN, LOGOUT
 def session_marks(events: DataFrame) -> DataFrame:
     """Rows that open or close a session: successful logins and logouts.
 
-    Rows without a user belong to no session.
+    Rows without a user or a time belong to no session.
     """
-    return (events.filter(F.col("user_id").isNotNull())
+    return (events.filter(F.col("user_id").isNotNull() & F.col("event_time").isNotNull())
             .filter((is_kind(LOGIN) & F.col("success")) | is_kind(LOGOUT))
             .select("event_id", "user_id", "event_time", "event_type", "device_type"))
 

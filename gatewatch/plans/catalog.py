@@ -20,7 +20,9 @@ from gatewatch.operators import (
     store_queries,
     users,
 )
+from gatewatch.operators.skew import hot_values
 from gatewatch.plans import testbed
+from gatewatch.schema import LOGIN, LOGOUT, REGISTRATION, SUSPICIOUS
 from gatewatch.sources.files import parquet_stream
 from gatewatch.sources.folders import shared_folder
 from gatewatch.streaming import jobs
@@ -39,28 +41,22 @@ def plain(column: str | Column, name: str | None = None) -> Column:
     return column_.cast("timestamp_ntz").alias(name or column)
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testbed.login_events(spark, sf_dir)
+def _on_events(fn: Callable[[DataFrame], DataFrame], *kinds: str) -> Query:
+    """Run over the mapped events; ``kinds`` are those that ``fn`` looks at."""
+    return lambda spark, sf_dir: fn(testbed.login_events(spark, sf_dir, *kinds))
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.storable(_events(spark, sf_dir))
-
-
-def _on_events(fn: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: fn(_events(spark, sf_dir))
-
-
-def _on_stored(fn: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: fn(_stored(spark, sf_dir))
+def _on_stored(fn: Callable[[DataFrame], DataFrame], *kinds: str) -> Query:
+    return lambda spark, sf_dir: fn(
+        ingest.storable(testbed.login_events(spark, sf_dir, *kinds)))
 
 
 def _on_raw(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(testbed.raw_messages(spark, sf_dir))
 
 
-def _counter(name: str) -> Query:
-    return _on_events(lambda e: metrics.counter(e, name))
+def _counter(name: str, *kinds: str) -> Query:
+    return _on_events(lambda e: metrics.counter(e, name), *kinds)
 
 
 # ---- decoding ---------------------------------------------------------------------
@@ -148,7 +144,7 @@ def _history(start: str | None = None, end: str | None = None) -> Query:
         return rows.select("event_id", plain("event_time"), "user_id", "event_type",
                            "device_id", "device_type", "city", "authentication_method",
                            "success", "failure_reason")
-    return _on_stored(run)
+    return _on_stored(run, LOGIN, LOGOUT)
 
 
 def _session_columns(rows: DataFrame) -> DataFrame:
@@ -252,7 +248,7 @@ def label_text(labels: str = "labels") -> Column:
 
 def metrics_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     errors = ingest.dead_letters(testbed.raw_messages(spark, sf_dir))
-    rows = metrics.metrics_snapshot(_events(spark, sf_dir), testbed.AS_OF,
+    rows = metrics.metrics_snapshot(testbed.login_events(spark, sf_dir), testbed.AS_OF,
                                     testbed.DURATION_BUCKETS, errors)
     return rows.select("metric", label_text().alias("labels"), "value")
 
@@ -267,6 +263,13 @@ def session_durations(events: DataFrame) -> DataFrame:
     return _with_plain("event_time")(sessions.session_durations(events))
 
 
+def session_durations_in_slots(events: DataFrame) -> DataFrame:
+    """The same with every user treated as hot, over the whole table."""
+    hot = hot_values(sessions.session_marks(events), "user_id", min_rows=1)
+    return _with_plain("event_time")(
+        sessions.session_durations(events, hot=hot, slot_seconds=6 * 3600))
+
+
 def activity_trend(events: DataFrame) -> DataFrame:
     return _with_plain("window_start")(sessions.activity_trend(events))
 
@@ -405,73 +408,76 @@ def catalog() -> dict[str, Query]:
         "kafka_envelope": _on_raw(kafka_envelope),
         "event_time_derive": _on_raw(event_time_derive),
         "default_timestamp": _on_raw(default_timestamp),
-        "encode_json": _on_events(encode_json),
+        "encode_json": _on_events(encode_json, LOGIN, LOGOUT, SUSPICIOUS),
         "flatten_event": _on_raw(flatten_event),
         "route_events": _on_raw(route_events),
         "valid_events": _on_raw(valid_events),
         "dead_letters": _on_raw(dead_letters),
-        "filter_logins": _on_events(filter_logins),
-        "filter_failed_logins": _on_events(filter_failed_logins),
-        "fill_defaults": _on_events(fill_defaults),
-        "topn_preview": _on_events(topn_preview),
+        "filter_logins": _on_events(filter_logins, LOGIN),
+        "filter_failed_logins": _on_events(filter_failed_logins, LOGIN),
+        "fill_defaults": _on_events(fill_defaults, LOGIN, LOGOUT),
+        "topn_preview": _on_events(topn_preview, LOGIN),
         # rate tables
-        "combo_metrics": _on_events(_combo),
-        "city_metrics": _on_events(lambda e: rates.login_rates(e, ["city"])),
-        "method_metrics": _on_events(lambda e: rates.login_rates(e, ["login_method"])),
-        "device_metrics": _on_events(lambda e: rates.login_rates(e, ["device_type"])),
-        "failure_metrics": _on_events(rates.failure_counts),
-        "login_rate_grouping_sets": _on_events(rates.login_rate_grouping_sets),
+        "combo_metrics": _on_events(_combo, LOGIN),
+        "city_metrics": _on_events(lambda e: rates.login_rates(e, ["city"]), LOGIN),
+        "method_metrics": _on_events(lambda e: rates.login_rates(e, ["login_method"]), LOGIN),
+        "device_metrics": _on_events(lambda e: rates.login_rates(e, ["device_type"]), LOGIN),
+        "failure_metrics": _on_events(rates.failure_counts, LOGIN),
+        "login_rate_grouping_sets": _on_events(rates.login_rate_grouping_sets, LOGIN),
         # event-store queries
-        "store_attempts_by_method": _on_stored(store_queries.attempts_by_method),
-        "device_distribution": _on_stored(store_queries.device_distribution),
-        "location_distribution": _on_stored(store_queries.location_distribution),
+        "store_attempts_by_method": _on_stored(store_queries.attempts_by_method, LOGIN, LOGOUT),
+        "device_distribution": _on_stored(store_queries.device_distribution, LOGIN, LOGOUT),
+        "location_distribution": _on_stored(store_queries.location_distribution, LOGIN, LOGOUT),
         "security_failures_24h": _on_stored(
-            lambda e: store_queries.recent_failures(e, testbed.AS_OF)),
+            lambda e: store_queries.recent_failures(e, testbed.AS_OF), LOGIN, LOGOUT),
         "login_history": _history(),
         "login_history_from": _history(start=HISTORY_START),
         "login_history_until": _history(end=HISTORY_END),
         "login_history_between": _history(HISTORY_START, HISTORY_END),
-        "active_sessions": _on_stored(active_sessions),
-        "active_sessions_successful": _on_stored(active_sessions_successful),
+        "active_sessions": _on_stored(active_sessions, LOGIN, LOGOUT),
+        "active_sessions_successful": _on_stored(active_sessions_successful, LOGIN, LOGOUT),
         # counters, gauges, histograms
-        "session_counters": _on_events(metrics.session_counters),
-        "active_sessions_by_device": _counter("active_sessions_by_device"),
-        "login_attempts_total": _counter("login_attempts_total"),
+        "session_counters": _on_events(metrics.session_counters, LOGIN, LOGOUT),
+        "active_sessions_by_device": _counter("active_sessions_by_device", LOGIN, LOGOUT),
+        "login_attempts_total": _counter("login_attempts_total", LOGIN),
         "store_login_attempts_total": _on_stored(
-            lambda e: metrics.store_login_attempts(store_queries.attempts_by_method(e))),
-        "auth_failures_total": _counter("authentication_failures_total"),
-        "device_connections_total": _counter("device_connections_total"),
-        "suspicious_activities_total": _counter("suspicious_activities_total"),
-        "suspicious_activities_by_city": _counter("suspicious_activities_by_city"),
-        "login_locations_total": _counter("login_locations_total"),
-        "login_locations_active": _counter("login_locations_active"),
-        "logouts_by_device_city": _counter("logouts_total"),
-        "security_alerts_current": _on_stored(security_alerts),
-        "device_gauge": _on_stored(device_gauge),
+            lambda e: metrics.store_login_attempts(store_queries.attempts_by_method(e)),
+            LOGIN, LOGOUT),
+        "auth_failures_total": _counter("authentication_failures_total", LOGIN),
+        "device_connections_total": _counter("device_connections_total", LOGIN),
+        "suspicious_activities_total": _counter("suspicious_activities_total", SUSPICIOUS),
+        "suspicious_activities_by_city": _counter("suspicious_activities_by_city", SUSPICIOUS),
+        "login_locations_total": _counter("login_locations_total", LOGIN),
+        "login_locations_active": _counter("login_locations_active", LOGIN),
+        "logouts_by_device_city": _counter("logouts_total", LOGOUT),
+        "security_alerts_current": _on_stored(security_alerts, LOGIN, LOGOUT),
+        "device_gauge": _on_stored(device_gauge, LOGIN, LOGOUT),
         "concurrent_users": _on_stored(
             lambda e: metrics.concurrent_users(
-                store_queries.active_sessions(e, columns=["event_type"]))),
-        "active_sessions_current": _on_stored(active_sessions_current),
-        "unique_devices_active": _on_stored(unique_devices_active),
-        "session_duration_histogram": _on_events(session_duration_histogram),
+                store_queries.active_sessions(e, columns=["event_type"])), LOGIN, LOGOUT),
+        "active_sessions_current": _on_stored(active_sessions_current, LOGIN, LOGOUT),
+        "unique_devices_active": _on_stored(unique_devices_active, LOGIN, LOGOUT),
+        "session_duration_histogram": _on_events(session_duration_histogram, LOGIN, LOGOUT),
         "value_histogram": value_histogram,
         "value_summary": value_summary,
         "errors_total": _on_raw(lambda r: metrics.errors_total(ingest.dead_letters(r))),
         "metrics_snapshot": metrics_snapshot,
         # users
-        "user_profiles": _on_stored(user_profiles),
-        "registered_users": _on_stored(registered_users),
-        "users_table": _on_stored(users_table),
-        "user_status": _on_stored(lambda e: users.user_status(users.users_table(e))),
+        "user_profiles": _on_stored(user_profiles, LOGIN),
+        "registered_users": _on_stored(registered_users, REGISTRATION),
+        "users_table": _on_stored(users_table, LOGIN, REGISTRATION),
+        "user_status": _on_stored(lambda e: users.user_status(users.users_table(e)),
+                                  LOGIN, REGISTRATION),
         # sessions, trends, rules
-        "session_durations": _on_events(session_durations),
+        "session_durations": _on_events(session_durations, LOGIN, LOGOUT),
+        "session_durations_in_slots": _on_events(session_durations_in_slots, LOGIN, LOGOUT),
         "activity_trend": _on_events(activity_trend),
-        "active_sessions_trend": _on_events(active_sessions_trend),
-        "rule_multiple_failed": _on_events(rule_multiple_failed),
-        "rule_failed_windows": _on_events(rule_failed_windows),
-        "rule_unusual_location": _on_events(rule_unusual_location),
-        "rule_device_switch": _on_events(rule_device_switch),
-        "suspicious_events": _on_events(suspicious_events),
+        "active_sessions_trend": _on_events(active_sessions_trend, LOGIN, LOGOUT),
+        "rule_multiple_failed": _on_events(rule_multiple_failed, LOGIN),
+        "rule_failed_windows": _on_events(rule_failed_windows, LOGIN),
+        "rule_unusual_location": _on_events(rule_unusual_location, LOGIN),
+        "rule_device_switch": _on_events(rule_device_switch, LOGIN),
+        "suspicious_events": _on_events(suspicious_events, LOGIN, SUSPICIOUS),
         # streams
         "stream_combo_metrics": _stream_table("combo_metrics"),
         "stream_city_metrics": _stream_table("city_metrics"),

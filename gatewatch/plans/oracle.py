@@ -482,6 +482,7 @@ FROM first_registration""", first_registration=FIRST_REGISTRATION),
                           "GROUP BY account_status", first_registration=FIRST_REGISTRATION,
                           profile=PROFILE, user_rows=USERS),
         "session_durations": durations,
+        "session_durations_in_slots": durations,
         "activity_trend": trend,
         "active_sessions_trend": _q(
             """SELECT window_start, net_change,

@@ -69,8 +69,26 @@ def to_login_events(events: DataFrame) -> DataFrame:
               WHEN 0 THEN 'personal' ELSE 'business' END END AS account_type""")
 
 
-def login_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_login_events(raw_events(spark, sf_dir))
+# Source event types of each kind of message.
+SOURCE_TYPES = {
+    "login": ("click", "view", "error"),
+    "logout": ("purchase",),
+    "registration": ("signup",),
+    "suspicious_activity": ("signup",),
+}
+
+
+def login_events(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+    """Mapped events; ``kinds`` names what the caller looks at, if not all.
+
+    The kind is computed here, so Catalyst cannot turn a filter on it into one
+    that Parquet understands; naming the kinds filters the source column.
+    """
+    events = raw_events(spark, sf_dir)
+    if kinds:
+        types = sorted({t for kind in kinds for t in SOURCE_TYPES[kind]})
+        events = events.filter(events["event_type"].isin(types))
+    return to_login_events(events)
 
 
 def to_raw_messages(events: DataFrame) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from gatewatch.functions import is_kind
 from gatewatch.operators.sessions import session_marks
 from gatewatch.schema import LOGIN
 
@@ -25,7 +27,7 @@ def pairing(drop_late: bool = True, idle_ms: int | None = None):
     It is built as a closure so that it travels to the workers by value and
     they need not have this package installed.
     """
-    login, no_login = LOGIN, NO_LOGIN
+    no_login = NO_LOGIN
 
     def pair(key: tuple, chunks: Iterator[pd.DataFrame],
              state: GroupState) -> Iterator[pd.DataFrame]:
@@ -33,19 +35,24 @@ def pairing(drop_late: bool = True, idle_ms: int | None = None):
             state.remove()
             return
         login_us, seen_us = state.get if state.exists else (no_login, no_login)
-        rows = pd.concat(list(chunks)).sort_values(["event_us", "event_id"], ignore_index=True)
+        parts = list(chunks)
+        us, ids, is_login, device = (
+            np.concatenate([part[name].to_numpy() for part in parts])
+            for name in ("event_us", "event_id", "is_login", "device_type"))
+        order = np.lexsort((ids, us))
         if drop_late:
-            rows = rows[rows["event_us"] >= seen_us].reset_index(drop=True)
-        if len(rows):
-            opened = rows["event_us"].where(rows["event_type"] == login, no_login)
-            before = opened.shift(1, fill_value=login_us)
-            spent = (rows["event_us"] - before) / 1e6
-            rows["session_duration"] = spent.where(before != no_login)
-            state.update((int(opened.iloc[-1]), max(int(rows["event_us"].iloc[-1]), seen_us)))
-            logouts = rows[rows["event_type"] != login]
-            if len(logouts):
-                yield logouts[["event_id", "user_id", "event_us", "device_type",
-                               "session_duration"]]
+            order = order[us[order] >= seen_us]
+        if len(order):
+            us, ids, is_login, device = us[order], ids[order], is_login[order], device[order]
+            opened = np.where(is_login, us, no_login)
+            before = np.concatenate(([login_us], opened[:-1]))
+            state.update((int(opened[-1]), max(int(us[-1]), seen_us)))
+            out = ~is_login
+            if out.any():
+                spent = np.where(before == no_login, np.nan, (us - before) / 1e6)
+                yield pd.DataFrame({
+                    "event_id": ids[out], "user_id": key[0], "event_us": us[out],
+                    "device_type": device[out], "session_duration": spent[out]})
         if idle_ms is not None:
             state.setTimeoutDuration(idle_ms)
 
@@ -64,8 +71,8 @@ def session_duration_stream(events: DataFrame, drop_late: bool = True,
     timeout = (GroupStateTimeout.NoTimeout if idle_ms is None
                else GroupStateTimeout.ProcessingTimeTimeout)
     marks = session_marks(events).select(
-        "event_id", "user_id", "event_type", F.unix_micros("event_time").alias("event_us"),
-        "device_type")
+        "event_id", "user_id", "device_type", is_kind(LOGIN).alias("is_login"),
+        F.unix_micros("event_time").alias("event_us"))
     return (marks.groupBy("user_id")
             .applyInPandasWithState(pairing(drop_late, idle_ms), OUTPUT, STATE, "append", timeout)
             .select("event_id", "user_id", F.timestamp_micros("event_us").alias("event_time"),

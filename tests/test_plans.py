@@ -46,3 +46,13 @@ def test_top_rows_need_no_full_sort(events):
 @pytest.mark.parametrize("name", ["valid_events", "dead_letters", "errors_total"])
 def test_json_is_parsed_once(spark, name):
     assert plan_of(catalog()[name](spark, SMALL)).count("from_json") == 1
+
+
+@pytest.mark.parametrize("name, types", [
+    ("combo_metrics", "[click,error,view]"), ("session_durations", "[click,error,purchase,view]"),
+    ("active_sessions", "[click,error,purchase,view]"), ("logouts_by_device_city", "purchase"),
+])
+def test_kinds_filter_the_scan(spark, name, types):
+    plan = plan_of(catalog()[name](spark, SMALL))
+    pushed = plan.split("PushedFilters:")[1].split("ReadSchema")[0]
+    assert types in pushed

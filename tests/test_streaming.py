@@ -209,8 +209,8 @@ class FakeState:
 
 
 def marks(*rows):
-    return pd.DataFrame([(i, "u", t, kind, None) for i, (t, kind) in enumerate(rows)],
-                        columns=["event_id", "user_id", "event_us", "event_type", "device_type"])
+    return pd.DataFrame([(i, "u", None, kind == "login", t) for i, (t, kind) in enumerate(rows)],
+                        columns=["event_id", "user_id", "device_type", "is_login", "event_us"])
 
 
 def durations(frames):
