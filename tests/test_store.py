@@ -68,6 +68,15 @@ def test_filters_reach_the_files(store):
     assert "event_date" in plan.split("PartitionFilters:")[1].split("PushedFilters:")[0]
 
 
+def test_without_rebalance_and_sorted_by_user(spark, raw, store, tmp_path):
+    other = EventStore(spark, str(tmp_path / "s"))
+    other.append(raw, 0, rebalance=False)
+    assert rows_of(other.login_events()) == rows_of(store.login_events())
+    users_in_file = [r["user_id"] for r in spark.read.parquet(
+        f"{other.path}/table=login_events/event_date=2024-01-07/batch=0").collect()]
+    assert len(users_in_file) > 5 and users_in_file == sorted(users_in_file)
+
+
 def test_table_without_rows(spark, tmp_path):
     empty = EventStore(spark, str(tmp_path))
     assert empty.login_events().count() == 0
