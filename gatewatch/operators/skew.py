@@ -59,8 +59,7 @@ def lag_by_key(df: DataFrame, key: str, order: Sequence[str], lags: dict[str, st
 
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
     slot = F.floor(F.unix_seconds(order[0]) / slot_seconds)
-    slots = W.partitionBy(key, "_slot")
-    in_slot = slots.orderBy(*order)
+    in_slot = W.partitionBy(key, "_slot").orderBy(*order)
     slotted = df.withColumn("_slot", F.when(is_hot, slot))
 
     inner = (slotted
@@ -68,10 +67,11 @@ def lag_by_key(df: DataFrame, key: str, order: Sequence[str], lags: dict[str, st
              .withColumn("_n", F.row_number().over(in_slot))
              .filter(F.col("_slot").isNull() | (F.col("_n") > offset)))
 
+    # First rows by their number; last rows have nothing ``offset`` rows ahead.
     edges = (slotted.filter(is_hot)
              .withColumns({"_n": F.row_number().over(in_slot),
-                           "_rows": F.count(F.lit(1)).over(slots)})
-             .filter((F.col("_n") <= offset) | (F.col("_n") > F.col("_rows") - offset))
+                           "_ahead": F.lead(F.lit(1), offset).over(in_slot)})
+             .filter((F.col("_n") <= offset) | F.col("_ahead").isNull())
              .withColumns({new: F.lag(old, offset).over(by_key) for new, old in lags.items()})
              .filter(F.col("_n") <= offset))
 
