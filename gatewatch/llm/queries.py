@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewatch.llm import decontamination, pieces, simhash, tokens
+from gatewatch.llm import decontamination, pieces, sharding, simhash, tokens
 from gatewatch.llm.common import table
 
 MAX_TOKENS = 1024
 WINDOW_WORDS = 10
+SHARDS, SIZE_EXTRA = 24, 8
 SHINGLE_WORDS, MAX_BITS = 3, 2
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,37 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("n_tokens") > MAX_TOKENS).alias("over_limit")))
 
 
+def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", (sharding.text_size(F.col("text")) + SIZE_EXTRA).alias("size"),
+        sharding.text_crc32(F.col("text")).alias("text_crc32"))
+    return sharding.shuffle_shards(rows, SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+# CRC-32 byte by byte: the table of 256 remainders comes from its rule.
+CRC32_SQL = """
+WITH remainders AS (
+  SELECT list(c ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce(range(8), lambda a, k: CASE WHEN a % 2 = 1
+      THEN xor(a // 2, 3988292384) ELSE a // 2 END, i) AS c FROM range(256) r(i)))
+SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size,
+  xor(list_reduce(
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+      lambda h: ('0x' || h)::BIGINT),
+    lambda a, b: xor(crc[xor(a, b) % 256 + 1], a // 256), 4294967295::BIGINT),
+    4294967295) AS text_crc32
+FROM documents, remainders"""
+
+OP2_SQL = f"""
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard, slot,
+  NULL::INTEGER AS grown_shard
+FROM ({sharding.shards_sql(CRC32_SQL, 'doc_id NULLS FIRST, size, text_crc32',
+                           "coalesce(doc_id::VARCHAR, '~') || ',' || size || ',' || text_crc32",
+                           SHARDS)})"""
+
+
 def op3_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
@@ -42,9 +74,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_token_counts, op3_piece_round_trip, op5_decontamination, op8_simhash]
+    found = [op1_token_counts, op2_feistel_shards, op3_piece_round_trip, op5_decontamination, op8_simhash]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_feistel_shards": OP2_SQL}
