@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewatch.llm import decontamination, pieces, sharding, simhash, tokens
-from gatewatch.llm.common import table
+from gatewatch.llm import (decontamination, pieces, quality, sharding, simhash, tokens, toxicity)
+from gatewatch.llm.common import fold, table
 
 MAX_TOKENS = 1024
 WINDOW_WORDS = 10
+TOXIC, GOOD = 0.7, 0.3
 SHARDS, SIZE_EXTRA = 24, 8
 SHINGLE_WORDS, MAX_BITS = 3, 2
 
@@ -62,6 +63,19 @@ def op3_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Machine:
+    """Fitted on labels outside the held-out third."""
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 3) != 1)
+    return toxicity.fit(table(spark, sf_dir, "documents"), labels, "doc_id", "text", "toxic")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity_model(spark, sf_dir)).select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.find_matches(docs, table(spark, sf_dir, "benchmark"), WINDOW_WORDS)
@@ -73,8 +87,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    SHINGLE_WORDS, MAX_BITS)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
+    return quality.learn_and_score(table(spark, sf_dir, "documents"), labels).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Query]:
-    found = [op1_token_counts, op2_feistel_shards, op3_piece_round_trip, op5_decontamination, op8_simhash]
+    found = [op1_token_counts, op2_feistel_shards, op3_piece_round_trip, op4_toxicity,
+             op5_decontamination, op8_simhash, op9_quality]
     return {f.__name__: f for f in found}
 
 
