@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewatch.llm import (decontamination, pieces, quality, sharding, simhash, tokens, toxicity)
+from gatewatch.llm import (decontamination, neighbours, pieces, quality, sharding, simhash,
+                           tokens, toxicity)
 from gatewatch.llm.common import fold, table
 
 MAX_TOKENS = 1024
 WINDOW_WORDS = 10
+QUERY_STEP, NEIGHBOURS = 20, 20
 TOXIC, GOOD = 0.7, 0.3
 SHARDS, SIZE_EXTRA = 24, 8
 SHINGLE_WORDS, MAX_BITS = 3, 2
@@ -82,6 +84,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(found.drop("text"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"),
+                              F.col("id") % QUERY_STEP == 0, NEIGHBOURS)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text",
                                    SHINGLE_WORDS, MAX_BITS)
@@ -96,7 +103,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = [op1_token_counts, op2_feistel_shards, op3_piece_round_trip, op4_toxicity,
-             op5_decontamination, op8_simhash, op9_quality]
+             op5_decontamination, op6_neighbours, op8_simhash, op9_quality]
     return {f.__name__: f for f in found}
 
 
