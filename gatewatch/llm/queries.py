@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewatch.llm import (decontamination, neighbours, pieces, quality, sharding, simhash,
-                           tokens, toxicity)
+from gatewatch.llm import (decontamination, neighbours, ngram_lm, pieces, quality, sharding,
+                           simhash, tokens, toxicity)
 from gatewatch.llm.common import fold, table
 
 MAX_TOKENS = 1024
@@ -89,6 +89,13 @@ def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.col("id") % QUERY_STEP == 0, NEIGHBOURS)
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_lm.score_texts(docs, fold("doc_id", 5) != 1).select(
+        "doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known",
+        "train_tokens", "base_score", "score")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text",
                                    SHINGLE_WORDS, MAX_BITS)
@@ -103,7 +110,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = [op1_token_counts, op2_feistel_shards, op3_piece_round_trip, op4_toxicity,
-             op5_decontamination, op6_neighbours, op8_simhash, op9_quality]
+             op5_decontamination, op6_neighbours,
+             op7_language_model, op8_simhash, op9_quality]
     return {f.__name__: f for f in found}
 
 
