@@ -7,12 +7,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 
+from gatewatch.llm.packing import pack, pack_counts, range_slices, unpack, unpack_counts
+
 # Text that one group of documents holds, about; each is counted in one task.
 BLOCK_BYTES = 16 << 20
 # Numbers of the two tokens that no word can be: the start and the end of a text.
@@ -37,30 +38,6 @@ def pair_numbers(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
-def pack(sorted_numbers: np.ndarray) -> bytes:
-    """Ascending 64-bit numbers as differences, byte plane by byte plane."""
-    steps = np.diff(sorted_numbers, prepend=np.uint64(0))
-    planes = steps.astype("<u8").view(np.uint8).reshape(-1, 8).T.copy()
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
-    steps = np.ascontiguousarray(planes.T).view("<u8").ravel()
-    with np.errstate(over="ignore"):
-        return np.cumsum(steps, dtype=np.uint64)
-
-
-def pack_counts(counts: np.ndarray) -> bytes:
-    planes = counts.astype("<u8").view(np.uint8).reshape(-1, 8).T.copy()
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpack_counts(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.int64)
-
-
 class Block:
     """The tokens of a group of texts as numbers, one text after the other."""
 
@@ -134,12 +111,10 @@ def _request(rows: pa.Table, buckets: int, settings: Settings) -> pa.Table:
     teaches = rows["teaches"].to_numpy().astype(bool)
     word_n, pair_n = block.totals(teaches)
     name = rows["block"][0].as_py()
-    bounds = _bounds(buckets)
     out = []
     starts = int(teaches.sum())
-    cuts = [np.searchsorted(v, bounds) for v in (block.words, block.pairs)]
-    for b in range(buckets):
-        w, p = (slice(c[b], c[b + 1]) for c in cuts)
+    parts = zip(range_slices(block.words, buckets), range_slices(block.pairs, buckets))
+    for b, (w, p) in enumerate(parts):
         out.append((name, b, pack(block.words[w]), pack_counts(word_n[w]), pack(block.pairs[p]),
                     pack_counts(pair_n[p])))
     # The start of a text is a context, though never a token.
@@ -151,12 +126,6 @@ def _request(rows: pa.Table, buckets: int, settings: Settings) -> pa.Table:
                                                    for b in range(buckets)], pa.int64()))
 
 
-def _bounds(buckets: int) -> np.ndarray:
-    """Lower ends of the ranges that share the 64-bit numbers evenly; the last is open."""
-    ends = [(b << 64) // buckets for b in range(buckets)]
-    return np.array(ends + [(1 << 64) - 1], np.uint64)
-
-
 def _reply(rows: pa.Table) -> pa.Table:
     """Adds up the counts of one range over all blocks and answers each block."""
     found = {}
