@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatewatch.llm import (decontamination, neighbours, ngram_lm, pieces, quality, sharding,
-                           simhash, tokens, toxicity)
+                           simhash, substrings, tokens, toxicity)
 from gatewatch.llm.common import fold, table
 
 MAX_TOKENS = 1024
@@ -108,10 +108,15 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= GOOD).cast("int").alias("predicted"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.report(substrings.find_repeats(docs)).drop("text")
+
+
 def queries() -> dict[str, Query]:
     found = [op1_token_counts, op2_feistel_shards, op3_piece_round_trip, op4_toxicity,
              op5_decontamination, op6_neighbours,
-             op7_language_model, op8_simhash, op9_quality]
+             op7_language_model, op8_simhash, op9_quality, op10_suffix_dedup]
     return {f.__name__: f for f in found}
 
 
