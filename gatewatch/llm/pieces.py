@@ -6,8 +6,11 @@ import hashlib
 import re
 
 import ahocorasick
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
+from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField,
+                               StructType)
 from sentencepiece import sentencepiece_model_pb2
 
 from gatewatch.llm.common import annotate, kept_in_worker
@@ -211,9 +214,9 @@ def encode_pieces(df: DataFrame, path: str, text_col: str = "text",
 
 
 def round_trip(df: DataFrame, path: str, text_col: str = "text", n_tokens: str = "n_tokens",
-               ids_sha256: str = "ids_sha256",
-               decoded_sha256: str = "decoded_sha256") -> DataFrame:
-    """Encodes and decodes each text; ids and texts stay in the task, digests come out.
+               ids_sha256: str = "ids_sha256", decoded_sha256: str = "decoded_sha256",
+               ids: str | None = None) -> DataFrame:
+    """Encodes and decodes each text; digests come out, and the ids if they are named.
 
     Nulls, repeated rows and clashing columns as in ``encode_pieces``.
     """
@@ -222,13 +225,32 @@ def round_trip(df: DataFrame, path: str, text_col: str = "text", n_tokens: str =
         names = [str(i) for i in range(len(model.pieces))]
 
         def work(texts):
-            ids = [model.encode(t) for t in texts]
-            return [[len(x) for x in ids],
+            found = [model.encode(t) for t in texts]
+            return [[len(x) for x in found],
                     [hashlib.sha256(" ".join([names[i] for i in x]).encode()).hexdigest()
-                     for x in ids],
-                    [hashlib.sha256(model.decode(x).encode()).hexdigest() for x in ids]]
+                     for x in found],
+                    [hashlib.sha256(model.decode(x).encode()).hexdigest() for x in found],
+                    *([found] if ids else [])]
         return work
 
-    return annotate(df, text_col, [StructField(n_tokens, LongType()),
-                                   StructField(ids_sha256, StringType()),
-                                   StructField(decoded_sha256, StringType())], make)
+    return annotate(df, text_col, [
+        StructField(n_tokens, LongType()), StructField(ids_sha256, StringType()),
+        StructField(decoded_sha256, StringType()),
+        *([StructField(ids, ArrayType(IntegerType()))] if ids else [])], make)
+
+
+def decode_pieces(df: DataFrame, path: str, ids: str = "ids", text_col: str = "text") -> DataFrame:
+    """``df`` with the text of each list of ids; null lists give null texts."""
+    kept = [c for c in df.columns if c.lower() != text_col.lower()]
+    schema = StructType([df.schema[c] for c in kept] + [StructField(text_col, StringType())])
+
+    def run(batches):
+        model = kept_in_worker(("pieces", path), lambda: PieceModel(path))
+        for batch in batches:
+            texts = [None if x is None else model.decode(x)
+                     for x in batch.column(ids).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept),
+                                              pa.array(texts, pa.string())],
+                                             names=[*kept, text_col])
+
+    return df.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(run, schema)

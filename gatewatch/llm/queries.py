@@ -65,15 +65,15 @@ def op3_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
 
 
-def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Machine:
+def toxicity_model(docs: DataFrame, sf_dir: str) -> toxicity.Machine:
     """Fitted on labels outside the held-out third."""
-    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 3) != 1)
-    return toxicity.fit(table(spark, sf_dir, "documents"), labels, "doc_id", "text", "toxic")
+    labels = table(docs.sparkSession, sf_dir, "labels").where(fold("doc_id", 3) != 1)
+    return toxicity.fit(docs, labels, "doc_id", "text", "toxic")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return toxicity.score(docs, toxicity_model(spark, sf_dir)).select(
+    return toxicity.score(docs, toxicity_model(docs, sf_dir)).select(
         "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
         (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 

@@ -176,6 +176,25 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+def _groups(marked: DataFrame, distance: int, blocks: int) -> DataFrame:
+    """(fp, least, root): each fingerprint with its least id and its component's root."""
+    distinct = marked.groupBy("fp").agg(F.min("id").alias("least"))
+    roots = components(link_fingerprints(distinct.select("fp"), distance, blocks))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def _marked(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(id, fingerprint, fp) of each row, written to the shared checkpoint folder."""
+    named = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return cut_lineage(add_fingerprints(named, "text", shingle).select(
+        "id", "fingerprint", _number("fingerprint").alias("fp")))
+
+
+def _number(fingerprint: str):
+    return F.conv(fingerprint, 16, -10).cast("long")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, distance: int = 2, blocks: int = 5) -> DataFrame:
     """(id, fingerprint, component_id) for each row of ``df``.
@@ -186,16 +205,29 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     empty texts have fingerprint zero and link like any other. Repeated rows
     come out once each. Only ids and fingerprints are shuffled.
     """
-    marked = (add_fingerprints(df.select(F.col(f"`{id_col}`").alias("id"),
-                                         F.col(f"`{text_col}`").alias("text")), "text", shingle)
-              .select("id", "fingerprint",
-                      F.conv("fingerprint", 16, -10).cast("long").alias("fp")))
-    marked = cut_lineage(marked)
-    distinct = marked.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = components(link_fingerprints(distinct.select("fp"), distance, blocks))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    marked = _marked(df, id_col, text_col, shingle)
+    rooted = _groups(marked, distance, blocks)
     merged = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     found = rooted.join(merged, "root").select("fp", "component_id")
     return marked.join(found, "fp").select(F.col("id").alias(id_col), "fingerprint",
                                            "component_id")
+
+
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               shingle: int = 3, distance: int = 2, blocks: int = 5) -> DataFrame:
+    """``df`` with one row of each component: its least id (null only where it has no
+    other), then its least fingerprint; of rows equal in both, one. Texts are
+    shuffled once, by id and fingerprint, so copies spread evenly."""
+    marked = _marked(df, id_col, text_col, shingle)
+    first = F.min(F.struct(F.col("least").isNull().alias("no_id"), "least", "fp"))
+    chosen = (_groups(marked, distance, blocks).groupBy("root").agg(first.alias("c"))
+              .select(F.coalesce("c.least", F.lit(-1)).alias("_id"),
+                      F.col("c.no_id").alias("_none"), F.col("c.fp").alias("_fp")))
+    columns = [c for c in df.columns if c.lower() != "_fingerprint"]
+    rows = add_fingerprints(df.select(*(F.col(f"`{c}`") for c in columns)), text_col, shingle,
+                            "_fingerprint")
+    own = F.col(f"`{id_col}`")
+    keys = ["_id", "_none", "_fp"]
+    return (rows.withColumns({"_id": F.coalesce(own, F.lit(-1)), "_none": own.isNull(),
+                              "_fp": _number("_fingerprint")}).drop("_fingerprint")
+            .join(chosen, keys, "left_semi").dropDuplicates(keys).drop(*keys))
