@@ -16,12 +16,22 @@ def is_kind(*kinds: str) -> Column:
     return event_type == kinds[0] if len(kinds) == 1 else event_type.isin(*kinds)
 
 
+# The milliseconds of 0001-01-01 and of the end of 9999-12-31.
+FIRST_MILLIS, LAST_MILLIS = -62135596800000, 253402300799999
+
+
 def event_time_from(text: Column) -> Column:
-    """Epoch milliseconds or ISO-8601 text to a timestamp; NULL if neither."""
+    """Epoch milliseconds or ISO-8601 text to a timestamp of the years 1 to 9999.
+
+    NULL for anything else; micro- and nanoseconds lie beyond the range.
+    """
     # The digits test first: a try_cast that fails is much dearer than a match.
     is_number = text.rlike("^[+-]?[0-9]+$")
-    return (F.when(is_number, F.timestamp_millis(text.try_cast("bigint")))
-            .otherwise(F.try_to_timestamp(text)))
+    millis = text.try_cast("bigint")
+    in_range = F.when(millis.between(FIRST_MILLIS, LAST_MILLIS), millis)
+    parsed = F.try_to_timestamp(text)
+    return (F.when(is_number, F.timestamp_millis(in_range))
+            .otherwise(F.when(F.year(parsed).between(1, 9999), parsed)))
 
 
 def iso_text(timestamp: Column) -> Column:

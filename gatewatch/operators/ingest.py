@@ -22,6 +22,7 @@ from gatewatch.schema import (
 
 MALFORMED = "malformed_json"
 MISSING_FIELD = "missing_field"
+BAD_TIMESTAMP = "bad_timestamp"
 
 
 def envelope(messages: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def decode(messages: DataFrame, value: str = "value",
     """Parse the JSON text once and expose the message fields as columns.
 
     Other columns of ``messages`` are kept, except those a message field
-    replaces (the broker ``timestamp`` among them). ``malformed`` is true for
+    replaces; the broker's ``timestamp`` becomes ``broker_time``. ``malformed`` is true for
     text that is not a JSON object; a wrong type in one field only nulls that
     field. With ``fields`` only these are parsed, which is cheaper: the others
     are NULL and broken text is a row of NULLs.
@@ -46,6 +47,10 @@ def decode(messages: DataFrame, value: str = "value",
     """
     names = EVENT_SCHEMA.fieldNames()
     kept = [c for c in messages.columns if c not in names]
+    if "timestamp" in messages.columns and (
+            messages.schema["timestamp"].dataType == T.TimestampType()):
+        messages = messages.withColumn("broker_time", F.col("timestamp"))
+        kept = [*kept, "broker_time"]
     text = F.col(value).cast("string")
     if fields is not None:
         schema = T.StructType([f for f in EVENT_SCHEMA.fields if f.name in fields])
@@ -69,8 +74,23 @@ def with_default_timestamp(messages: DataFrame, default: Column | None = None) -
     return messages.withColumn("timestamp", F.coalesce("timestamp", iso_text(default)))
 
 
-def with_event_time(messages: DataFrame) -> DataFrame:
-    return messages.withColumn("event_time", event_time_from(F.col("timestamp")))
+def is_missing(text: Column) -> Column:
+    return text.isNull() | (F.trim(text) == "")
+
+
+def with_event_time(messages: DataFrame, default: Column | None = None) -> DataFrame:
+    """Event time: that of the message, else the broker's, else ``default``.
+
+    A time that is there but cannot be read stays NULL, so that the message can be
+    rejected instead of getting a wrong time.
+    """
+    text = F.col("timestamp")
+    others = [F.col("broker_time")] if "broker_time" in messages.columns else []
+    others += [] if default is None else [default.cast("timestamp")]
+    found = event_time_from(text)
+    if others:
+        found = F.when(is_missing(text), F.coalesce(*others)).otherwise(found)
+    return messages.withColumn("event_time", found)
 
 
 def with_route(messages: DataFrame) -> DataFrame:
@@ -100,6 +120,8 @@ def with_validity(routed: DataFrame) -> DataFrame:
         tests = " ".join(f"WHEN {f} IS NULL THEN '{f}'" for f in fields)
         return f"CASE {tests} END"
 
+    bad_time = (f"route <> '{UNKNOWN}' AND event_time IS NULL "
+                "AND trim(coalesce(timestamp, '')) <> ''")
     missing = "CASE route " + " ".join(
         f"WHEN '{kind}' THEN {first_missing(fields)}"
         for kind, fields in REQUIRED_FIELDS.items()) + " END"
@@ -107,19 +129,22 @@ def with_validity(routed: DataFrame) -> DataFrame:
             .withColumn("missing", F.expr(missing))
             .selectExpr("* EXCEPT (missing)", f"""
                 CASE WHEN malformed THEN '{MALFORMED}'
-                     WHEN missing IS NOT NULL THEN '{MISSING_FIELD}' END AS error_type""", """
+                     WHEN missing IS NOT NULL THEN '{MISSING_FIELD}'
+                     WHEN {bad_time} THEN '{BAD_TIMESTAMP}' END AS error_type""", f"""
                 CASE WHEN malformed THEN 'not a JSON object'
-                     ELSE concat('missing ', missing) END AS details"""))
+                     WHEN missing IS NOT NULL THEN concat('missing ', missing)
+                     WHEN {bad_time} THEN 'unreadable timestamp' END AS details"""))
 
 
-def checked(messages: DataFrame, value: str = "value") -> DataFrame:
+def checked(messages: DataFrame, value: str = "value",
+            default: Column | None = None) -> DataFrame:
     """Decode, derive the event time, route and validate in one projection."""
-    return with_validity(with_route(with_event_time(decode(messages, value))))
+    return with_validity(with_route(with_event_time(decode(messages, value), default)))
 
 
 def flatten(messages: DataFrame) -> DataFrame:
     """Nested message fields to the canonical flat event columns."""
-    helpers = ("value", "malformed", "route", "error_type", "details")
+    helpers = ("value", "malformed", "route", "error_type", "details", "broker_time")
     kept = [c for c in messages.columns
             if c not in (*EVENT_SCHEMA.fieldNames(), *EVENT_COLUMNS, *helpers)]
     kind = "route" if "route" in messages.columns else "event_type"
@@ -135,9 +160,10 @@ def flatten(messages: DataFrame) -> DataFrame:
         "username", "account_type")
 
 
-def valid_events(messages: DataFrame, value: str = "value") -> DataFrame:
+def valid_events(messages: DataFrame, value: str = "value",
+                 default: Column | None = None) -> DataFrame:
     """Canonical events of every valid message of a known kind."""
-    rows = checked(messages, value)
+    rows = checked(messages, value, default)
     return flatten(rows.filter(F.col("error_type").isNull() & (F.col("route") != UNKNOWN)))
 
 
@@ -154,10 +180,13 @@ def dead_letters(messages: DataFrame, value: str = "value") -> DataFrame:
 
 
 def is_storable() -> Column:
-    """Whether a flat event passes the required-field check of the store path."""
+    """Whether a flat event that never was a message has the fields the store asks for.
+
+    Only for such events: messages are judged once, by ``with_validity``, while
+    they are still nested, and stored rows are not judged again.
+    """
     return F.expr(f"""
-        user_id IS NOT NULL AND coalesce(device_id, device_type, os_type) IS NOT NULL
-        AND CASE event_type
+        user_id IS NOT NULL AND CASE event_type
               WHEN '{LOGIN}' THEN authentication_method IS NOT NULL AND success IS NOT NULL
               WHEN '{LOGOUT}' THEN true
               WHEN '{SUSPICIOUS}' THEN activity_type IS NOT NULL AND risk_level IS NOT NULL
@@ -208,6 +237,22 @@ def suspicious_messages(events: DataFrame, *carry: str) -> DataFrame:
         iso_text(F.col("event_time")).alias("timestamp"))
 
 
+def event_messages(events: DataFrame, *carry: str) -> DataFrame:
+    """Login, logout and suspicious messages of one pass over the events.
+
+    Fields that a kind does not have are NULL, so ``encode`` leaves them out and the
+    text is that of the constructors above.
+    """
+    def of(kind: str, column: str) -> Column:
+        return F.when(F.col("event_type") == kind, F.col(column)).alias(column)
+
+    return events.filter(F.col("event_type").isin(LOGIN, LOGOUT, SUSPICIOUS)).select(
+        *carry, "event_type", "user_id", _device().alias("device_info"),
+        *(of(LOGIN, c) for c in ("authentication_method", "success", "failure_reason")),
+        *(of(SUSPICIOUS, c) for c in ("activity_type", "risk_level")),
+        iso_text(F.col("event_time")).alias("timestamp"))
+
+
 def encode(messages: DataFrame, *carry: str) -> DataFrame:
     """One JSON text column ``value``; absent fields are left out of the text."""
     fields = [c for c in messages.columns if c not in carry]

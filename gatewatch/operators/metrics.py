@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewatch.functions import is_kind
-from gatewatch.operators.ingest import is_storable
 from gatewatch.operators.sessions import session_durations
-from gatewatch.operators.store_queries import active_sessions, since
-from gatewatch.operators.users import user_status, users_table
+from gatewatch.operators.store_queries import since
+from gatewatch.operators.users import user_facts
 from gatewatch.schema import LOGIN, LOGOUT, SUSPICIOUS, UNKNOWN
 
 
@@ -62,28 +61,33 @@ COUNTERS = {
          "city": _unknown("city")}),
     "login_locations_total": Counter(
         IS_LOGIN, {"city": _unknown("city"), "result": STATUS}),
+    "logouts_total": Counter(
+        IS_LOGOUT, {"device_type": _unknown("device_type"), "city": _unknown("city")}),
+}
+
+# Counts per place. Coordinates may differ with every login, so they have an
+# aggregate of their own and never multiply the groups of the others.
+LOCATION_GAUGES = {
     "login_locations_active": Counter(
         f"{IS_LOGIN} AND success",
         {"city": _unknown("city"),
          "latitude": "coalesce(CAST(latitude AS STRING), '0')",
          "longitude": "coalesce(CAST(longitude AS STRING), '0')"}),
-    "logouts_total": Counter(
-        IS_LOGOUT, {"device_type": _unknown("device_type"), "city": _unknown("city")}),
 }
 
 # Counts of stored rows; they need the columns ``stored`` and ``recent``.
 STORE_GAUGES = {
     "device_distribution": Counter(
-        f"stored AND {IN_SESSION} AND device_type IS NOT NULL", {"device_type": "device_type"}),
+        f"stored AND {IN_SESSION} AND device_type <> ''", {"device_type": "device_type"}),
     "security_alerts_current": Counter(
         f"stored AND {IN_SESSION} AND recent AND NOT success",
-        {"city": "city", "reason": "failure_reason"}),
+        {"city": "city", "reason": "nullif(failure_reason, '')"}),
 }
 
 
 def counter(events: DataFrame, name: str) -> DataFrame:
-    """One counter: its label columns and ``value``."""
-    spec = COUNTERS[name]
+    """One counter or location gauge: its label columns and ``value``."""
+    spec = {**COUNTERS, **LOCATION_GAUGES}[name]
     return (events.filter(spec.rows)
             .groupBy(*[F.expr(text).alias(label) for label, text in spec.labels.items()])
             .agg(F.coalesce(F.sum(F.expr(spec.step)), F.lit(0)).alias("value")))
@@ -111,6 +115,7 @@ def store_login_attempts(by_method: DataFrame) -> DataFrame:
 
 # ---- gauges over active sessions -----------------------------------------------
 
+TOTAL = "'total'"
 # What the gauges over active sessions look at.
 ACTIVE_COLUMNS = ("event_type", "device_type", "device_id")
 
@@ -180,40 +185,90 @@ def _summed(samples: DataFrame) -> DataFrame:
 
 
 LABEL_SOURCES = ("event_type", "authentication_method", "success", "failure_reason",
-                 "device_type", "os_type", "city", "latitude", "longitude",
-                 "activity_type", "risk_level")
+                 "device_type", "os_type", "city", "activity_type", "risk_level")
+# What the location gauge looks at.
+PLACE_SOURCES = ("event_type", "success", "city", "latitude", "longitude")
 
 
-def label_counts(events: DataFrame, as_of: str | datetime | None = None,
-                 hours: int = 24) -> DataFrame:
+def label_counts(events: DataFrame) -> DataFrame:
     """Events per combination of everything a counter can be labelled with.
 
     Labels have few values by nature, so one scan reduces the events to a small
-    table from which all counters follow. ``as_of`` adds what the gauges over
-    stored and recent rows need; a stream leaves it out.
+    table from which all counters follow; also on a stream.
     """
-    gauges = {} if as_of is None else {
-        "stored": is_storable(), "recent": F.col("event_time") >= since(as_of, hours)}
-    return (events
-            .select(*LABEL_SOURCES, *[c.alias(n) for n, c in gauges.items()])
-            .groupBy(*LABEL_SOURCES, *gauges)
+    return (events.select(*LABEL_SOURCES).groupBy(*LABEL_SOURCES)
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def place_counts(events: DataFrame) -> DataFrame:
+    """Successful logins per place; also on a stream."""
+    return (events.filter(LOCATION_GAUGES["login_locations_active"].rows)
+            .select(*PLACE_SOURCES).groupBy(*PLACE_SOURCES)
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def label_and_place_counts(events: DataFrame, as_of: str | datetime,
+                           hours: int = 24) -> DataFrame:
+    """Both tables of counts from one scan, told apart by ``places``.
+
+    A boolean column ``stored`` of the events says which of them the gauges over
+    stored rows count; without one, all.
+    """
+    stored = F.col("stored") if "stored" in events.columns else F.lit(True)
+    labels = [*LABEL_SOURCES, "stored", "recent"]
+    both = sorted({*labels, *PLACE_SOURCES})
+    rows = events.select(
+        *LABEL_SOURCES, "latitude", "longitude", stored.alias("stored"),
+        (F.col("event_time") >= since(as_of, hours)).alias("recent"))
+    sets = [[F.col(c) for c in labels], [F.col(c) for c in PLACE_SOURCES]]
+    return (rows.groupingSets(sets, *both)
+            .agg(F.count(F.lit(1)).alias("n"), F.grouping("os_type").alias("places")))
+
+
+def _counter_sql(specs: dict[str, Counter], rows: str = "true", prefix: str = "") -> list[str]:
+    return [f"if({rows} AND {c.rows}, {sample(prefix + name, c.labels, f'n * {c.step}')}, NULL)"
+            for name, c in specs.items()]
+
+
 def counter_samples(counts: DataFrame) -> DataFrame:
-    """Samples of every counter, and of the count gauges if they were prepared."""
-    specs = {**COUNTERS, **(STORE_GAUGES if "stored" in counts.columns else {})}
-    return _summed(_samples(counts, [
-        f"if({c.rows}, {sample(name, c.labels, f'n * {c.step}')}, NULL)"
-        for name, c in specs.items()]))
+    """Samples of every counter from ``label_counts``."""
+    return _summed(_samples(counts, _counter_sql(COUNTERS)))
+
+
+def place_samples(counts: DataFrame) -> DataFrame:
+    """Samples of the location gauge from ``place_counts``."""
+    return _summed(_samples(counts, _counter_sql(LOCATION_GAUGES)))
 
 
-def session_samples(active: DataFrame) -> DataFrame:
+def session_gauges(by_device: DataFrame) -> DataFrame:
+    """Samples of ``active_by_device`` rows."""
     device = {"device_type": "device_type"}
-    return _summed(_samples(active_by_device(active), [
+    return _summed(_samples(by_device, [
         sample("active_sessions_current", device, "active_sessions"),
         sample("unique_devices_active", device, "unique_devices"),
-        sample("concurrent_users_current", {"user_type": "'total'"}, "active_sessions"),
+        sample("concurrent_users_current", {"user_type": TOTAL}, "active_sessions"),
+    ]))
+
+
+def user_samples(facts: DataFrame) -> DataFrame:
+    """Gauges over active sessions and accounts from ``users.user_facts``, read once."""
+    device = {"device_type": "device_type"}
+    active = F.coalesce(F.col("last_type") == LOGIN, F.lit(False))
+    rows = facts.select(active.alias("active"), "device_type", "device_id", "known",
+                        "account_status")
+    counts = (rows.groupingSets([[F.col("active"), F.col("device_type")],
+                                 [F.col("known"), F.col("account_status")]],
+                                "active", "device_type", "known", "account_status")
+              .agg(F.count(F.lit(1)).alias("n"),
+                   F.count_distinct("device_id").alias("devices"),
+                   F.grouping("known").alias("sessions")))
+    session = "sessions = 1 AND active"
+    return _summed(_samples(counts, [
+        f"if({session}, {sample('active_sessions_current', device, 'n')}, NULL)",
+        f"if({session}, {sample('unique_devices_active', device, 'devices')}, NULL)",
+        f"if({session}, {sample('concurrent_users_current', {'user_type': TOTAL}, 'n')}, NULL)",
+        f"if(sessions = 0 AND known, "
+        f"{sample('user_status_current', {'status': 'account_status'}, 'n')}, NULL)",
     ]))
 
 
@@ -240,22 +295,23 @@ def errors_total(errors: DataFrame) -> DataFrame:
 
 
 def metrics_snapshot(events: DataFrame, as_of: str | datetime, buckets: Sequence[float],
-                     errors: DataFrame | None = None,
-                     hot: Sequence | None = None) -> DataFrame:
+                     errors: DataFrame | None = None, prefix: str = "") -> DataFrame:
     """Every metric as rows of metric, labels and value.
 
-    Event counters share one scan; what needs a user's history (active
-    sessions, durations, accounts) takes one scan each.
+    Three scans of the events: all counts, one row per user, and the session
+    durations. A boolean column ``stored`` tells which events the gauges over stored
+    rows see; ``prefix`` goes before the names of the event counters.
     """
-    stored = events.filter(is_storable())
-    durations = histogram(session_durations(events, hot=hot), "session_duration",
+    stored = events.filter("stored") if "stored" in events.columns else events
+    durations = histogram(session_durations(events), "session_duration",
                           ["device_type"], buckets)
     parts = [
-        counter_samples(label_counts(events, as_of)),
-        session_samples(active_sessions(stored, columns=ACTIVE_COLUMNS)),
+        _summed(_samples(label_and_place_counts(events, as_of), [
+            *_counter_sql(COUNTERS, "places = 0", prefix),
+            *_counter_sql(STORE_GAUGES, "places = 0"),
+            *_counter_sql(LOCATION_GAUGES, "places = 1", prefix)])),
+        user_samples(user_facts(stored)),
         histogram_samples(durations, "session_duration_seconds", ["device_type"]),
-        table_samples(user_status(users_table(stored)), "user_status_current",
-                      ["status"], "users"),
     ]
     if errors is not None:
         parts.append(table_samples(errors_total(errors), "errors_total",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +16,7 @@ def _user_logins(events: DataFrame) -> DataFrame:
     return events.filter(is_kind(LOGIN) & F.col("user_id").isNotNull())
 
 
-def multiple_failed_attempts(events: DataFrame, attempts: int = 2, span_seconds: int = 86400,
-                             hot: Sequence | None = None) -> DataFrame:
+def multiple_failed_attempts(events: DataFrame, attempts: int = 2, span_seconds: int = 86400) -> DataFrame:
     """Failed logins that are at least the ``attempts``-th within the span.
 
     That is the case exactly if the failure ``attempts - 1`` places earlier is
@@ -28,7 +25,7 @@ def multiple_failed_attempts(events: DataFrame, attempts: int = 2, span_seconds:
     failures = (_user_logins(events).filter(~F.col("success"))
                 .select("event_id", "user_id", "event_time"))
     rows = lag_by_key(failures, "user_id", ORDER, {"first_failure": "event_time"},
-                      offset=attempts - 1, hot=hot)
+                      offset=attempts - 1)
     since = F.col("event_time") - F.make_dt_interval(secs=F.lit(span_seconds))
     return rows.filter(F.col("first_failure") >= since)
 
@@ -47,21 +44,20 @@ def failed_windows(events: DataFrame, attempts: int = 2, span: str = "24 hours",
             .select(F.col("window.start").alias("window_start"), "user_id", "failures"))
 
 
-def unusual_location(events: DataFrame, hot: Sequence | None = None) -> DataFrame:
+def unusual_location(events: DataFrame) -> DataFrame:
     """Logins from another city than the user's previous located login."""
     located = (_user_logins(events).filter(has_location())
                .select("event_id", "user_id", "event_time", "city"))
-    rows = lag_by_key(located, "user_id", ORDER, {"previous_city": "city"}, hot=hot)
+    rows = lag_by_key(located, "user_id", ORDER, {"previous_city": "city"})
     return rows.filter(F.col("city") != F.col("previous_city"))
 
 
-def rapid_device_switch(events: DataFrame, span_seconds: int = 3600,
-                        hot: Sequence | None = None) -> DataFrame:
+def rapid_device_switch(events: DataFrame, span_seconds: int = 3600) -> DataFrame:
     """Logins from another device than the previous login within the span."""
     logins = (_user_logins(events)
               .select("event_id", "user_id", "event_time", "device_id"))
     rows = lag_by_key(logins, "user_id", ORDER,
-                      {"previous_device": "device_id", "previous_time": "event_time"}, hot=hot)
+                      {"previous_device": "device_id", "previous_time": "event_time"})
     gap = seconds_between(F.col("previous_time"), F.col("event_time"))
     return (rows.withColumn("seconds_since", gap)
             .filter((F.col("device_id") != F.col("previous_device"))

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gatewatch.functions import is_kind, seconds_between
-from gatewatch.operators.skew import lag_by_key
+from gatewatch.operators.skew import SLOT_SECONDS, lag_by_key
 from gatewatch.schema import LOGIN, LOGOUT
 
 
@@ -23,15 +21,14 @@ def session_marks(events: DataFrame) -> DataFrame:
             .select("event_id", "user_id", "event_time", "event_type", "device_type"))
 
 
-def session_durations(events: DataFrame, hot: Sequence | None = None,
-                      slot_seconds: int = 60) -> DataFrame:
+def session_durations(events: DataFrame, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
     """Seconds since the user's latest successful login, per logout.
 
     NULL where no login precedes the logout or another logout came in between.
     """
     marks = lag_by_key(session_marks(events), "user_id", ["event_time", "event_id"],
                        {"prev_type": "event_type", "prev_time": "event_time"},
-                       hot=hot, slot_seconds=slot_seconds)
+                       slot_seconds=slot_seconds)
     return (marks.filter(is_kind(LOGOUT))
             .select("event_id", "user_id", "event_time", "device_type",
                     F.when(F.col("prev_type") == LOGIN,

@@ -1,10 +1,10 @@
 """Lag over a key of which single values may hold a large part of all rows.
 
 A window partitioned by the key alone puts all rows of one key value in one
-task. Here the rows of such hot values are cut into time slots first. Inside a
-slot the lag is an ordinary window; only the first rows of a slot need rows of
-earlier slots, and those are found among the slot edges, of which there are at
-most ``2 * offset`` per slot.
+task. Here the rows of every value are cut into time slots first. Inside a slot the
+lag is an ordinary window; only the first rows of a slot need rows of earlier
+slots, and those are found among the slot edges, of which there are at most
+``2 * offset`` per slot, however many rows a slot holds.
 """
 
 from __future__ import annotations
@@ -15,65 +15,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Rows of one key value that a single task may sort comfortably (it can spill).
-HOT_ROWS = 1_000_000
-# Upper bound of hot values fetched; also the bound of the literal list built.
-MAX_HOT = 10_000
-SKETCH_ITEMS = 65_536
 SLOT_SECONDS = 60
 
 
-def hot_values(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
-    """Values of ``key`` with about ``min_rows`` rows or more, at most MAX_HOT.
-
-    One pass over the key column with a heavy-hitter sketch per group of tasks;
-    the sketches are merged in two steps so that no task merges one per input
-    split. The list only decides how rows are spread over tasks, never what the
-    result is.
-    """
-    sketches = (df.filter(F.col(key).isNotNull())
-                .groupBy((F.spark_partition_id() % 64).alias("part"))
-                .agg(F.expr(f"approx_top_k_accumulate({key}, {SKETCH_ITEMS})").alias("sketch")))
-    top = (sketches
-           .agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"))
-           .select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT})")).alias("t"))
-           .filter(F.col("t.count") >= min_rows)
-           .select("t.item"))
-    return [row["item"] for row in top.collect()]
-
-
 def lag_by_key(df: DataFrame, key: str, order: Sequence[str], lags: dict[str, str],
-               offset: int = 1, hot: Sequence | None = None,
-               slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+               offset: int = 1, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
     """Add ``lags`` (new column -> source column), ``offset`` rows back per key.
 
     ``order[0]`` is the event time; ``order`` has to be unique per key for a
-    repeatable result. ``hot`` lists the key values to cut into slots; None
-    looks for them.
+    repeatable result. Two windows follow each other: one per key and slot over
+    all rows, then one per key over the edges of the slots. Rows that are no edge
+    pass the second window in groups of their own.
     """
-    hot = hot_values(df, key) if hot is None else list(hot)
-    by_key = W.partitionBy(key).orderBy(*order)
-    if not hot:
-        return df.withColumns({new: F.lag(old, offset).over(by_key)
-                               for new, old in lags.items()})
-
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    slot = F.floor(F.unix_seconds(order[0]) / slot_seconds)
     in_slot = W.partitionBy(key, "_slot").orderBy(*order)
-    slotted = df.withColumn("_slot", F.when(is_hot, slot))
-
-    inner = (slotted
-             .withColumns({new: F.lag(old, offset).over(in_slot) for new, old in lags.items()})
-             .withColumn("_n", F.row_number().over(in_slot))
-             .filter(F.col("_slot").isNull() | (F.col("_n") > offset)))
-
+    slotted = (df.withColumn("_slot", F.floor(F.unix_seconds(order[0]) / slot_seconds))
+               .withColumns({f"_in_{new}": F.lag(old, offset).over(in_slot)
+                             for new, old in lags.items()})
+               .withColumns({"_n": F.row_number().over(in_slot),
+                             "_ahead": F.lead(F.lit(1), offset).over(in_slot)}))
     # First rows by their number; last rows have nothing ``offset`` rows ahead.
-    edges = (slotted.filter(is_hot)
-             .withColumns({"_n": F.row_number().over(in_slot),
-                           "_ahead": F.lead(F.lit(1), offset).over(in_slot)})
-             .filter((F.col("_n") <= offset) | F.col("_ahead").isNull())
-             .withColumns({new: F.lag(old, offset).over(by_key) for new, old in lags.items()})
-             .filter(F.col("_n") <= offset))
-
-    wanted = [*df.columns, *lags]
-    return inner.select(*wanted).unionByName(edges.select(*wanted))
+    edge = (F.col("_n") <= offset) | F.col("_ahead").isNull()
+    edges = W.partitionBy(key, "_inner_slot", "_inner").orderBy(*order)
+    return (slotted
+            .withColumns({"_inner_slot": F.when(~edge, F.col("_slot")),
+                          "_inner": F.when(~edge, F.col("_n"))})
+            .withColumns({f"_out_{new}": F.lag(old, offset).over(edges)
+                          for new, old in lags.items()})
+            .select(*df.columns,
+                    *[F.when(F.col("_n") <= offset, F.col(f"_out_{new}"))
+                      .otherwise(F.col(f"_in_{new}")).alias(new) for new in lags]))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewatch.functions import has_location, is_kind
-from gatewatch.schema import LOGIN, REGISTRATION
+from gatewatch.schema import LOGIN, LOGOUT, REGISTRATION
 
 
 def _device() -> Column:
@@ -86,6 +86,24 @@ def users_table(events: DataFrame) -> DataFrame:
                     "failed_attempts"))
 
 
+def user_facts(events: DataFrame) -> DataFrame:
+    """One row per user: the latest login or logout, and whether there is an account.
+
+    ``known`` users have a login or a registration; all from one aggregation.
+    """
+    login, registration = is_kind(LOGIN), is_kind(REGISTRATION)
+    session = F.when(is_kind(LOGIN, LOGOUT), F.struct(
+        "event_time", "event_id", "event_type", "device_type", "device_id"))
+    return (events.filter(is_kind(LOGIN, LOGOUT, REGISTRATION))
+            .groupBy("user_id")
+            .agg(F.max(session).alias("last"),
+                 F.max(F.when(registration, "active")).alias("account_status"),
+                 F.max(login | registration).alias("known"))
+            .select("user_id", F.col("last.event_type").alias("last_type"),
+                    F.col("last.device_type").alias("device_type"),
+                    F.col("last.device_id").alias("device_id"), "account_status", "known"))
+
+
 def user_status(users: DataFrame) -> DataFrame:
     return (users.groupBy(F.col("account_status").alias("status"))
             .agg(F.count(F.lit(1)).alias("users")))

@@ -6,10 +6,13 @@ a SQL engine.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from gatewatch.operators import (
     ingest,
@@ -20,12 +23,11 @@ from gatewatch.operators import (
     store_queries,
     users,
 )
-from gatewatch.operators.skew import hot_values
 from gatewatch.plans import testbed
 from gatewatch.schema import LOGIN, LOGOUT, REGISTRATION, SUSPICIOUS
 from gatewatch.sources.files import parquet_stream
 from gatewatch.sources.folders import shared_folder
-from gatewatch.streaming import jobs
+from gatewatch.streaming import gauges, jobs
 from gatewatch.streaming.sinks import read_changes, read_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,22 +43,23 @@ def plain(column: str | Column, name: str | None = None) -> Column:
     return column_.cast("timestamp_ntz").alias(name or column)
 
 
-def _on_events(fn: Callable[[DataFrame], DataFrame], *kinds: str) -> Query:
-    """Run over the mapped events; ``kinds`` are those that ``fn`` looks at."""
-    return lambda spark, sf_dir: fn(testbed.login_events(spark, sf_dir, *kinds))
+def _on_events(fn: Callable[[DataFrame], DataFrame], *kinds: str, k: bool = True) -> Query:
+    """Run over the mapped events; ``kinds`` are those that ``fn`` looks at, and ``k``
+    says whether it looks at columns that come from the JSON."""
+    return lambda spark, sf_dir: fn(testbed.login_events(spark, sf_dir, *kinds, k_once=k))
 
 
-def _on_stored(fn: Callable[[DataFrame], DataFrame], *kinds: str) -> Query:
+def _on_stored(fn: Callable[[DataFrame], DataFrame], *kinds: str, k: bool = True) -> Query:
     return lambda spark, sf_dir: fn(
-        ingest.storable(testbed.login_events(spark, sf_dir, *kinds)))
+        ingest.storable(testbed.login_events(spark, sf_dir, *kinds, k_once=k)))
 
 
 def _on_raw(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(testbed.raw_messages(spark, sf_dir))
 
 
-def _counter(name: str, *kinds: str) -> Query:
-    return _on_events(lambda e: metrics.counter(e, name), *kinds)
+def _counter(name: str, *kinds: str, k: bool = True) -> Query:
+    return _on_events(lambda e: metrics.counter(e, name), *kinds, k=k)
 
 
 # ---- decoding ---------------------------------------------------------------------
@@ -84,9 +87,7 @@ def default_timestamp(raw: DataFrame) -> DataFrame:
 
 
 def encode_json(events: DataFrame) -> DataFrame:
-    kinds = (ingest.login_messages, ingest.logout_messages, ingest.suspicious_messages)
-    parts = [ingest.encode(make(events, "event_id"), "event_id") for make in kinds]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return ingest.encode(ingest.event_messages(events, "event_id"), "event_id")
 
 
 def flatten_event(raw: DataFrame) -> DataFrame:
@@ -193,7 +194,11 @@ def registered_users(stored: DataFrame) -> DataFrame:
 
 
 def users_table(stored: DataFrame) -> DataFrame:
-    return users.users_table(stored).select(
+    return _flat_users(users.users_table(stored))
+
+
+def _flat_users(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "user_id", "username", "account_type",
         F.element_at("device_ids", 1).alias("device_id"),
         "account_status", plain("created_at"), *_place("registered_location", "registered"),
@@ -210,7 +215,7 @@ def security_alerts(stored: DataFrame) -> DataFrame:
 
 def device_gauge(stored: DataFrame) -> DataFrame:
     return (store_queries.device_distribution(stored)
-            .filter(F.col("device_type").isNotNull()).withColumnRenamed("count", "value"))
+            .filter("device_type <> ''").withColumnRenamed("count", "value"))
 
 
 def session_duration_histogram(events: DataFrame) -> DataFrame:
@@ -248,8 +253,8 @@ def label_text(labels: str = "labels") -> Column:
 
 def metrics_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     errors = ingest.dead_letters(testbed.raw_messages(spark, sf_dir))
-    rows = metrics.metrics_snapshot(testbed.login_events(spark, sf_dir), testbed.AS_OF,
-                                    testbed.DURATION_BUCKETS, errors)
+    events = testbed.login_events(spark, sf_dir).withColumn("stored", ingest.is_storable())
+    rows = metrics.metrics_snapshot(events, testbed.AS_OF, testbed.DURATION_BUCKETS, errors)
     return rows.select("metric", label_text().alias("labels"), "value")
 
 
@@ -264,10 +269,8 @@ def session_durations(events: DataFrame) -> DataFrame:
 
 
 def session_durations_in_slots(events: DataFrame) -> DataFrame:
-    """The same with every user treated as hot, over the whole table."""
-    hot = hot_values(sessions.session_marks(events), "user_id", min_rows=1)
-    return _with_plain("event_time")(
-        sessions.session_durations(events, hot=hot, slot_seconds=6 * 3600))
+    """The same with slots of six hours, which hold several rows of a user."""
+    return _with_plain("event_time")(sessions.session_durations(events, slot_seconds=6 * 3600))
 
 
 def activity_trend(events: DataFrame) -> DataFrame:
@@ -299,7 +302,7 @@ def suspicious_events(events: DataFrame) -> DataFrame:
     return _with_plain("event_time")(rules.suspicious_events(events))
 
 
-# ---- streams: drained once, then read back -------------------------------------------------
+# ---- streams: several micro-batches and a restart, then read back ---------------------------
 
 def _cores(spark: SparkSession) -> int:
     """State partitions for one drained run: one per core of the session."""
@@ -307,22 +310,53 @@ def _cores(spark: SparkSession) -> int:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testbed.to_login_events(
-        parquet_stream(spark, f"{sf_dir}/events.parquet", testbed.EVENTS_SCHEMA))
+    """The whole table in files that follow in time, one per micro-batch."""
+    return testbed.to_login_events(parquet_stream(
+        spark, testbed.event_slices(spark, sf_dir), testbed.EVENTS_SCHEMA, 1))
 
 
-def _stream_table(name: str) -> Query:
+def _run(start: Callable[[], StreamingQuery | list[StreamingQuery]]) -> None:
+    """Stop the queries somewhere behind their second micro-batch, start them again
+    from their checkpoints and let them take the rest."""
+    def started() -> list[StreamingQuery]:
+        queries = start()
+        return queries if isinstance(queries, list) else [queries]
+
+    for query in started():
+        while query.isActive and not (query.lastProgress and query.lastProgress["batchId"] >= 1):
+            time.sleep(0.05)
+        query.stop()
+    jobs.await_each(started())
+
+
+def _streamed(start: Callable, read: Callable[[SparkSession, str], DataFrame],
+              stored: bool = False) -> Query:
+    """Run ``start`` (events, folder, state partitions) and read its result."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = shared_folder(spark)
-        jobs.start_rate_table(event_stream(spark, sf_dir), name, base, None).awaitTermination()
-        return read_snapshot(spark, f"{base}/{name}")
+        events = event_stream(spark, sf_dir)
+        if stored:
+            events = ingest.storable(events)
+        _run(lambda: start(events, base, _cores(spark)))
+        return read(spark, base)
     return run
 
 
-def stream_shared_rate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _snapshot(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, base: read_snapshot(spark, f"{base}/{name}")
+
+
+def _changes(name: str, keys: Sequence[str]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, base: read_changes(spark, f"{base}/{name}", keys)
+
+
+def _stream_table(name: str) -> Query:
+    return _streamed(lambda e, base, n: jobs.start_rate_table(e, name, base, None),
+                     _snapshot(name))
+
+
+def _shared_tables(spark: SparkSession, base: str) -> DataFrame:
     """All five tables of the shared query, one below the other."""
-    base = shared_folder(spark)
-    jobs.start_shared_rate_tables(event_stream(spark, sf_dir), base, None).awaitTermination()
     out = None
     for name in jobs.TRIGGERS:
         table = read_snapshot(spark, f"{base}/{name}")
@@ -338,63 +372,53 @@ def stream_shared_rate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def stream_session_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = shared_folder(spark)
-    jobs.start_session_counters(event_stream(spark, sf_dir), base, None).awaitTermination()
-    return read_snapshot(spark, f"{base}/session_counters")
-
-
-def stream_active_sessions_by_device(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = shared_folder(spark)
-    (jobs.start_active_sessions_by_device(event_stream(spark, sf_dir), base, None)
-     .awaitTermination())
-    return read_snapshot(spark, f"{base}/active_sessions_by_device")
-
-
-def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = shared_folder(spark)
-    jobs.start_counters(event_stream(spark, sf_dir), base, None).awaitTermination()
-    rows = read_snapshot(spark, f"{base}/counters")
+def _labelled(rows: DataFrame) -> DataFrame:
     return rows.select("metric", label_text().alias("labels"), "value")
 
 
-def stream_active_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = shared_folder(spark)
-    stored = ingest.storable(event_stream(spark, sf_dir))
-    jobs.start_latest_sessions(stored, base, None, _cores(spark)).awaitTermination()
-    return _session_columns(jobs.read_active_sessions(spark, base))
-
-
-def stream_failed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = shared_folder(spark)
-    jobs.start_failed_windows(event_stream(spark, sf_dir), base, watermark="400 days",
-                              every=None, partitions=_cores(spark)).awaitTermination()
-    return _with_plain("window_start")(
-        read_changes(spark, f"{base}/failed_windows", jobs.FAILED_WINDOW_KEYS))
-
-
-def stream_activity_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = shared_folder(spark)
-    # The test files are not ordered by time across micro-batches; a wide
-    # watermark keeps every row.
-    jobs.start_activity_trend(event_stream(spark, sf_dir), base, watermark="400 days",
-                              every=None).awaitTermination()
-    return _with_plain("window_start")(
-        read_changes(spark, f"{base}/activity_trend", jobs.TREND_KEYS))
-
-
-def stream_user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = shared_folder(spark)
-    stored = ingest.storable(event_stream(spark, sf_dir))
-    jobs.start_user_profiles(stored, base, None, _cores(spark)).awaitTermination()
-    return _flat_profiles(read_changes(spark, f"{base}/user_profiles", jobs.PROFILE_KEYS))
-
-
-def stream_session_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = shared_folder(spark)
-    jobs.start_session_durations(event_stream(spark, sf_dir), base, every=None,
-                                 partitions=_cores(spark)).awaitTermination()
-    return _with_plain("event_time")(spark.read.parquet(f"{base}/session_durations"))
+STREAMS = {
+    **{f"stream_{name}": _stream_table(name) for name in jobs.TRIGGERS},
+    "stream_shared_rate_tables": _streamed(
+        lambda e, base, n: jobs.start_shared_rate_tables(e, base, None), _shared_tables),
+    "stream_session_counters": _streamed(
+        lambda e, base, n: jobs.start_session_counters(e, base, None),
+        _snapshot("session_counters")),
+    "stream_active_sessions_by_device": _streamed(
+        lambda e, base, n: jobs.start_active_sessions_by_device(e, base, None),
+        _snapshot("active_sessions_by_device")),
+    "stream_counters": _streamed(
+        lambda e, base, n: [jobs.start_counters(e, base, None),
+                            jobs.start_place_counts(e, base, None, n)],
+        lambda spark, base: _labelled(jobs.read_counters(spark, base))),
+    "stream_gauges": _streamed(
+        lambda e, base, n: gauges.start_gauges(e, base, None, n),
+        lambda spark, base: _labelled(gauges.read_gauges(
+            spark, base, datetime.fromisoformat(testbed.AS_OF))), stored=True),
+    "stream_active_sessions": _streamed(
+        lambda e, base, n: jobs.start_latest_sessions(e, base, None, n),
+        lambda spark, base: _session_columns(jobs.read_active_sessions(spark, base)),
+        stored=True),
+    "stream_failed_windows": _streamed(
+        lambda e, base, n: jobs.start_failed_windows(e, base, every=None, partitions=n),
+        lambda spark, base: _with_plain("window_start")(
+            _changes("failed_windows", jobs.FAILED_WINDOW_KEYS)(spark, base))),
+    "stream_activity_trend": _streamed(
+        lambda e, base, n: jobs.start_activity_trend(e, base, every=None),
+        lambda spark, base: _with_plain("window_start")(
+            _changes("activity_trend", jobs.TREND_KEYS)(spark, base))),
+    "stream_user_profile": _streamed(
+        lambda e, base, n: jobs.start_user_profiles(e, base, None, n),
+        lambda spark, base: _flat_profiles(
+            _changes("user_profiles", jobs.PROFILE_KEYS)(spark, base)), stored=True),
+    "stream_users_table": _streamed(
+        lambda e, base, n: jobs.start_users_table(e, base, None, n),
+        lambda spark, base: _flat_users(
+            _changes("users_table", jobs.USERS_KEYS)(spark, base)), stored=True),
+    "stream_session_durations": _streamed(
+        lambda e, base, n: jobs.start_session_durations(e, base, every=None, partitions=n),
+        lambda spark, base: _with_plain("event_time")(
+            spark.read.parquet(f"{base}/session_durations"))),
+}
 
 
 def _combo(events: DataFrame) -> DataFrame:
@@ -413,20 +437,24 @@ def catalog() -> dict[str, Query]:
         "route_events": _on_raw(route_events),
         "valid_events": _on_raw(valid_events),
         "dead_letters": _on_raw(dead_letters),
-        "filter_logins": _on_events(filter_logins, LOGIN),
+        "filter_logins": _on_events(filter_logins, LOGIN, k=False),
         "filter_failed_logins": _on_events(filter_failed_logins, LOGIN),
         "fill_defaults": _on_events(fill_defaults, LOGIN, LOGOUT),
         "topn_preview": _on_events(topn_preview, LOGIN),
         # rate tables
         "combo_metrics": _on_events(_combo, LOGIN),
         "city_metrics": _on_events(lambda e: rates.login_rates(e, ["city"]), LOGIN),
-        "method_metrics": _on_events(lambda e: rates.login_rates(e, ["login_method"]), LOGIN),
-        "device_metrics": _on_events(lambda e: rates.login_rates(e, ["device_type"]), LOGIN),
+        "method_metrics": _on_events(
+            lambda e: rates.login_rates(e, ["login_method"]), LOGIN, k=False),
+        "device_metrics": _on_events(
+            lambda e: rates.login_rates(e, ["device_type"]), LOGIN, k=False),
         "failure_metrics": _on_events(rates.failure_counts, LOGIN),
         "login_rate_grouping_sets": _on_events(rates.login_rate_grouping_sets, LOGIN),
         # event-store queries
-        "store_attempts_by_method": _on_stored(store_queries.attempts_by_method, LOGIN, LOGOUT),
-        "device_distribution": _on_stored(store_queries.device_distribution, LOGIN, LOGOUT),
+        "store_attempts_by_method": _on_stored(
+            store_queries.attempts_by_method, LOGIN, LOGOUT, k=False),
+        "device_distribution": _on_stored(
+            store_queries.device_distribution, LOGIN, LOGOUT, k=False),
         "location_distribution": _on_stored(store_queries.location_distribution, LOGIN, LOGOUT),
         "security_failures_24h": _on_stored(
             lambda e: store_queries.recent_failures(e, testbed.AS_OF), LOGIN, LOGOUT),
@@ -437,12 +465,12 @@ def catalog() -> dict[str, Query]:
         "active_sessions": _on_stored(active_sessions, LOGIN, LOGOUT),
         "active_sessions_successful": _on_stored(active_sessions_successful, LOGIN, LOGOUT),
         # counters, gauges, histograms
-        "session_counters": _on_events(metrics.session_counters, LOGIN, LOGOUT),
-        "active_sessions_by_device": _counter("active_sessions_by_device", LOGIN, LOGOUT),
-        "login_attempts_total": _counter("login_attempts_total", LOGIN),
+        "session_counters": _on_events(metrics.session_counters, LOGIN, LOGOUT, k=False),
+        "active_sessions_by_device": _counter("active_sessions_by_device", LOGIN, LOGOUT, k=False),
+        "login_attempts_total": _counter("login_attempts_total", LOGIN, k=False),
         "store_login_attempts_total": _on_stored(
             lambda e: metrics.store_login_attempts(store_queries.attempts_by_method(e)),
-            LOGIN, LOGOUT),
+            LOGIN, LOGOUT, k=False),
         "auth_failures_total": _counter("authentication_failures_total", LOGIN),
         "device_connections_total": _counter("device_connections_total", LOGIN),
         "suspicious_activities_total": _counter("suspicious_activities_total", SUSPICIOUS),
@@ -451,13 +479,14 @@ def catalog() -> dict[str, Query]:
         "login_locations_active": _counter("login_locations_active", LOGIN),
         "logouts_by_device_city": _counter("logouts_total", LOGOUT),
         "security_alerts_current": _on_stored(security_alerts, LOGIN, LOGOUT),
-        "device_gauge": _on_stored(device_gauge, LOGIN, LOGOUT),
+        "device_gauge": _on_stored(device_gauge, LOGIN, LOGOUT, k=False),
         "concurrent_users": _on_stored(
             lambda e: metrics.concurrent_users(
-                store_queries.active_sessions(e, columns=["event_type"])), LOGIN, LOGOUT),
-        "active_sessions_current": _on_stored(active_sessions_current, LOGIN, LOGOUT),
-        "unique_devices_active": _on_stored(unique_devices_active, LOGIN, LOGOUT),
-        "session_duration_histogram": _on_events(session_duration_histogram, LOGIN, LOGOUT),
+                store_queries.active_sessions(e, columns=["event_type"])), LOGIN, LOGOUT, k=False),
+        "active_sessions_current": _on_stored(active_sessions_current, LOGIN, LOGOUT, k=False),
+        "unique_devices_active": _on_stored(unique_devices_active, LOGIN, LOGOUT, k=False),
+        "session_duration_histogram": _on_events(
+            session_duration_histogram, LOGIN, LOGOUT, k=False),
         "value_histogram": value_histogram,
         "value_summary": value_summary,
         "errors_total": _on_raw(lambda r: metrics.errors_total(ingest.dead_letters(r))),
@@ -469,28 +498,16 @@ def catalog() -> dict[str, Query]:
         "user_status": _on_stored(lambda e: users.user_status(users.users_table(e)),
                                   LOGIN, REGISTRATION),
         # sessions, trends, rules
-        "session_durations": _on_events(session_durations, LOGIN, LOGOUT),
-        "session_durations_in_slots": _on_events(session_durations_in_slots, LOGIN, LOGOUT),
+        "session_durations": _on_events(session_durations, LOGIN, LOGOUT, k=False),
+        "session_durations_in_slots": _on_events(
+            session_durations_in_slots, LOGIN, LOGOUT, k=False),
         "activity_trend": _on_events(activity_trend),
-        "active_sessions_trend": _on_events(active_sessions_trend, LOGIN, LOGOUT),
+        "active_sessions_trend": _on_events(active_sessions_trend, LOGIN, LOGOUT, k=False),
         "rule_multiple_failed": _on_events(rule_multiple_failed, LOGIN),
         "rule_failed_windows": _on_events(rule_failed_windows, LOGIN),
         "rule_unusual_location": _on_events(rule_unusual_location, LOGIN),
-        "rule_device_switch": _on_events(rule_device_switch, LOGIN),
+        "rule_device_switch": _on_events(rule_device_switch, LOGIN, k=False),
         "suspicious_events": _on_events(suspicious_events, LOGIN, SUSPICIOUS),
         # streams
-        "stream_combo_metrics": _stream_table("combo_metrics"),
-        "stream_city_metrics": _stream_table("city_metrics"),
-        "stream_failure_metrics": _stream_table("failure_metrics"),
-        "stream_method_metrics": _stream_table("method_metrics"),
-        "stream_device_metrics": _stream_table("device_metrics"),
-        "stream_shared_rate_tables": stream_shared_rate_tables,
-        "stream_session_counters": stream_session_counters,
-        "stream_active_sessions_by_device": stream_active_sessions_by_device,
-        "stream_counters": stream_counters,
-        "stream_active_sessions": stream_active_sessions,
-        "stream_failed_windows": stream_failed_windows,
-        "stream_activity_trend": stream_activity_trend,
-        "stream_user_profile": stream_user_profile,
-        "stream_session_durations": stream_session_durations,
+        **STREAMS,
     }

@@ -48,8 +48,14 @@ STORED = "SELECT * FROM login_events WHERE event_type <> 'login' OR success IS N
 # Messages by their fate: broken text, a user id that was left out, a login
 # without outcome, or fine.
 MESSAGES = """
-SELECT *,
-  CASE WHEN event_id % 2 = 0 THEN event_time ELSE date_trunc('millisecond', event_time) END AS sent_time,
+SELECT * REPLACE (
+    CASE WHEN no_device THEN NULL ELSE device_id END AS device_id,
+    CASE WHEN no_device THEN NULL ELSE device_type END AS device_type,
+    CASE WHEN no_device THEN NULL ELSE os_type END AS os_type,
+    CASE WHEN event_type = 'login' AND NOT success AND failure_reason IS NULL AND event_id % 2 = 0
+         THEN '' ELSE failure_reason END AS failure_reason),
+  CASE WHEN bad_time OR no_time THEN NULL
+       WHEN event_id % 2 = 0 THEN event_time ELSE date_trunc('millisecond', event_time) END AS sent_time,
   event_id % 113 = 0 AS broken,
   CASE WHEN event_id % 89 = 0 THEN NULL ELSE user_id END AS sent_user,
   CASE WHEN event_type = 'registration' THEN NULL ELSE event_type END AS sent_type,
@@ -57,10 +63,12 @@ SELECT *,
        WHEN event_type = 'registration' AND event_id % 89 = 0 THEN 'unknown'
        ELSE event_type END AS route,
   CASE WHEN event_id % 113 = 0 THEN 'malformed_json'
-       WHEN event_type = 'registration' THEN NULL
+       WHEN event_id % 89 = 0 AND event_type = 'registration' THEN NULL
        WHEN event_id % 89 = 0 THEN 'missing_field'
-       WHEN event_type = 'login' AND success IS NULL THEN 'missing_field' END AS error_type
-FROM login_events
+       WHEN event_type = 'login' AND success IS NULL THEN 'missing_field'
+       WHEN bad_time THEN 'bad_timestamp' END AS error_type
+FROM (SELECT *, event_id % 127 = 0 AND event_id % 131 <> 0 AS bad_time, event_id % 131 = 0 AS no_time,
+        event_type = 'logout' AND event_id % 59 = 0 AS no_device FROM login_events) t
 """
 
 ACTIVE = """
@@ -285,13 +293,38 @@ def _snapshot() -> str:
     return _q("\nUNION ALL\n".join(parts),
               alerts=ALERTS.format(name="n"),
               session_rows=SESSION_ROWS, active=ACTIVE.format(rows="session_rows"),
-              by_device="SELECT device_type, count(*) AS n, count(DISTINCT device_id) AS d "
-                        "FROM active GROUP BY device_type",
+              by_device=BY_DEVICE,
               durations=DURATIONS,
               hist=_histogram("durations", "session_duration", "device_type", DURATION_BOUNDS),
               first_registration=FIRST_REGISTRATION, profile=PROFILE, user_rows=USERS)
 
 
+BY_DEVICE = ("SELECT device_type, count(*) AS n, count(DISTINCT device_id) AS d "
+             "FROM active GROUP BY device_type")
+
+
+def _gauges() -> str:
+    """What the store-fed gauges show; logouts have no method and no success."""
+    session = "event_type IN ('login','logout')"
+    parts = [
+        _counted("stored_login_attempts_current",
+                 _labels(auth_method="authentication_method", status="'success'"),
+                 session, "sum(CASE WHEN success THEN 1 ELSE 0 END)", "stored"),
+        _counted("stored_login_attempts_current",
+                 _labels(auth_method="authentication_method", status="'failure'"),
+                 session, "sum(CASE WHEN success THEN 0 ELSE 1 END)", "stored"),
+        _counted("device_distribution", _labels(device_type="device_type"),
+                 f"{session} AND device_type IS NOT NULL", rows="stored"),
+        _samples("security_alerts_current", _labels(city="city", reason="reason"), "n", "alerts"),
+        _samples("active_sessions_current", _labels(device_type="device_type"), "n", "by_device"),
+        _samples("unique_devices_active", _labels(device_type="device_type"), "d", "by_device"),
+        _samples("concurrent_users_current", "'user_type=total'", "count(*)", "active"),
+    ]
+    return _q("\nUNION ALL\n".join(parts), alerts=ALERTS.format(name="n"),
+              session_rows=SESSION_ROWS, active=ACTIVE.format(rows="session_rows"),
+              by_device=BY_DEVICE)
+
+
 def _shared_tables() -> str:
     def part(name: str, *keys: str) -> str:
         key = " || '/' || ".join(f"coalesce({k}, 'null')" for k in keys)
@@ -320,6 +353,8 @@ def oracle() -> dict[str, str]:
                "count(*) AS events FROM login_events GROUP BY 1, 2")
     profiles = _q("SELECT * FROM profile", profile=PROFILE)
     durations = _q("SELECT * FROM durations", durations=DURATIONS)
+    users_rows = _q("SELECT * FROM user_rows", first_registration=FIRST_REGISTRATION,
+                    profile=PROFILE, user_rows=USERS)
     return {
         "decode_json": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k "
                        "FROM events",
@@ -332,7 +367,7 @@ def oracle() -> dict[str, str]:
             "SELECT event_id, CASE WHEN NOT broken THEN sent_time END AS event_time, "
             "broken AS malformed FROM messages"),
         "default_timestamp": _q(
-            f"SELECT event_id, CASE WHEN broken THEN TIMESTAMP '{DEFAULT_TIME}' "
+            f"SELECT event_id, CASE WHEN broken OR no_time THEN TIMESTAMP '{DEFAULT_TIME}' "
             "ELSE sent_time END AS event_time FROM messages"),
         "encode_json": _q(ENCODED),
         "flatten_event": _q(
@@ -359,6 +394,7 @@ FROM messages WHERE error_type IS NULL AND route <> 'unknown'"""),
         "dead_letters": _q(
             """SELECT event_id, error_type,
   CASE WHEN broken THEN 'not a JSON object'
+       WHEN error_type = 'bad_timestamp' THEN 'unreadable timestamp'
        WHEN sent_user IS NULL THEN 'missing user_id' ELSE 'missing success' END AS details,
   CASE WHEN NOT broken THEN city END AS city,
   CASE WHEN NOT broken THEN latitude END AS latitude,
@@ -476,8 +512,7 @@ WHERE event_type IN ('login','logout') AND device_type IS NOT NULL GROUP BY devi
   CAST(0 AS BIGINT) AS failed_attempts, city AS registered_city,
   latitude AS registered_latitude, longitude AS registered_longitude
 FROM first_registration""", first_registration=FIRST_REGISTRATION),
-        "users_table": _q("SELECT * FROM user_rows", first_registration=FIRST_REGISTRATION,
-                          profile=PROFILE, user_rows=USERS),
+        "users_table": users_rows,
         "user_status": _q("SELECT account_status AS status, count(*) AS users FROM user_rows "
                           "GROUP BY account_status", first_registration=FIRST_REGISTRATION,
                           profile=PROFILE, user_rows=USERS),
@@ -527,7 +562,10 @@ FROM login_events WHERE event_type IN ('login','suspicious_activity')
         "stream_failed_windows": FAILED_WINDOWS,
         "stream_activity_trend": trend,
         "stream_user_profile": profiles,
-        "stream_session_durations": durations,
+        "stream_users_table": users_rows,
+        "stream_gauges": _gauges(),
+        "stream_session_durations": _q("SELECT *, false AS late FROM durations",
+                                       durations=DURATIONS),
     }
 
 
@@ -539,15 +577,16 @@ def _raw_text() -> str:
     fields = " || ".join([
         "CASE WHEN sent_type IS NULL THEN '' ELSE '\"event_type\":\"' || sent_type || '\",' END",
         "CASE WHEN sent_user IS NULL THEN '' ELSE '\"user_id\":\"' || sent_user || '\",' END",
-        "'\"device_info\":{\"device_id\":\"' || device_id || '\"'",
+        "'\"device_info\":{'",
+        "CASE WHEN no_device THEN '' ELSE '\"device_id\":\"' || device_id || '\"' END",
         text("device_type", "device_type"),
         text("os_type", "os_type"),
-        "CASE WHEN event_type = 'login' THEN ',\"ip_address\":\"192.168.1.' "
+        "CASE WHEN event_type = 'login' THEN ',\"ip_address\":\"192.0.2.' "
         "|| CAST(event_id % 255 + 1 AS VARCHAR) || '\"' ELSE '' END",
         "'}'",
         "CASE WHEN city IS NULL THEN '' ELSE ',\"location\":{\"city\":\"' || city "
         "|| '\",\"latitude\":' || CAST(latitude AS VARCHAR) || ',\"longitude\":' "
-        "|| CAST(longitude AS VARCHAR) || ',\"country\":\"Turkey\"}' END",
+        "|| CAST(longitude AS VARCHAR) || ',\"country\":\"Country\"}' END",
         text("authentication_method", "authentication_method"),
         "CASE WHEN event_type <> 'login' OR success IS NULL THEN '' "
         "WHEN success THEN ',\"success\":true' ELSE ',\"success\":false' END",
@@ -561,8 +600,12 @@ def _raw_text() -> str:
         "CASE WHEN event_type = 'registration' THEN ',\"registration\":true' ELSE '' END",
         text("username", "username"),
         text("account_type", "account_type"),
-        f"',\"timestamp\":' || CASE WHEN event_id % 2 = 0 THEN '\"' || {TIME_TEXT} || '\"' "
-        "ELSE CAST(epoch_us(event_time) // 1000 AS VARCHAR) END",
+        "CASE WHEN no_time THEN '' ELSE ',\"timestamp\":' || CASE "
+        "WHEN bad_time AND event_id % 2 = 0 THEN '\"yesterday\"' "
+        "WHEN event_id % 2 = 0 THEN '\"' || " + TIME_TEXT + " || '\"' "
+        "WHEN event_id % 381 = 0 THEN CAST(epoch_us(event_time) * 1000 AS VARCHAR) "
+        "WHEN bad_time THEN '99999999999999999' "
+        "ELSE CAST(epoch_us(event_time) // 1000 AS VARCHAR) END END",
     ])
     return (f"SELECT event_id, CASE WHEN broken THEN 'not json' ELSE '{{' || {fields} || '}}' END "
             "AS value FROM messages")

@@ -7,6 +7,9 @@ row of ``events`` and no shuffle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gatewatch.sources.folders import shared_folder
 
 AS_OF = "2024-01-31 00:00:00"
 DURATION_BUCKETS = (3600.0, 14400.0, 43200.0, 86400.0, 259200.0)
@@ -21,14 +24,20 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def to_login_events(events: DataFrame) -> DataFrame:
-    """FIXTURES.md section 3, for batch or streaming ``events``."""
+def to_login_events(events: DataFrame, k_once: bool = True) -> DataFrame:
+    """FIXTURES.md section 3, for batch or streaming ``events``.
+
+    k goes through ``inline``, so that it is taken out of the JSON once and not again in
+    each column that looks at it. Without ``k_once`` it is a plain expression, which
+    vanishes, with the JSON column, where no column looks at it.
+    """
+    k = "CAST(get_json_object(props, '$.k') AS INT)"
     keyed = events.selectExpr(
         "event_id",
         "CAST(ts AS TIMESTAMP) AS event_time",
         "concat('user_', user_id) AS user_id",
         "event_type AS src",
-        "CAST(get_json_object(props, '$.k') AS INT) AS k")
+        f"inline(array(named_struct('k', {k})))" if k_once else f"{k} AS k")
     is_login = "src IN ('click', 'view', 'error')"
     has_loc = "src <> 'purchase' AND event_id % 50 <> 0"
     flagged = f"(src = 'signup' AND k >= 50) OR ({is_login} AND k % 10 = 0)"
@@ -78,7 +87,34 @@ SOURCE_TYPES = {
 }
 
 
-def login_events(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+SLICES = 6
+_slices: dict[tuple[str, str], str] = {}
+
+
+def event_slices(spark: SparkSession, sf_dir: str) -> str:
+    """A shared folder with the whole ``events`` table as files that follow in time.
+
+    Streams that take one file per trigger see several micro-batches. It is
+    written once per session; each file is one task's, as the order of
+    files is what counts here.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _slices:
+        folder = shared_folder(spark)
+        events = raw_events(spark, sf_dir)
+        first, last = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))),
+                                 F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+        slot = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - first) * SLICES
+                       / (last - first + 1))
+        for k in range(SLICES):
+            (events.filter(F.coalesce(slot, F.lit(0)) == k).coalesce(1)
+             .sortWithinPartitions("ts").write.mode("append").parquet(folder))
+        _slices[key] = folder
+    return _slices[key]
+
+
+def login_events(spark: SparkSession, sf_dir: str, *kinds: str,
+                 k_once: bool = True) -> DataFrame:
     """Mapped events; ``kinds`` names what the caller looks at, if not all.
 
     The kind is computed here, so Catalyst cannot turn a filter on it into one
@@ -88,27 +124,34 @@ def login_events(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
     if kinds:
         types = sorted({t for kind in kinds for t in SOURCE_TYPES[kind]})
         events = events.filter(events["event_type"].isin(types))
-    return to_login_events(events)
+    return to_login_events(events, k_once)
 
 
 def to_raw_messages(events: DataFrame) -> DataFrame:
     """FIXTURES.md section 4: one JSON text per event, some of them broken."""
     login, registration = "event_type = 'login'", "event_type = 'registration'"
+    device = """named_struct(
+                 'device_id', device_id, 'device_type', device_type, 'os_type', os_type,
+                 'ip_address', if(event_type = 'login',
+                                  concat('192.0.2.', event_id % 255 + 1), NULL))"""
     texts = events.selectExpr(
         "event_id",
-        "CAST(unix_millis(event_time) AS STRING) AS millis",
+        """CAST(CASE WHEN event_id % 381 = 0 THEN unix_micros(event_time) * 1000
+                     WHEN event_id % 127 = 0 THEN 99999999999999999
+                     ELSE unix_millis(event_time) END AS STRING) AS millis""",
         f"""to_json(named_struct(
               'event_type', if({registration}, NULL, event_type),
               'user_id', if(event_id % 89 = 0, NULL, user_id),
-              'device_info', named_struct(
-                 'device_id', device_id, 'device_type', device_type, 'os_type', os_type,
-                 'ip_address', if({login}, concat('192.168.1.', event_id % 255 + 1), NULL)),
+              'device_info', if(event_type = 'logout' AND event_id % 59 = 0,
+                 from_json('{{}}', 'device_id string, device_type string, os_type string, '
+                                   || 'ip_address string'), {device}),
               'location', if(city IS NULL, NULL, named_struct(
                  'city', city, 'latitude', latitude, 'longitude', longitude,
-                 'country', 'Turkey')),
+                 'country', 'Country')),
               'authentication_method', authentication_method,
               'success', if({login}, success, NULL),
-              'failure_reason', failure_reason,
+              'failure_reason', if({login} AND NOT success AND failure_reason IS NULL
+                 AND event_id % 2 = 0, '', failure_reason),
               'suspicious_activity', if({login} AND activity_type IS NOT NULL,
                  named_struct('type', activity_type, 'risk_level', risk_level), NULL),
               'activity_type', if({login}, NULL, activity_type),
@@ -116,13 +159,14 @@ def to_raw_messages(events: DataFrame) -> DataFrame:
               'registration', if({registration}, true, NULL),
               'username', username,
               'account_type', account_type,
-              'timestamp', if(event_id % 2 = 0,
-                 date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), NULL))) AS text""")
+              'timestamp', CASE WHEN event_id % 2 = 1 OR event_id % 131 = 0 THEN NULL
+                 WHEN event_id % 127 = 0 THEN 'yesterday'
+                 ELSE date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") END)) AS text""")
     # Odd rows carry the time as a JSON number instead of text.
     return texts.selectExpr(
         "event_id",
         """CASE WHEN event_id % 113 = 0 THEN 'not json'
-                WHEN event_id % 2 = 0 THEN text
+                WHEN event_id % 2 = 0 OR event_id % 131 = 0 THEN text
                 ELSE concat(substring(text, 1, length(text) - 1), ',"timestamp":', millis, '}')
            END AS value""")
 

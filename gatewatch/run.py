@@ -14,12 +14,12 @@ from gatewatch.operators import ingest
 from gatewatch.session import build_session
 from gatewatch.sources import kafka
 from gatewatch.sources.store import EventStore, with_event_id
-from gatewatch.streaming import jobs
+from gatewatch.streaming import gauges, jobs
 
 
-def start_analytics(messages: DataFrame, base: str, shared: bool = False,
+def start_analytics(messages: DataFrame, base: str, shared: bool = True,
                     drain: bool = False, preview: bool = False) -> list[StreamingQuery]:
-    """The five rate and failure tables, as five queries or as one shared query."""
+    """The five rate and failure tables, as one shared query or as five queries."""
     events = jobs.decoded_events(messages, jobs.RATE_FIELDS)
     if shared:
         every = None if drain else jobs.SINGLE_QUERY_TRIGGER
@@ -28,7 +28,7 @@ def start_analytics(messages: DataFrame, base: str, shared: bool = False,
 
 
 def start_monitoring(messages: DataFrame, base: str, drain: bool = False) -> list[StreamingQuery]:
-    """Event store, counters, open sessions, durations, user profiles and trend."""
+    """Event store, counters and places, gauges, durations, users and trend."""
     messages = with_event_id(messages)
     seen = jobs.decoded_events(messages)
     stored = ingest.valid_events(messages)
@@ -38,8 +38,9 @@ def start_monitoring(messages: DataFrame, base: str, drain: bool = False) -> lis
         jobs.start_store(messages, EventStore(messages.sparkSession, f"{base}/store"), base,
                          None if drain else jobs.STORE_TRIGGER),
         jobs.start_counters(seen, base, often),
-        jobs.start_latest_sessions(stored, base, often),
-        jobs.start_user_profiles(stored, base, every),
+        jobs.start_place_counts(seen, base, often),
+        *gauges.start_gauges(stored, base, often),
+        jobs.start_users_table(stored, base, every),
         jobs.start_session_durations(stored, base, every=every),
         jobs.start_activity_trend(stored, base, every=every),
     ]
@@ -51,14 +52,17 @@ def main() -> None:
     parser.add_argument("--servers", required=True)
     parser.add_argument("--topic", required=True)
     parser.add_argument("--base", required=True, help="shared folder for results")
-    parser.add_argument("--offsets-per-trigger", type=int, default=kafka.OFFSETS_PER_TRIGGER)
-    parser.add_argument("--shared", action="store_true", help="one query for the five tables")
+    parser.add_argument("--offsets-per-trigger", type=int, help="no limit unless given")
+    parser.add_argument("--allow-data-loss", action="store_true",
+                        help="skip offsets that are gone instead of failing")
+    parser.add_argument("--separate", action="store_true", help="a query for each of the tables")
     args = parser.parse_args()
     spark = build_session(f"gatewatch-{args.what}")
     messages = kafka.read_stream(spark, args.servers, args.topic,
-                                 offsets_per_trigger=args.offsets_per_trigger)
+                                 offsets_per_trigger=args.offsets_per_trigger,
+                                 fail_on_data_loss=not args.allow_data_loss)
     if args.what == "analytics":
-        start_analytics(messages, args.base, args.shared, preview=True)
+        start_analytics(messages, args.base, not args.separate, preview=True)
     else:
         start_monitoring(messages, args.base)
     jobs.await_any(spark)

@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the session's ``spark.checkpoint.dir``.
+    """A new folder below the session's ``spark.checkpoint.dir``, else its warehouse.
 
-    Only a local session may do without that setting; executors of a cluster
-    do not see each other's temporary folders.
+    Both are places that every executor sees. The folder goes when the
+    session's JVM ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a shared folder")
-        base = tempfile.mkdtemp(prefix="gatewatch-")
-    return f"{base.rstrip('/')}/gatewatch-{uuid.uuid4().hex}"
+    base = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.sql.warehouse.dir"))
+    folder = f"{base.rstrip('/')}/gatewatch-{uuid.uuid4().hex}"
+    path, fs = _path(spark, folder)
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return folder
 
 
 def _path(spark: SparkSession, folder: str):
@@ -32,20 +32,34 @@ def is_folder(spark: SparkSession, folder: str) -> bool:
     return fs.exists(path) and fs.getFileStatus(path).isDirectory()
 
 
-def complete_versions(spark: SparkSession, folder: str, prefix: str) -> list[int]:
-    """Numbers N of the sub-folders ``<prefix>=N`` whose write was committed."""
+def sub_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders directly below ``folder``; none if it does not exist."""
     path, fs = _path(spark, folder)
     if not fs.exists(path):
         return []
-    found = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith(f"{prefix}=") and fs.exists(done):
-            found.append(int(name.split("=", 1)[1]))
-    return sorted(found)
+    return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
 
 
-def remove_version(spark: SparkSession, folder: str, prefix: str, number: int) -> None:
-    path, fs = _path(spark, f"{folder}/{prefix}={number}")
+def complete_versions(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers N of the sub-folders ``<prefix>=N`` whose write was committed.
+
+    One listing, however many versions there are.
+    """
+    path, fs = _path(spark, f"{folder}/{prefix}=*/_SUCCESS")
+    found = fs.globStatus(path) or []
+    return sorted(int(s.getPath().getParent().getName().split("=", 1)[1]) for s in found)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path, fs = _path(spark, folder)
     fs.delete(path, True)
+
+
+def rename_folder(spark: SparkSession, old: str, new: str) -> None:
+    source, fs = _path(spark, old)
+    if not fs.rename(source, _path(spark, new)[0]):
+        raise OSError(f"could not rename {old} to {new}")
+
+
+def remove_version(spark: SparkSession, folder: str, prefix: str, number: int) -> None:
+    remove_folder(spark, f"{folder}/{prefix}={number}")

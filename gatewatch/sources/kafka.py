@@ -7,11 +7,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gatewatch.operators.ingest import encode, envelope
 
-OFFSETS_PER_TRIGGER = 5000
 
-
-def source_options(servers: str, topic: str, offsets_per_trigger: int | None = OFFSETS_PER_TRIGGER,
-                   fail_on_data_loss: bool = False) -> dict[str, str]:
+def source_options(servers: str, topic: str, offsets_per_trigger: int | None = None,
+                   fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Options of the source. Lost offsets fail the query, and there is no limit per
+    trigger, unless the caller says otherwise."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

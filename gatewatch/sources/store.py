@@ -7,9 +7,9 @@ table only, and a time bound opens only its dates.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,7 @@ from gatewatch.schema import (
     SUSPICIOUS,
     UNKNOWN,
 )
-from gatewatch.sources.folders import is_folder
+from gatewatch.sources.folders import is_folder, remove_folder, rename_folder, sub_folders
 
 LOGIN_EVENTS = "login_events"
 SECURITY_EVENTS = "security_events"
@@ -51,15 +51,23 @@ def with_event_id(messages: DataFrame) -> DataFrame:
         "event_id", F.shiftleft(F.col("partition").cast("bigint"), 48) + F.col("offset"))
 
 
-def routed_rows(messages: DataFrame) -> DataFrame:
+def routed_rows(messages: DataFrame, default_time: Column | None = None) -> DataFrame:
     """Every message to keep, with the table it belongs to.
 
+    A message without a time gets the broker's, else ``default_time``, else the
+    current time; a rejected one is dated in the same way. An empty failure
+    reason counts as missing.
+
     Valid events and rejected messages share one projection, so the messages
     are parsed once and written once. Messages of no known kind are dropped.
     """
     text = F.col("value").cast("string")
-    rows = ingest.checked(with_event_id(messages).withColumn("event_data", text))
+    default_time = F.current_timestamp() if default_time is None else default_time
+    rows = ingest.checked(with_event_id(messages).withColumn("event_data", text),
+                          default=default_time)
     rejected = F.col("error_type").isNotNull()
+    stamps = ["event_time", *(["broker_time"] if "broker_time" in rows.columns else [])]
+    dated = F.to_date(F.coalesce(*stamps, default_time.cast("timestamp")))
     rows = rows.filter(rejected | (F.col("route") != UNKNOWN)).withColumns({
         "table": F.when(rejected, SYSTEM_ERRORS)
                   .when(F.col("route").isin(LOGIN, LOGOUT), LOGIN_EVENTS)
@@ -68,12 +76,14 @@ def routed_rows(messages: DataFrame) -> DataFrame:
         "problem": F.col("error_type"),
         "problem_details": F.col("details"),
         "event_data": F.when(rejected, F.col("event_data")),
+        "failure_reason": F.nullif(F.col("failure_reason"), F.lit("")),
+        "dated": dated,
     })
     flat = ingest.flatten(rows)
     return flat.select(
         "table", "event_id", *EVENT_COLUMNS,
         F.col("problem").alias("error_type"), F.col("problem_details").alias("details"),
-        "event_data", F.to_date("event_time").alias("event_date"))
+        "event_data", F.col("dated").alias("event_date"))
 
 
 class EventStore:
@@ -83,7 +93,8 @@ class EventStore:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def append(self, messages: DataFrame, batch: int, rebalance: bool = True) -> None:
+    def append(self, messages: DataFrame, batch: int, rebalance: bool = True,
+               default_time: Column | None = None) -> None:
         """Store one batch of messages; a repeated batch replaces itself.
 
         Only the folders of this batch are overwritten. The rebalance keeps the
@@ -92,13 +103,40 @@ class EventStore:
         that shuffle. Rows are sorted by user inside the files, so a question
         about one user skips most row groups.
         """
-        rows = routed_rows(messages).withColumn("batch", F.lit(batch).cast("bigint"))
+        rows = routed_rows(messages, default_time).withColumn("batch", F.lit(batch).cast("bigint"))
         if rebalance:
             rows = rows.hint("rebalance", "table", "event_date")
         (rows.sortWithinPartitions("table", "event_date", "batch", "user_id")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("table", "event_date", "batch").parquet(self.path))
 
+    def compact(self, before: date) -> int:
+        """Join the batches of each date before ``before``; returns how many dates changed.
+
+        The rows of a date go to files of their own below a hidden folder, which then
+        takes the place of its batches, as the newest of them. For closed dates
+        and between appends: a reader that has begun may miss files.
+        """
+        changed = 0
+        for table in sub_folders(self.spark, self.path):
+            for day in sub_folders(self.spark, f"{self.path}/{table}"):
+                folder = f"{self.path}/{table}/{day}"
+                batches = sub_folders(self.spark, folder)
+                if (not table.startswith("table=") or day.split("=", 1)[1] >= before.isoformat()
+                        or len(batches) < 2):
+                    continue
+                last = max(batches, key=lambda b: int(b.split("=", 1)[1]))
+                joined = f"{self.path}/_joined/{table}/{day}"
+                rows = self.spark.read.schema(STORE_SCHEMA).parquet(
+                    *[f"{folder}/{b}" for b in batches])
+                (rows.drop("table", "event_date", "batch").hint("rebalance")
+                 .sortWithinPartitions("user_id").write.mode("overwrite").parquet(joined))
+                for b in batches:
+                    remove_folder(self.spark, f"{folder}/{b}")
+                rename_folder(self.spark, joined, f"{folder}/{last}")
+                changed += 1
+        return changed
+
     def rows(self, *tables: str) -> DataFrame:
         # Only the folders of these tables are listed at all.
         folders = [f"{self.path}/table={t}" for t in tables]
@@ -129,9 +167,14 @@ class EventStore:
         return users.users_table(self.rows(LOGIN_EVENTS, REGISTRATIONS))
 
     def metrics(self, as_of: str | datetime, buckets: Sequence[float]) -> DataFrame:
-        """Metric snapshot of the stored events and errors."""
+        """Metric snapshot of the stored events and errors.
+
+        Counters of events have names of their own here: they leave out what was
+        rejected, which the counters over all decoded messages include.
+        """
         events = self.rows(LOGIN_EVENTS, SECURITY_EVENTS, REGISTRATIONS)
-        return metrics.metrics_snapshot(events, as_of, buckets, self.table(SYSTEM_ERRORS))
+        return metrics.metrics_snapshot(events, as_of, buckets, self.table(SYSTEM_ERRORS),
+                                        prefix="stored_")
 
     def login_metrics(self) -> dict[str, DataFrame]:
         events = self.login_events()

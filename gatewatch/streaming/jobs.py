@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,7 +22,14 @@ from gatewatch.operators import (
 from gatewatch.schema import LOGIN
 from gatewatch.sources.store import EventStore
 from gatewatch.streaming.sessions import session_duration_stream
-from gatewatch.streaming.sinks import Sink, changes_sink, read_changes, snapshot_sink
+from gatewatch.streaming.sinks import (
+    Sink,
+    changes_sink,
+    date_bucket,
+    read_changes,
+    read_snapshot,
+    snapshot_sink,
+)
 
 # Table name -> processing-time trigger, one query per table.
 TRIGGERS = {
@@ -43,9 +50,8 @@ PREVIEW_ROWS = {
 SINGLE_QUERY_TRIGGER = "10 seconds"
 METRICS_TRIGGER = "2 seconds"
 STORE_TRIGGER = "10 minutes"
-# Fixed value: partitions of the small states, which hold label combinations.
+# Partitions of the states that hold combinations of labels with few values.
 LABEL_PARTITIONS = 4
-WATERMARK = "1 minute"
 
 
 # What the rate and failure tables look at.
@@ -164,8 +170,8 @@ def start_active_sessions_by_device(events: DataFrame, base: str,
 
 def start_counters(events: DataFrame, base: str,
                    every: str | None = METRICS_TRIGGER) -> StreamingQuery:
-    """All event counters as metric, labels and value; the state holds one row
-    per label combination."""
+    """All event counters as metric, labels and value; the state holds one row per
+    label combination. Places, which have coordinates, are ``start_place_counts``."""
     write = snapshot_sink(f"{base}/counters")
 
     def expose(counts: DataFrame, epoch: int) -> None:
@@ -175,6 +181,21 @@ def start_counters(events: DataFrame, base: str,
                  LABEL_PARTITIONS)
 
 
+def start_place_counts(events: DataFrame, base: str, every: str | None = METRICS_TRIGGER,
+                       partitions: int | None = None) -> StreamingQuery:
+    """Successful logins per place; only the places of each micro-batch are written."""
+    return start(metrics.place_counts(events), "place_counts", base,
+                 changes_sink(f"{base}/place_counts", metrics.PLACE_SOURCES), "update", every,
+                 partitions)
+
+
+def read_counters(spark: SparkSession, base: str) -> DataFrame:
+    """Samples of all counters and of the location gauge."""
+    places = read_changes(spark, f"{base}/place_counts", metrics.PLACE_SOURCES)
+    return read_snapshot(spark, f"{base}/counters").unionByName(
+        metrics.with_label_map(metrics.place_samples(places)))
+
+
 SESSION_KEYS = ("user_id",)
 SESSION_COLUMNS = ("event_type", "device_id", "device_type", "os_type", "city",
                    "authentication_method", "success")
@@ -199,30 +220,47 @@ FAILED_WINDOW_KEYS = ("window_start", "user_id")
 
 def start_failed_windows(events: DataFrame, base: str, attempts: int = 2,
                          span: str = "24 hours", slide: str = "1 hour",
-                         watermark: str = WATERMARK,
+                         watermark: str | None = None,
                          every: str | None = SINGLE_QUERY_TRIGGER,
                          partitions: int | None = None) -> StreamingQuery:
-    """Alert rows of users with too many failures in a sliding window."""
-    alerts = rules.failed_windows(events.withWatermark("event_time", watermark),
-                                  attempts, span, slide)
+    """Alert rows of users with too many failures in a sliding window.
+
+    ``watermark`` as in ``start_activity_trend``.
+    """
+    alerts = rules.failed_windows(_with_watermark(events, watermark), attempts, span, slide)
     return start(alerts, "failed_windows", base,
-                 changes_sink(f"{base}/failed_windows", FAILED_WINDOW_KEYS), "update", every,
-                 partitions)
+                 changes_sink(f"{base}/failed_windows", FAILED_WINDOW_KEYS,
+                              bucket=date_bucket("window_start")), "update", every, partitions)
 
 
 TREND_KEYS = ("window_start", "event_type")
 
 
 def start_activity_trend(events: DataFrame, base: str, width: str = "1 hour",
-                         watermark: str = WATERMARK,
+                         watermark: str | None = None,
                          every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
-    """Events per window; the watermark lets the state forget closed windows."""
-    trend = sessions.activity_trend(events.withWatermark("event_time", watermark), width)
+    """Events per window; nothing is dropped unless a watermark is named.
+
+    A watermark lets the state forget closed windows; rows older than it are
+    then left out, and ``dropped_rows`` counts them.
+    """
+    trend = sessions.activity_trend(_with_watermark(events, watermark), width)
     return start(trend, "activity_trend", base,
-                 changes_sink(f"{base}/activity_trend", TREND_KEYS), "update", every,
+                 changes_sink(f"{base}/activity_trend", TREND_KEYS,
+                              bucket=date_bucket("window_start")), "update", every,
                  LABEL_PARTITIONS)
 
 
+def _with_watermark(events: DataFrame, watermark: str | None) -> DataFrame:
+    return events.withWatermark("event_time", watermark) if watermark else events
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that the recent micro-batches left out as older than the watermark."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in p["stateOperators"])
+
+
 PROFILE_KEYS = ("user_id",)
 
 
@@ -234,13 +272,23 @@ def start_user_profiles(events: DataFrame, base: str,
                  changes_sink(f"{base}/user_profiles", PROFILE_KEYS), "update", every, partitions)
 
 
-def start_session_durations(events: DataFrame, base: str, drop_late: bool = True,
-                            idle_ms: int | None = None,
+USERS_KEYS = ("user_id",)
+
+
+def start_users_table(events: DataFrame, base: str,
+                      every: str | None = SINGLE_QUERY_TRIGGER,
+                      partitions: int | None = None) -> StreamingQuery:
+    """Registrations and login folds of every user in one upserted table."""
+    return start(users.users_table(events), "users_table", base,
+                 changes_sink(f"{base}/users_table", USERS_KEYS), "update", every, partitions)
+
+
+def start_session_durations(events: DataFrame, base: str, idle_ms: int | None = None,
                             every: str | None = SINGLE_QUERY_TRIGGER,
                             partitions: int | None = None) -> StreamingQuery:
-    """Append logout durations to Parquet files (exactly once)."""
+    """Append logout durations to Parquet files (exactly once), one row per logout."""
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    durations = session_duration_stream(events, drop_late, idle_ms)
+    durations = session_duration_stream(events, idle_ms)
     with state_partitions(events.sparkSession, partitions):
         return (durations.writeStream.queryName("session_durations").outputMode("append")
                 .trigger(**trigger)
@@ -249,11 +297,13 @@ def start_session_durations(events: DataFrame, base: str, drop_late: bool = True
 
 
 def start_store(messages: DataFrame, store: EventStore, base: str,
-                every: str | None = STORE_TRIGGER) -> StreamingQuery:
+                every: str | None = STORE_TRIGGER,
+                default_time: Column | None = None) -> StreamingQuery:
     """Append messages to the event store, one folder per micro-batch; a longer
     trigger means fewer and larger files."""
     return start(messages, "event_store", base,
-                 lambda df, epoch: store.append(df, epoch), "append", every)
+                 lambda df, epoch: store.append(df, epoch, default_time=default_time),
+                 "append", every)
 
 
 def await_any(spark: SparkSession) -> None:

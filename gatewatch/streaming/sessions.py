@@ -15,58 +15,79 @@ from gatewatch.operators.sessions import session_marks
 from gatewatch.schema import LOGIN
 
 OUTPUT = ("event_id long, user_id string, event_us long, device_type string, "
-          "session_duration double")
-# Time of the open successful login (-1: none) and of the newest row seen.
-STATE = "login_us long, seen_us long"
+          "session_duration double, late boolean")
+# Time of the open successful login (-1: none), time and id of the newest row seen.
+STATE = "login_us long, seen_us long, seen_id long"
 NO_LOGIN = -1
+# Rows of one user that are sorted in one go; more of them follow in portions.
+PORTION_ROWS = 1_000_000
 
 
-def pairing(drop_late: bool = True, idle_ms: int | None = None):
+def pairing(idle_ms: int | None = None, portion_rows: int = PORTION_ROWS):
     """The state function: durations of one user's logouts in one micro-batch.
 
-    It is built as a closure so that it travels to the workers by value and
-    they need not have this package installed.
+    Every logout gives one row. A row older than the newest one seen of its user
+    comes late: a late logout has no duration and the mark ``late``, a late login
+    opens nothing, and neither changes what is open. It is built as a closure so
+    that it travels to the workers by value and they need not have this package
+    installed.
     """
     no_login = NO_LOGIN
+    names = ("event_us", "event_id", "is_login", "device_type")
+
+    def portions(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, rows = [], 0
+        for chunk in chunks:
+            held.append(chunk)
+            rows += len(chunk)
+            if rows >= portion_rows:
+                yield held
+                held, rows = [], 0
+        if held:
+            yield held
 
     def pair(key: tuple, chunks: Iterator[pd.DataFrame],
              state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        login_us, seen_us = state.get if state.exists else (no_login, no_login)
-        parts = list(chunks)
-        us, ids, is_login, device = (
-            np.concatenate([part[name].to_numpy() for part in parts])
-            for name in ("event_us", "event_id", "is_login", "device_type"))
-        order = np.lexsort((ids, us))
-        if drop_late:
-            order = order[us[order] >= seen_us]
-        if len(order):
-            us, ids, is_login, device = us[order], ids[order], is_login[order], device[order]
-            opened = np.where(is_login, us, no_login)
-            before = np.concatenate(([login_us], opened[:-1]))
-            state.update((int(opened[-1]), max(int(us[-1]), seen_us)))
+        login_us, seen_us, seen_id = state.get if state.exists else (no_login, no_login, no_login)
+        for parts in portions(chunks):
+            us, ids, is_login, device = (
+                np.concatenate([part[name].to_numpy() for part in parts]) for name in names)
+            order = np.lexsort((ids, us))
+            us, ids, is_login, device = (x[order] for x in (us, ids, is_login, device))
+            is_login = is_login.astype(bool)
+            late = (us < seen_us) | ((us == seen_us) & (ids < seen_id))
+            spent = np.full(len(us), np.nan)
+            new = np.flatnonzero(~late)
+            if len(new):
+                opened = np.where(is_login[new], us[new], no_login)
+                before = np.concatenate(([login_us], opened[:-1]))
+                spent[new] = np.where(before == no_login, np.nan, (us[new] - before) / 1e6)
+                login_us, seen_us, seen_id = int(opened[-1]), int(us[new[-1]]), int(ids[new[-1]])
             out = ~is_login
             if out.any():
-                spent = np.where(before == no_login, np.nan, (us - before) / 1e6)
                 yield pd.DataFrame({
-                    "event_id": ids[out], "user_id": key[0], "event_us": us[out],
-                    "device_type": device[out], "session_duration": spent[out]})
+                    "event_id": ids[out].astype("int64"),
+                    "user_id": pd.Series([key[0]] * int(out.sum()), dtype="object"),
+                    "event_us": us[out].astype("int64"),
+                    "device_type": pd.Series(device[out], dtype="object"),
+                    "session_duration": spent[out].astype("float64"),
+                    "late": late[out]})
+        state.update((login_us, seen_us, seen_id))
         if idle_ms is not None:
             state.setTimeoutDuration(idle_ms)
 
     return pair
 
 
-def session_duration_stream(events: DataFrame, drop_late: bool = True,
-                            idle_ms: int | None = None) -> DataFrame:
-    """Streaming twin of ``session_durations``; run it in append mode.
+def session_duration_stream(events: DataFrame, idle_ms: int | None = None) -> DataFrame:
+    """Streaming twin of ``session_durations``, with a column ``late``; append mode.
 
-    The rows of a user within one micro-batch are sorted in one task. What that
-    can be is bounded by the rate limit of the source, which has to be set.
-    Rows older than the newest one seen of their user are dropped unless
-    ``drop_late`` is off; ``idle_ms`` forgets users that stay silent that long.
+    Where the rows of each user arrive in order of time, the result is that of the
+    batch operator. Within a micro-batch rows may come in any order. ``idle_ms``
+    forgets users that stay silent that long.
     """
     timeout = (GroupStateTimeout.NoTimeout if idle_ms is None
                else GroupStateTimeout.ProcessingTimeTimeout)
@@ -74,6 +95,6 @@ def session_duration_stream(events: DataFrame, drop_late: bool = True,
         "event_id", "user_id", "device_type", is_kind(LOGIN).alias("is_login"),
         F.unix_micros("event_time").alias("event_us"))
     return (marks.groupBy("user_id")
-            .applyInPandasWithState(pairing(drop_late, idle_ms), OUTPUT, STATE, "append", timeout)
+            .applyInPandasWithState(pairing(idle_ms), OUTPUT, STATE, "append", timeout)
             .select("event_id", "user_id", F.timestamp_micros("event_us").alias("event_time"),
-                    "device_type", "session_duration"))
+                    "device_type", "session_duration", "late"))

@@ -33,6 +33,12 @@ def without(message, *fields):
     ("soon", None),
     (None, None),
     ("99999999999999999999999", None),
+    (99999999999999999, None),
+    (-99999999999999999, None),
+    (1704067201999000, None),
+    (1704067201999000000, None),
+    (253402300799999, dt.datetime(9999, 12, 31, 23, 59, 59, 999000)),
+    ("+294247-01-10T04:00:54", None),
 ])
 def test_event_time_of_text_and_milliseconds(spark, sent, expected):
     df = messages(spark, {**LOGIN, "timestamp": sent})
@@ -82,6 +88,33 @@ def test_rejected_and_dropped_messages(spark):
     assert valid == {0: "login", 10: "registration", 14: "login", 15: "login"}
 
 
+def test_times_that_cannot_be_read_are_rejected(spark):
+    sent = [99999999999999999, 1704067201999000000, "yesterday", "", None, 1704067201999]
+    rows = ingest.checked(messages(spark, *({**LOGIN, "timestamp": t} for t in sent))).collect()
+    got = {r["event_id"]: r["error_type"] for r in rows}
+    assert got == {0: "bad_timestamp", 1: "bad_timestamp", 2: "bad_timestamp",
+                   3: None, 4: None, 5: None}
+    # Another fault comes first, and a message of no known kind is still dropped.
+    rows = ingest.checked(messages(
+        spark, {**without(LOGIN, "success"), "timestamp": "x"},
+        {"event_type": "transfer", "timestamp": "x"})).collect()
+    assert sorted((r["event_id"], r["error_type"]) for r in rows) == [
+        (0, "missing_field"), (1, None)]
+
+
+def test_device_key_alone_is_enough(spark):
+    row = ingest.valid_events(messages(spark, {**LOGIN, "device_info": {}})).first()
+    assert row["event_type"] == "login" and row["device_id"] is None
+
+
+def test_one_pass_encodes_what_the_constructors_do(events):
+    parts = [ingest.encode(make(events, "event_id"), "event_id") for make in (
+        ingest.login_messages, ingest.logout_messages, ingest.suspicious_messages)]
+    expected = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    assert rows_of(ingest.encode(ingest.event_messages(events, "event_id"), "event_id")) == (
+        rows_of(expected))
+
+
 def test_dead_letter_keeps_text_and_location(spark):
     bad = {**without(LOGIN, "success"), "location": {"city": "c", "latitude": 1.5}}
     row = ingest.dead_letters(messages(spark, bad)).first()

@@ -2,8 +2,9 @@
 
 import pytest
 from conftest import SMALL, plan_of
+from pyspark.sql import functions as F
 
-from gatewatch.operators import metrics, rates, store_queries, users
+from gatewatch.operators import ingest, metrics, rates, store_queries, users
 from gatewatch.plans import testbed
 from gatewatch.plans.catalog import catalog
 
@@ -26,15 +27,32 @@ def test_latest_row_is_found_before_the_shuffle(events):
 @pytest.mark.parametrize("make", [
     rates.login_rate_grouping_sets,
     users.users_table,
-    lambda e: metrics.counter_samples(metrics.label_counts(e, testbed.AS_OF)),
+    lambda e: metrics.label_and_place_counts(e, testbed.AS_OF),
+    lambda e: metrics.user_samples(users.user_facts(e)),
+    lambda e: ingest.encode(ingest.event_messages(e)),
 ])
 def test_one_scan_for_many_results(events, make):
     assert plan_of(make(events)).count("FileScan") == 1
 
 
+def test_snapshot_scans_the_events_three_times(events):
+    plan = plan_of(metrics.metrics_snapshot(events, testbed.AS_OF, testbed.DURATION_BUCKETS))
+    assert plan.count("FileScan") == 3
+
+
+def test_json_of_the_testbed_is_read_once(spark):
+    for name in ("users_table", "security_alerts_current", "rule_unusual_location"):
+        assert plan_of(catalog()[name](spark, SMALL)).count("get_json_object") <= 2
+
+
+def test_coordinates_do_not_multiply_the_label_counts(events):
+    moved = events.withColumns({c: F.col(c) + F.rand(3) for c in ("latitude", "longitude")})
+    assert metrics.label_counts(moved).count() == metrics.label_counts(events).count()
+    assert metrics.place_counts(moved).count() > metrics.place_counts(events).count()
+
+
 def test_only_needed_columns_are_read(spark):
-    events = testbed.login_events(spark, SMALL)
-    plan = plan_of(rates.login_rates(events, ["login_method"]))
+    plan = plan_of(catalog()["method_metrics"](spark, SMALL))
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
 
 

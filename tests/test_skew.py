@@ -3,11 +3,12 @@
 import random
 
 import pytest
-from conftest import plan_of, rows_of
+from conftest import SMALL, plan_of, rows_of
 from pyspark.sql import functions as F
 
-from gatewatch.operators import rules, sessions
-from gatewatch.operators.skew import hot_values, lag_by_key
+from gatewatch.operators import rules, sessions, skew
+from gatewatch.operators.skew import lag_by_key
+from gatewatch.plans.catalog import catalog
 
 
 @pytest.fixture(scope="module")
@@ -39,36 +40,48 @@ def brute_force_lag(df, offset):
 @pytest.mark.parametrize("slot_seconds", [1, 60, 3600, 10**7])
 def test_slotted_lag(skewed, offset, slot_seconds):
     got = lag_by_key(skewed, "user_id", ["event_time", "event_id"], {"prev": "v"}, offset,
-                     hot=["bot", "user_3"], slot_seconds=slot_seconds)
+                     slot_seconds=slot_seconds)
+    assert got.columns == [*skewed.columns, "prev"]
     assert got.count() == skewed.count()
     assert {(r["event_id"], r["prev"]) for r in got.collect()} == brute_force_lag(skewed, offset)
 
 
-def test_no_hot_key_means_one_window(skewed):
-    got = lag_by_key(skewed, "user_id", ["event_time", "event_id"], {"prev": "v"}, hot=[])
-    assert plan_of(got).count("Window ") == 1
-    assert {(r["event_id"], r["prev"]) for r in got.collect()} == brute_force_lag(skewed, 1)
-
-
-def test_hot_rows_are_not_sorted_by_key_alone(skewed):
-    got = lag_by_key(skewed, "user_id", ["event_time", "event_id"], {"prev": "v"}, hot=["bot"])
-    # Rows move by key and slot; only slot edges are brought together per key.
-    assert "hashpartitioning(user_id#" in plan_of(got)
-    assert "_slot#" in plan_of(got).split("hashpartitioning(user_id#")[1].split(")")[0]
-
-
-def test_hot_values_finds_the_heavy_key(skewed):
-    assert hot_values(skewed, "user_id", min_rows=900) == ["bot"]
-    assert hot_values(skewed, "user_id") == []
-
-
-def test_operators_with_every_user_hot(events):
-    users = [r[0] for r in events.select("user_id").distinct().collect()]
-    for run in (
-        lambda hot: sessions.session_durations(events, hot=hot, slot_seconds=3 * 3600),
-        lambda hot: rules.multiple_failed_attempts(events, 3, hot=hot),
-        lambda hot: rules.multiple_failed_attempts(events, 1, hot=hot),
-        lambda hot: rules.unusual_location(events, hot=hot),
-        lambda hot: rules.rapid_device_switch(events, 86400, hot=hot),
-    ):
-        assert rows_of(run(users)) == rows_of(run([]))
+def test_rows_are_not_sorted_by_key_alone(skewed):
+    plan = plan_of(lag_by_key(skewed, "user_id", ["event_time", "event_id"], {"prev": "v"}))
+    # Rows move by key and slot; rows inside a slot are groups of their own afterwards.
+    for moved in plan.split("hashpartitioning(user_id#")[1:]:
+        assert "_slot#" in moved.split(")")[0]
+    assert "Sample" not in plan and "approx_top_k" not in plan
+
+
+def test_edges_are_few(skewed):
+    """What shares a group in the second window is bounded by the slots."""
+    slots = skewed.groupBy("user_id").agg(
+        F.count_distinct(F.floor(F.unix_seconds("event_time") / 3600)).alias("n"))
+    assert slots.filter("user_id = 'bot'").first()["n"] <= 6
+
+
+@pytest.mark.parametrize("name", ["session_durations", "session_duration_histogram",
+                                  "rule_multiple_failed", "rule_unusual_location",
+                                  "rule_device_switch", "metrics_snapshot", "encode_json"])
+def test_building_a_query_runs_no_job(spark, name):
+    group = f"build-{name}"
+    spark.sparkContext.setJobGroup(group, name)
+    try:
+        catalog()[name](spark, SMALL)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_operators_do_not_depend_on_the_slots(events, monkeypatch):
+    def results():
+        return [rows_of(df) for df in (
+            sessions.session_durations(events), rules.multiple_failed_attempts(events, 3),
+            rules.multiple_failed_attempts(events, 1), rules.unusual_location(events),
+            rules.rapid_device_switch(events, 86400))]
+
+    narrow = results()
+    monkeypatch.setattr(skew.lag_by_key, "__defaults__", (1, 3 * 3600))
+    assert results() == narrow
+    assert rows_of(sessions.session_durations(events, 10**7)) == narrow[0]

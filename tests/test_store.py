@@ -1,5 +1,9 @@
 """Event store: routing into tables, repeated batches, pruning."""
 
+import datetime as dt
+import json
+from types import SimpleNamespace
+
 import pytest
 from conftest import SMALL, plan_of, rows_of
 from pyspark.sql import functions as F
@@ -16,17 +20,30 @@ def raw(spark):
     return testbed.raw_messages(spark, SMALL)
 
 
+# The time of messages that carry none.
+def stamp():
+    return F.lit("2024-01-31 00:00:00").cast("timestamp")
+
+
+def filled(store, raw):
+    store.append(raw.filter("event_id < 500"), 0, default_time=stamp())
+    store.append(raw.filter("event_id >= 500"), 1, default_time=stamp())
+    store.append(raw.filter("event_id >= 500"), 1, default_time=stamp())  # repeated
+    return store
+
+
 @pytest.fixture(scope="module")
 def store(spark, raw, tmp_path_factory):
-    made = EventStore(spark, str(tmp_path_factory.mktemp("store")))
-    made.append(raw.filter("event_id < 500"), 0)
-    made.append(raw.filter("event_id >= 500"), 1)
-    made.append(raw.filter("event_id >= 500"), 1)  # repeated
-    return made
+    return filled(EventStore(spark, str(tmp_path_factory.mktemp("store"))), raw)
+
+
+def valid_of(raw):
+    return ingest.valid_events(raw, default=stamp()).withColumn(
+        "failure_reason", F.nullif("failure_reason", F.lit("")))
 
 
 def test_tables_hold_each_message_once(store, raw):
-    valid = ingest.valid_events(raw)
+    valid = valid_of(raw)
     for name, kinds in ((store_module.LOGIN_EVENTS, ["login", "logout"]),
                         (store_module.SECURITY_EVENTS, ["suspicious_activity"]),
                         (store_module.REGISTRATIONS, ["registration"])):
@@ -39,7 +56,7 @@ def test_tables_hold_each_message_once(store, raw):
 
 
 def test_questions_to_the_store(store, raw):
-    valid = ingest.valid_events(raw)
+    valid = valid_of(raw)
     for name, df in store.login_metrics().items():
         twin = {"login_attempts_by_method": store_queries.attempts_by_method,
                 "device_distribution": store_queries.device_distribution,
@@ -70,7 +87,7 @@ def test_filters_reach_the_files(store):
 
 def test_without_rebalance_and_sorted_by_user(spark, raw, store, tmp_path):
     other = EventStore(spark, str(tmp_path / "s"))
-    other.append(raw, 0, rebalance=False)
+    other.append(raw, 0, rebalance=False, default_time=stamp())
     assert rows_of(other.login_events()) == rows_of(store.login_events())
     users_in_file = [r["user_id"] for r in spark.read.parquet(
         f"{other.path}/table=login_events/event_date=2024-01-07/batch=0").collect()]
@@ -84,10 +101,69 @@ def test_table_without_rows(spark, tmp_path):
 
 
 def test_metrics_of_the_store(store, raw):
-    valid = ingest.valid_events(raw)
-    expected = metrics.metrics_snapshot(valid, testbed.AS_OF, testbed.DURATION_BUCKETS,
-                                        ingest.dead_letters(raw))
-    assert rows_of(store.metrics(testbed.AS_OF, testbed.DURATION_BUCKETS)) == rows_of(expected)
+    expected = metrics.metrics_snapshot(valid_of(raw), testbed.AS_OF, testbed.DURATION_BUCKETS,
+                                        ingest.dead_letters(raw), prefix="stored_")
+    got = store.metrics(testbed.AS_OF, testbed.DURATION_BUCKETS)
+    assert rows_of(got) == rows_of(expected)
+    # Event counters of the store are not those of the decoded stream.
+    names = {r["metric"] for r in got.collect()}
+    assert "stored_login_events_total" in names and "login_events_total" not in names
+
+
+def test_stored_rows_are_not_judged_again(spark, tmp_path):
+    """An event without device fields passes once and then counts everywhere."""
+    store = EventStore(spark, str(tmp_path))
+    message = {"event_type": "login", "user_id": "u", "device_info": {}, "success": False,
+               "authentication_method": "2fa", "failure_reason": "",
+               "timestamp": "2024-01-30T12:00:00"}
+    store.append(spark.createDataFrame([(1, json.dumps(message))], "event_id long, value string"),
+                 0)
+    got = {(r["metric"], r["value"]) for r in store.metrics(testbed.AS_OF, (1.0,)).collect()}
+    assert {("stored_login_events_total", 1.0), ("concurrent_users_current", 1.0),
+            ("user_status_current", 1.0), ("security_alerts_current", 1.0)} <= got
+    row = store.security_metrics(testbed.AS_OF).first()
+    assert row["reason"] is None and row["count"] == 1
+
+
+def test_times_that_messages_lack(spark, tmp_path):
+    """The broker's time counts, else the given one; unreadable times are dead letters."""
+    store = EventStore(spark, str(tmp_path))
+    message = {"event_type": "logout", "user_id": "u", "device_info": {"device_id": "d"}}
+    rows = [(0, json.dumps(message), dt.datetime(2024, 1, 5)), (1, json.dumps(message), None),
+            (2, json.dumps({**message, "timestamp": 99999999999999999}), dt.datetime(2024, 1, 6))]
+    store.append(spark.createDataFrame(rows, "event_id long, value string, timestamp timestamp"),
+                 0, default_time=stamp())
+    got = {r["event_id"]: (str(r["event_time"]), str(r["event_date"]))
+           for r in store.rows("login_events").withColumn(
+               "event_time", F.col("event_time").cast("string")).collect()}
+    assert got == {0: ("2024-01-05 00:00:00", "2024-01-05"),
+                   1: ("2024-01-31 00:00:00", "2024-01-31")}
+    errors = store.table("system_errors").select("event_id", "error_type", "event_date").collect()
+    assert [(r[0], r[1], str(r[2])) for r in errors] == [(2, "bad_timestamp", "2024-01-06")]
+
+
+def test_compaction_changes_no_answer(spark, raw, tmp_path):
+    store = EventStore(spark, str(tmp_path / "s"))
+    for batch in (0, 1):
+        store.append(raw.filter(f"event_id % 2 = {batch}"), batch, default_time=stamp())
+
+    def answers():
+        return [rows_of(df) for df in (
+            store.login_events(), store.security_events(), store.system_errors(), store.users(),
+            store.security_metrics(testbed.AS_OF),
+            store.metrics(testbed.AS_OF, testbed.DURATION_BUCKETS))]
+
+    before = answers()
+    assert store.compact(dt.date(2024, 1, 20)) > 10
+    assert answers() == before
+    assert store.compact(dt.date(2024, 1, 20)) == 0
+    days = {p.name: len(list(p.glob("batch=*")))
+            for p in (tmp_path / "s" / "table=login_events").glob("event_date=*")}
+    assert all(n == 1 for day, n in days.items() if day < "event_date=2024-01-20")
+    assert any(n == 2 for day, n in days.items() if day >= "event_date=2024-01-20")
+    # The batch that the joined files stand for can still be repeated for open dates.
+    store.append(raw.filter("event_id < 0"), 7, default_time=stamp())
+    assert answers() == before
 
 
 def test_event_id_from_partition_and_offset(spark):
@@ -96,6 +172,14 @@ def test_event_id_from_partition_and_offset(spark):
     assert len(set(ids)) == 3 and ids[1] + 1 == ids[2]
 
 
+def test_shared_folder_without_a_setting_is_below_the_warehouse(spark):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    conf = SimpleNamespace(get=lambda key, *default: {
+        "spark.sql.warehouse.dir": warehouse}.get(key, *default))
+    session = SimpleNamespace(conf=conf, _jvm=spark._jvm, _jsc=spark._jsc)
+    assert shared_folder(session).startswith(warehouse)
+
+
 def test_shared_folder_is_below_the_session_setting(spark):
     folder = shared_folder(spark)
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))

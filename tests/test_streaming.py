@@ -1,5 +1,7 @@
 """Streams: several files, restarts, repeated epochs, late rows."""
 
+import datetime as dt
+import json
 import shutil
 from pathlib import Path
 
@@ -8,14 +10,23 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from conftest import SMALL, rows_of
+from pyspark.sql import functions as F
 
 from gatewatch import run
-from gatewatch.operators import ingest, metrics, rates, sessions, users
+from gatewatch.operators import (
+    ingest,
+    metrics,
+    rates,
+    rules,
+    sessions,
+    store_queries,
+    users,
+)
 from gatewatch.plans import testbed
 from gatewatch.sources.files import parquet_stream
-from gatewatch.sources.folders import complete_versions
+from gatewatch.sources.folders import complete_versions, sub_folders
 from gatewatch.sources.store import EventStore
-from gatewatch.streaming import jobs
+from gatewatch.streaming import gauges, jobs
 from gatewatch.streaming.sessions import pairing
 from gatewatch.streaming.sinks import (
     changes_sink,
@@ -94,7 +105,6 @@ def test_counters_and_profiles_and_trend(spark, events, parts, inbox, base):
         metrics.counter(events, "active_sessions_by_device"))
     assert rows_of(read_changes(spark, f"{base}/user_profiles", jobs.PROFILE_KEYS)) == rows_of(
         users.user_profiles(events))
-    # The files are in time order, so the short watermark drops nothing.
     assert rows_of(read_changes(spark, f"{base}/activity_trend", jobs.TREND_KEYS)) == rows_of(
         sessions.activity_trend(events))
 
@@ -104,7 +114,76 @@ def test_session_durations_over_restarts(spark, events, parts, inbox, base):
         deliver(parts, inbox, *numbers)
         jobs.start_session_durations(stream(spark, inbox), base, every=None).awaitTermination()
     got = spark.read.parquet(f"{base}/session_durations")
-    assert rows_of(got) == rows_of(sessions.session_durations(events))
+    assert rows_of(got.filter("NOT late").drop("late")) == rows_of(
+        sessions.session_durations(events))
+
+
+def test_files_out_of_order_lose_nothing(spark, events, parts, inbox, base):
+    """Every logout gives one row and every event counts, whatever the order of files."""
+    for number in (2, 0, 3, 1):
+        deliver(parts, inbox, number)
+        live = stream(spark, inbox)
+        jobs.await_each([
+            jobs.start_session_durations(live, base, every=None),
+            jobs.start_activity_trend(live, base, every=None),
+            jobs.start_failed_windows(live, base, every=None)])
+    got = spark.read.parquet(f"{base}/session_durations")
+    expected = sessions.session_durations(events)
+    assert rows_of(got.select("event_id")) == rows_of(expected.select("event_id"))
+    assert got.filter("session_duration < 0").count() == 0
+    assert got.filter("late").count() > 0
+    assert got.filter("late AND session_duration IS NOT NULL").count() == 0
+    assert rows_of(read_changes(spark, f"{base}/activity_trend", jobs.TREND_KEYS)) == rows_of(
+        sessions.activity_trend(events))
+    assert rows_of(read_changes(spark, f"{base}/failed_windows", jobs.FAILED_WINDOW_KEYS)) == (
+        rows_of(rules.failed_windows(events)))
+
+
+def test_a_named_watermark_counts_what_it_drops(spark, parts, inbox, base):
+    dropped = 0
+    for number in (3, 0):
+        deliver(parts, inbox, number)
+        query = jobs.start_activity_trend(stream(spark, inbox), base, watermark="1 minute",
+                                          every=None)
+        query.awaitTermination()
+        dropped += jobs.dropped_rows(query)
+    assert dropped > 0
+
+
+def test_poison_does_not_stop_the_store(spark, inbox, base):
+    good = {"event_type": "logout", "user_id": "u", "device_info": {}, "timestamp": 1704067200000}
+    rows = [(i, json.dumps({**good, "timestamp": t}))
+            for i, t in enumerate([99999999999999999, 1704067200000000000, 1704067200000])]
+    spark.createDataFrame(rows, "event_id long, value string").coalesce(1).write.mode(
+        "append").parquet(str(inbox))
+    store = EventStore(spark, f"{base}/store")
+    messages = parquet_stream(spark, str(inbox), "event_id long, value string")
+    jobs.start_store(messages, store, base, None).awaitTermination()
+    assert store.login_events().count() == 1
+    assert {r["error_type"] for r in store.system_errors().collect()} == {"bad_timestamp"}
+    assert store.system_errors().count() == 2
+
+
+def test_gauges_over_restarts(spark, events, parts, inbox, base):
+    stored = ingest.storable(events)
+    seen = None
+    for count, numbers in ((1, (0,)), (3, (1, 2)), (4, (3,))):
+        deliver(parts, inbox, *numbers)
+        jobs.await_each(gauges.start_gauges(ingest.storable(stream(spark, inbox)), base, None))
+        part = spark.read.schema(testbed.EVENTS_SCHEMA).parquet(str(inbox))
+        seen = ingest.storable(testbed.to_login_events(part))
+        active = store_queries.active_sessions(seen, columns=metrics.ACTIVE_COLUMNS)
+        got = {(r["metric"], tuple(sorted(r["labels"].items()))): r["value"]
+               for r in gauges.read_gauges(spark, base, dt.datetime(2024, 1, 31)).collect()}
+        for row in metrics.active_by_device(active).collect():
+            label = (("device_type", row["device_type"]),)
+            assert got["active_sessions_current", label] == row["active_sessions"]
+            assert got["unique_devices_active", label] == row["unique_devices"]
+        assert got["concurrent_users_current", (("user_type", "total"),)] == active.count()
+        alerts = store_queries.recent_failures(seen, testbed.AS_OF).collect()
+        assert sum(v for (m, _), v in got.items() if m == "security_alerts_current") == sum(
+            r["count"] for r in alerts)
+    assert seen.count() == stored.count()
 
 
 def test_decoded_stream_feeds_the_rate_tables(spark, inbox, base):
@@ -135,8 +214,8 @@ def test_entry_points_on_kafka_shaped_messages(spark, inbox, base):
     kafka_like = testbed.kafka_rows(raw).drop("event_id")
     kafka_like.coalesce(1).write.mode("append").parquet(str(inbox))
     messages = ingest.envelope(parquet_stream(spark, str(inbox), kafka_like.schema))
-    jobs.await_each(run.start_analytics(messages, f"{base}/a", drain=True))
-    jobs.await_each(run.start_analytics(messages, f"{base}/b", shared=True, drain=True))
+    jobs.await_each(run.start_analytics(messages, f"{base}/a", shared=False, drain=True))
+    jobs.await_each(run.start_analytics(messages, f"{base}/b", drain=True))
     for name in jobs.TRIGGERS:
         assert (rows_of(read_snapshot(spark, f"{base}/a/{name}"))
                 == rows_of(read_snapshot(spark, f"{base}/b/{name}")))
@@ -145,8 +224,8 @@ def test_entry_points_on_kafka_shaped_messages(spark, inbox, base):
     columns = ["user_id", "event_time", "device_id"]
     assert (rows_of(jobs.read_active_sessions(spark, base).select(columns))
             == rows_of(store.active_sessions().select(columns)))
-    profiles = read_changes(spark, f"{base}/user_profiles", jobs.PROFILE_KEYS)
-    assert rows_of(profiles) == rows_of(users.user_profiles(store.login_events()))
+    table = read_changes(spark, f"{base}/users_table", jobs.USERS_KEYS)
+    assert rows_of(table) == rows_of(store.users())
     samples = read_snapshot(spark, f"{base}/counters")
     flat = ingest.flatten(ingest.with_event_time(ingest.decode(raw)))
     logins = samples.filter("metric = 'login_events_total'").first()["value"]
@@ -185,8 +264,37 @@ def test_changes_are_merged_and_repeatable(spark, base):
         sink(batch, epoch)  # repeated after a failure
     expected = numbers(spark, ("a", 70), ("b", 1), *[(f"c{e}", e) for e in range(1, 8)])
     assert rows_of(read_changes(spark, base, ["k"])) == rows_of(expected)
-    assert len(complete_versions(spark, base, "base")) <= 2
     assert complete_versions(spark, base, "epoch")[0] > 2
+    before = numbers(spark, ("a", 60), ("b", 1), *[(f"c{e}", e) for e in range(1, 7)])
+    assert rows_of(read_changes(spark, base, ["k"], until=6)) == rows_of(before)
+
+
+def test_only_changed_buckets_are_written_again(spark, base):
+    sink = changes_sink(base, ["k"], merge_every=2, bucket=F.substring("k", 1, 1))
+    sink(numbers(spark, ("a1", 1), ("b1", 1), ("c1", 1)), 0)
+    sink(numbers(spark, ("a2", 1)), 1)
+    sink(numbers(spark, ("b2", 2)), 2)
+    assert sub_folders(spark, f"{base}/base=2") == ["bucket=a", "bucket=b", "bucket=c"]
+    sink(numbers(spark, ("a1", 3)), 3)
+    sink(numbers(spark, ("a1", 4)), 4)
+    assert sub_folders(spark, f"{base}/base=4") == ["bucket=a"]
+    sink(numbers(spark, ("a1", 5)), 5)
+    sink(numbers(spark, ("a3", 6)), 6)
+    # What is covered goes, and only that.
+    assert "bucket=a" not in sub_folders(spark, f"{base}/base=2")
+    assert rows_of(read_changes(spark, base, ["k"])) == rows_of(numbers(
+        spark, ("a1", 5), ("a2", 1), ("a3", 6), ("b1", 1), ("b2", 2), ("c1", 1)))
+    assert rows_of(read_changes(spark, base, ["k"], ["b"])) == rows_of(
+        numbers(spark, ("b1", 1), ("b2", 2)))
+    assert read_changes(spark, base, ["k"], ["z"]).count() == 0
+
+
+def test_a_repeated_epoch_leaves_what_was_committed(spark, base):
+    sink = snapshot_sink(base)
+    sink(numbers(spark, ("a", 1)), 0)
+    files = sorted(p.name for p in Path(f"{base}/epoch=0").iterdir())
+    sink(numbers(spark, ("a", 1)), 0)
+    assert sorted(p.name for p in Path(f"{base}/epoch=0").iterdir()) == files
 
 
 class FakeState:
@@ -217,15 +325,29 @@ def durations(frames):
     return [None if pd.isna(v) else v for f in frames for v in f["session_duration"]]
 
 
-def test_state_function_sorts_pairs_and_drops_late_rows():
+def test_state_function_sorts_pairs_and_marks_late_rows():
     state = FakeState()
     pair = pairing()
     first = pair(("u",), iter([marks((5_000_000, "logout"), (1_000_000, "login"))]), state)
     assert durations(first) == [4.0]
-    again = pair(("u",), iter([marks((9_000_000, "login"), (2_000_000, "logout"))]), state)
-    assert durations(again) == []  # older than what was seen
-    last = pair(("u",), iter([marks((10_000_000, "logout"), (11_000_000, "logout"))]), state)
+    again = list(pair(("u",), iter([marks((9_000_000, "login"), (2_000_000, "logout"))]), state))
+    assert durations(again) == [None]  # older than what was seen
+    assert again[0]["late"].tolist() == [True]
+    last = list(pair(("u",), iter([marks((10_000_000, "logout"), (11_000_000, "logout"))]), state))
     assert durations(last) == [1.0, None]
+    assert not any(last[0]["late"])
+    late_login = pair(("u",), iter([marks((1, "login"))]), state)
+    assert durations(late_login) == []
+    assert durations(pair(("u",), iter([marks((12_000_000, "logout"))]), state)) == [None]
+
+
+def test_portions_of_a_user_with_many_rows():
+    state, pair = FakeState(), pairing(portion_rows=2)
+    chunks = [marks((1_000_000, "login"), (3_000_000, "logout")),
+              marks((2_000_000, "logout"), (5_000_000, "login")), marks((6_000_000, "logout"))]
+    frames = list(pair(("u",), iter(chunks), state))
+    assert durations(frames) == [2.0, None, 1.0]
+    assert [x for f in frames for x in f["late"]] == [False, True, False]
 
 
 def test_state_function_forgets_idle_users():
@@ -237,13 +359,6 @@ def test_state_function_forgets_idle_users():
     assert durations(pair(("u",), iter([]), state)) == [] and not state.exists
 
 
-def test_late_rows_can_be_applied():
-    state = FakeState()
-    pair = pairing(drop_late=False)
-    list(pair(("u",), iter([marks((5_000_000, "login"))]), state))
-    assert durations(pair(("u",), iter([marks((2_000_000, "logout"))]), state)) == [-3.0]
-
-
 EVENTS = st.lists(st.tuples(st.integers(1, 50), st.sampled_from(["login", "logout"])), max_size=30)
 
 
