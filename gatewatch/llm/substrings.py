@@ -23,10 +23,10 @@ from gatewatch.llm.common import arrow_type
 from gatewatch.llm.packing import pack, pack_counts, range_slices, unpack, unpack_counts
 
 # Text that one block of documents holds, about.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 # Text that is looked at in one go for anchors, and that is sorted in one go.
-PART_BYTES = 1 << 20
-SORT_BYTES = 1 << 19
+PART_BYTES = 1 << 18
+SORT_BYTES = 1 << 18
 # Different pieces under one anchor that are sorted together; where there are
 # more, their windows meet one by one.
 CROWD = 1000
@@ -163,7 +163,8 @@ class Block:
             first = np.flatnonzero(new)
             count = np.diff(first, append=len(window))
             start = window[first]
-            found.append((gram[least[first]],
+            # Least digests are small numbers; stirred again they fill the ranges evenly.
+            found.append((_stirred(gram[least[first]] + np.uint64(1)),
                           digests.of(start, start + count + s.width - 1, 1),
                           start + a, count))
         columns = [np.concatenate(x) for x in zip(*found)] if found else [
@@ -308,15 +309,12 @@ def _send(rows: pa.Table, replies: pa.Table, buckets: int, settings: Settings) -
 
 def _window_digests(block: Block, places: np.ndarray, width: int):
     """Both digests of the windows at ascending places."""
-    out = []
-    for a in range(0, len(places), PART_BYTES):
-        part = places[a:a + PART_BYTES]
-        # Stretches of text without large gaps, so that no long prefix is summed.
-        cuts = np.flatnonzero(np.diff(part) > 4 * PART_BYTES) + 1
-        for run in np.split(part, cuts):
-            low, high = int(run[0]), int(run[-1]) + width
-            digests = Digests(block.data[low:high], _powers(high - low))
-            out.append([digests.of(run - low, run - low + width, k) for k in (0, 1)])
+    powers, out = _powers(PART_BYTES + width), []
+    cuts = np.flatnonzero(np.diff(places // PART_BYTES)) + 1
+    for part in np.split(places, cuts):
+        low = int(part[0])
+        digests = Digests(block.data[low:int(part[-1]) + width], powers)
+        out.append([digests.of(part - low, part - low + width, k) for k in (0, 1)])
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -494,7 +492,9 @@ def find_repeats(df: DataFrame, settings: Settings = Settings(),
     only pieces that differ under an anchor that others have. A task sorts
     pieces in portions of whole anchors. An anchor with over ``crowd`` pieces is not
     sorted in one task: its windows meet by digests of 128 bits, each in its own
-    range. What a task holds is bounded by the block and the range.
+    range. What a task holds is bounded by the block and the range; as the rows between
+    them grow with the square of the text over ``block_bytes``, executors with more
+    memory are better served by larger blocks.
     """
     kept = [c for c in df.columns if c.lower() not in ("repeat_spans", "_block")]
     spark = df.sparkSession
