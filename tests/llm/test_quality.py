@@ -1,0 +1,78 @@
+"""Quality scores: held-out accuracy, the kernel, calibration, awkward rows."""
+
+import numpy as np
+from brute import awkward
+from conftest import MEDIUM
+from pyspark.sql import functions as F
+
+from gatewatch.llm import quality, queries
+from gatewatch.llm.quality import Model, Settings
+
+
+def test_held_out_accuracy(spark):
+    got = queries.op9_quality(spark, MEDIUM).collect()
+    labels = {r["doc_id"]: r["quality"]
+              for r in spark.read.parquet(f"{MEDIUM}/labels.parquet").collect()}
+    assert len(got) == 1000 and all(0 <= r["score"] <= 1 for r in got)
+    assert all(r["predicted"] == int(r["score"] >= 0.3) for r in got)
+    held = [(r["score"], labels[r["doc_id"]], r["predicted"]) for r in got
+            if r["held_out"] and r["doc_id"] in labels]
+    ones = [s for s, y, _ in held if y]
+    zeros = [s for s, y, _ in held if not y]
+    assert np.mean([(a > b) + 0.5 * (a == b) for a in ones for b in zeros]) > 0.95
+    assert np.mean([y == p for _, y, p in held]) > 0.95
+    assert np.mean([p for _, y, p in held if y]) > 0.98
+
+
+def test_features_approximate_a_gaussian_kernel():
+    s = Settings(features=20_000, width=2.0)
+    x = np.random.default_rng(1).normal(size=(5, 3))
+    z = quality._features(x, np.zeros(3), np.ones(3), *quality._projection(s, 3))[:, :-1]
+    squares = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    assert np.abs(z @ z.T - np.exp(-squares / (2 * s.width**2))).max() < 0.03
+
+
+def test_sums_of_partitions_give_the_ridge_solution(spark):
+    rng = np.random.default_rng(4)
+    width = len(quality.statistics(""))
+    x = rng.normal(size=(200, width))
+    y = (x[:, 0] > 0).astype(float)
+    rows = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)],
+                                 "statistics array<double>, label double")
+    s = Settings(features=16)
+    models = [quality.fit(rows.repartition(n), "label", settings=s) for n in (1, 7)]
+    assert np.allclose(models[0].weights, models[1].weights)
+    mean, scale = x.mean(axis=0), x.std(axis=0)
+    z = quality._features(x, mean, scale, *quality._projection(s, width))
+    penalty = np.full(17, s.ridge * 200 / 16)
+    penalty[-1] = 1e-9
+    assert np.allclose(models[0].weights, np.linalg.solve(z.T @ z + np.diag(penalty), z.T @ y))
+
+
+def test_calibration_pools_what_is_out_of_order():
+    model = Model(Settings(), np.zeros(1), np.ones(1), np.zeros(2), np.zeros(0), np.zeros(0))
+    at = np.array([100, 200, 300, 400])
+    made = quality._calibrated(model, at, np.array([10., 10., 10., 10.]), np.array([1., 6., 4., 9.]))
+    assert len(made.knots) == 3 and (np.diff(made.values) > 0).all()
+    assert abs(made.values[1] - 10.5 / 21) < 1e-12
+    assert abs(made.knots[1] - (250 / made.settings.bins * 3 - 1)) < 1e-12
+
+
+def test_statistics_of_any_text():
+    for text in ("", " ", "\n\n", "a", "É" * 50_000, "x " * 100_000, "| a |\n| b |", "\x00"):
+        values = quality.statistics(text)
+        assert len(values) == len(quality.statistics("")) and np.isfinite(values).all()
+
+
+def test_awkward_documents(spark):
+    df = awkward(spark)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (5, 1), (5, 0), (None, 1), (6, None), (99, 0)],
+                                   "doc_id long, quality int")
+    got = quality.learn_and_score(df, labels)
+    assert got.columns == ["doc_id", "score"]
+    rows = got.collect()
+    assert len(rows) == df.count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert len({r["score"] for r in rows if r["doc_id"] in (1, 2)}) == 1
+    for none in (labels.limit(0), labels.where(F.col("quality").isNull())):
+        assert len({r["score"] for r in quality.learn_and_score(df, none).collect()}) <= 10
+    assert quality.learn_and_score(df.limit(0), labels).collect() == []
