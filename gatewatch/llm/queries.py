@@ -113,6 +113,52 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(substrings.find_repeats(docs)).drop("text")
 
 
+# Words of a text: A-Z in lower case, all other ASCII but digits and letters parts them.
+WORDS_SQL = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+OP5_SQL = """WITH doc_words AS (SELECT doc_id, {words} AS w FROM documents),
+item_words AS (
+  SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item, {words} AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item, least(len(w), {w}) AS n, array_to_string(w[k:k + least(len(w), {w}) - 1], ' ') AS window_text
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {w1}, 1) + 1)) AS k FROM item_words WHERE len(w) > 0)),
+doc_windows AS (
+  SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS window_text
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k
+        FROM doc_words, (SELECT DISTINCT n FROM item_windows))),
+hits AS (SELECT doc_id, item, k, n FROM doc_windows JOIN item_windows USING (n, window_text)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+  SELECT doc_id, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT doc_id, k, n FROM hits)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+          FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""".format(words=WORDS_SQL, w=WINDOW_WORDS, w1=WINDOW_WORDS - 1)
+
+OP10_SQL = """WITH docs AS (SELECT doc_id, encode(coalesce(text, '')) AS data FROM documents),
+windows AS (
+  SELECT doc_id, k, data[k:k + 99] AS part
+  FROM (SELECT doc_id, data, unnest(range(1, octet_length(data) - 98)) AS k FROM docs)),
+again AS (
+  SELECT doc_id, k FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, k) AS place FROM windows)
+  WHERE place > 1),
+runs AS (
+  SELECT doc_id, min(k) AS first, max(k) + 99 AS last FROM (
+    SELECT doc_id, k, sum(new) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM (
+      SELECT doc_id, k, CASE WHEN k - lag(k) OVER (PARTITION BY doc_id ORDER BY k) <= 100 THEN 0 ELSE 1 END AS new
+      FROM again))
+  GROUP BY doc_id, run),
+cuts AS (SELECT doc_id, list(struct_pack(first := first, last := last) ORDER BY first) AS cuts FROM runs GROUP BY doc_id)
+SELECT doc_id, octet_length(data)::BIGINT AS n_bytes,
+  coalesce(list_sum([x.last - x.first + 1 for x in cuts]), 0)::BIGINT AS n_removed,
+  coalesce(len(cuts), 0)::BIGINT AS n_spans,
+  sha256(CASE WHEN cuts IS NULL THEN data ELSE unhex(array_to_string(list_transform(range(0, len(cuts) + 1),
+    lambda i: hex(data[(CASE WHEN i = 0 THEN 1 ELSE cuts[i].last + 1 END):
+                       (CASE WHEN i = len(cuts) THEN octet_length(data) ELSE cuts[i + 1].first - 1 END)])), '')) END) AS kept_sha256
+FROM docs LEFT JOIN cuts USING (doc_id)"""
+
+
 def queries() -> dict[str, Query]:
     found = [op1_token_counts, op2_feistel_shards, op3_piece_round_trip, op4_toxicity,
              op5_decontamination, op6_neighbours,
@@ -121,4 +167,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_feistel_shards": OP2_SQL}
+    return {"op2_feistel_shards": OP2_SQL, "op5_decontamination": OP5_SQL,
+            "op10_suffix_dedup": OP10_SQL}

@@ -5,8 +5,9 @@ import re
 import subprocess
 import sys
 
+import duckdb
 import pytest
-from conftest import ROOT
+from conftest import MEDIUM, ROOT, rows_of
 
 import __spark_entry__ as entry_module
 
@@ -38,6 +39,19 @@ def test_columns_at_the_smallest_size(spark, n):
     assert df.count() == (25 * 20 if n == 6 else 200)
 
 
+@pytest.mark.parametrize("name", sorted(n for n in entry_module.oracle_sql() if n[:2] == "op"))
+def test_equal_to_sql(spark, name):
+    connection = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{MEDIUM}/{table}.parquet'")
+    result = connection.execute(entry_module.oracle_sql()[name])
+    names = [c[0] for c in result.description]
+    rows = [dict(zip(names, r)) for r in result.fetchall()]
+    df = entry_module.queries()[name](spark, MEDIUM)
+    assert sorted(df.columns) == sorted(names)
+    assert rows_of(df) == sorted(tuple(repr(r[n]) for n in sorted(names)) for r in rows)
+
+
 def test_the_rest_works_without_the_subpackage():
     """As if both folders and the pipeline were gone."""
     code = """
