@@ -10,7 +10,6 @@ import argparse
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from gatewatch.operators import ingest
 from gatewatch.session import build_session
 from gatewatch.sources import kafka
 from gatewatch.sources.store import EventStore, with_event_id
@@ -28,15 +27,22 @@ def start_analytics(messages: DataFrame, base: str, shared: bool = True,
 
 
 def start_monitoring(messages: DataFrame, base: str, drain: bool = False) -> list[StreamingQuery]:
-    """Event store, counters and places, gauges, durations, users and trend."""
-    messages = with_event_id(messages)
-    seen = jobs.decoded_events(messages)
-    stored = ingest.valid_events(messages)
+    """Event store, counters and places, gauges, durations, users and trend.
+
+    One query reads and parses the messages; the others read what it has decoded.
+    """
+    spark = messages.sparkSession
     every = None if drain else jobs.SINGLE_QUERY_TRIGGER
     often = None if drain else jobs.METRICS_TRIGGER
+    decoding = jobs.start_decoded(with_event_id(messages), base, often)
+    if drain:
+        decoding.awaitTermination()
+    seen = jobs.decoded_stream(spark, base)
+    stored = jobs.valid_rows(seen)
     return [
-        jobs.start_store(messages, EventStore(messages.sparkSession, f"{base}/store"), base,
-                         None if drain else jobs.STORE_TRIGGER),
+        decoding,
+        jobs.start_store_rows(seen, EventStore(spark, f"{base}/store"), base,
+                              None if drain else jobs.STORE_TRIGGER),
         jobs.start_counters(seen, base, often),
         jobs.start_place_counts(seen, base, often),
         *gauges.start_gauges(stored, base, often),

@@ -50,6 +50,11 @@ def complete_versions(spark: SparkSession, folder: str, prefix: str) -> list[int
     return sorted(int(s.getPath().getParent().getName().split("=", 1)[1]) for s in found)
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    path, fs = _path(spark, folder)
+    fs.mkdirs(path)
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     path, fs = _path(spark, folder)
     fs.delete(path, True)

@@ -51,15 +51,17 @@ def with_event_id(messages: DataFrame) -> DataFrame:
         "event_id", F.shiftleft(F.col("partition").cast("bigint"), 48) + F.col("offset"))
 
 
-def routed_rows(messages: DataFrame, default_time: Column | None = None) -> DataFrame:
+def routed_rows(messages: DataFrame, default_time: Column | None = None,
+                unknown: bool = False) -> DataFrame:
     """Every message to keep, with the table it belongs to.
 
+    Messages of no known kind are dropped, or kept without a table if ``unknown``.
     A message without a time gets the broker's, else ``default_time``, else the
     current time; a rejected one is dated in the same way. An empty failure
     reason counts as missing.
 
     Valid events and rejected messages share one projection, so the messages
-    are parsed once and written once. Messages of no known kind are dropped.
+    are parsed once and written once.
     """
     text = F.col("value").cast("string")
     default_time = F.current_timestamp() if default_time is None else default_time
@@ -68,7 +70,9 @@ def routed_rows(messages: DataFrame, default_time: Column | None = None) -> Data
     rejected = F.col("error_type").isNotNull()
     stamps = ["event_time", *(["broker_time"] if "broker_time" in rows.columns else [])]
     dated = F.to_date(F.coalesce(*stamps, default_time.cast("timestamp")))
-    rows = rows.filter(rejected | (F.col("route") != UNKNOWN)).withColumns({
+    if not unknown:
+        rows = rows.filter(rejected | (F.col("route") != UNKNOWN))
+    rows = rows.withColumns({
         "table": F.when(rejected, SYSTEM_ERRORS)
                   .when(F.col("route").isin(LOGIN, LOGOUT), LOGIN_EVENTS)
                   .when(F.col("route") == SUSPICIOUS, SECURITY_EVENTS)
@@ -97,13 +101,20 @@ class EventStore:
                default_time: Column | None = None) -> None:
         """Store one batch of messages; a repeated batch replaces itself.
 
+        See ``append_rows``.
+        """
+        self.append_rows(routed_rows(messages, default_time), batch, rebalance)
+
+    def append_rows(self, rows: DataFrame, batch: int, rebalance: bool = True) -> None:
+        """Store one batch of rows as ``routed_rows`` gives them.
+
         Only the folders of this batch are overwritten. The rebalance keeps the
         files of a date together, and lets AQE split a date that holds far more
         rows than others; a load whose input is in time order already can save
         that shuffle. Rows are sorted by user inside the files, so a question
         about one user skips most row groups.
         """
-        rows = routed_rows(messages, default_time).withColumn("batch", F.lit(batch).cast("bigint"))
+        rows = rows.withColumn("batch", F.lit(batch).cast("bigint"))
         if rebalance:
             rows = rows.hint("rebalance", "table", "event_date")
         (rows.sortWithinPartitions("table", "event_date", "batch", "user_id")

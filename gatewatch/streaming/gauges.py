@@ -54,8 +54,9 @@ def _device_effects(sessions: DataFrame, step: int) -> DataFrame:
 def device_sessions_sink(base: str) -> Sink:
     """Latest session rows, and from their changes the active sessions per device.
 
-    The rows that the changed users had before are read from their buckets only.
-    Both tables are read as of the epoch before, so a repeated epoch gives the same.
+    The changed rows are written first and read from there. What the changed users
+    had before is read from their buckets only, and as of the epoch before, so a
+    repeated epoch gives the same.
     """
     sessions, devices = f"{base}/latest_sessions", f"{base}/device_sessions"
     write_sessions = changes_sink(sessions, jobs.SESSION_KEYS)
@@ -63,29 +64,20 @@ def device_sessions_sink(base: str) -> Sink:
 
     def write(df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
-        df = df.persist()
-        try:
-            effects = _device_effects(df, 1)
-            if epoch:
-                touched = _buckets_of(df, jobs.SESSION_KEYS)
-                old = read_changes(spark, sessions, jobs.SESSION_KEYS, touched, epoch - 1)
-                effects = effects.unionByName(_device_effects(
-                    old.join(df.select("user_id"), "user_id", "left_semi"), -1))
-            effects = effects.persist()
-            if epoch:
-                before = read_changes(spark, devices, DEVICE_KEYS,
-                                      _buckets_of(effects, DEVICE_KEYS), epoch - 1)
-                changed = effects.select(F.struct(*DEVICE_KEYS).alias("key")).distinct()
-                before = before.join(changed, F.struct(*DEVICE_KEYS).eqNullSafe(F.col("key")),
-                                     "left_semi")
-                values = effects.unionByName(before)
-            else:
-                values = effects
-            write_devices(values.groupBy(*DEVICE_KEYS).agg(F.sum("n").alias("n")), epoch)
-            write_sessions(df, epoch)
-            effects.unpersist()
-        finally:
-            df.unpersist()
+        write_sessions(df, epoch)
+        new = spark.read.schema(df.schema).parquet(f"{sessions}/epoch={epoch}")
+        values = _device_effects(new, 1)
+        if epoch:
+            touched = _buckets_of(new, jobs.SESSION_KEYS)
+            old = read_changes(spark, sessions, jobs.SESSION_KEYS, touched, epoch - 1, new)
+            values = values.unionByName(_device_effects(
+                old.join(new.select("user_id"), "user_id", "left_semi"), -1))
+            changed = values.select(F.struct(*DEVICE_KEYS).alias("key")).distinct()
+            before = read_changes(spark, devices, DEVICE_KEYS,
+                                  _buckets_of(values, DEVICE_KEYS), epoch - 1, values)
+            values = values.unionByName(before.join(
+                changed, F.struct(*DEVICE_KEYS).eqNullSafe(F.col("key")), "left_semi"))
+        write_devices(values.groupBy(*DEVICE_KEYS).agg(F.sum("n").alias("n")), epoch)
     return write
 
 

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from gatewatch.functions import is_kind, success_count
 from gatewatch.operators import (
@@ -20,7 +21,8 @@ from gatewatch.operators import (
     users,
 )
 from gatewatch.schema import LOGIN
-from gatewatch.sources.store import EventStore
+from gatewatch.sources.folders import make_folder
+from gatewatch.sources.store import ERROR_COLUMNS, STORE_SCHEMA, EventStore, routed_rows
 from gatewatch.streaming.sessions import session_duration_stream
 from gatewatch.streaming.sinks import (
     Sink,
@@ -296,6 +298,40 @@ def start_session_durations(events: DataFrame, base: str, idle_ms: int | None =
                 .format("parquet").option("path", f"{base}/session_durations").start())
 
 
+def start_decoded(messages: DataFrame, base: str, every: str | None = METRICS_TRIGGER,
+                  default_time: Column | None = None) -> StreamingQuery:
+    """Append every message, decoded, judged and routed, to Parquet files (exactly once).
+
+    The other monitoring queries read these files, so the topic is read and its
+    JSON parsed once however many of them there are.
+    """
+    rows = routed_rows(messages, default_time, unknown=True)
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    make_folder(messages.sparkSession, f"{base}/decoded")
+    return (rows.writeStream.queryName("decoded").outputMode("append").trigger(**trigger)
+            .option("checkpointLocation", f"{base}/checkpoints/decoded")
+            .format("parquet").option("path", f"{base}/decoded").start())
+
+
+def decoded_stream(spark: SparkSession, base: str) -> DataFrame:
+    """What ``start_decoded`` has written; ``table`` is NULL for messages of no known kind."""
+    fields = [f for f in STORE_SCHEMA.fields if f.name != "batch"]
+    return spark.readStream.schema(StructType(fields)).parquet(f"{base}/decoded")
+
+
+def valid_rows(decoded: DataFrame) -> DataFrame:
+    """The valid events among decoded rows."""
+    return (decoded.filter(F.col("table").isNotNull() & F.col("error_type").isNull())
+            .drop("table", "event_date", *ERROR_COLUMNS))
+
+
+def start_store_rows(decoded: DataFrame, store: EventStore, base: str,
+                     every: str | None = STORE_TRIGGER) -> StreamingQuery:
+    """Like ``start_store``, from decoded rows."""
+    return start(decoded.filter(F.col("table").isNotNull()), "event_store", base,
+                 lambda df, epoch: store.append_rows(df, epoch), "append", every)
+
+
 def start_store(messages: DataFrame, store: EventStore, base: str,
                 every: str | None = STORE_TRIGGER,
                 default_time: Column | None = None) -> StreamingQuery:

@@ -125,22 +125,25 @@ def bucket_names(spark: SparkSession, folder: str) -> set[str]:
 
 
 def read_changes(spark: SparkSession, folder: str, keys: Sequence[str],
-                 buckets: Sequence[str] | None = None, until: int | None = None) -> DataFrame:
+                 buckets: Sequence[str] | None = None, until: int | None = None,
+                 like: DataFrame | None = None) -> DataFrame:
     """Newest row per key over the base of each bucket and the epochs after it.
 
-    ``buckets`` reads only these; ``until`` leaves out epochs after that one.
+    ``buckets`` reads only these; ``until`` leaves out epochs after that one. Where no
+    row has been written yet, the result is an empty table with the columns of ``like``.
     """
     bases = [b for b in complete_versions(spark, folder, "base") if until is None or b <= until]
     epochs = complete_versions(spark, folder, "epoch")
     after = [e for e in epochs if (not bases or e > bases[-1]) and (until is None or e <= until)]
-    if not bases and not epochs:
-        raise FileNotFoundError(f"no committed version in {folder}")
     rows = _newest_rows(spark, folder, keys, bases, after, buckets)
-    if rows is None:
-        some = next(e for e in reversed(epochs or bases))
-        kind = "epoch" if epochs else "base"
-        return spark.read.parquet(f"{folder}/{kind}={some}").drop("bucket").limit(0)
-    return rows.drop("bucket")
+    if rows is not None:
+        return rows.drop("bucket")
+    if like is not None:
+        return like.limit(0)
+    for version in [f"base={b}" for b in bases] + [f"epoch={e}" for e in epochs]:
+        if _buckets(spark, f"{folder}/{version}"):
+            return spark.read.parquet(f"{folder}/{version}").drop("bucket").limit(0)
+    raise FileNotFoundError(f"no committed row in {folder}")
 
 
 def _newest_rows(spark: SparkSession, folder: str, keys: Sequence[str], bases: list[int],

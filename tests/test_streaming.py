@@ -289,6 +289,36 @@ def test_only_changed_buckets_are_written_again(spark, base):
     assert read_changes(spark, base, ["k"], ["z"]).count() == 0
 
 
+def test_epochs_without_rows(spark, base):
+    sink = changes_sink(base, ["k"], merge_every=2)
+    none = numbers(spark, ("a", 1)).filter("n > 1")
+    with pytest.raises(FileNotFoundError):
+        read_changes(spark, base, ["k"])
+    sink(none, 0)
+    assert read_changes(spark, base, ["k"], like=none).count() == 0
+    for epoch in (1, 2):
+        sink(none, epoch)
+    sink(numbers(spark, ("a", 3)), 3)
+    sink(none, 4)
+    assert rows_of(read_changes(spark, base, ["k"])) == rows_of(numbers(spark, ("a", 3)))
+
+
+def test_gauge_sink_repeats_and_empty_batches(spark, events, base):
+    """The counts per device follow the latest rows, epoch by epoch."""
+    stored = ingest.storable(events)
+    sink = gauges.device_sessions_sink(base)
+    cuts = ["event_id < 0", "event_id < 200", "event_id < 600", "event_id < 0", "event_id >= 0"]
+    for epoch, cut in enumerate(cuts):
+        seen = stored.filter(cut)
+        latest = store_queries.latest_session_rows(seen, jobs.SESSION_COLUMNS)
+        sink(latest, epoch)
+        sink(latest, epoch)  # repeated
+    got = read_changes(spark, f"{base}/device_sessions", gauges.DEVICE_KEYS).filter("n <> 0")
+    active = store_queries.active_sessions(stored, columns=jobs.SESSION_COLUMNS)
+    assert rows_of(got) == rows_of(active.groupBy(*gauges.DEVICE_KEYS).agg(
+        F.count(F.lit(1)).alias("n")))
+
+
 def test_a_repeated_epoch_leaves_what_was_committed(spark, base):
     sink = snapshot_sink(base)
     sink(numbers(spark, ("a", 1)), 0)
