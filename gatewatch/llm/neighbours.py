@@ -20,7 +20,7 @@ class Settings:
     coarse: int = 2
     width: float = 2.0
     probes: int = 64
-    chunk_rows: int = 4096
+    chunk_rows: int = 2048
     seed: int = 5
 
 
@@ -152,8 +152,11 @@ def _nearest(members: pa.Table, probes: pa.Table, keep: int) -> pa.Table:
 
 
 def _chunked(rows: DataFrame, size: int, own: str, copies: DataFrame, other: str) -> DataFrame:
-    """Rows with their own chunk, once for each chunk of the other side of their cell."""
-    return (rows.join(copies, ["table", "cell"])
+    """Rows with their own chunk, once for each chunk of the other side of their cell.
+
+    The numbers of chunks are broadcast: there are at most tables * 256 ** coarse cells.
+    """
+    return (rows.join(F.broadcast(copies), ["table", "cell"])
             .withColumn(own, F.pmod(F.xxhash64("id"), F.col(f"n_{own}")).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)))
             .drop(f"n_{own}", f"n_{other}"))
