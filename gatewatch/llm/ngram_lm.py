@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 
+from gatewatch.llm.common import release_kept
 from gatewatch.llm.packing import pack, pack_counts, range_slices, unpack, unpack_counts
 
 # Text that one group of documents holds, about; each is counted in one task.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 10 << 20
 # Numbers of the two tokens that no word can be: the start and the end of a text.
 START, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -28,6 +29,7 @@ class Settings:
     share: float = 1.5
     half: float = 0.5
     seed: int = 42
+    text_col: str = "text"
 
 
 def pair_numbers(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -107,10 +109,11 @@ REPLY = ("block int, bucket int, word_n binary, pair_n binary, total bigint, dis
 
 def _request(rows: pa.Table, buckets: int, settings: Settings) -> pa.Table:
     """What a block asks and teaches, one row for each range of numbers."""
-    block = Block(rows["text"].to_pylist(), settings.seed)
-    teaches = rows["teaches"].to_numpy().astype(bool)
+    release_kept()
+    block = Block(rows[settings.text_col].to_pylist(), settings.seed)
+    teaches = rows["_teaches"].to_numpy().astype(bool)
     word_n, pair_n = block.totals(teaches)
-    name = rows["block"][0].as_py()
+    name = rows["_block"][0].as_py()
     out = []
     starts = int(teaches.sum())
     parts = zip(range_slices(block.words, buckets), range_slices(block.pairs, buckets))
@@ -148,7 +151,7 @@ def _reply(rows: pa.Table) -> pa.Table:
 
 def _scored(rows: pa.Table, replies: pa.Table, kept: list[str], settings: Settings) -> pa.Table:
     replies = replies.sort_by("bucket")
-    block = Block(rows["text"].to_pylist(), settings.seed)
+    block = Block(rows[settings.text_col].to_pylist(), settings.seed)
     word_n, pair_n = (np.concatenate([unpack_counts(x) for x in replies[c].to_pylist()])
                       for c in ("word_n", "pair_n"))
     total, distinct, starts = (sum(replies[c].to_pylist())
@@ -158,6 +161,7 @@ def _scored(rows: pa.Table, replies: pa.Table, kept: list[str], settings: Settin
     contexts[block.starts] = starts
     automaton = BackoffAutomaton(words, contexts, pair_n[block.pair_at], total, distinct,
                                  settings)
+
     def per_text(values):
         return np.add.reduceat(values, block.starts)
     return pa.table([*(rows[c] for c in kept),
@@ -167,8 +171,8 @@ def _scored(rows: pa.Table, replies: pa.Table, kept: list[str], settings: Settin
                     names=[*kept, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
-def score_texts(df: DataFrame, teaches: Column, text_col: str = "text",
-                settings: Settings = Settings(), block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score_texts(df: DataFrame, teaches: Column, settings: Settings = Settings(),
+                block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``df`` without its texts, with n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns from all rows for which ``teaches`` holds. Documents are
@@ -177,30 +181,32 @@ def score_texts(df: DataFrame, teaches: Column, text_col: str = "text",
     numbers to the tasks that add them up; each answers every block with the
     totals of just what that block asked. So no task holds a vocabulary beyond
     its range or its block, and a frequent word is one number per block. The
-    block's part of the automaton then scores its texts from left to right.
+    block's part of the automaton then scores its texts from left to right. The rows
+    between blocks and ranges grow with the square of the text over ``block_bytes``:
+    on executors with more memory, larger blocks are the better choice.
 
     Words are known by XXH64: among a thousand million distinct words two share
     a number with a chance of about 3 %. Null texts count as empty, an empty
     text is its end alone. Repeated rows count and come out each. Columns named
     like a result are replaced; an empty table gives an empty one.
     """
-    new = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "block", "teaches")
-    kept = [c for c in df.columns if c.lower() not in new and c != text_col]
-    spark = df.sparkSession
-    size = df.agg(F.sum(F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)))).first()[0]
+    new = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "_block", "_teaches")
+    kept = [c for c in df.columns if c.lower() not in new and c != settings.text_col]
+    spark, text = df.sparkSession, F.col(f"`{settings.text_col}`")
+    size = df.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)))).first()[0]
     blocks = max((size or 0) // block_bytes + 1,
                  int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = df.select(
-        *(F.col(f"`{c}`") for c in kept), F.col(f"`{text_col}`").alias("text"),
-        F.coalesce(teaches, F.lit(False)).alias("teaches"),
-        F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in [*kept, text_col])), F.lit(blocks))
-        .cast("int").alias("block"))
-    replies = (rows.groupBy("block")
+        *(F.col(f"`{c}`") for c in kept), text,
+        F.coalesce(teaches, F.lit(False)).alias("_teaches"),
+        F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in kept), text), F.lit(blocks))
+        .cast("int").alias("_block"))
+    replies = (rows.groupBy("_block")
                .applyInArrow(lambda t: _request(t, blocks, settings), f"{REQUEST}, starts bigint")
                .groupBy("bucket").applyInArrow(_reply, REPLY))
     schema = StructType([df.schema[c] for c in kept] + [
         StructField("n_tokens", LongType()), StructField("n_known", LongType()),
         StructField("train_tokens", LongType()), StructField("base_score", DoubleType()),
         StructField("score", DoubleType())])
-    return rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+    return rows.groupBy("_block").cogroup(replies.groupBy("block")).applyInArrow(
         lambda t, r: _scored(t, r, kept, settings), schema)
