@@ -8,6 +8,7 @@ from types import SimpleNamespace
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DataType, DoubleType, IntegerType, LongType,
@@ -35,14 +36,21 @@ def kept_in_worker(key: Hashable, build: Callable[[], Any]) -> Any:
 
     For models that are read from a file and bounded caches beside them; results
     may not depend on it. (Functions come by value, so a module's own globals
-    are new in each task.)
+    are new in each task.) Only the last one is kept.
     """
     shared = sys.modules.setdefault("_gatewatch_kept", SimpleNamespace(found={}))
     if key not in shared.found:
+        shared.found.clear()
         shared.found[key] = build()
     return shared.found[key]
 
 
+def release_kept() -> None:
+    """Forget what earlier tasks of this Python worker left behind."""
+    if "_gatewatch_kept" in sys.modules:
+        sys.modules["_gatewatch_kept"].found.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -54,7 +62,7 @@ def fold(id_col: str, parts: int) -> Column:
 
 def slices(batch: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about SLICE_BYTES of text each, one row at least."""
-    lengths = [len(x) if x else 0 for x in batch.column(text_col).to_pylist()]
+    lengths = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_pylist()
     start = size = 0
     for i, n in enumerate(lengths):
         if i > start and size + n > SLICE_BYTES:
@@ -66,12 +74,12 @@ def slices(batch: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
 
 
 def annotate(df: DataFrame, text_col: str, fields: list[StructField],
-             make: Callable[[], Callable[[list[str]], list]]) -> DataFrame:
+             make: Callable[[], Callable[[list[str]], list]], keeps: bool = False) -> DataFrame:
     """``df`` with columns computed from its texts, in bounded slices of Arrow batches.
 
     ``make`` runs once in each task and returns the function from texts to one
-    list per field. A null text counts as the empty one. Columns of ``df`` that
-    are named like a field are replaced.
+    list per field; ``keeps`` says that it uses ``kept_in_worker``. A null text counts as
+    the empty one. Columns of ``df`` that are named like a field are replaced.
     """
     new = {f.name.lower() for f in fields}
     kept = [c for c in df.columns if c.lower() not in new]
@@ -80,6 +88,8 @@ def annotate(df: DataFrame, text_col: str, fields: list[StructField],
     passed = [*kept] if text_col in kept else [*kept, text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            release_kept()
         work = make()
         for batch in batches:
             for part in slices(batch, text_col):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -18,12 +19,15 @@ from gatewatch.llm.common import annotate, kept_in_worker
 SPACE = "▁"
 # Kinds of pieces in a model file (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_CHUNKS = 1 << 19
-CACHE_PAIRS = 1 << 20
+CACHE_CHUNKS = 3 << 17
+CACHE_PAIRS = 1 << 19
 CACHE_LENGTH = 64
 # Token numbers beside the ids: the start of a text, and letters that are no piece.
 START = (1 << 22) - 1
 LETTER = 1 << 21
+NO_MERGE = float("-inf")
+# Stands for a byte token that is a letter only with others; in no UTF-8 text.
+PART_OF_LETTER = b"\xff"
 
 
 class PieceModel:
@@ -61,6 +65,8 @@ class PieceModel:
             elif p.type == UNKNOWN:
                 self.bytes[i] = train.unk_surface.encode()
         self.byte_of = {i: bytes([b]) for b, i in self.byte_ids.items()}
+        for i, byte in self.byte_of.items():
+            self.bytes[i] = byte if byte < b"\x80" else PART_OF_LETTER
         self.controls = {i for i, p in enumerate(proto.pieces) if p.type == CONTROL}
         self.plain = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
         # No piece has a space after another letter: then no token crosses such a place.
@@ -74,16 +80,19 @@ class PieceModel:
 
     def merge(self, text: str) -> list[str]:
         """Merging one place at a time; only for the few letters of a token or a pair."""
-        parts, scores = list(text), self.scores
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = scores.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
+        parts, score = list(text), self.scores.get
+        places = [score(a + b, NO_MERGE) for a, b in zip(parts, parts[1:])]
+        while places:
+            best = max(places)
+            if best == NO_MERGE:
                 break
+            at = places.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del places[at]
+            if at:
+                places[at - 1] = score(parts[at - 1] + parts[at], NO_MERGE)
+            if at < len(places):
+                places[at] = score(parts[at] + parts[at + 1], NO_MERGE)
         return parts
 
     def shown(self, token: int) -> str:
@@ -141,16 +150,18 @@ class PieceModel:
         if not text:
             return [self.end_id]
         shown = (SPACE if self.dummy_prefix else "") + text.replace(" ", SPACE)
-        cache, out = self.cache, []
-        for chunk in self.plain(shown) if self.splits else [shown]:
-            ids = cache.get(chunk)
+        cache = self.cache
+        if len(cache) > CACHE_CHUNKS:
+            cache.clear()
+        chunks = self.plain(shown) if self.splits else [shown]
+        parts = list(map(cache.get, chunks))
+        for k, ids in enumerate(parts):
             if ids is None:
-                ids = tuple(self.to_ids(self.tokens(chunk)))
+                chunk = chunks[k]
+                parts[k] = ids = cache.get(chunk) or tuple(self.to_ids(self.tokens(chunk)))
                 if len(chunk) <= CACHE_LENGTH:
-                    if len(cache) > CACHE_CHUNKS:
-                        cache.clear()
                     cache[chunk] = ids
-            out += ids
+        out = list(chain.from_iterable(parts))
         out.append(self.end_id)
         return out
 
@@ -159,12 +170,11 @@ class PieceModel:
         each wrong byte; control ids give nothing; one leading space goes."""
         table = self.bytes
         data = b"".join(map(table.__getitem__, ids))
-        if self.byte_of.keys() & set(ids):
+        if PART_OF_LETTER in data:
             parts, run = [], []
             for i in ids:
-                byte = self.byte_of.get(i)
-                if byte is not None:
-                    run.append(byte)
+                if table[i] == PART_OF_LETTER:
+                    run.append(self.byte_of[i])
                     continue
                 if run:
                     parts.append(_valid(b"".join(run)))
@@ -210,7 +220,8 @@ def encode_pieces(df: DataFrame, path: str, text_col: str = "text",
         model = kept_in_worker(("pieces", path), lambda: PieceModel(path))
         return lambda texts: [[model.encode(t) for t in texts]]
 
-    return annotate(df, text_col, [StructField(ids, ArrayType(IntegerType()))], make)
+    return annotate(df, text_col, [StructField(ids, ArrayType(IntegerType()))], make,
+                    keeps=True)
 
 
 def round_trip(df: DataFrame, path: str, text_col: str = "text", n_tokens: str = "n_tokens",
@@ -236,7 +247,7 @@ def round_trip(df: DataFrame, path: str, text_col: str = "text", n_tokens: str =
     return annotate(df, text_col, [
         StructField(n_tokens, LongType()), StructField(ids_sha256, StringType()),
         StructField(decoded_sha256, StringType()),
-        *([StructField(ids, ArrayType(IntegerType()))] if ids else [])], make)
+        *([StructField(ids, ArrayType(IntegerType()))] if ids else [])], make, keeps=True)
 
 
 def decode_pieces(df: DataFrame, path: str, ids: str = "ids", text_col: str = "text") -> DataFrame:

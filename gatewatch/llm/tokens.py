@@ -140,4 +140,4 @@ def count_tokens(df: DataFrame, path: str, text_col: str = "text",
         return lambda texts: [[len(t.encode()) for t in texts], model.counts(texts)]
 
     return annotate(df, text_col, [StructField(n_bytes, LongType()),
-                                   StructField(n_tokens, LongType())], make)
+                                   StructField(n_tokens, LongType())], make, keeps=True)
