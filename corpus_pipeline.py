@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from gatewatch.llm import (decontamination, pieces, queries, simhash, substrings,  # noqa: E402
                            toxicity)
 from gatewatch.llm.common import table  # noqa: E402
-from gatewatch.llm.components import shared_folder  # noqa: E402
+from gatewatch.sources.folders import shared_folder  # noqa: E402
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # A document goes whole where more than this share of its words is benchmark text.
@@ -41,14 +41,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without bytes that an earlier passage has already."""
-    return _counted(substrings.remove_repeats(substrings.find_repeats(docs)))
+    return _counted(substrings.without_repeats(docs))
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages; those that are mostly benchmark go."""
-    found = decontamination.find_matches(docs, table(spark, sf_dir, "benchmark"),
-                                         queries.WINDOW_WORDS)
-    return _counted(decontamination.remove_matches(found, max_coverage=MAX_COVERAGE))
+    return _counted(decontamination.decontaminate(
+        docs, table(spark, sf_dir, "benchmark"), queries.WINDOW_WORDS,
+        max_coverage=MAX_COVERAGE))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, LongType, StringType, StructField,
+from pyspark.sql.types import (ArrayType, BooleanType, LongType, StringType, StructField,
                                StructType)
 
 from gatewatch.llm.common import annotate, arrow_type
@@ -170,23 +170,15 @@ def find_matches(df: DataFrame, benchmark: DataFrame, window: int = 10, text_col
     passes inside the same tasks. Null texts have no words; null item ids count
     as the empty id; repeated items are one; an empty benchmark hits nothing.
     """
-    context = df.sparkSession.sparkContext
-    blocks = [context.broadcast(block) for block in _blocks(benchmark, item_col, item_text_col)]
+    matcher = _matcher(benchmark, window, item_col, item_text_col)
 
     def make():
+        match = matcher()
+
         def work(texts):
-            split = [[w for w in words_of(t) if w] for t in texts]
-            spans: list[list] = [[] for _ in texts]
-            items: list[set] = [set() for _ in texts]
-            for block in blocks:
-                automaton = SuffixAutomaton(block.value, window) if len(blocks) > 1 else single
-                for k, words in enumerate(split):
-                    s, i = automaton.matches(words)
-                    spans[k] += s
-                    items[k] |= i
-            return [[len(w) for w in split], [_joined(s) for s in spans],
-                    [sorted(i) for i in items]]
-        single = SuffixAutomaton(blocks[0].value, window) if len(blocks) == 1 else None
+            found = match(texts)
+            return [[len(w) for w, _, _ in found], [_joined(s) for _, s, _ in found],
+                    [sorted(i) for _, _, i in found]]
         return work
 
     return annotate(df, text_col, [StructField("n_words", LongType()),
@@ -194,6 +186,27 @@ def find_matches(df: DataFrame, benchmark: DataFrame, window: int = 10, text_col
                                    StructField("items", ArrayType(StringType()))], make)
 
 
+def _matcher(benchmark: DataFrame, window: int, item_col: str, text_col: str):
+    """Makes, in a task, the function from texts to their words, hit ranges and items."""
+    context = benchmark.sparkSession.sparkContext
+    blocks = [context.broadcast(block) for block in _blocks(benchmark, item_col, text_col)]
+
+    def matcher():
+        single = SuffixAutomaton(blocks[0].value, window) if len(blocks) == 1 else None
+
+        def match(texts):
+            found = [([w for w in words_of(t) if w], [], set()) for t in texts]
+            for block in blocks:
+                automaton = single or SuffixAutomaton(block.value, window)
+                for words, spans, items in found:
+                    s, i = automaton.matches(words)
+                    spans += s
+                    items |= i
+            return found
+        return match
+    return matcher
+
+
 def _joined(spans: list[tuple[int, int]]) -> list[dict]:
     out: list[list[int]] = []
     for a, b in sorted(spans):
@@ -243,6 +256,33 @@ def remove_matches(matches: DataFrame, text_col: str = "text", min_words: int =
     return kept.mapInArrow(run, schema).drop("n_words", "hit_spans", "items")
 
 
+def decontaminate(df: DataFrame, benchmark: DataFrame, window: int = 10, min_words: int = 10,
+                  max_coverage: float = 0.5, text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text") -> DataFrame:
+    """``find_matches`` and ``remove_matches`` in one pass over the texts."""
+    matcher = _matcher(benchmark, window, item_col, item_text_col)
+
+    def make():
+        match = matcher()
+
+        def work(texts):
+            kept, left = [], []
+            for text, (words, spans, _) in zip(texts, match(texts)):
+                spans = _joined(spans)
+                hits = sum(s["end"] - s["start"] for s in spans)
+                long = [s for s in spans if s["end"] - s["start"] >= min_words]
+                kept.append(not words or hits <= len(words) * max_coverage)
+                left.append(_cut(text, long) if long and kept[-1] else text)
+            return [kept, left]
+        return work
+
+    found = annotate(df, text_col, [StructField("_kept", BooleanType()),
+                                    StructField("_left", StringType())], make)
+    text = F.when(F.col(f"`{text_col}`").isNotNull(), F.col("_left")).alias(text_col)
+    return found.where("_kept").select(*(text if c == text_col else F.col(f"`{c}`")
+                                         for c in df.columns))
+
+
 def _cut(text: str, spans: list[dict]) -> str:
     data = text.encode()
     places = [m.span() for m in _FIND(data)]

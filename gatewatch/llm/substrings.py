@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from gatewatch.llm.common import arrow_type
+from gatewatch.llm.common import arrow_type, release_kept
 from gatewatch.llm.packing import pack, pack_counts, range_slices, unpack, unpack_counts
 
 # Text that one block of documents holds, about.
@@ -210,6 +210,7 @@ SPANS, PIECES, WINDOWS = range(3)
 
 
 def _block(rows: pa.Table, settings: Settings) -> Block:
+    release_kept()
     return Block(rows[settings.id_col].to_pylist(), rows[settings.text_col].to_pylist(), settings)
 
 
@@ -454,10 +455,10 @@ def sort_suffixes(text: np.ndarray, offset: np.ndarray, size: np.ndarray, window
 SPAN = ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))
 
 
-def _marked(rows: pa.Table, found: pa.Table, kept: list[str], settings: Settings) -> pa.Table:
-    """Rows with the spans of their own text."""
+def _spans_of(rows: pa.Table, found: pa.Table, settings: Settings) -> list[list[dict]]:
+    """The spans of each row's own text."""
     block = _block(rows, settings)
-    start, end = _unspans([unpacked for unpacked in found["spans"].to_pylist()])
+    start, end = _unspans(found["spans"].to_pylist())
     start, end = _unspans([_spans(start, end)])
     document = np.searchsorted(block.starts, start, "right") - 1
     # Spans of neighbouring documents may touch and then are one: cut them at the ends.
@@ -471,12 +472,31 @@ def _marked(rows: pa.Table, found: pa.Table, kept: list[str], settings: Settings
                 spans[d].append({"start": s - base, "end": stop - base})
                 s = stop
             d += 1
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    return [spans[d] for d in block.row_document]
+
+
+def _marked(rows: pa.Table, found: pa.Table, kept: list[str], settings: Settings) -> pa.Table:
+    """Rows with their spans."""
     return pa.table([*(rows[c] for c in kept),
-                     pa.array([spans[d] for d in block.row_document], kind)],
+                     pa.array(_spans_of(rows, found, settings), arrow_type(SPAN))],
                     names=[*kept, "repeat_spans"])
 
 
+def _without(rows: pa.Table, found: pa.Table, kept: list[str], settings: Settings) -> pa.Table:
+    """Rows without the bytes of their spans."""
+    texts = [_left(t, s) for t, s in zip(rows[settings.text_col].to_pylist(),
+                                         _spans_of(rows, found, settings))]
+    return pa.table([pa.array(texts, pa.string()) if c == settings.text_col else rows[c]
+                     for c in kept], names=kept)
+
+
+def _left(text: str | None, spans: list[dict]) -> str | None:
+    """A text without its spans; a letter of which only some bytes remain goes too."""
+    if not spans:
+        return text
+    return b"".join(kept_bytes(text.encode(), spans)).decode("utf-8", "ignore")
+
+
 def find_repeats(df: DataFrame, settings: Settings = Settings(),
                  block_bytes: int = BLOCK_BYTES, crowd: int = CROWD) -> DataFrame:
     """``df`` with ``repeat_spans``: byte ranges covered by windows that also start earlier.
@@ -497,6 +517,24 @@ def find_repeats(df: DataFrame, settings: Settings = Settings(),
     memory are better served by larger blocks.
     """
     kept = [c for c in df.columns if c.lower() not in ("repeat_spans", "_block")]
+    schema = StructType([df.schema[c] for c in kept] + [StructField("repeat_spans", SPAN)])
+    return _finished(df, kept, settings, block_bytes, crowd, _marked, schema)
+
+
+def without_repeats(df: DataFrame, settings: Settings = Settings(),
+                    block_bytes: int = BLOCK_BYTES, crowd: int = CROWD) -> DataFrame:
+    """``df`` without the bytes that ``find_repeats`` marks.
+
+    A letter of which only some bytes remain goes too. Texts that have no span
+    stay as they are, null included; a text may become empty.
+    """
+    kept = [c for c in df.columns if c.lower() != "_block"]
+    return _finished(df, kept, settings, block_bytes, crowd, _without,
+                     StructType([df.schema[c] for c in kept]))
+
+
+def _finished(df: DataFrame, kept: list[str], settings: Settings, block_bytes: int, crowd: int,
+              finish, schema: StructType) -> DataFrame:
     spark = df.sparkSession
     ids, text = F.col(f"`{settings.id_col}`"), F.col(f"`{settings.text_col}`")
     size = df.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)))).first()[0]
@@ -511,9 +549,8 @@ def find_repeats(df: DataFrame, settings: Settings = Settings(),
     sent = rows.groupBy("_block").cogroup(codes.groupBy("block")).applyInArrow(
         lambda t, r: _send(t, r, blocks, settings), SEND)
     found = sent.groupBy("kind", "bucket").applyInArrow(lambda t: _find(t, settings), FOUND)
-    schema = StructType([df.schema[c] for c in kept] + [StructField("repeat_spans", SPAN)])
     return rows.groupBy("_block").cogroup(found.groupBy("block")).applyInArrow(
-        lambda t, r: _marked(t, r, kept, settings), schema)
+        lambda t, r: finish(t, r, kept, settings), schema)
 
 
 def report(repeats: DataFrame, text_col: str = "text") -> DataFrame:
@@ -542,27 +579,6 @@ def report(repeats: DataFrame, text_col: str = "text") -> DataFrame:
     return repeats.mapInArrow(run, schema)
 
 
-def remove_repeats(repeats: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents without their repeated bytes.
-
-    A letter of which only some bytes remain goes too. Texts that have no span
-    stay as they are, null included; a text may become empty.
-    """
-    schema = repeats.schema
-
-    def run(batches):
-        at = schema.fieldNames().index(text_col)
-        for batch in batches:
-            texts = batch.column(text_col).to_pylist()
-            for k, spans in enumerate(batch.column("repeat_spans").to_pylist()):
-                if spans:
-                    texts[k] = b"".join(kept_bytes(texts[k].encode(), spans)).decode(
-                        "utf-8", "ignore")
-            yield batch.set_column(at, text_col, pa.array(texts, pa.string()))
-
-    return repeats.mapInArrow(run, schema).drop("repeat_spans")
-
-
 def kept_bytes(data: bytes, spans: list[dict]) -> list[bytes]:
     out, at = [], 0
     for s in spans:

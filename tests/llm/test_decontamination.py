@@ -78,6 +78,8 @@ def test_removal_by_length_and_coverage(spark):
     got = {r["doc_id"]: r["text"] for r in decontamination.remove_matches(found).collect()}
     assert got == {1: "Before, ! and after it come these other words, more of them.",
                    3: "nothing here", 4: None, 5: "", 6: LONG, 7: " " + "ü " * 30 + "()."}
+    once = decontamination.decontaminate(df, items)
+    assert {r["doc_id"]: r["text"] for r in once.collect()} == got and once.columns == df.columns
     kept = decontamination.remove_matches(found, min_words=12, max_coverage=1.0)
     assert {r["doc_id"]: r["text"] for r in kept.collect()} == texts
     assert kept.columns == ["doc_id", "text"]

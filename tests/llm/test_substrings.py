@@ -104,7 +104,7 @@ def test_awkward_documents(spark):
     expected = repeats(rows)
     found = substrings.find_repeats(df)
     assert found.columns == [*df.columns, "repeat_spans"]
-    got = substrings.remove_repeats(found)
+    got = substrings.without_repeats(df)
     assert got.columns == df.columns and got.count() == df.count()
     for r in got.collect():
         # The text before the cut is found by the id; a cut letter goes whole.
