@@ -97,7 +97,8 @@ def permuted(x: Column, height: Column, width: Column, seed: int) -> Column:
                        both, lambda s: s["left"] * width + s["right"])
 
 
-def shuffle_shards(rows: DataFrame, shards: int, seed: int = 42, buckets: int = BUCKETS) -> DataFrame:
+def shuffle_shards(rows: DataFrame, shards: int, seed: int = 42,
+                   buckets: int = BUCKETS) -> DataFrame:
     """``rows`` with a random but reproducible ``shard`` and ``slot``.
 
     Row numbers (see ``row_numbers``) go through a Feistel permutation of the

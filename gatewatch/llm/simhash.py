@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField
+from pyspark.sql.types import StringType, StructField
 
 from gatewatch.llm.common import annotate
 from gatewatch.llm.components import components, cut_lineage
