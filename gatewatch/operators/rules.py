@@ -16,7 +16,8 @@ def _user_logins(events: DataFrame) -> DataFrame:
     return events.filter(is_kind(LOGIN) & F.col("user_id").isNotNull())
 
 
-def multiple_failed_attempts(events: DataFrame, attempts: int = 2, span_seconds: int = 86400) -> DataFrame:
+def multiple_failed_attempts(events: DataFrame, attempts: int = 2,
+                             span_seconds: int = 86400) -> DataFrame:
     """Failed logins that are at least the ``attempts``-th within the span.
 
     That is the case exactly if the failure ``attempts - 1`` places earlier is

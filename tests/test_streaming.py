@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 import shutil
+import threading
+import time
 from pathlib import Path
 
 import pandas as pd
@@ -109,6 +111,27 @@ def test_counters_and_profiles_and_trend(spark, events, parts, inbox, base):
         sessions.activity_trend(events))
 
 
+def test_processing_time_trigger_and_await(spark, parts, inbox, base):
+    """A query with a trigger takes files as they come and runs until it is stopped."""
+    spark.streams.resetTerminated()
+    deliver(parts, inbox, 0)
+    query = jobs.start_session_counters(stream(spark, inbox), base, "500 milliseconds")
+    for number in (1, 2):
+        seen = len(jobs.batch_seconds(query))
+        deliver(parts, inbox, number)
+        while len(jobs.batch_seconds(query)) <= seen:
+            time.sleep(0.1)
+    query.processAllAvailable()
+    threading.Timer(0.5, query.stop).start()
+    jobs.await_any(spark)
+    assert not query.isActive
+    assert all(seconds > 0 for _, seconds in jobs.batch_seconds(query))
+    part = testbed.to_login_events(
+        spark.read.schema(testbed.EVENTS_SCHEMA).parquet(str(inbox)))
+    assert rows_of(read_snapshot(spark, f"{base}/session_counters")) == rows_of(
+        metrics.session_counters(part))
+
+
 def test_session_durations_over_restarts(spark, events, parts, inbox, base):
     for numbers in ((0, 1), (2,), (3,)):
         deliver(parts, inbox, *numbers)
