@@ -4,23 +4,31 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gatewatch.llm.components import cut_lineage
+
 
 @dataclass(frozen=True)
 class Settings:
     """``coarse`` of the ``functions`` of a table choose the task, the others the
-    bucket in it; ``chunk_rows`` bounds each side of a task."""
+    bucket in it; ``chunk_rows`` bounds each side of a task. Lengths within a range
+    differ by at most the factor ``ratio``; ranges of up to ``direct_rows`` vectors are
+    not hashed. What the hash finds with less chance than ``recall`` is compared directly."""
     tables: int = 4
     functions: int = 6
     coarse: int = 2
     width: float = 2.0
     probes: int = 64
     chunk_rows: int = 4096
+    ratio: float = 1.5
+    direct_rows: int = 4096
+    recall: float = 0.9
     seed: int = 5
 
 
@@ -56,6 +64,33 @@ def probe_sets(depths: np.ndarray, width: float, probes: int) -> list[list[tuple
     return out
 
 
+@lru_cache
+def sure_cosine(settings: Settings) -> float:
+    """The least cosine (up to 1) with a query at which the probes visit a lifted vector
+    with a chance of ``recall``, estimated from draws of the 2-stable law.
+
+    The chance depends on the distance only, and tables are independent.
+    """
+    rng = np.random.default_rng(settings.seed)
+    n, cosines = settings.functions, np.linspace(-1, 1, 81)
+    places, draws = 3 ** np.arange(n), 128
+    missed = np.ones((len(cosines), draws))
+    for k in range(draws):
+        depths = rng.uniform(0, settings.width, n)
+        visited = np.zeros(3 ** n, bool)
+        for moves in probe_sets(depths, settings.width, settings.probes):
+            visited[places.sum() + sum(d * places[i] for i, d in moves)] = True
+        steps = rng.normal(size=(256, n))
+        for c, cosine in enumerate(cosines):
+            away = np.floor((depths + steps * np.sqrt(2 - 2 * cosine)) / settings.width)
+            near = (np.abs(away) <= 1).all(axis=1)
+            at = (np.clip(away, -1, 1) + 1).astype(int) @ places
+            missed[c, k] = 1 - (near & visited[at]).mean()
+    sure = 1 - missed.mean(axis=1) ** settings.tables >= settings.recall
+    below = np.flatnonzero(~sure)
+    return float(cosines[min(below[-1] + 1, len(cosines) - 1)]) if len(below) else -1.0
+
+
 def _code(cells: np.ndarray) -> np.ndarray:
     """One number for the intervals of some functions (each from -128 to 127)."""
     return (np.clip(cells, -128, 127) + 128).astype(np.int64) @ (
@@ -66,27 +101,28 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist(), np.float64)
 
 
-def _index_rows(batches, settings, dim, top):
-    """(table, cell, bucket) of each vector, lifted to the unit sphere."""
+def _index_rows(batches, settings, dim):
+    """(table, cell, bucket) of each vector, lifted to the unit sphere of its range."""
     directions, shifts = hashes(settings, dim + 1)
     for batch in batches:
         if not batch.num_rows:
             continue
-        x = _vectors(batch.column("vector")) / top
+        x = _vectors(batch.column("vector")) / batch.column("top").to_numpy()[:, None]
         rest = np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
         x = np.hstack([x, rest[:, None]])
+        first = batch.column("part").to_numpy() * settings.tables
         for t in range(settings.tables):
             cells = np.floor((x @ directions[t] + shifts[t]) / settings.width)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("vector"),
-                 pa.array(np.full(len(x), t, np.int32)),
+                 pa.array((first + t).astype(np.int32)),
                  pa.array(_code(cells[:, :settings.coarse])),
                  pa.array(_code(cells[:, settings.coarse:]))],
                 names=["id", "vector", "table", "cell", "bucket"])
 
 
-def _probe_rows(batches, settings, dim):
-    """(table, cell, buckets) that each query visits, its vector with it."""
+def _probe_rows(batches, settings, dim, parts):
+    """(table, cell, buckets) that each query visits in each range, its vector with it."""
     directions, shifts = hashes(settings, dim + 1)
     for batch in batches:
         if not batch.num_rows:
@@ -112,11 +148,13 @@ def _probe_rows(batches, settings, dim):
                     tables.append(t)
                     cells_out.append(int(c))
                     buckets.append(np.unique(bucket[cell == c]))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id").take(pa.array(rows)), batch.column("vector").take(pa.array(rows)),
-             pa.array(tables, pa.int32()), pa.array(cells_out, pa.int64()),
-             pa.array(buckets, pa.list_(pa.int64()))],
-            names=["id", "vector", "table", "cell", "buckets"])
+        rows, tables = pa.array(rows), np.array(tables, np.int32)
+        for part in parts:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(rows), batch.column("vector").take(rows),
+                 pa.array(part * settings.tables + tables, pa.int32()),
+                 pa.array(cells_out, pa.int64()), pa.array(buckets, pa.list_(pa.int64()))],
+                names=["id", "vector", "table", "cell", "buckets"])
 
 
 def _nearest(members: pa.Table, probes: pa.Table, keep: int) -> pa.Table:
@@ -154,7 +192,8 @@ def _nearest(members: pa.Table, probes: pa.Table, keep: int) -> pa.Table:
 def _chunked(rows: DataFrame, size: int, own: str, copies: DataFrame, other: str) -> DataFrame:
     """Rows with their own chunk, once for each chunk of the other side of their cell.
 
-    The numbers of chunks are broadcast: there are at most tables * 256 ** coarse cells.
+    The numbers of chunks are broadcast: there are at most tables * 256 ** coarse cells
+    in each range, and never more than index rows.
     """
     return (rows.join(F.broadcast(copies), ["table", "cell"])
             .withColumn(own, F.pmod(F.xxhash64("id"), F.col(f"n_{own}")).cast("int"))
@@ -183,14 +222,18 @@ def nearest(df: DataFrame, is_query: Column, neighbours: int = 20, id_col: str =
 
     Equal vectors are searched once: a class stands for them, and as ties go to
     small ids, its ``neighbours`` + 1 smallest ids are all that any result can
-    hold. Vectors are lifted to the unit sphere, where the largest inner product
-    is the smallest distance. Index and probes meet in cells of the coarse functions;
-    each cell is cut into chunks on both sides, so a crowded cell is spread, and
-    a task hands on only the best of each of its queries.
+    hold. Vectors are parted by length, and each range is lifted to a unit sphere by
+    its own greatest length, where the largest inner product is the smallest distance.
+    Ranges of few vectors are compared with every query. In the others, index and probes
+    meet in cells of the coarse functions; each cell is cut into chunks on both sides, so a
+    crowded cell is spread, and a task hands on only the best of each of its queries.
+
+    The last score that a query found tells how surely the hash finds a vector of a range
+    with such a score. Where that is less than ``recall``, and no length rules the
+    range out, the query is compared with the whole range.
     """
     rows = usable(df, id_col, vector_col)
-    facts = rows.agg(F.max(F.size("vector")), F.count("*")).first()
-    dim, keep = facts[0] or 1, neighbours + 1
+    dim, keep = rows.agg(F.max(F.size("vector"))).first()[0] or 1, neighbours + 1
     rows = rows.where(F.size("vector") == dim)
     order = Window.partitionBy("vector").orderBy("id")
     copies = rows.withColumn("place", F.row_number().over(order)).where(
@@ -198,30 +241,68 @@ def nearest(df: DataFrame, is_query: Column, neighbours: int = 20, id_col: str =
     classes = rows.groupBy("vector").agg(F.min("id").alias("id"),
                                          F.max(is_query).alias("asks"))
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v))
-    top = rows.agg(F.max(norm)).first()[0] or 1.0
-
-    index = classes.select("id", "vector").mapInArrow(
-        lambda b: _index_rows(b, settings, dim, top),
-        "id bigint, vector array<double>, table int, cell bigint, bucket bigint")
-    probes = classes.where("asks").select("id", "vector").mapInArrow(
-        lambda b: _probe_rows(b, settings, dim),
-        "id bigint, vector array<double>, table int, cell bigint, buckets array<bigint>")
-
+    # Equal lengths may differ in their last bits, so length 1 is not at the edge of a range.
+    sized = classes.withColumn("norm", norm).withColumn(
+        "range", F.floor(F.log("norm") / F.log(F.lit(settings.ratio)) + 0.5))
+    large = (sized.groupBy("range").agg(F.count("*").alias("n"), F.max("norm").alias("top"))
+             .where(F.col("range").isNotNull() & (F.col("n") > settings.direct_rows))
+             .orderBy("range").collect())
+    parts = df.sparkSession.createDataFrame(
+        [(r["range"], k, r["top"]) for k, r in enumerate(large)],
+        "range bigint, part int, top double")
+    placed = sized.join(F.broadcast(parts), "range", "left")
+    hashed, asking = placed.where("part IS NOT NULL"), placed.where("asks")
+
+    index = _whole(placed.where("part IS NULL"), F.lit(-1))
+    probes = _whole(asking, F.lit(-1), queries=True)
+    if large:
+        index = index.unionByName(hashed.select("id", "vector", "part", "top").mapInArrow(
+            lambda b: _index_rows(b, settings, dim),
+            "id bigint, vector array<double>, table int, cell bigint, bucket bigint"))
+        probes = probes.unionByName(asking.select("id", "vector").mapInArrow(
+            lambda b: _probe_rows(b, settings, dim, range(len(large))),
+            "id bigint, vector array<double>, table int, cell bigint, buckets array<bigint>"))
+    found = _best(_search(index, probes, settings, keep), keep)
+    if large:
+        found = cut_lineage(found)
+        last = found.where(F.col("place") == keep).select(F.col("query").alias("id"), "score")
+        unsure = (asking.drop("part", "top").join(last, "id")
+                  .join(F.broadcast(parts.drop("range")))
+                  .where(F.col("score") < F.col("norm") * F.col("top") * sure_cosine(settings)))
+        more = _search(_whole(hashed, F.col("part")),
+                       _whole(unsure, F.col("part"), queries=True), settings, keep)
+        found = _best(found.drop("place").unionByName(more), keep)
+    return _expanded(rows, classes, copies, found.drop("place"), is_query, neighbours)
+
+
+def _whole(side: DataFrame, cell: Column, queries: bool = False) -> DataFrame:
+    """Index or probe rows of a comparison without a hash: one bucket for each ``cell``."""
+    bucket = F.lit(0).cast("long")
+    # Named anew, as both sides of a cogroup may come from the same classes.
+    return side.select(F.col("id").alias("id"), F.col("vector").alias("vector"),
+                       F.lit(-1).alias("table"), cell.cast("long").alias("cell"),
+                       F.array(bucket).alias("buckets") if queries else bucket.alias("bucket"))
+
+
+def _search(index: DataFrame, probes: DataFrame, settings: Settings, keep: int) -> DataFrame:
+    """(query, member, score): the best of each task for each of its queries."""
     def sizes(side: DataFrame, name: str) -> DataFrame:
         return side.groupBy("table", "cell").agg(
             F.ceil(F.count("*") / settings.chunk_rows).cast("int").alias(name))
 
     chunks = sizes(index, "n_i").join(sizes(probes, "n_j"), ["table", "cell"])
     where = ["table", "cell", "i", "j"]
-    found = (_chunked(index, settings.chunk_rows, "i", chunks, "j").groupBy(*where)
-             .cogroup(_chunked(probes, settings.chunk_rows, "j", chunks, "i").groupBy(*where))
-             .applyInArrow(lambda m, p: _nearest(m, p, keep),
-                           "query bigint, member bigint, score double"))
+    return (_chunked(index, settings.chunk_rows, "i", chunks, "j").groupBy(*where)
+            .cogroup(_chunked(probes, settings.chunk_rows, "j", chunks, "i").groupBy(*where))
+            .applyInArrow(lambda m, p: _nearest(m, p, keep),
+                          "query bigint, member bigint, score double"))
+
+
+def _best(found: DataFrame, keep: int) -> DataFrame:
+    """The ``keep`` best members of each query, with their ``place``."""
     best = Window.partitionBy("query").orderBy(F.desc("score"), "member")
-    merged = (found.groupBy("query", "member").agg(F.max("score").alias("score"))
-              .withColumn("place", F.row_number().over(best)).where(F.col("place") <= keep)
-              .drop("place"))
-    return _expanded(rows, classes, copies, merged, is_query, neighbours)
+    return (found.groupBy("query", "member").agg(F.max("score").alias("score"))
+            .withColumn("place", F.row_number().over(best)).where(F.col("place") <= keep))
 
 
 def _expanded(rows, classes, copies, merged, is_query, neighbours) -> DataFrame:

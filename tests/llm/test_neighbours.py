@@ -99,3 +99,29 @@ def test_rows_that_repeat_an_id(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = neighbours.nearest(df, F.col("id") == 0, 5, settings=Settings(width=1000.0)).collect()
     assert sorted((r["rank"], r["vec_id"]) for r in got) == [(1, 0), (1, 0), (2, 1), (2, 1)]
+
+
+def spheres(n, dim=64, seed=3):
+    x = np.random.default_rng(seed).normal(size=(n, dim))
+    return x / np.sqrt((x * x).sum(axis=1))[:, None]
+
+
+@pytest.mark.parametrize("changed", [{}, {"direct_rows": 100}])
+@pytest.mark.parametrize("lengths", ["one longer", "lognormal"])
+def test_lengths_differ_in_many_dimensions(spark, lengths, changed):
+    x = spheres(2000)
+    if lengths == "lognormal":
+        x *= np.random.default_rng(4).lognormal(size=(len(x), 1))
+    else:
+        x[7] *= 5
+    rows = list(enumerate(x.tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, F.col("id") % 20 == 0, 20,
+                             settings=Settings(**changed)).collect()
+    assert recall(got, exact(rows, lambda i: i % 20 == 0, 20)) >= 0.9
+
+
+def test_the_chance_of_a_visit_grows_with_the_cosine():
+    chances = [neighbours.sure_cosine(Settings(recall=r)) for r in (0.5, 0.9, 0.99)]
+    assert chances == sorted(chances) and -1 < chances[0] < chances[2] < 1
+    assert neighbours.sure_cosine(Settings(probes=1, width=0.1)) == 1
