@@ -266,9 +266,10 @@ def nearest(df: DataFrame, is_query: Column, neighbours: int = 20, id_col: str =
     if large:
         found = cut_lineage(found)
         last = found.where(F.col("place") == keep).select(F.col("query").alias("id"), "score")
-        unsure = (asking.drop("part", "top").join(last, "id")
+        unsure = (asking.drop("part", "top").join(last, "id", "left")
                   .join(F.broadcast(parts.drop("range")))
-                  .where(F.col("score") < F.col("norm") * F.col("top") * sure_cosine(settings)))
+                  .where(F.col("score").isNull() | (
+                      F.col("score") < F.col("norm") * F.col("top") * sure_cosine(settings))))
         more = _search(_whole(hashed, F.col("part")),
                        _whole(unsure, F.col("part"), queries=True), settings, keep)
         found = _best(found.drop("place").unionByName(more), keep)

@@ -125,3 +125,24 @@ def test_the_chance_of_a_visit_grows_with_the_cosine():
     chances = [neighbours.sure_cosine(Settings(recall=r)) for r in (0.5, 0.9, 0.99)]
     assert chances == sorted(chances) and -1 < chances[0] < chances[2] < 1
     assert neighbours.sure_cosine(Settings(probes=1, width=0.1)) == 1
+
+
+@pytest.mark.parametrize("changed", [{}, {"direct_rows": 0}])
+def test_lists_are_whole_with_the_settings_in_use(spark, changed):
+    def found(rows, step):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = neighbours.nearest(df, F.col("id") % step == 0, 20,
+                                 settings=Settings(**changed)).collect()
+        ranked = {}
+        for r in sorted(got, key=lambda r: r["rank"]):
+            ranked.setdefault(r["query_id"], []).append(r["vec_id"])
+        return ranked
+
+    few = list(enumerate(spheres(15).tolist()))
+    assert found(few, 1) == {q: [i for i, _ in best]
+                             for q, best in exact(few, lambda i: True, 20).items()}
+    pair = [(0, [1.0, 0.0, 0.0]), (1, [-1.0, 0.0, 0.0])]  # as far apart as can be
+    assert found(pair, 2) == {0: [1]}
+    copies = [(i, [1.0, 0.0, 2.0]) for i in range(60)] + [(60, [0.0, 5.0, 1.0])]
+    assert found(copies, 20) == {q: [i for i in range(22) if i != q][:20] for q in (0, 20, 40)} | {
+        60: list(range(20))}
