@@ -217,8 +217,8 @@ def nearest(df: DataFrame, is_query: Column, neighbours: int = 20, id_col: str =
     ``is_query`` is a condition on the column ``id``. Nearness is the inner
     product in double precision, ties go to the smaller id, a row is never its
     own neighbour. Vectors that are null, zero or hold null or non-finite
-    components take no part, nor do those shorter than the longest ones and rows
-    without an id; of rows that repeat an id, each counts.
+    components take no part, nor do rows without an id; of rows that repeat an id, each
+    counts. Vectors with other numbers of components are tables of their own.
 
     Equal vectors are searched once: a class stands for them, and as ties go to
     small ids, its ``neighbours`` + 1 smallest ids are all that any result can
@@ -233,8 +233,7 @@ def nearest(df: DataFrame, is_query: Column, neighbours: int = 20, id_col: str =
     range out, the query is compared with the whole range.
     """
     rows = usable(df, id_col, vector_col)
-    dim, keep = rows.agg(F.max(F.size("vector"))).first()[0] or 1, neighbours + 1
-    rows = rows.where(F.size("vector") == dim)
+    keep = neighbours + 1
     order = Window.partitionBy("vector").orderBy("id")
     copies = rows.withColumn("place", F.row_number().over(order)).where(
         F.col("place") <= keep)
@@ -242,32 +241,35 @@ def nearest(df: DataFrame, is_query: Column, neighbours: int = 20, id_col: str =
                                          F.max(is_query).alias("asks"))
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v))
     # Equal lengths may differ in their last bits, so length 1 is not at the edge of a range.
-    sized = classes.withColumn("norm", norm).withColumn(
+    sized = classes.withColumns({"dim": F.size("vector"), "norm": norm}).withColumn(
         "range", F.floor(F.log("norm") / F.log(F.lit(settings.ratio)) + 0.5))
-    large = (sized.groupBy("range").agg(F.count("*").alias("n"), F.max("norm").alias("top"))
+    large = (sized.groupBy("dim", "range").agg(F.count("*").alias("n"), F.max("norm").alias("top"))
              .where(F.col("range").isNotNull() & (F.col("n") > settings.direct_rows))
-             .orderBy("range").collect())
+             .orderBy("dim", "range").collect())
     parts = df.sparkSession.createDataFrame(
-        [(r["range"], k, r["top"]) for k, r in enumerate(large)],
-        "range bigint, part int, top double")
-    placed = sized.join(F.broadcast(parts), "range", "left")
+        [(r["dim"], r["range"], k, r["top"]) for k, r in enumerate(large)],
+        "dim int, range bigint, part int, top double")
+    placed = sized.join(F.broadcast(parts), ["dim", "range"], "left")
     hashed, asking = placed.where("part IS NOT NULL"), placed.where("asks")
 
-    index = _whole(placed.where("part IS NULL"), F.lit(-1))
-    probes = _whole(asking, F.lit(-1), queries=True)
-    if large:
-        index = index.unionByName(hashed.select("id", "vector", "part", "top").mapInArrow(
-            lambda b: _index_rows(b, settings, dim),
-            "id bigint, vector array<double>, table int, cell bigint, bucket bigint"))
-        probes = probes.unionByName(asking.select("id", "vector").mapInArrow(
-            lambda b: _probe_rows(b, settings, dim, range(len(large))),
+    index = _whole(placed.where("part IS NULL"), F.col("dim"))
+    probes = _whole(asking, F.col("dim"), queries=True)
+    for dim in sorted({r["dim"] for r in large}):
+        own = [k for k, r in enumerate(large) if r["dim"] == dim]
+        here = F.col("dim") == dim
+        index = index.unionByName(
+            hashed.where(here).select("id", "vector", "part", "top").mapInArrow(
+                lambda b, dim=dim: _index_rows(b, settings, dim),
+                "id bigint, vector array<double>, table int, cell bigint, bucket bigint"))
+        probes = probes.unionByName(asking.where(here).select("id", "vector").mapInArrow(
+            lambda b, dim=dim, own=own: _probe_rows(b, settings, dim, own),
             "id bigint, vector array<double>, table int, cell bigint, buckets array<bigint>"))
     found = _best(_search(index, probes, settings, keep), keep)
     if large:
         found = cut_lineage(found)
         last = found.where(F.col("place") == keep).select(F.col("query").alias("id"), "score")
         unsure = (asking.drop("part", "top").join(last, "id", "left")
-                  .join(F.broadcast(parts.drop("range")))
+                  .join(F.broadcast(parts.drop("range")), "dim")
                   .where(F.col("score").isNull() | (
                       F.col("score") < F.col("norm") * F.col("top") * sure_cosine(settings))))
         more = _search(_whole(hashed, F.col("part")),

@@ -146,3 +146,17 @@ def test_lists_are_whole_with_the_settings_in_use(spark, changed):
     copies = [(i, [1.0, 0.0, 2.0]) for i in range(60)] + [(60, [0.0, 5.0, 1.0])]
     assert found(copies, 20) == {q: [i for i in range(22) if i != q][:20] for q in (0, 20, 40)} | {
         60: list(range(20))}
+
+
+def test_other_dimensions_are_tables_of_their_own(spark):
+    rows = [(i, v + [0.0] * (i == 3)) for i, v in enumerate(spheres(30, 8).tolist())]
+    rows += [(i, v) for i, v in enumerate(spheres(30, 5).tolist(), 100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for changed in ({}, {"direct_rows": 9}):
+        got = neighbours.nearest(df, F.col("id") % 10 == 0, 5,
+                                 settings=Settings(**changed)).collect()
+        assert {r["query_id"] for r in got} == {0, 10, 20, 100, 110, 120}
+        for dim in (8, 5):
+            table = [(i, v) for i, v in rows if len(v) == dim]
+            mine = [r for r in got if r["query_id"] in dict(table)]
+            assert recall(mine, exact(table, lambda i: i % 10 == 0, 5)) >= 0.9
