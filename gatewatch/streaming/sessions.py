@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -19,32 +21,96 @@ OUTPUT = ("event_id long, user_id string, event_us long, device_type string, "
 # Time of the open successful login (-1: none), time and id of the newest row seen.
 STATE = "login_us long, seen_us long, seen_id long"
 NO_LOGIN = -1
-# Rows of one user that are sorted in one go; more of them follow in portions.
-PORTION_ROWS = 1_000_000
+# Rows of one user that are sorted in one go; more of them become sorted runs on the
+# worker's disk, which are merged.
+RUN_ROWS = 1_000_000
 
 
-def pairing(idle_ms: int | None = None, portion_rows: int = PORTION_ROWS):
+def pairing(idle_ms: int | None = None, portion_rows: int | None = None,
+            run_rows: int = RUN_ROWS):
     """The state function: durations of one user's logouts in one micro-batch.
 
     Every logout gives one row. A row older than the newest one seen of its user
     comes late: a late logout has no duration and the mark ``late``, a late login
-    opens nothing, and neither changes what is open. It is built as a closure so
-    that it travels to the workers by value and they need not have this package
-    installed.
+    opens nothing, and neither changes what is open. All rows of a micro-batch are put
+    in order before, however many; only a caller that names ``portion_rows`` has
+    them taken in portions of about that size, each as if it came in a micro-batch of its
+    own. It is built as a closure so that it travels to the workers by value and they
+    need not have this package installed.
     """
     no_login = NO_LOGIN
     names = ("event_us", "event_id", "is_login", "device_type")
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.string())
 
-    def portions(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def portions(chunks: Iterator[pd.DataFrame]) -> Iterator[Iterator[pd.DataFrame]]:
+        if portion_rows is None:
+            yield chunks
+            return
         held, rows = [], 0
         for chunk in chunks:
             held.append(chunk)
             rows += len(chunk)
             if rows >= portion_rows:
-                yield held
+                yield iter(held)
                 held, rows = [], 0
         if held:
-            yield held
+            yield iter(held)
+
+    def in_order(parts: list) -> list[np.ndarray]:
+        columns = [np.concatenate(column) for column in zip(*parts)]
+        order = np.lexsort((columns[1], columns[0]))
+        return [column[order] for column in columns]
+
+    def run_of(block: list[np.ndarray]):
+        """A sorted block in a file without a name, to be read batch by batch."""
+        table = pa.table([pa.array(column, kind, from_pandas=True)
+                          for column, kind in zip(block, kinds)], names=names)
+        file = tempfile.TemporaryFile()
+        with pa.ipc.new_stream(file, table.schema) as writer:
+            writer.write_table(table, max_chunksize=max(1, run_rows // 16))
+        file.seek(0)
+        return file
+
+    def batches(file) -> Iterator[list[np.ndarray]]:
+        for batch in pa.ipc.open_stream(file):
+            yield [column.to_numpy(zero_copy_only=False) for column in batch.columns]
+
+    def merged(runs: list) -> Iterator[list[np.ndarray]]:
+        """The rows up to the least last row of the runs' batches, again and again."""
+        heads = [(head, run) for run in map(batches, runs) if (head := next(run, None))]
+        while heads:
+            us, last = min((head[0][-1], head[1][-1]) for head, _ in heads)
+            taken, left = [], []
+            for head, run in heads:
+                a, b = np.searchsorted(head[0], us), np.searchsorted(head[0], us, "right")
+                n = a + np.searchsorted(head[1][a:b], last, "right")
+                taken.append([column[:n] for column in head])
+                head = [column[n:] for column in head] if n < len(head[0]) else next(run, None)
+                if head:
+                    left.append((head, run))
+            heads = left
+            yield in_order(taken)
+
+    def ordered(chunks: Iterator[pd.DataFrame]) -> Iterator[list[np.ndarray]]:
+        """All rows in order of time and id, in blocks that follow each other."""
+        held, rows, runs = [], 0, []
+        try:
+            for chunk in chunks:
+                held.append([chunk[name].to_numpy() for name in names])
+                rows += len(chunk)
+                if rows >= run_rows:
+                    runs.append(run_of(in_order(held)))
+                    held, rows = [], 0
+            if not runs:
+                yield from [in_order(held)] if held else []
+                return
+            if held:
+                runs.append(run_of(in_order(held)))
+                held = []
+            yield from merged(runs)
+        finally:
+            for run in runs:
+                run.close()
 
     def pair(key: tuple, chunks: Iterator[pd.DataFrame],
              state: GroupState) -> Iterator[pd.DataFrame]:
@@ -52,11 +118,8 @@ def pairing(idle_ms: int | None = None, portion_rows: int = PORTION_ROWS):
             state.remove()
             return
         login_us, seen_us, seen_id = state.get if state.exists else (no_login, no_login, no_login)
-        for parts in portions(chunks):
-            us, ids, is_login, device = (
-                np.concatenate([part[name].to_numpy() for part in parts]) for name in names)
-            order = np.lexsort((ids, us))
-            us, ids, is_login, device = (x[order] for x in (us, ids, is_login, device))
+        for us, ids, is_login, device in (
+                block for portion in portions(chunks) for block in ordered(portion)):
             is_login = is_login.astype(bool)
             late = (us < seen_us) | ((us == seen_us) & (ids < seen_id))
             spent = np.full(len(us), np.nan)
@@ -86,7 +149,8 @@ def session_duration_stream(events: DataFrame, idle_ms: int | None = None) -> Da
     """Streaming twin of ``session_durations``, with a column ``late``; append mode.
 
     Where the rows of each user arrive in order of time, the result is that of the
-    batch operator. Within a micro-batch rows may come in any order. ``idle_ms``
+    batch operator. Within a micro-batch rows may come in any order, however
+    many a user has. ``idle_ms``
     forgets users that stay silent that long.
     """
     timeout = (GroupStateTimeout.NoTimeout if idle_ms is None

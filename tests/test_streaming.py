@@ -403,6 +403,29 @@ def test_portions_of_a_user_with_many_rows():
     assert [x for f in frames for x in f["late"]] == [False, True, False]
 
 
+def test_size_does_not_decide_what_is_late():
+    n = 1_100_000
+    rows = pd.DataFrame({"event_id": range(n), "user_id": "u", "device_type": "web",
+                         "is_login": [True, False] * (n // 2),
+                         "event_us": [i * 1_000_000 for i in range(n)]})
+    cut = n // 11
+    frames = list(pairing()(("u",), iter([rows[cut:], rows[:cut]]), FakeState()))
+    assert durations(frames) == [1.0] * (n // 2)
+    assert not any(f["late"].any() for f in frames)
+    mixed = rows[:4000].sample(frac=1, random_state=1)
+    mixed.loc[mixed.index % 7 == 0, "device_type"] = None
+    mixed["event_us"] //= 3_000_000  # several rows at one time
+    for run_rows in (2, 50, 1000):
+        chunks = [mixed[i:i + 30] for i in range(0, len(mixed), 30)]
+        states = FakeState(), FakeState()
+        for state in states:
+            state.update((-1, 100, 0))
+        got = pd.concat(pairing(run_rows=run_rows)(("u",), iter(chunks), states[0]))
+        whole = pd.concat(pairing()(("u",), iter([mixed]), states[1]))
+        pd.testing.assert_frame_equal(got.reset_index(drop=True), whole, check_dtype=False)
+        assert states[0].value == states[1].value and got["late"].any()
+
+
 def test_state_function_forgets_idle_users():
     state = FakeState()
     pair = pairing(idle_ms=1000)
