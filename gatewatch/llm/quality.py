@@ -21,6 +21,8 @@ _ENDS = (".", "!", "?", ":", ";", "…", "\"", "”")
 _UPPER, _LOWER, _DIGIT = (string.ascii_uppercase.encode(), string.ascii_lowercase.encode(),
                           string.digits.encode())
 
+_NOT_ASCII = bytes(range(128, 256))
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -56,7 +58,7 @@ def statistics(text: str) -> list[float]:
         upper / size, math.sqrt(upper / max(upper + lower, 1)), math.sqrt(digits / size),
         math.sqrt((len(data) - bare) / size), math.sqrt(odd / size),
         math.sqrt(data.count(b"!") / n), math.sqrt(data.count(b"|") / n),
-        sum(b >= 128 for b in data[::7]) * 7 / size,
+        (len(data) - len(data.translate(None, _NOT_ASCII))) / size,
         len(counts) / n, len(counts) / math.sqrt(n), top / n,
         sum(map(bytes.__eq__, words, words[1:])) / n,
         1 - len(line_counts) / lines_n, math.log1p(size / lines_n),

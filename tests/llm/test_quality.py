@@ -76,3 +76,8 @@ def test_awkward_documents(spark):
     for none in (labels.limit(0), labels.where(F.col("quality").isNull())):
         assert len({r["score"] for r in quality.learn_and_score(df, none).collect()}) <= 10
     assert quality.learn_and_score(df.limit(0), labels).collect() == []
+
+
+def test_all_bytes_count_for_the_share_outside_ascii():
+    for text, share in (("é", 1.0), ("aé", 2 / 3), ("abcdef", 0.0), ("éaaaaa" * 50, 2 / 7)):
+        assert quality.statistics(text)[13] == share
