@@ -45,9 +45,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages; those that are mostly benchmark go."""
+    """Documents without benchmark passages, short items too; those that are mostly benchmark go."""
     return _counted(decontamination.decontaminate(
-        docs, table(spark, sf_dir, "benchmark"), queries.WINDOW_WORDS,
+        docs, table(spark, sf_dir, "benchmark"), queries.WINDOW_WORDS, min_words=1,
         max_coverage=MAX_COVERAGE))
 
 

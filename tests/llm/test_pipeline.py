@@ -106,3 +106,15 @@ def test_awkward_documents(spark, tmp_path):
         f"{tmp_path}/documents.parquet")
     rows = pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == [1, 4, 5, 7, 8, 9, 10]
+
+
+def test_short_benchmark_items_are_cut(spark, tmp_path):
+    items = spark.createDataFrame([("i", "purple lighthouse sonata")],
+                                  "item_id string, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    words = " ".join(f"word{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, f"{words} purple lighthouse sonata {words}", None, "s", 0)],
+                                 "doc_id long, text string, lang string, source string, "
+                                 "n_chars long")
+    row, = pipeline.cut_benchmark(spark, docs, str(tmp_path)).collect()
+    assert row["text"] == f"{words}  {words}" and row["n_chars"] == len(row["text"])
