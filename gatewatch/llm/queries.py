@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewatch.llm import (decontamination, neighbours, ngram_lm, pieces, quality, sharding,
-                           simhash, substrings, tokens, toxicity)
+from gatewatch.llm import (decontamination, neighbours, ngram_lm, pieces, quality, resampling,
+                           sequences, sharding, simhash, substrings, tokens, toxicity,
+                           whitening)
 from gatewatch.llm.common import fold, table
 
 MAX_TOKENS = 1024
@@ -18,6 +19,8 @@ QUERY_STEP, NEIGHBOURS = 20, 20
 TOXIC, GOOD = 0.7, 0.3
 SHARDS, SIZE_EXTRA = 24, 8
 SHINGLE_WORDS, MAX_BITS = 3, 2
+COMPONENTS = 32
+CAPACITY, END_ID = 2048, 0
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,6 +116,22 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(substrings.find_repeats(docs)).drop("text")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=COMPONENTS)
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = sequences.cut_documents(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("word_bpe_49k.json"), CAPACITY,
+                                     END_ID)
+    return sequences.pack(pieces, settings=sequences.Settings(capacity=CAPACITY))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"),
+                               table(spark, sf_dir, "benchmark"))
+
+
 # Words of a text: A-Z in lower case, all other ASCII but digits and letters parts them.
 WORDS_SQL = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
@@ -159,13 +178,54 @@ SELECT doc_id, octet_length(data)::BIGINT AS n_bytes,
 FROM docs LEFT JOIN cuts USING (doc_id)"""
 
 
+# The remainders of CRC32_SQL, here for distinct words.
+OP13_SQL = f"""
+WITH remainders AS (
+  SELECT list(c ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce(range(8), lambda a, k: CASE WHEN a % 2 = 1
+      THEN xor(a // 2, 3988292384) ELSE a // 2 END, i) AS c FROM range(256) r(i))),
+doc_words AS (SELECT row_number() OVER () AS line, doc_id, {WORDS_SQL} AS w FROM documents),
+words AS (SELECT line, unnest(w) AS word FROM doc_words),
+item_words AS (SELECT unnest({WORDS_SQL}) AS word FROM benchmark),
+counts AS (
+  SELECT word, sum(s) AS s, sum(t) AS t FROM (
+    SELECT word, 1 AS s, 0 AS t FROM words UNION ALL SELECT word, 0, 1 FROM item_words)
+  GROUP BY word),
+hashed AS (
+  SELECT word, s, t, xor(list_reduce(
+    list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda h: ('0x' || h)::BIGINT),
+    lambda a, b: xor(crc[xor(a, b) % 256 + 1], a // 256), 4294967295::BIGINT),
+    4294967295) % 10000 AS bucket
+  FROM counts, remainders),
+gains AS (
+  SELECT bucket, floor(1000 * ln((sum(t) + 1)::DOUBLE * (max(all_s) + 10000)::DOUBLE
+    / ((sum(s) + 1)::DOUBLE * (max(all_t) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM hashed, (SELECT sum(s) AS all_s, sum(t) AS all_t FROM counts) GROUP BY bucket),
+weights AS (
+  SELECT line, sum(gain)::BIGINT AS weight FROM words JOIN hashed USING (word)
+  JOIN gains USING (bucket) GROUP BY line),
+scored AS (
+  SELECT line, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:'
+      || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT
+      AS score
+  FROM doc_words LEFT JOIN weights USING (line)),
+ranks AS (
+  SELECT line, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST) AS place,
+    10 * count(*) OVER () // 100 AS take
+  FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= take THEN place END AS rank
+FROM scored LEFT JOIN ranks USING (line)"""
+
+
 def queries() -> dict[str, Query]:
     found = [op1_token_counts, op2_feistel_shards, op3_piece_round_trip, op4_toxicity,
              op5_decontamination, op6_neighbours,
-             op7_language_model, op8_simhash, op9_quality, op10_suffix_dedup]
+             op7_language_model, op8_simhash, op9_quality, op10_suffix_dedup,
+             op11_whitening, op12_best_fit_packing, op13_importance_resampling]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_feistel_shards": OP2_SQL, "op5_decontamination": OP5_SQL,
-            "op10_suffix_dedup": OP10_SQL}
+            "op10_suffix_dedup": OP10_SQL, "op13_importance_resampling": OP13_SQL}
