@@ -60,10 +60,27 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     fs.delete(path, True)
 
 
-def rename_folder(spark: SparkSession, old: str, new: str) -> None:
-    source, fs = _path(spark, old)
-    if not fs.rename(source, _path(spark, new)[0]):
-        raise OSError(f"could not rename {old} to {new}")
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all once this returns."""
+    target, fs = _path(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_texts(spark: SparkSession, pattern: str) -> dict[str, str]:
+    """Content of the small files that a pattern matches, by path."""
+    path, fs = _path(spark, pattern)
+    found = {}
+    for status in fs.globStatus(path) or []:
+        source = fs.open(status.getPath())
+        try:
+            found[status.getPath().toString()] = bytes(source.readAllBytes()).decode()
+        finally:
+            source.close()
+    return found
 
 
 def remove_version(spark: SparkSession, folder: str, prefix: str, number: int) -> None:

@@ -6,6 +6,7 @@ table only, and a time bound opens only its dates.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -23,12 +24,20 @@ from gatewatch.schema import (
     SUSPICIOUS,
     UNKNOWN,
 )
-from gatewatch.sources.folders import is_folder, remove_folder, rename_folder, sub_folders
+from gatewatch.sources.folders import (
+    is_folder,
+    read_texts,
+    remove_folder,
+    sub_folders,
+    write_text,
+)
 
 LOGIN_EVENTS = "login_events"
 SECURITY_EVENTS = "security_events"
 REGISTRATIONS = "registrations"
 SYSTEM_ERRORS = "system_errors"
+# Hidden folder of the notes about dates whose batches are being joined.
+NOTES = "_compaction"
 
 ERROR_COLUMNS = ["error_type", "details", "event_data"]
 
@@ -124,38 +133,81 @@ class EventStore:
     def compact(self, before: date) -> int:
         """Join the batches of each date before ``before``; returns how many dates changed.
 
-        The rows of a date go to files of their own below a hidden folder, which then
-        takes the place of its batches, as the newest of them. For closed dates
-        and between appends: a reader that has begun may miss files.
+        The joined rows are a new batch, numbered below zero. Two notes in a hidden
+        folder make the change of one date whole, wherever the driver dies: while there is
+        only the note that it has begun, readers leave out the new batch; from
+        the moment that the note of its end is written (one small file), they leave out
+        the batches that it replaces. The next call takes back what was begun and completes
+        what had ended. For closed dates and between appends: a reader that has begun may
+        miss files, and a batch that was joined must not be appended again.
         """
+        for note in self._notes():
+            self._settle(note)
         changed = 0
         for table in sub_folders(self.spark, self.path):
             for day in sub_folders(self.spark, f"{self.path}/{table}"):
-                folder = f"{self.path}/{table}/{day}"
-                batches = sub_folders(self.spark, folder)
-                if (not table.startswith("table=") or day.split("=", 1)[1] >= before.isoformat()
-                        or len(batches) < 2):
-                    continue
-                last = max(batches, key=lambda b: int(b.split("=", 1)[1]))
-                joined = f"{self.path}/_joined/{table}/{day}"
-                rows = self.spark.read.schema(STORE_SCHEMA).parquet(
-                    *[f"{folder}/{b}" for b in batches])
-                (rows.drop("table", "event_date", "batch").hint("rebalance")
-                 .sortWithinPartitions("user_id").write.mode("overwrite").parquet(joined))
-                for b in batches:
-                    remove_folder(self.spark, f"{folder}/{b}")
-                rename_folder(self.spark, joined, f"{folder}/{last}")
-                changed += 1
+                if table.startswith("table=") and day.split("=", 1)[1] < before.isoformat():
+                    changed += self._compact_day(table, day)
         return changed
 
+    def _compact_day(self, table: str, day: str) -> bool:
+        folder = f"{self.path}/{table}/{day}"
+        batches = [int(b.split("=", 1)[1]) for b in sub_folders(self.spark, folder)]
+        if len(batches) < 2:
+            return False
+        # The newest batch inside, or of what an earlier call has joined, gives the number.
+        joined = -1 - max(max(batches), *(-1 - b for b in batches))
+        if joined in batches:  # nothing newer than what was joined; take the next free one
+            joined = min(batches) - 1
+        note = {"table": table, "day": day, "joined": joined, "replaces": sorted(batches)}
+        name = f"{self.path}/{NOTES}/{table}.{day}"
+        write_text(self.spark, f"{name}.begun", json.dumps(note))
+        rows = self.spark.read.schema(STORE_SCHEMA).parquet(
+            *[f"{folder}/batch={b}" for b in batches])
+        (rows.drop("table", "event_date", "batch").hint("rebalance")
+         .sortWithinPartitions("user_id").write.mode("overwrite")
+         .parquet(f"{folder}/batch={joined}"))
+        write_text(self.spark, f"{name}.ended", json.dumps(note))
+        self._settle(note | {"ended": True})
+        return True
+
+    def _notes(self) -> list[dict]:
+        """Changes of dates that are not complete, with ``ended`` for what already counts."""
+        found: dict[tuple, dict] = {}
+        for path, text in read_texts(self.spark, f"{self.path}/{NOTES}/*").items():
+            try:
+                note = json.loads(text)
+            except ValueError:  # the driver died while it wrote the note
+                continue
+            known = found.setdefault((note["table"], note["day"]), note | {"ended": False})
+            known["ended"] |= path.endswith(".ended")
+        return list(found.values())
+
+    def _settle(self, note: dict) -> None:
+        """Complete a change that has ended, or take back one that has only begun."""
+        folder = f"{self.path}/{note['table']}/{note['day']}"
+        name = f"{self.path}/{NOTES}/{note['table']}.{note['day']}"
+        for batch in note["replaces"] if note["ended"] else [note["joined"]]:
+            remove_folder(self.spark, f"{folder}/batch={batch}")
+        # In this order a note of the beginning is never left alone over joined rows.
+        remove_folder(self.spark, f"{name}.begun")
+        remove_folder(self.spark, f"{name}.ended")
+
     def rows(self, *tables: str) -> DataFrame:
         # Only the folders of these tables are listed at all.
         folders = [f"{self.path}/table={t}" for t in tables]
         folders = [f for f in folders if is_folder(self.spark, f)]
         if not folders:
             return self.spark.createDataFrame([], STORE_SCHEMA).drop("batch")
-        return (self.spark.read.schema(STORE_SCHEMA).option("basePath", self.path)
-                .parquet(*folders).drop("batch"))
+        rows = (self.spark.read.schema(STORE_SCHEMA).option("basePath", self.path)
+                .parquet(*folders))
+        for note in self._notes():
+            hidden = note["replaces"] if note["ended"] else [note["joined"]]
+            table, day = (note[k].split("=", 1)[1] for k in ("table", "day"))
+            gone = ((F.col("table") == table) & F.col("batch").isin(hidden)
+                    & (F.col("event_date") == F.lit(day).cast("date")))
+            rows = rows.filter(~F.coalesce(gone, F.lit(False)))
+        return rows.drop("batch")
 
     def table(self, name: str) -> DataFrame:
         return self.rows(name).drop("table")

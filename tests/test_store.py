@@ -6,13 +6,16 @@ from types import SimpleNamespace
 
 import pytest
 from conftest import SMALL, plan_of, rows_of
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from gatewatch.operators import ingest, metrics, store_queries, users
 from gatewatch.plans import testbed
 from gatewatch.sources import store as store_module
 from gatewatch.sources.folders import shared_folder
-from gatewatch.sources.store import EventStore
+from gatewatch.sources import store as store_module
+from gatewatch.sources.folders import write_text
+from gatewatch.sources.store import STORE_SCHEMA, EventStore
 
 
 @pytest.fixture(scope="module")
@@ -166,6 +169,73 @@ def test_compaction_changes_no_answer(spark, raw, tmp_path):
     assert answers() == before
 
 
+class Died(Exception):
+    pass
+
+
+@pytest.mark.parametrize("after", [False, True])
+def test_compaction_survives_a_crash_at_any_step(spark, tmp_path, monkeypatch, after):
+    """The driver dies before or after each file operation; no row is lost or doubled."""
+    day = dt.date(2024, 1, 1)
+    rows = spark.createDataFrame(
+        [(i, f"u{i}", "login_events", day) for i in range(12)],
+        "event_id long, user_id string, table string, event_date date")
+    missing = [f for f in STORE_SCHEMA.fields if f.name not in (*rows.columns, "batch")]
+    rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+    wanted = list(range(12))
+    steps = 0
+    for step in range(30):
+        target = EventStore(spark, str(tmp_path / f"{after}{step}"))
+        for batch in range(3):
+            target.append_rows(rows.filter(f"event_id % 3 = {batch}"), batch)
+        calls = 0
+
+        def dying(work):
+            def run(*args, **kwargs):
+                nonlocal calls
+                calls += 1
+                if calls - 1 == step and not after:
+                    raise Died
+                found = work(*args, **kwargs)
+                if calls - 1 == step:
+                    raise Died
+                return found
+            return run
+
+        def ids():
+            return sorted(r[0] for r in target.rows("login_events").select("event_id").collect())
+
+        with monkeypatch.context() as patched:
+            for name in ("write_text", "remove_folder"):
+                patched.setattr(store_module, name, dying(getattr(store_module, name)))
+            patched.setattr(DataFrameWriter, "parquet", dying(DataFrameWriter.parquet))
+            try:
+                target.compact(dt.date(2024, 1, 2))
+            except Died:
+                steps += 1
+            else:
+                break
+        assert ids() == wanted
+        target.compact(dt.date(2024, 1, 2))
+        assert ids() == wanted
+        assert target.compact(dt.date(2024, 1, 2)) == 0
+        folder = tmp_path / f"{after}{step}"
+        assert len(list(folder.glob("table=*/event_date=*/batch=*"))) == 1
+        assert not list(folder.glob("_compaction/*.begun")) + list(folder.glob("_compaction/*.ended"))
+        # Joining goes on where a new batch comes for the date.
+        target.append_rows(rows.withColumn("event_id", F.col("event_id") + 100), 9)
+        assert target.compact(dt.date(2024, 1, 2)) == 1
+        assert ids() == [*wanted, *range(100, 112)]
+    assert steps >= 8
+
+
+def test_a_note_that_was_not_finished_counts_for_nothing(spark, raw, tmp_path):
+    target = filled(EventStore(spark, str(tmp_path)), raw)
+    before = rows_of(target.rows("login_events"))
+    write_text(spark, f"{tmp_path}/_compaction/table=login_events.event_date=2024-01-01.ended", "{")
+    assert rows_of(target.rows("login_events")) == before
+
+
 def test_event_id_from_partition_and_offset(spark):
     df = spark.createDataFrame([(0, 7), (1, 7), (1, 8)], "partition int, offset long")
     ids = [r["event_id"] for r in store_module.with_event_id(df).collect()]
