@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import array
+import json
 import math
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +23,12 @@ from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, Str
 from gatewatch.llm.common import arrow_type, kept_in_worker, slices
 from gatewatch.llm.components import cut_lineage
 
-CACHE_WORDS, CACHE_LENGTH = 1 << 19, 64
-# Words are encoded in lists of about so many letters.
-ENCODED_LETTERS = 1 << 19
+CACHE_WORDS, CACHE_LENGTH = 1 << 20, 64
+LIST_WORDS = 50
+BYTE_0 = chr(256)
+_PLAIN = re.compile(r"[!-&(-;=-~]+").fullmatch
+# Digits alone, and runs of what is neither letter nor digit.
+_CUTS = re.compile(r"[0-9]|[!-/:-@\[-`{-~]+").sub
 
 
 @dataclass(frozen=True)
@@ -45,40 +51,69 @@ class Encoder:
     """Ids of whole texts as the tokenizer at ``path`` gives them, word by word.
 
     White space parts the tokens of this tokenizer and is no token itself, so texts can be
-    cut at spaces and line feeds and each distinct word be encoded once.
+    cut at spaces and line feeds and each distinct word be encoded once. The library gets
+    new words in lists, with a token between them that none of them holds. Plain words
+    (printable ASCII without apostrophes) go to it lower-cased and split already, which saves
+    its normaliser and its splitting pattern; all others as they are.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        probe = self.library.encode("a  b\nc", add_special_tokens=False).ids
-        if probe != [i for w in "abc" for i in
-                     self.library.encode(w, add_special_tokens=False).ids]:
-            raise ValueError(f"{path} has tokens that white space belongs to")
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        spec |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
+        self.bare = Tokenizer.from_str(json.dumps(spec))
         self.cache: dict[str, bytes] = {}
+        # Byte 0 and the letter that stands for it in byte-level vocabularies.
+        self.between = self._ids("\0")
+        probe = "a  b\nc"
+        if (len(self.between) != 1 or self._ids(f"\0 {probe}") != self.between + [
+                i for w in "abc" for i in self._ids(w)]
+                or self.bare.encode(BYTE_0, add_special_tokens=False).ids != self.between
+                or self._ids("Ab1,-2.") != [i for w in ("ab", "1", ",-", "2", ".")
+                                            for i in self._ids(w)]):
+            raise ValueError(f"{path} does not split words as this encoder does")
+
+    def _ids(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian with 32 bits each."""
         cache = self.cache
         if len(cache) > CACHE_WORDS:
-            cache.clear()
+            for w in list(islice(cache, CACHE_WORDS // 2)):
+                del cache[w]
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for ws in words for w in ws if w not in cache})
-        start = size = 0
-        for k, w in enumerate(new, 1):
-            size += len(w) + 8
-            if size > ENCODED_LETTERS or k == len(new):
-                part, start, size = new[start:k], k, 0
-                for word, found in zip(part, self.library.encode_batch_fast(
-                        part, add_special_tokens=False)):
-                    cache[word] = _binary(found.ids)
+        new: set[str] = set()
+        for ws in words:
+            new.update(set(ws).difference(cache))
+        plain = [w for w in new if _PLAIN(w)]
+        odd = new.difference(plain)
+        special = [w for w in odd if "\0" in w or "<|" in w]
+        odd = list(odd.difference(special))
+        self._learn(plain, self.bare, lambda part: _CUTS(
+            r" \g<0> ", " \0 ".join(part).lower()).replace("\0", BYTE_0))
+        self._learn(odd, self.library, " \0 ".join)
+        for w in special:
+            cache[w] = _binary(self._ids(w))
         out = [b"".join(map(cache.__getitem__, ws)) for ws in words]
-        for w in new:
-            if len(w) > CACHE_LENGTH:
-                del cache[w]
+        for w in [w for w in new if len(w) > CACHE_LENGTH]:
+            del cache[w]
         return out
 
+    def _learn(self, words: list[str], tokenizer, joined) -> None:
+        parts = [words[k:k + LIST_WORDS] for k in range(0, len(words), LIST_WORDS)]
+        for lists in (parts[k:k + 100] for k in range(0, len(parts), 100)):
+            for part, found in zip(lists, tokenizer.encode_batch_fast(
+                    [joined(part) for part in lists], add_special_tokens=False)):
+                data = _binary(found.ids)
+                at = np.flatnonzero(np.frombuffer(data, "<u4") == self.between[0]) * 4
+                starts, ends = [0, *(at + 4).tolist()], [*at.tolist(), len(data)]
+                self.cache.update(zip(part, [data[a:b] for a, b in zip(starts, ends)],
+                                      strict=True))
+
 
 def _binary(ids: list[int]) -> bytes:
     numbers = array.array("I", ids)
@@ -249,13 +284,18 @@ def mutated(lengths: np.ndarray, bins: np.ndarray, capacity: int,
 
 def first_packings(lengths: np.ndarray, settings: Settings,
                    rng: np.random.Generator) -> list[np.ndarray]:
-    """Best fit by falling length, and of the same with lengths blurred more and more."""
-    out = []
+    """Best fit by falling length, and of the same with lengths blurred more and more.
+
+    The first one alone where no packing can be better.
+    """
+    out, bound = [], least_bins(lengths, settings.capacity)
     for k in range(settings.population):
         blur = 1 + rng.random(len(lengths)) * 0.3 * k / settings.population
         bins = np.zeros(len(lengths), np.int64)
         best_fit(lengths, np.argsort(-lengths * blur, kind="stable"), bins, [], settings.capacity)
         out.append(bins)
+        if k == 0 and int(bins.max()) + 1 <= bound:
+            break
     return out
 
 

@@ -126,7 +126,8 @@ def test_one_length_of_a_third_of_all_rows(spark):
 def test_children_are_packings(lengths, seed):
     lengths, rng = np.array(lengths), np.random.default_rng(seed)
     setting = Settings(capacity=30)
-    one, two = sequences.first_packings(lengths, setting, rng)[:2]
+    packings = sequences.first_packings(lengths, setting, rng)
+    one, two = packings[0], packings[-1]
     child = sequences.crossover(lengths, one, two, 0.3, 30, rng)
     for bins in (one, two, child, sequences.mutated(lengths, child, 30, rng)):
         full = sequences.fills(lengths, bins)
