@@ -146,6 +146,30 @@ def summary(df: DataFrame, value: str, labels: Sequence[str]) -> DataFrame:
                  F.sum(_exact(F.col(value))).cast("double").alias("sum")))
 
 
+def histogram_totals(df: DataFrame, value: str, labels: Sequence[str | Column],
+                     buckets: Sequence[float]) -> DataFrame:
+    """One row per label combination with a column per bucket, which can be added up."""
+    v = F.col(value)
+    within = [F.count_if(v <= b).alias(f"_le_{i}") for i, b in enumerate(buckets)]
+    return (df.filter(v.isNotNull()).groupBy(*labels)
+            .agg(*within, F.count(F.lit(1)).alias("count"), F.sum(_exact(v)).alias("sum")))
+
+
+def add_totals(totals: DataFrame, labels: Sequence[str], buckets: Sequence[float]) -> DataFrame:
+    """Totals of parts of the rows as those of all of them."""
+    sums = [f"_le_{i}" for i in range(len(buckets))] + ["count", "sum"]
+    return totals.groupBy(*labels).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def histogram_rows(totals: DataFrame, labels: Sequence[str],
+                   buckets: Sequence[float]) -> DataFrame:
+    rows = [F.struct(F.lit(f"{b:g}").alias("le"), F.col(f"_le_{i}").alias("bucket"))
+            for i, b in enumerate(buckets)]
+    rows.append(F.struct(F.lit("+Inf").alias("le"), F.col("count").alias("bucket")))
+    return totals.select(*labels, F.inline(F.array(*rows)), "count",
+                         F.col("sum").cast("double").alias("sum"))
+
+
 def histogram(df: DataFrame, value: str, labels: Sequence[str],
               buckets: Sequence[float]) -> DataFrame:
     """Cumulative buckets per label combination, with the count and sum.
@@ -153,15 +177,7 @@ def histogram(df: DataFrame, value: str, labels: Sequence[str],
     Each event is looked at once: the buckets are conditional sums of one
     aggregation, and only its result is turned into one row per bucket.
     """
-    v = F.col(value)
-    within = [F.count_if(v <= b).alias(f"_le_{i}") for i, b in enumerate(buckets)]
-    totals = (df.filter(v.isNotNull()).groupBy(*labels)
-              .agg(*within, F.count(F.lit(1)).alias("count"),
-                   F.sum(_exact(v)).cast("double").alias("sum")))
-    rows = [F.struct(F.lit(f"{b:g}").alias("le"), F.col(f"_le_{i}").alias("bucket"))
-            for i, b in enumerate(buckets)]
-    rows.append(F.struct(F.lit("+Inf").alias("le"), F.col("count").alias("bucket")))
-    return totals.select(*labels, F.inline(F.array(*rows)), "count", "sum")
+    return histogram_rows(histogram_totals(df, value, labels, buckets), labels, buckets)
 
 
 # ---- exposition ------------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatewatch.functions import has_location, is_kind, seconds_between
-from gatewatch.operators.skew import lag_by_key
+from gatewatch.operators.skew import Lag, lag_by_key
 from gatewatch.schema import LOGIN, SUSPICIOUS
 
 ORDER = ("event_time", "event_id")
@@ -17,16 +17,17 @@ def _user_logins(events: DataFrame) -> DataFrame:
 
 
 def multiple_failed_attempts(events: DataFrame, attempts: int = 2,
-                             span_seconds: int = 86400) -> DataFrame:
+                             span_seconds: int = 86400, lag: Lag = lag_by_key) -> DataFrame:
     """Failed logins that are at least the ``attempts``-th within the span.
 
     That is the case exactly if the failure ``attempts - 1`` places earlier is
-    not older than the span, so a lag replaces a sliding count.
+    not older than the span, so a lag replaces a sliding count. Here and in the rules
+    below a stream names its own ``lag``.
     """
     failures = (_user_logins(events).filter(~F.col("success"))
                 .select("event_id", "user_id", "event_time"))
-    rows = lag_by_key(failures, "user_id", ORDER, {"first_failure": "event_time"},
-                      offset=attempts - 1)
+    rows = lag(failures, "user_id", ORDER, {"first_failure": "event_time"},
+               offset=attempts - 1)
     since = F.col("event_time") - F.make_dt_interval(secs=F.lit(span_seconds))
     return rows.filter(F.col("first_failure") >= since)
 
@@ -45,20 +46,21 @@ def failed_windows(events: DataFrame, attempts: int = 2, span: str = "24 hours",
             .select(F.col("window.start").alias("window_start"), "user_id", "failures"))
 
 
-def unusual_location(events: DataFrame) -> DataFrame:
+def unusual_location(events: DataFrame, lag: Lag = lag_by_key) -> DataFrame:
     """Logins from another city than the user's previous located login."""
     located = (_user_logins(events).filter(has_location())
                .select("event_id", "user_id", "event_time", "city"))
-    rows = lag_by_key(located, "user_id", ORDER, {"previous_city": "city"})
+    rows = lag(located, "user_id", ORDER, {"previous_city": "city"})
     return rows.filter(F.col("city") != F.col("previous_city"))
 
 
-def rapid_device_switch(events: DataFrame, span_seconds: int = 3600) -> DataFrame:
+def rapid_device_switch(events: DataFrame, span_seconds: int = 3600,
+                        lag: Lag = lag_by_key) -> DataFrame:
     """Logins from another device than the previous login within the span."""
     logins = (_user_logins(events)
               .select("event_id", "user_id", "event_time", "device_id"))
-    rows = lag_by_key(logins, "user_id", ORDER,
-                      {"previous_device": "device_id", "previous_time": "event_time"})
+    rows = lag(logins, "user_id", ORDER,
+               {"previous_device": "device_id", "previous_time": "event_time"})
     gap = seconds_between(F.col("previous_time"), F.col("event_time"))
     return (rows.withColumn("seconds_since", gap)
             .filter((F.col("device_id") != F.col("previous_device"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gatewatch.functions import is_kind, seconds_between
-from gatewatch.operators.skew import SLOT_SECONDS, lag_by_key
+from gatewatch.operators.skew import SLOT_SECONDS, Lag, lag_by_key
 from gatewatch.schema import LOGIN, LOGOUT
 
 
@@ -21,16 +24,18 @@ def session_marks(events: DataFrame) -> DataFrame:
             .select("event_id", "user_id", "event_time", "event_type", "device_type"))
 
 
-def session_durations(events: DataFrame, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+def session_durations(events: DataFrame, slot_seconds: int = SLOT_SECONDS,
+                      lag: Lag | None = None, also: Sequence[str] = ()) -> DataFrame:
     """Seconds since the user's latest successful login, per logout.
 
-    NULL where no login precedes the logout or another logout came in between.
+    NULL where no login precedes the logout or another logout came in between. On a
+    stream ``lag`` is the streaming lag, and ``also`` names columns of its result to keep.
     """
-    marks = lag_by_key(session_marks(events), "user_id", ["event_time", "event_id"],
-                       {"prev_type": "event_type", "prev_time": "event_time"},
-                       slot_seconds=slot_seconds)
+    lag = partial(lag_by_key, slot_seconds=slot_seconds) if lag is None else lag
+    marks = lag(session_marks(events), "user_id", ["event_time", "event_id"],
+                {"prev_type": "event_type", "prev_time": "event_time"})
     return (marks.filter(is_kind(LOGOUT))
-            .select("event_id", "user_id", "event_time", "device_type",
+            .select("event_id", "user_id", "event_time", "device_type", *also,
                     F.when(F.col("prev_type") == LOGIN,
                            seconds_between(F.col("prev_time"), F.col("event_time")))
                      .alias("session_duration")))

@@ -9,13 +9,15 @@ slots, and those are found among the slot edges, of which there are at most
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SLOT_SECONDS = 60
+# What rules and durations need: a lag per key, ``lag_by_key`` or that of a stream.
+Lag = Callable[..., DataFrame]
 
 
 def lag_by_key(df: DataFrame, key: str, order: Sequence[str], lags: dict[str, str],

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +27,9 @@ from gatewatch.plans import testbed
 from gatewatch.schema import LOGIN, LOGOUT, REGISTRATION, SUSPICIOUS
 from gatewatch.sources.files import parquet_stream
 from gatewatch.sources.folders import shared_folder
+from gatewatch.sources.store import EventStore, with_event_id
 from gatewatch.streaming import gauges, jobs
+from gatewatch.streaming.ordered import tick, tick_stream
 from gatewatch.streaming.sinks import read_changes, read_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -342,6 +344,91 @@ def _streamed(start: Callable, read: Callable[[SparkSession, str], DataFrame],
     return run
 
 
+def _closed(start: Callable, read: Callable[[SparkSession, str], DataFrame],
+            stored: bool = False) -> Query:
+    """Like ``_streamed`` for queries whose rows wait for the watermark: in the end a
+    tick says that no more is to come. ``start`` gets the ticks as well."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = shared_folder(spark)
+        events = event_stream(spark, sf_dir)
+        if stored:
+            events = ingest.storable(events)
+
+        def started() -> StreamingQuery | list[StreamingQuery]:
+            return start(events, base, _cores(spark), tick_stream(spark, f"{base}/ticks"))
+
+        _run(started)
+        last = testbed.raw_events(spark, sf_dir).agg(F.max("ts")).first()[0]
+        tick(spark, f"{base}/ticks", last + timedelta(days=2))
+        queries = started()
+        jobs.await_each(queries if isinstance(queries, list) else [queries])
+        return read(spark, base)
+    return run
+
+
+def _rule(name: str, *columns: str, **options) -> Query:
+    return _closed(
+        lambda e, base, n, ticks: jobs.start_rule(e, name, base, None, n, ticks=ticks, **options),
+        lambda spark, base: _with_plain("event_time")(
+            spark.read.parquet(f"{base}/{name}").select(
+                "event_id", "user_id", "event_time", *columns)))
+
+
+def _live_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected messages counted from decoded files, as monitoring does."""
+    base = shared_folder(spark)
+    messages = with_event_id(testbed.to_raw_messages(event_stream(spark, sf_dir)))
+    _run(lambda: jobs.start_decoded(messages, base, None))
+    jobs.start_errors(jobs.decoded_stream(spark, base), base, None).awaitTermination()
+    return read_snapshot(spark, f"{base}/errors_total")
+
+
+def _late_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend of files out of order under a short watermark, with its late rows folded in."""
+    base = shared_folder(spark)
+    events = testbed.to_login_events(parquet_stream(
+        spark, testbed.event_slices(spark, sf_dir, mixed=True), testbed.EVENTS_SCHEMA, 1))
+    _run(lambda: [
+        jobs.start_activity_trend(events, base, watermark="1 minute", every=None),
+        jobs.start_late_rows(events, base, "1 minute", every=None)])
+    jobs.fold_late_trend(spark, base, testbed.login_events(spark, sf_dir))
+    return _with_plain("window_start")(jobs.read_trend(spark, base))
+
+
+def _late_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Durations of files out of order, with the users of late rows paired anew."""
+    base = shared_folder(spark)
+    events = testbed.to_login_events(parquet_stream(
+        spark, testbed.event_slices(spark, sf_dir, mixed=True), testbed.EVENTS_SCHEMA, 1))
+
+    def started() -> list[StreamingQuery]:
+        ticks = tick_stream(spark, f"{base}/ticks")
+        return [jobs.start_session_durations(events, base, None, _cores(spark), "1 minute", ticks),
+                jobs.start_late_rows(events, base, "1 minute", every=None)]
+
+    _run(started)
+    last = testbed.raw_events(spark, sf_dir).agg(F.max("ts")).first()[0]
+    tick(spark, f"{base}/ticks", last + timedelta(days=2))
+    jobs.await_each(started())
+    jobs.fold_late_durations(spark, base, testbed.login_events(spark, sf_dir))
+    return _with_plain("event_time")(jobs.read_session_durations(spark, base).drop("late"))
+
+
+def store_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the store by table and date, after three batches were joined."""
+    store = EventStore(spark, shared_folder(spark))
+    raw = testbed.raw_messages(spark, sf_dir)
+    # A third of the batches is open and stays as it is.
+    for batch in range(3):
+        store.append(raw.filter(F.col("event_id") % 3 == batch), batch,
+                     default_time=F.lit(testbed.AS_OF).cast("timestamp"))
+    store.compact(date(2024, 1, 20))
+    rows = store.rows("login_events", "security_events", "registrations", "system_errors")
+    return (rows.groupBy(F.col("table").alias("table_name"))
+            .agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"),
+                 F.count_distinct("event_id").alias("distinct_ids")))
+
+
 def _snapshot(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, base: read_snapshot(spark, f"{base}/{name}")
 
@@ -414,10 +501,32 @@ STREAMS = {
         lambda e, base, n: jobs.start_users_table(e, base, None, n),
         lambda spark, base: _flat_users(
             _changes("users_table", jobs.USERS_KEYS)(spark, base)), stored=True),
-    "stream_session_durations": _streamed(
-        lambda e, base, n: jobs.start_session_durations(e, base, every=None, partitions=n),
-        lambda spark, base: _with_plain("event_time")(
-            spark.read.parquet(f"{base}/session_durations"))),
+    "stream_session_durations": _closed(
+        lambda e, base, n, ticks: jobs.start_session_durations(e, base, None, n, ticks=ticks),
+        lambda spark, base: _with_plain("event_time")(jobs.read_session_durations(spark, base))),
+    "stream_late_durations": _late_durations,
+    "stream_late_trend": _late_trend,
+    "stream_duration_histogram": _closed(
+        lambda e, base, n, ticks: jobs.start_duration_histogram(
+            e, base, testbed.DURATION_BUCKETS, None, n, ticks=ticks),
+        lambda spark, base: jobs.read_duration_histogram(
+            spark, base, testbed.DURATION_BUCKETS)),
+    "stream_rule_multiple_failed": _rule("rule_multiple_failed"),
+    "stream_rule_unusual_location": _rule("rule_unusual_location", "city", "previous_city"),
+    "stream_rule_device_switch": _rule(
+        "rule_device_switch", "device_id", "previous_device", "seconds_since",
+        span_seconds=21600),
+    "stream_running_sessions": _streamed(
+        lambda e, base, n: gauges.start_running_sessions(e, base, None, n),
+        lambda spark, base: _with_plain("window_start")(
+            gauges.read_running_sessions(spark, base))),
+    "stream_unique_devices": _streamed(
+        lambda e, base, n: gauges.start_device_sketches(e, base, None, n),
+        lambda spark, base: gauges.read_unique_devices(spark, base)),
+    "stream_errors_total": _live_errors,
+    "stream_user_status": _streamed(
+        lambda e, base, n: jobs.start_users_table(e, base, None, n), jobs.read_user_status,
+        stored=True),
 }
 
 
@@ -464,6 +573,7 @@ def catalog() -> dict[str, Query]:
         "login_history_between": _history(HISTORY_START, HISTORY_END),
         "active_sessions": _on_stored(active_sessions, LOGIN, LOGOUT),
         "active_sessions_successful": _on_stored(active_sessions_successful, LOGIN, LOGOUT),
+        "store_compacted": store_compacted,
         # counters, gauges, histograms
         "session_counters": _on_events(metrics.session_counters, LOGIN, LOGOUT, k=False),
         "active_sessions_by_device": _counter("active_sessions_by_device", LOGIN, LOGOUT, k=False),

@@ -347,6 +347,29 @@ def _previous(select: str, where: str, result: str) -> str:
 
 
 def oracle() -> dict[str, str]:
+    found = _oracle()
+    # Streams whose result is that of a batch query.
+    for name in ("rule_multiple_failed", "rule_unusual_location", "rule_device_switch",
+                 "errors_total", "user_status"):
+        found[f"stream_{name}"] = found[name]
+    found["stream_duration_histogram"] = found["session_duration_histogram"]
+    found["stream_running_sessions"] = found["active_sessions_trend"]
+    found["stream_late_trend"] = found["activity_trend"]
+    found["stream_late_durations"] = found["session_durations"]
+    # Sketches of so few devices are exact.
+    found["stream_unique_devices"] = _q(
+        """SELECT device_type, count(DISTINCT device_id) AS unique_devices FROM login_events
+WHERE event_type IN ('login','logout') GROUP BY 1""")
+    found["store_compacted"] = _q(
+        """SELECT CASE WHEN error_type IS NOT NULL THEN 'system_errors'
+  WHEN route IN ('login','logout') THEN 'login_events'
+  WHEN route = 'suspicious_activity' THEN 'security_events' ELSE 'registrations' END AS table_name,
+  count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, count(DISTINCT event_id) AS distinct_ids
+FROM messages WHERE error_type IS NOT NULL OR route <> 'unknown' GROUP BY 1""")
+    return found
+
+
+def _oracle() -> dict[str, str]:
     combo = _rates("city", "device_type", "login_method")
     city, method, device = _rates("city"), _rates("login_method"), _rates("device_type")
     trend = _q("SELECT date_trunc('hour', event_time) AS window_start, event_type, "

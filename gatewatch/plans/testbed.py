@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewatch.sources.folders import shared_folder
+from gatewatch.sources.folders import file_names, order_files, shared_folder
 
 AS_OF = "2024-01-31 00:00:00"
 DURATION_BUCKETS = (3600.0, 14400.0, 43200.0, 86400.0, 259200.0)
@@ -88,27 +88,26 @@ SOURCE_TYPES = {
 
 
 SLICES = 6
-_slices: dict[tuple[str, str], str] = {}
+_slices: dict[tuple[str, str, bool], str] = {}
 
 
-def event_slices(spark: SparkSession, sf_dir: str) -> str:
+def event_slices(spark: SparkSession, sf_dir: str, mixed: bool = False) -> str:
     """A shared folder with the whole ``events`` table as files that follow in time.
 
-    Streams that take one file per trigger see several micro-batches. It is
-    written once per session; each file is one task's, as the order of
-    files is what counts here.
+    Streams that take one file per trigger see several micro-batches. The files are
+    written once per session by one job, range by range; there are as many as the table has
+    splits, six at least. A stream takes files by their modification time, which is set to
+    the order of the ranges; with ``mixed``, to every second range before the others.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, mixed)
     if key not in _slices:
         folder = shared_folder(spark)
         events = raw_events(spark, sf_dir)
-        first, last = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))),
-                                 F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
-        slot = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - first) * SLICES
-                       / (last - first + 1))
-        for k in range(SLICES):
-            (events.filter(F.coalesce(slot, F.lit(0)) == k).coalesce(1)
-             .sortWithinPartitions("ts").write.mode("append").parquet(folder))
+        ranges = max(SLICES, events.rdd.getNumPartitions())
+        (events.repartitionByRange(ranges, "ts").sortWithinPartitions("ts")
+         .write.mode("append").parquet(folder))
+        names = file_names(spark, folder, ".parquet")
+        order_files(spark, folder, names[1::2] + names[::2] if mixed else names)
         _slices[key] = folder
     return _slices[key]
 

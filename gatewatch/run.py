@@ -14,6 +14,10 @@ from gatewatch.session import build_session
 from gatewatch.sources import kafka
 from gatewatch.sources.store import EventStore, with_event_id
 from gatewatch.streaming import gauges, jobs
+from gatewatch.streaming.ordered import tick_stream
+
+# Seconds: an hour, four hours, half a day, a day, three days.
+DURATION_BUCKETS = (3600.0, 14400.0, 43200.0, 86400.0, 259200.0)
 
 
 def start_analytics(messages: DataFrame, base: str, shared: bool = True,
@@ -27,7 +31,7 @@ def start_analytics(messages: DataFrame, base: str, shared: bool = True,
 
 
 def start_monitoring(messages: DataFrame, base: str, drain: bool = False) -> list[StreamingQuery]:
-    """Event store, counters and places, gauges, durations, users and trend.
+    """Event store, counters, errors and places, gauges, durations, rules, users and trends.
 
     One query reads and parses the messages; the others read what it has decoded.
     """
@@ -39,6 +43,7 @@ def start_monitoring(messages: DataFrame, base: str, drain: bool = False) -> lis
         decoding.awaitTermination()
     seen = jobs.decoded_stream(spark, base)
     stored = jobs.valid_rows(seen)
+    ticks = tick_stream(spark, f"{base}/ticks")
     return [
         decoding,
         jobs.start_store_rows(seen, EventStore(spark, f"{base}/store"), base,
@@ -47,7 +52,12 @@ def start_monitoring(messages: DataFrame, base: str, drain: bool = False) -> lis
         jobs.start_place_counts(seen, base, often),
         *gauges.start_gauges(stored, base, often),
         jobs.start_users_table(stored, base, every),
-        jobs.start_session_durations(stored, base, every=every),
+        jobs.start_errors(seen, base, often),
+        gauges.start_running_sessions(stored, base, often),
+        jobs.start_session_durations(stored, base, every, ticks=ticks),
+        jobs.start_duration_histogram(stored, base, DURATION_BUCKETS, every, ticks=ticks),
+        *[jobs.start_rule(stored, name, base, every, ticks=ticks) for name in jobs.RULES],
+        jobs.start_late_rows(stored, base, every=every),
         jobs.start_activity_trend(stored, base, every=every),
     ]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -10,11 +11,15 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the session's ``spark.checkpoint.dir``, else its warehouse.
 
-    Both are places that every executor sees. The folder goes when the
-    session's JVM ends.
+    Every executor has to see it: where a cluster names no checkpoint folder, a warehouse
+    on a local disk is refused. The folder goes when the session's JVM ends.
     """
-    base = (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.conf.get("spark.sql.warehouse.dir"))
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if base.startswith("file:") and not spark.conf.get("spark.master", "local").startswith(
+                "local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = f"{base.rstrip('/')}/gatewatch-{uuid.uuid4().hex}"
     path, fs = _path(spark, folder)
     fs.mkdirs(path)
@@ -60,6 +65,20 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     fs.delete(path, True)
 
 
+def file_names(spark: SparkSession, folder: str, ending: str) -> list[str]:
+    path, fs = _path(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isFile()]
+    return sorted(n for n in names if n.endswith(ending))
+
+
+def order_files(spark: SparkSession, folder: str, names: list[str]) -> None:
+    """Give files modification times, seconds apart, that follow the order of ``names``."""
+    now = int(time.time() * 1000)
+    for k, name in enumerate(names):
+        path, fs = _path(spark, f"{folder}/{name}")
+        fs.setTimes(path, now - 1000 * (len(names) - k), -1)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file that is there whole or not at all once this returns."""
     target, fs = _path(spark, path)

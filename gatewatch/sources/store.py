@@ -41,6 +41,10 @@ NOTES = "_compaction"
 
 ERROR_COLUMNS = ["error_type", "details", "event_data"]
 
+# Bloom filters of the users of each row group, as large as these are many.
+USER_FILTER = {"parquet.bloom.filter.enabled#user_id": "true",
+               "parquet.bloom.filter.adaptive.enabled": "true"}
+
 # Stated, so that opening the store looks into no file.
 STORE_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -121,13 +125,15 @@ class EventStore:
         files of a date together, and lets AQE split a date that holds far more
         rows than others; a load whose input is in time order already can save
         that shuffle. Rows are sorted by user inside the files, so a question
-        about one user skips most row groups.
+        about one user skips most row groups by their ends, and by a Bloom filter
+        those between whose ends the user would fall.
         """
         rows = rows.withColumn("batch", F.lit(batch).cast("bigint"))
         if rebalance:
             rows = rows.hint("rebalance", "table", "event_date")
         (rows.sortWithinPartitions("table", "event_date", "batch", "user_id")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .options(**USER_FILTER)
          .partitionBy("table", "event_date", "batch").parquet(self.path))
 
     def compact(self, before: date) -> int:
@@ -165,7 +171,7 @@ class EventStore:
         rows = self.spark.read.schema(STORE_SCHEMA).parquet(
             *[f"{folder}/batch={b}" for b in batches])
         (rows.drop("table", "event_date", "batch").hint("rebalance")
-         .sortWithinPartitions("user_id").write.mode("overwrite")
+         .sortWithinPartitions("user_id").write.mode("overwrite").options(**USER_FILTER)
          .parquet(f"{folder}/batch={joined}"))
         write_text(self.spark, f"{name}.ended", json.dumps(note))
         self._settle(note | {"ended": True})

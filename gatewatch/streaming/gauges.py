@@ -7,18 +7,20 @@ and writes only the buckets of what it changed.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gatewatch.functions import is_kind
 from gatewatch.operators import metrics, store_queries
-from gatewatch.schema import LOGIN
+from gatewatch.schema import LOGIN, LOGOUT
 from gatewatch.streaming import jobs
 from gatewatch.streaming.sinks import (
     Sink,
+    bucket_count,
     bucket_names,
     changes_sink,
     date_bucket,
@@ -68,22 +70,24 @@ def device_sessions_sink(base: str) -> Sink:
         new = spark.read.schema(df.schema).parquet(f"{sessions}/epoch={epoch}")
         values = _device_effects(new, 1)
         if epoch:
-            touched = _buckets_of(new, jobs.SESSION_KEYS)
+            touched = _buckets_of(new, jobs.SESSION_KEYS, sessions)
             old = read_changes(spark, sessions, jobs.SESSION_KEYS, touched, epoch - 1, new)
             values = values.unionByName(_device_effects(
                 old.join(new.select("user_id"), "user_id", "left_semi"), -1))
             changed = values.select(F.struct(*DEVICE_KEYS).alias("key")).distinct()
             before = read_changes(spark, devices, DEVICE_KEYS,
-                                  _buckets_of(values, DEVICE_KEYS), epoch - 1, values)
+                                  _buckets_of(values, DEVICE_KEYS, devices), epoch - 1,
+                                  values)
             values = values.unionByName(before.join(
                 changed, F.struct(*DEVICE_KEYS).eqNullSafe(F.col("key")), "left_semi"))
         write_devices(values.groupBy(*DEVICE_KEYS).agg(F.sum("n").alias("n")), epoch)
     return write
 
 
-def _buckets_of(df: DataFrame, keys: tuple[str, ...]) -> list[str]:
+def _buckets_of(df: DataFrame, keys: tuple[str, ...], folder: str) -> list[str]:
     """Names of the buckets that rows fall into; there are a fixed number of them."""
-    return [r[0] for r in df.select(hash_bucket(keys).alias("b")).distinct().collect()]
+    of = hash_bucket(keys, bucket_count(df.sparkSession, folder))
+    return [r[0] for r in df.select(of.alias("b")).distinct().collect()]
 
 
 def start_gauges(events: DataFrame, base: str, every: str | None = jobs.METRICS_TRIGGER,
@@ -144,3 +148,97 @@ def read_gauges(spark: SparkSession, base: str, as_of: datetime) -> DataFrame:
         out = out.unionByName(part)
     return metrics.with_label_map(out)
 
+
+
+# ---- running sessions -------------------------------------------------------------------
+
+RUNNING_KEYS = ("level", "window_start")
+
+
+def session_balances(events: DataFrame) -> DataFrame:
+    """Logins minus logouts per hour and per day; also on a stream."""
+    steps = F.array(*[F.struct(F.lit(level).alias("level"),
+                               F.date_trunc(level, "event_time").alias("window_start"))
+                      for level in ("hour", "day")])
+    return (events.filter(is_kind(LOGIN, LOGOUT) & F.col("event_time").isNotNull())
+            .select(F.when(is_kind(LOGIN), 1).otherwise(-1).alias("net"), F.inline(steps))
+            .groupBy(*RUNNING_KEYS).agg(F.sum("net").alias("net_change")))
+
+
+def start_running_sessions(events: DataFrame, base: str, every: str | None = jobs.METRICS_TRIGGER,
+                           partitions: int | None = None) -> StreamingQuery:
+    """Keep the balance of each hour and day; see ``read_running_sessions``."""
+    bucket = F.concat(F.col("level"), F.lit("-"), F.when(
+        F.col("level") == "day", F.date_format("window_start", "yyyy-MM")).otherwise(
+            F.date_format("window_start", "yyyy-MM-dd")))
+    return jobs.start(session_balances(events), "running_sessions", base,
+                      changes_sink(f"{base}/running_sessions", RUNNING_KEYS, bucket=bucket),
+                      "update", every, partitions)
+
+
+def read_running_sessions(spark: SparkSession, base: str, first: date | None = None,
+                          last: date | None = None) -> DataFrame:
+    """Running balance at the end of each hour of the days from ``first`` to ``last``.
+
+    Two levels of sums: inside a day over its hours, and over the totals of the
+    days before. A late event changes its hour and its day, nothing after them, and only the
+    hours of the named days are read.
+    """
+    folder = f"{base}/running_sessions"
+    buckets = sorted(bucket_names(spark, folder))
+    low, high = (f"hour-{d.isoformat()}" if d else None for d in (first, last))
+    hours = [b for b in buckets if b.startswith("hour-") and (low is None or b >= low)
+             and (high is None or b <= high)]
+    days = [b for b in buckets if b.startswith("day-")
+            and (high is None or b <= f"day-{high[5:12]}")]
+    totals = read_changes(spark, folder, RUNNING_KEYS, days)
+    before = totals.select(
+        F.col("window_start").alias("day"),
+        (F.sum("net_change").over(W.orderBy("window_start")) - F.col("net_change")).alias("carry"))
+    rows = read_changes(spark, folder, RUNNING_KEYS, hours, like=totals).withColumn(
+        "day", F.date_trunc("day", "window_start"))
+    inside = F.sum("net_change").over(W.partitionBy("day").orderBy("window_start"))
+    return (rows.withColumn("inside", inside).join(before, "day")
+            .select("window_start", "net_change",
+                    (F.col("inside") + F.col("carry")).alias("active_sessions")))
+
+
+# ---- distinct devices over any span ---------------------------------------------------------
+
+DEVICE_SKETCH_KEYS = ("hour", "device_type")
+# Registers of a sketch as a power of two; the error is about 1.04 / sqrt(2^14), or 0.8 %.
+SKETCH_BITS = 14
+
+
+def device_sketches(events: DataFrame) -> DataFrame:
+    """A sketch of the device ids of each hour and device type; also on a stream."""
+    return (events.filter(is_kind(LOGIN, LOGOUT) & F.col("device_id").isNotNull()
+                          & F.col("event_time").isNotNull())
+            .groupBy(F.date_trunc("hour", "event_time").alias("hour"), "device_type")
+            .agg(F.hll_sketch_agg("device_id", SKETCH_BITS).alias("sketch")))
+
+
+def start_device_sketches(events: DataFrame, base: str, every: str | None = jobs.METRICS_TRIGGER,
+                          partitions: int | None = None) -> StreamingQuery:
+    """Keep a mergeable sketch per hour and device type; see ``read_unique_devices``."""
+    return jobs.start(device_sketches(events), "device_sketches", base,
+                      changes_sink(f"{base}/device_sketches", DEVICE_SKETCH_KEYS,
+                                   bucket=date_bucket("hour")), "update", every, partitions)
+
+
+def read_unique_devices(spark: SparkSession, base: str, start: datetime | None = None,
+                        end: datetime | None = None) -> DataFrame:
+    """About how many devices of each type were seen from ``start`` to before ``end``.
+
+    Full hours; only the dates of the span are read, and one sketch per hour.
+    """
+    folder = f"{base}/device_sketches"
+    dates = [b for b in bucket_names(spark, folder)
+             if (start is None or b >= start.strftime("%Y-%m-%d"))
+             and (end is None or b <= end.strftime("%Y-%m-%d"))]
+    rows = read_changes(spark, folder, DEVICE_SKETCH_KEYS, dates)
+    for bound, keep in ((start, "hour >= {}"), (end, "hour < {}")):
+        if bound is not None:
+            rows = rows.filter(keep.format(f"timestamp'{bound:%Y-%m-%d %H:%M:%S}'"))
+    return rows.groupBy("device_type").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("unique_devices"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from gatewatch.functions import is_kind, success_count
@@ -21,9 +23,14 @@ from gatewatch.operators import (
     users,
 )
 from gatewatch.schema import LOGIN
-from gatewatch.sources.folders import make_folder
+from gatewatch.sources.folders import (
+    complete_versions,
+    make_folder,
+    remove_version,
+    write_text,
+)
 from gatewatch.sources.store import ERROR_COLUMNS, STORE_SCHEMA, EventStore, routed_rows
-from gatewatch.streaming.sessions import session_duration_stream
+from gatewatch.streaming.ordered import DELAY, lag_stream
 from gatewatch.streaming.sinks import (
     Sink,
     changes_sink,
@@ -93,6 +100,32 @@ def state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+# What keeps arbitrary state; a query takes the setting along when it starts.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocks_db(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKS_DB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
+def start_appended(df: DataFrame, name: str, base: str, every: str | None,
+                   partitions: int | None = None) -> StreamingQuery:
+    """Append the rows of a query to Parquet files ``base``/name, exactly once."""
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    make_folder(df.sparkSession, f"{base}/{name}")
+    with state_partitions(df.sparkSession, partitions), rocks_db(df.sparkSession):
+        return (df.writeStream.queryName(name).outputMode("append").trigger(**trigger)
+                .option("checkpointLocation", f"{base}/checkpoints/{name}")
+                .format("parquet").option("path", f"{base}/{name}").start())
+
+
 def start(df: DataFrame, name: str, base: str, sink: Sink, mode: str,
           every: str | None, partitions: int | None = None) -> StreamingQuery:
     """Run a query with its checkpoint below ``base``; ``every`` None drains
@@ -285,17 +318,179 @@ def start_users_table(events: DataFrame, base: str,
                  changes_sink(f"{base}/users_table", USERS_KEYS), "update", every, partitions)
 
 
-def start_session_durations(events: DataFrame, base: str, idle_ms: int | None = None,
-                            every: str | None = SINGLE_QUERY_TRIGGER,
-                            partitions: int | None = None) -> StreamingQuery:
-    """Append logout durations to Parquet files (exactly once), one row per logout."""
-    trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    durations = session_duration_stream(events, idle_ms)
-    with state_partitions(events.sparkSession, partitions):
-        return (durations.writeStream.queryName("session_durations").outputMode("append")
-                .trigger(**trigger)
-                .option("checkpointLocation", f"{base}/checkpoints/session_durations")
-                .format("parquet").option("path", f"{base}/session_durations").start())
+def start_session_durations(events: DataFrame, base: str, every: str | None = SINGLE_QUERY_TRIGGER,
+                            partitions: int | None = None, delay: str = DELAY,
+                            ticks: DataFrame | None = None,
+                            keep_seconds: int | None = None) -> StreamingQuery:
+    """Append logout durations; see ``read_session_durations``.
+
+    Rows wait for the watermark (``delay`` behind the newest time) and are then
+    paired in order, so they may arrive in any order within it. ``ticks`` move the watermark
+    where no events come; ``keep_seconds`` forgets users that are silent that long.
+    """
+    lag = partial(lag_stream, delay=delay, ticks=ticks, keep_seconds=keep_seconds)
+    return start_appended(sessions.session_durations(events, lag=lag), "session_durations", base,
+                          every, partitions)
+
+
+def read_session_durations(spark: SparkSession, base: str) -> DataFrame:
+    """One row per logout; ``late`` for those that only ``fold_late_durations`` has paired."""
+    seen = spark.read.parquet(f"{base}/session_durations")
+    if not complete_versions(spark, f"{base}/late_durations", "epoch"):
+        return seen.withColumn("late", F.lit(False))
+    folded = read_snapshot(spark, f"{base}/late_durations")
+    known = seen.select("event_id", F.lit(False).alias("late"))
+    rest = seen.join(folded, "event_id", "left_anti").withColumn("late", F.lit(False))
+    return rest.unionByName(folded.join(known, "event_id", "left").withColumn(
+        "late", F.col("late").isNull()))
+
+
+# Rule queries: name -> operator; each reads a user's logins in order of time.
+RULES = {
+    "rule_multiple_failed": rules.multiple_failed_attempts,
+    "rule_unusual_location": rules.unusual_location,
+    "rule_device_switch": rules.rapid_device_switch,
+}
+
+
+def start_rule(events: DataFrame, name: str, base: str, every: str | None = SINGLE_QUERY_TRIGGER,
+               partitions: int | None = None, delay: str = DELAY,
+               ticks: DataFrame | None = None, **options) -> StreamingQuery:
+    """Append the logins that a rule marks, each once; ``options`` are those of the rule.
+
+    Rules of a span forget users that are silent for longer than it.
+    """
+    defaults = {"rule_multiple_failed": 86400, "rule_device_switch": 3600}
+    keep = options.get("span_seconds", defaults.get(name))
+    lag = partial(lag_stream, delay=delay, ticks=ticks, keep_seconds=keep)
+    return start_appended(RULES[name](events, lag=lag, **options), name, base, every, partitions)
+
+
+def start_duration_histogram(events: DataFrame, base: str, buckets: Sequence[float],
+                             every: str | None = SINGLE_QUERY_TRIGGER,
+                             partitions: int | None = None, delay: str = DELAY,
+                             ticks: DataFrame | None = None,
+                             width: str = "1 hour") -> StreamingQuery:
+    """Session durations and their buckets per device type and hour in one query.
+
+    Three stateful operators follow each other: slots, pairing, and bucket sums, which
+    come out when their hour is over.
+    """
+    lag = partial(lag_stream, delay=delay, ticks=ticks, chained=True)
+    durations = sessions.session_durations(events, lag=lag, also=["slot_end"])
+    totals = metrics.histogram_totals(durations, "session_duration",
+                                      [F.window("slot_end", width), "device_type"], buckets)
+    return start_appended(totals.withColumn("window", F.col("window.start")),
+                          "duration_histogram", base, every, partitions)
+
+
+def read_duration_histogram(spark: SparkSession, base: str,
+                            buckets: Sequence[float]) -> DataFrame:
+    labels = ["device_type"]
+    totals = spark.read.parquet(f"{base}/duration_histogram")
+    return metrics.histogram_rows(metrics.add_totals(totals, labels, buckets), labels, buckets)
+
+
+def start_errors(decoded: DataFrame, base: str, every: str | None = METRICS_TRIGGER
+                 ) -> StreamingQuery:
+    """Rejected messages per kind of error, from decoded rows."""
+    errors = metrics.errors_total(decoded.filter(F.col("error_type").isNotNull()))
+    return start(errors, "errors_total", base, snapshot_sink(f"{base}/errors_total"),
+                 "complete", every, LABEL_PARTITIONS)
+
+
+def read_user_status(spark: SparkSession, base: str) -> DataFrame:
+    """Users per account status, as ``start_users_table`` has them now."""
+    return users.user_status(read_changes(spark, f"{base}/users_table", USERS_KEYS))
+
+
+# ---- late rows ------------------------------------------------------------------------
+
+
+def start_late_rows(events: DataFrame, base: str, delay: str = DELAY,
+                    every: str | None = SINGLE_QUERY_TRIGGER) -> StreamingQuery:
+    """Keep the rows that a watermark of ``delay`` may have left out in a side table.
+
+    A row is kept if it is older than the newest time of its own and all earlier
+    micro-batches, less the delay. A query with that watermark that reads the same
+    source in the same order leaves out no other rows, however its micro-batches are
+    cut; it may have counted some of them, so what they touch is computed anew
+    (``fold_late_trend``, ``fold_late_durations``) and not added.
+    """
+    def write(df: DataFrame, epoch: int) -> None:
+        spark = df.sparkSession
+        known = complete_versions(spark, f"{base}/late_marks", "epoch")
+        if epoch in known:
+            return
+        newest = df.agg(F.max("event_time").alias("mark"))
+        if known:
+            newest = newest.unionByName(
+                spark.read.schema("mark timestamp").parquet(f"{base}/late_marks/epoch={known[-1]}"))
+        newest = newest.agg(F.max("mark").alias("mark"))
+        mark = newest.first()[0]
+        late = df.filter(F.col("event_time") < F.lit(mark) - F.expr(f"INTERVAL {delay}"))
+        late.write.mode("overwrite").parquet(f"{base}/late_rows/epoch={epoch}")
+        # The mark is written last: only then does the epoch count.
+        (spark.createDataFrame([(mark,)], "mark timestamp").coalesce(1)
+         .write.mode("overwrite").parquet(f"{base}/late_marks/epoch={epoch}"))
+        for old in known[:-2]:
+            remove_version(spark, f"{base}/late_marks", "epoch", old)
+
+    return start(events, "late_rows", base, write, "append", every)
+
+
+def read_late_rows(spark: SparkSession, base: str) -> DataFrame:
+    epochs = complete_versions(spark, f"{base}/late_rows", "epoch")
+    marks = complete_versions(spark, f"{base}/late_marks", "epoch")
+    counted = [e for e in epochs if marks and e <= marks[-1]]
+    if not counted:
+        raise FileNotFoundError(f"no committed late rows in {base}")
+    return spark.read.parquet(*[f"{base}/late_rows/epoch={e}" for e in counted])
+
+
+def _next_version(spark: SparkSession, folder: str) -> int:
+    return max(complete_versions(spark, folder, "epoch"), default=-1) + 1
+
+
+def fold_late_trend(spark: SparkSession, base: str, events: DataFrame,
+                    width: str = "1 hour") -> None:
+    """Count the windows that late rows touch anew from ``events``, all rows there are.
+
+    Batch job beside ``start_activity_trend``; ``events`` with a column ``event_date``, as
+    the store has them, are read for the touched dates only.
+    """
+    start_of = F.window("event_time", width)["start"]
+    touched = read_late_rows(spark, base).select(start_of.alias("start")).distinct()
+    if "event_date" in events.columns:
+        dates = [r[0] for r in touched.select(F.explode(F.array(
+            F.to_date("start"), F.to_date(F.col("start") + F.expr(f"INTERVAL {width}")))))
+            .distinct().collect()]
+        events = events.filter(F.col("event_date").isin(dates))
+    rows = (events.withColumn("_start", start_of)
+            .join(touched.withColumnRenamed("start", "_start"), "_start", "left_semi"))
+    folder = f"{base}/late_trend"
+    snapshot_sink(folder)(sessions.activity_trend(rows.drop("_start"), width),
+                          _next_version(spark, folder))
+
+
+def read_trend(spark: SparkSession, base: str) -> DataFrame:
+    """The trend with what late rows add; counts only grow, so the larger one is newer."""
+    trend = read_changes(spark, f"{base}/activity_trend", TREND_KEYS)
+    if not complete_versions(spark, f"{base}/late_trend", "epoch"):
+        return trend
+    return (trend.unionByName(read_snapshot(spark, f"{base}/late_trend"))
+            .groupBy(*TREND_KEYS).agg(F.max("events").alias("events")))
+
+
+def fold_late_durations(spark: SparkSession, base: str, events: DataFrame) -> None:
+    """Pair all rows of users with late rows anew from ``events``, all rows there are."""
+    touched = (sessions.session_marks(read_late_rows(spark, base)).select("user_id").distinct())
+    folder = f"{base}/late_durations"
+    rows = sessions.session_durations(events.join(touched, "user_id", "left_semi"))
+    snapshot_sink(folder)(rows, _next_version(spark, folder))
+
+
+# ---- decoded messages and the store -------------------------------------------------------
 
 
 def start_decoded(messages: DataFrame, base: str, every: str | None = METRICS_TRIGGER,
@@ -305,12 +500,8 @@ def start_decoded(messages: DataFrame, base: str, every: str | None = METRICS_TR
     The other monitoring queries read these files, so the topic is read and its
     JSON parsed once however many of them there are.
     """
-    rows = routed_rows(messages, default_time, unknown=True)
-    trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    make_folder(messages.sparkSession, f"{base}/decoded")
-    return (rows.writeStream.queryName("decoded").outputMode("append").trigger(**trigger)
-            .option("checkpointLocation", f"{base}/checkpoints/decoded")
-            .format("parquet").option("path", f"{base}/decoded").start())
+    return start_appended(routed_rows(messages, default_time, unknown=True), "decoded", base,
+                          every)
 
 
 def decoded_stream(spark: SparkSession, base: str) -> DataFrame:
@@ -351,6 +542,50 @@ def await_each(queries: Sequence[StreamingQuery]) -> None:
         query.awaitTermination()
 
 
+class ProgressLog(StreamingQueryListener):
+    """Writes every progress report to a folder of its query; reports outlive the session."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        name = progress.name or str(progress.id)
+        write_text(self.spark, f"{self.folder}/query={name}/date={progress.timestamp[:10]}/"
+                   f"{progress.batchId}-{progress.runId}.json",
+                   json.dumps(json.loads(progress.json)))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+PROGRESS_SCHEMA = ("query string, date date, id string, runId string, batchId long, "
+                   "timestamp string, numInputRows long, durationMs map<string, long>")
+
+
+def log_progress(spark: SparkSession, base: str) -> ProgressLog:
+    """Keep the progress of all queries below ``base``; remove it with
+    ``spark.streams.removeListener``."""
+    log = ProgressLog(spark, f"{base}/progress")
+    make_folder(spark, log.folder)
+    spark.streams.addListener(log)
+    return log
+
+
+def read_progress(spark: SparkSession, base: str) -> DataFrame:
+    """Micro-batches of all queries and sessions: number, rows and seconds."""
+    return (spark.read.schema(PROGRESS_SCHEMA).json(f"{base}/progress")
+            .select("query", "date", "runId", "batchId", "timestamp", "numInputRows",
+                    (F.coalesce(F.col("durationMs.triggerExecution"), F.lit(0)) / 1000.0)
+                    .alias("seconds")))
+
+
 def batch_seconds(query: StreamingQuery) -> list[tuple[int, float]]:
     """Micro-batch number and duration of the recent progress reports."""
     return [(p["batchId"], p["durationMs"].get("triggerExecution", 0) / 1000.0)

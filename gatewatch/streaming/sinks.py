@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from gatewatch.operators.store_queries import top_rows
 from gatewatch.sources.folders import (
     complete_versions,
+    read_texts,
     remove_folder,
     remove_version,
     sub_folders,
+    write_text,
 )
 
 Sink = Callable[[DataFrame, int], None]
-BUCKETS = 64
+# Hash buckets of folders that were begun before the number was noted in them.
+UNNOTED_BUCKETS = 64
 
 
 def snapshot_sink(folder: str, order: Sequence[str] = (), preview: int = 0,
@@ -48,7 +51,21 @@ def read_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/epoch={versions[-1]}")
 
 
-def hash_bucket(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
+def bucket_count(spark: SparkSession, folder: str) -> int:
+    """Hash buckets of a folder: as many as the cluster has cores when it is begun.
+
+    The number is noted in the folder, so that a later session finds its keys again.
+    """
+    for text in read_texts(spark, f"{folder}/_buckets").values():
+        if text:
+            return int(text)
+    begun = any(complete_versions(spark, folder, kind) for kind in ("epoch", "base"))
+    number = UNNOTED_BUCKETS if begun else max(1, spark.sparkContext.defaultParallelism)
+    write_text(spark, f"{folder}/_buckets", str(number))
+    return number
+
+
+def hash_bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string")
 
 
@@ -65,20 +82,25 @@ def changes_sink(folder: str, keys: Sequence[str], merge_every: int = 50,
     base, which bounds what a reader has to merge. Base and changes are split by
     ``bucket``, a text made of the keys (by default a hash), and only the buckets
     that changed since the last base are merged and written again. With the
-    date as bucket, closed dates are never touched.
+    date as bucket, closed dates are never touched. Rows are gathered by bucket where there
+    are few of them and dealt to several tasks where there are many.
     """
-    bucket = hash_bucket(keys) if bucket is None else bucket
-
     def write(df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
         if epoch not in complete_versions(spark, folder, "epoch"):
-            (df.withColumn("bucket", bucket).repartition("bucket")
-             .write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/epoch={epoch}"))
+            of = hash_bucket(keys, bucket_count(spark, folder)) if bucket is None else bucket
+            _write_buckets(df.withColumn("bucket", of), f"{folder}/epoch={epoch}")
         if epoch and epoch % merge_every == 0:
             merge_changes(spark, folder, keys, epoch)
     return write
 
 
+def _write_buckets(rows: DataFrame, folder: str) -> None:
+    # The rebalance lets Spark size the tasks: small buckets share one, large ones are split.
+    (rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
+     .parquet(folder))
+
+
 def merge_changes(spark: SparkSession, folder: str, keys: Sequence[str], epoch: int) -> None:
     """Write a new base for the buckets that changed since the last one."""
     bases = complete_versions(spark, folder, "base")
@@ -88,8 +110,7 @@ def merge_changes(spark: SparkSession, folder: str, keys: Sequence[str], epoch:
         touched = {b for e in after for b in _buckets(spark, f"{folder}/epoch={e}")}
         rows = _newest_rows(spark, folder, keys, bases, after, touched)
         if rows is not None:
-            (rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
-             .parquet(f"{folder}/base={epoch}"))
+            _write_buckets(rows, f"{folder}/base={epoch}")
     # What the base before this one covers is no longer read by anyone.
     covered = bases[-2:-1] if epoch in bases else bases[-1:]
     for old in complete_versions(spark, folder, "epoch"):

@@ -169,6 +169,31 @@ def test_compaction_changes_no_answer(spark, raw, tmp_path):
     assert answers() == before
 
 
+def test_history_of_an_absent_user_reads_no_row_group(spark, tmp_path):
+    """Between the ends of every row group, and beyond what dictionaries could tell."""
+    target = EventStore(spark, str(tmp_path))
+    rows = spark.range(80_000).selectExpr(
+        "id AS event_id", "sha2(CAST(id AS STRING), 256) AS user_id", "'login_events' AS table",
+        "date'2024-01-01' AS event_date")
+    missing = [f for f in STORE_SCHEMA.fields if f.name not in (*rows.columns, "batch")]
+    rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+    target.append_rows(rows.repartition(2), 0)
+
+    def scanned(user):
+        found = target.login_events().filter(F.col("user_id") == user)
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan()
+        scan = plan.collectLeaves().head()
+        return found.count(), scan.metrics().apply("numOutputRows").value()
+
+    assert scanned("8" * 64) == (0, 0)
+    spark.conf.set("parquet.filter.bloom.enabled", "false")
+    try:
+        assert scanned("8" * 64)[1] > 0
+    finally:
+        spark.conf.unset("parquet.filter.bloom.enabled")
+
+
 class Died(Exception):
     pass
 

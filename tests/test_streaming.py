@@ -9,8 +9,6 @@ from pathlib import Path
 
 import pandas as pd
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from conftest import SMALL, rows_of
 from pyspark.sql import functions as F
 
@@ -29,7 +27,7 @@ from gatewatch.sources.files import parquet_stream
 from gatewatch.sources.folders import complete_versions, sub_folders
 from gatewatch.sources.store import EventStore
 from gatewatch.streaming import gauges, jobs
-from gatewatch.streaming.sessions import pairing
+from gatewatch.streaming.ordered import tick, tick_stream
 from gatewatch.streaming.sinks import (
     changes_sink,
     read_changes,
@@ -132,36 +130,72 @@ def test_processing_time_trigger_and_await(spark, parts, inbox, base):
         metrics.session_counters(part))
 
 
+END = dt.datetime(2024, 4, 1)
+
+
 def test_session_durations_over_restarts(spark, events, parts, inbox, base):
-    for numbers in ((0, 1), (2,), (3,)):
+    for numbers in ((0, 1), (2,), (3,), ()):
         deliver(parts, inbox, *numbers)
-        jobs.start_session_durations(stream(spark, inbox), base, every=None).awaitTermination()
-    got = spark.read.parquet(f"{base}/session_durations")
+        if not numbers:
+            tick(spark, f"{base}/ticks", END)
+        jobs.start_session_durations(
+            stream(spark, inbox), base, None,
+            ticks=tick_stream(spark, f"{base}/ticks")).awaitTermination()
+    got = jobs.read_session_durations(spark, base)
     assert rows_of(got.filter("NOT late").drop("late")) == rows_of(
         sessions.session_durations(events))
 
 
 def test_files_out_of_order_lose_nothing(spark, events, parts, inbox, base):
-    """Every logout gives one row and every event counts, whatever the order of files."""
-    for number in (2, 0, 3, 1):
-        deliver(parts, inbox, number)
+    """Within the delay logouts are paired and events count, whatever the order of files."""
+    for number in (2, 0, 3, 1, None):
+        if number is None:
+            tick(spark, f"{base}/ticks", END)
+        else:
+            deliver(parts, inbox, number)
         live = stream(spark, inbox)
         jobs.await_each([
-            jobs.start_session_durations(live, base, every=None),
+            jobs.start_session_durations(live, base, None, delay="60 days",
+                                         ticks=tick_stream(spark, f"{base}/ticks")),
             jobs.start_activity_trend(live, base, every=None),
             jobs.start_failed_windows(live, base, every=None)])
-    got = spark.read.parquet(f"{base}/session_durations")
-    expected = sessions.session_durations(events)
-    assert rows_of(got.select("event_id")) == rows_of(expected.select("event_id"))
-    assert got.filter("session_duration < 0").count() == 0
-    assert got.filter("late").count() > 0
-    assert got.filter("late AND session_duration IS NOT NULL").count() == 0
+    got = jobs.read_session_durations(spark, base)
+    assert got.filter("late").count() == 0
+    assert rows_of(got.drop("late")) == rows_of(sessions.session_durations(events))
     assert rows_of(read_changes(spark, f"{base}/activity_trend", jobs.TREND_KEYS)) == rows_of(
         sessions.activity_trend(events))
     assert rows_of(read_changes(spark, f"{base}/failed_windows", jobs.FAILED_WINDOW_KEYS)) == (
         rows_of(rules.failed_windows(events)))
 
 
+def test_rows_behind_the_watermark_are_kept_and_folded_in(spark, events, parts, inbox, base):
+    """What a short delay leaves out lies in a side table; folding gives the batch results."""
+    for number in (2, 0, 3, 1, None):
+        if number is None:
+            tick(spark, f"{base}/ticks", END)
+        else:
+            deliver(parts, inbox, number)
+        live = stream(spark, inbox)
+        queries = [
+            jobs.start_session_durations(live, base, None, delay="1 minute",
+                                         ticks=tick_stream(spark, f"{base}/ticks")),
+            jobs.start_activity_trend(live, base, watermark="1 minute", every=None)]
+        if number != 0:  # the side table may lag behind and take several files later
+            queries.append(jobs.start_late_rows(live, base, "1 minute", None))
+        jobs.await_each(queries)
+    trend, durations = sessions.activity_trend(events), sessions.session_durations(events)
+    assert rows_of(jobs.read_trend(spark, base)) != rows_of(trend)
+    assert jobs.read_session_durations(spark, base).count() < durations.count()
+    assert 0 < jobs.read_late_rows(spark, base).count() < events.count()
+    for _ in range(2):  # folding again changes nothing
+        jobs.fold_late_trend(spark, base, events.withColumn("event_date", F.to_date("event_time")))
+        jobs.fold_late_durations(spark, base, events)
+        assert rows_of(jobs.read_trend(spark, base)) == rows_of(trend)
+        got = jobs.read_session_durations(spark, base)
+        assert rows_of(got.drop("late")) == rows_of(durations)
+        assert got.filter("late").count() > 0 and got.filter("NOT late").count() > 0
+
+
 def test_a_named_watermark_counts_what_it_drops(spark, parts, inbox, base):
     dropped = 0
     for number in (3, 0):
@@ -350,115 +384,6 @@ def test_a_repeated_epoch_leaves_what_was_committed(spark, base):
     assert sorted(p.name for p in Path(f"{base}/epoch=0").iterdir()) == files
 
 
-class FakeState:
-    """The part of the state handle that the state function uses."""
-
-    def __init__(self):
-        self.value, self.hasTimedOut, self.timeout = None, False, None
-
-    exists = property(lambda self: self.value is not None)
-    get = property(lambda self: self.value)
-
-    def update(self, value):
-        self.value = value
-
-    def remove(self):
-        self.value = None
-
-    def setTimeoutDuration(self, ms):
-        self.timeout = ms
-
-
-def marks(*rows):
-    return pd.DataFrame([(i, "u", None, kind == "login", t) for i, (t, kind) in enumerate(rows)],
-                        columns=["event_id", "user_id", "device_type", "is_login", "event_us"])
-
-
-def durations(frames):
-    return [None if pd.isna(v) else v for f in frames for v in f["session_duration"]]
-
-
-def test_state_function_sorts_pairs_and_marks_late_rows():
-    state = FakeState()
-    pair = pairing()
-    first = pair(("u",), iter([marks((5_000_000, "logout"), (1_000_000, "login"))]), state)
-    assert durations(first) == [4.0]
-    again = list(pair(("u",), iter([marks((9_000_000, "login"), (2_000_000, "logout"))]), state))
-    assert durations(again) == [None]  # older than what was seen
-    assert again[0]["late"].tolist() == [True]
-    last = list(pair(("u",), iter([marks((10_000_000, "logout"), (11_000_000, "logout"))]), state))
-    assert durations(last) == [1.0, None]
-    assert not any(last[0]["late"])
-    late_login = pair(("u",), iter([marks((1, "login"))]), state)
-    assert durations(late_login) == []
-    assert durations(pair(("u",), iter([marks((12_000_000, "logout"))]), state)) == [None]
-
-
-def test_portions_of_a_user_with_many_rows():
-    state, pair = FakeState(), pairing(portion_rows=2)
-    chunks = [marks((1_000_000, "login"), (3_000_000, "logout")),
-              marks((2_000_000, "logout"), (5_000_000, "login")), marks((6_000_000, "logout"))]
-    frames = list(pair(("u",), iter(chunks), state))
-    assert durations(frames) == [2.0, None, 1.0]
-    assert [x for f in frames for x in f["late"]] == [False, True, False]
-
-
-def test_size_does_not_decide_what_is_late():
-    n = 1_100_000
-    rows = pd.DataFrame({"event_id": range(n), "user_id": "u", "device_type": "web",
-                         "is_login": [True, False] * (n // 2),
-                         "event_us": [i * 1_000_000 for i in range(n)]})
-    cut = n // 11
-    frames = list(pairing()(("u",), iter([rows[cut:], rows[:cut]]), FakeState()))
-    assert durations(frames) == [1.0] * (n // 2)
-    assert not any(f["late"].any() for f in frames)
-    mixed = rows[:4000].sample(frac=1, random_state=1)
-    mixed.loc[mixed.index % 7 == 0, "device_type"] = None
-    mixed["event_us"] //= 3_000_000  # several rows at one time
-    for run_rows in (2, 50, 1000):
-        chunks = [mixed[i:i + 30] for i in range(0, len(mixed), 30)]
-        states = FakeState(), FakeState()
-        for state in states:
-            state.update((-1, 100, 0))
-        got = pd.concat(pairing(run_rows=run_rows)(("u",), iter(chunks), states[0]))
-        whole = pd.concat(pairing()(("u",), iter([mixed]), states[1]))
-        pd.testing.assert_frame_equal(got.reset_index(drop=True), whole, check_dtype=False)
-        assert states[0].value == states[1].value and got["late"].any()
-
-
-def test_state_function_forgets_idle_users():
-    state = FakeState()
-    pair = pairing(idle_ms=1000)
-    assert durations(pair(("u",), iter([marks((1, "login"))]), state)) == []
-    assert state.timeout == 1000
-    state.hasTimedOut = True
-    assert durations(pair(("u",), iter([]), state)) == [] and not state.exists
-
-
-EVENTS = st.lists(st.tuples(st.integers(1, 50), st.sampled_from(["login", "logout"])), max_size=30)
-
-
-@settings(max_examples=60, deadline=None)
-@given(events=EVENTS, size=st.integers(1, 7))
-def test_state_function_equals_the_state_machine(events, size):
-    """Any events of one user, in any micro-batches that follow each other in time."""
-    events = sorted(events, key=lambda e: e[0])
-    open_login, expected = None, []
-    for time, kind in events:
-        if kind == "login":
-            open_login = time
-        else:
-            expected.append(None if open_login is None else float(time - open_login))
-            open_login = None
-    state, pair, got = FakeState(), pairing(), []
-    for i in range(0, len(events), size):
-        batch = marks(*[(t * 1_000_000, kind) for t, kind in events[i:i + size]])
-        batch["event_id"] += i
-        halves = [batch.iloc[len(batch) // 2:], batch.iloc[:len(batch) // 2]]
-        got += durations(pair(("u",), iter(halves), state))
-    assert got == expected
-
-
 def test_stream_column_names_match_batch(spark, parts, inbox):
     deliver(parts, inbox, 0)
     live = stream(spark, inbox)
