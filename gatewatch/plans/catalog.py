@@ -311,24 +311,22 @@ def _cores(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole table in files that follow in time, one per micro-batch."""
+def event_stream(spark: SparkSession, sf_dir: str, files: int | None = 1,
+                 k: bool = True) -> DataFrame:
+    """The whole table in files that follow in time, ``files`` of them per micro-batch (None:
+    all at once); ``k`` as in ``_on_events``."""
     return testbed.to_login_events(parquet_stream(
-        spark, testbed.event_slices(spark, sf_dir), testbed.EVENTS_SCHEMA, 1))
+        spark, testbed.event_slices(spark, sf_dir), testbed.EVENTS_SCHEMA, files), k)
 
 
 def _run(start: Callable[[], StreamingQuery | list[StreamingQuery]]) -> None:
     """Stop the queries somewhere behind their second micro-batch, start them again
     from their checkpoints and let them take the rest."""
-    def started() -> list[StreamingQuery]:
-        queries = start()
-        return queries if isinstance(queries, list) else [queries]
-
-    for query in started():
+    for query in _listed(start()):
         while query.isActive and not (query.lastProgress and query.lastProgress["batchId"] >= 1):
             time.sleep(0.05)
         query.stop()
-    jobs.await_each(started())
+    jobs.await_each(_listed(start()))
 
 
 def _streamed(start: Callable, read: Callable[[SparkSession, str], DataFrame],
@@ -341,18 +339,30 @@ def _streamed(start: Callable, read: Callable[[SparkSession, str], DataFrame],
             events = ingest.storable(events)
         _run(lambda: start(events, base, _cores(spark)))
         return read(spark, base)
+
+    def drained(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = shared_folder(spark)
+        events = event_stream(spark, sf_dir, None)
+        if stored:
+            events = ingest.storable(events)
+        jobs.await_each(_listed(start(events, base, _cores(spark))))
+        return read(spark, base)
+
+    run.drained = drained
     return run
 
 
+def _listed(queries: StreamingQuery | list[StreamingQuery]) -> list[StreamingQuery]:
+    return queries if isinstance(queries, list) else [queries]
+
+
 def _closed(start: Callable, read: Callable[[SparkSession, str], DataFrame],
-            stored: bool = False) -> Query:
+            k: bool = False) -> Query:
     """Like ``_streamed`` for queries whose rows wait for the watermark: in the end a
     tick says that no more is to come. ``start`` gets the ticks as well."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = shared_folder(spark)
-        events = event_stream(spark, sf_dir)
-        if stored:
-            events = ingest.storable(events)
+        events = event_stream(spark, sf_dir, k=k)
 
         def started() -> StreamingQuery | list[StreamingQuery]:
             return start(events, base, _cores(spark), tick_stream(spark, f"{base}/ticks"))
@@ -360,9 +370,18 @@ def _closed(start: Callable, read: Callable[[SparkSession, str], DataFrame],
         _run(started)
         last = testbed.raw_events(spark, sf_dir).agg(F.max("ts")).first()[0]
         tick(spark, f"{base}/ticks", last + timedelta(days=2))
-        queries = started()
-        jobs.await_each(queries if isinstance(queries, list) else [queries])
+        jobs.await_each(_listed(started()))
         return read(spark, base)
+
+    def drained(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = shared_folder(spark)
+        ticks = tick_stream(spark, f"{base}/ticks")
+        tick(spark, f"{base}/ticks", datetime(2100, 1, 1))
+        jobs.await_each(_listed(start(event_stream(spark, sf_dir, None, k), base, _cores(spark),
+                                      ticks)))
+        return read(spark, base)
+
+    run.drained = drained
     return run
 
 
@@ -371,7 +390,7 @@ def _rule(name: str, *columns: str, **options) -> Query:
         lambda e, base, n, ticks: jobs.start_rule(e, name, base, None, n, ticks=ticks, **options),
         lambda spark, base: _with_plain("event_time")(
             spark.read.parquet(f"{base}/{name}").select(
-                "event_id", "user_id", "event_time", *columns)))
+                "event_id", "user_id", "event_time", *columns)), k=True)
 
 
 def _live_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
