@@ -311,10 +311,14 @@ def _cores(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def event_stream(spark: SparkSession, sf_dir: str, files: int | None = 1,
+# Files of a micro-batch where a query is measured: all of the table's, if it has no more.
+AT_ONCE = 64
+
+
+def event_stream(spark: SparkSession, sf_dir: str, files: int = 1,
                  k: bool = True) -> DataFrame:
-    """The whole table in files that follow in time, ``files`` of them per micro-batch (None:
-    all at once); ``k`` as in ``_on_events``."""
+    """The whole table in files that follow in time, ``files`` of them per micro-batch; ``k``
+    as in ``_on_events``."""
     return testbed.to_login_events(parquet_stream(
         spark, testbed.event_slices(spark, sf_dir), testbed.EVENTS_SCHEMA, files), k)
 
@@ -342,7 +346,7 @@ def _streamed(start: Callable, read: Callable[[SparkSession, str], DataFrame],
 
     def drained(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = shared_folder(spark)
-        events = event_stream(spark, sf_dir, None)
+        events = event_stream(spark, sf_dir, AT_ONCE)
         if stored:
             events = ingest.storable(events)
         jobs.await_each(_listed(start(events, base, _cores(spark))))
@@ -377,7 +381,7 @@ def _closed(start: Callable, read: Callable[[SparkSession, str], DataFrame],
         base = shared_folder(spark)
         ticks = tick_stream(spark, f"{base}/ticks")
         tick(spark, f"{base}/ticks", datetime(2100, 1, 1))
-        jobs.await_each(_listed(start(event_stream(spark, sf_dir, None, k), base, _cores(spark),
+        jobs.await_each(_listed(start(event_stream(spark, sf_dir, AT_ONCE, k), base, _cores(spark),
                                       ticks)))
         return read(spark, base)
 

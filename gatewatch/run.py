@@ -38,7 +38,7 @@ def start_monitoring(messages: DataFrame, base: str, drain: bool = False) -> lis
     spark = messages.sparkSession
     every = None if drain else jobs.SINGLE_QUERY_TRIGGER
     often = None if drain else jobs.METRICS_TRIGGER
-    decoding = jobs.start_decoded(with_event_id(messages), base, often)
+    decoding = jobs.start_decoded(with_event_id(messages), base, every)
     if drain:
         decoding.awaitTermination()
     seen = jobs.decoded_stream(spark, base)

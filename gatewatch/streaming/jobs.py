@@ -59,6 +59,9 @@ PREVIEW_ROWS = {
 SINGLE_QUERY_TRIGGER = "10 seconds"
 METRICS_TRIGGER = "2 seconds"
 STORE_TRIGGER = "10 minutes"
+# Files of decoded messages that a reader takes per micro-batch, so that one that has fallen
+# behind catches up in steps.
+DECODED_FILES = 1000
 # Partitions of the states that hold combinations of labels with few values.
 LABEL_PARTITIONS = 4
 
@@ -116,13 +119,17 @@ def rocks_db(spark: SparkSession) -> Iterator[None]:
 
 
 def start_appended(df: DataFrame, name: str, base: str, every: str | None,
-                   partitions: int | None = None) -> StreamingQuery:
-    """Append the rows of a query to Parquet files ``base``/name, exactly once."""
+                   partitions: int | None = None, **options) -> StreamingQuery:
+    """Append the rows of a query to Parquet files ``base``/name, exactly once.
+
+    ``options`` are those of the file sink.
+    """
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     make_folder(df.sparkSession, f"{base}/{name}")
     with state_partitions(df.sparkSession, partitions), rocks_db(df.sparkSession):
         return (df.writeStream.queryName(name).outputMode("append").trigger(**trigger)
                 .option("checkpointLocation", f"{base}/checkpoints/{name}")
+                .options(**options)
                 .format("parquet").option("path", f"{base}/{name}").start())
 
 
@@ -493,21 +500,24 @@ def fold_late_durations(spark: SparkSession, base: str, events: DataFrame) -> No
 # ---- decoded messages and the store -------------------------------------------------------
 
 
-def start_decoded(messages: DataFrame, base: str, every: str | None = METRICS_TRIGGER,
-                  default_time: Column | None = None) -> StreamingQuery:
+def start_decoded(messages: DataFrame, base: str, every: str | None = SINGLE_QUERY_TRIGGER,
+                  default_time: Column | None = None,
+                  retention: str = "7 days") -> StreamingQuery:
     """Append every message, decoded, judged and routed, to Parquet files (exactly once).
 
     The other monitoring queries read these files, so the topic is read and its
-    JSON parsed once however many of them there are.
+    JSON parsed once however many of them there are. Files older than ``retention`` leave
+    the list of files that the readers go through, and may be deleted.
     """
     return start_appended(routed_rows(messages, default_time, unknown=True), "decoded", base,
-                          every)
+                          every, retention=retention)
 
 
 def decoded_stream(spark: SparkSession, base: str) -> DataFrame:
     """What ``start_decoded`` has written; ``table`` is NULL for messages of no known kind."""
     fields = [f for f in STORE_SCHEMA.fields if f.name != "batch"]
-    return spark.readStream.schema(StructType(fields)).parquet(f"{base}/decoded")
+    return (spark.readStream.schema(StructType(fields))
+            .option("maxFilesPerTrigger", DECODED_FILES).parquet(f"{base}/decoded"))
 
 
 def valid_rows(decoded: DataFrame) -> DataFrame:
