@@ -502,7 +502,7 @@ def fold_late_durations(spark: SparkSession, base: str, events: DataFrame) -> No
 
 def start_decoded(messages: DataFrame, base: str, every: str | None = SINGLE_QUERY_TRIGGER,
                   default_time: Column | None = None,
-                  retention: str = "7 days") -> StreamingQuery:
+                  retention: str = "7d") -> StreamingQuery:
     """Append every message, decoded, judged and routed, to Parquet files (exactly once).
 
     The other monitoring queries read these files, so the topic is read and its
