@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -16,22 +17,30 @@ from gatewatch.llm.components import cut_lineage
 
 @dataclass(frozen=True)
 class Settings:
-    """``coarse`` of the ``functions`` of a table choose the task, the others the
-    bucket in it; ``chunk_rows`` bounds each side of a task. Lengths within a range
-    differ by at most the factor ``ratio``; ranges of up to ``direct_rows`` vectors are
-    not hashed. What the hash finds with less chance than ``recall`` is compared directly."""
+    """``coarse`` of the ``functions`` of a table choose the task, the others the bucket
+    in it; ``chunk_rows`` bounds each side of a task. ``width``, ``functions`` and ``coarse``
+    are chosen from the data where they are None. Lengths within a range differ by at
+    most the factor ``ratio``. What the hash finds with less chance than ``recall`` is compared
+    directly; ``aim`` is the share of near vectors that a chosen width has to visit."""
     tables: int = 4
-    functions: int = 6
-    coarse: int = 2
-    width: float = 2.0
+    functions: int | None = None
+    coarse: int | None = None
+    width: float | None = None
     probes: int = 64
     chunk_rows: int = 4096
     ratio: float = 1.5
-    direct_rows: int = 4096
     recall: float = 0.9
+    aim: float = 0.95
+    sample_rows: int = 4096
+    sample_queries: int = 32
     seed: int = 5
 
 
+# What is tried: few functions with narrow intervals up to many with wide ones.
+FUNCTIONS = (4, 6, 8, 10, 12, 16)
+WIDTHS = (0.25, 0.4, 0.6, 0.9, 1.2, 1.5, 2.0, 3.0)
+
+
 def hashes(settings: Settings, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """Directions (tables x dim x functions) from the 2-stable law, and shifts."""
     rng = np.random.default_rng(settings.seed)
@@ -72,52 +81,115 @@ def sure_cosine(settings: Settings) -> float:
     The chance depends on the distance only, and tables are independent.
     """
     rng = np.random.default_rng(settings.seed)
-    n, cosines = settings.functions, np.linspace(-1, 1, 81)
+    n, cosines = settings.functions, 1 - np.linspace(2, 0, 101) ** 2 / 2
     places, draws = 3 ** np.arange(n), 128
     missed = np.ones((len(cosines), draws))
     for k in range(draws):
         depths = rng.uniform(0, settings.width, n)
-        visited = np.zeros(3 ** n, bool)
-        for moves in probe_sets(depths, settings.width, settings.probes):
-            visited[places.sum() + sum(d * places[i] for i, d in moves)] = True
+        visited = np.array([places.sum() + sum(d * places[i] for i, d in moves)
+                            for moves in probe_sets(depths, settings.width, settings.probes)])
         steps = rng.normal(size=(256, n))
         for c, cosine in enumerate(cosines):
             away = np.floor((depths + steps * np.sqrt(2 - 2 * cosine)) / settings.width)
             near = (np.abs(away) <= 1).all(axis=1)
             at = (np.clip(away, -1, 1) + 1).astype(int) @ places
-            missed[c, k] = 1 - (near & visited[at]).mean()
+            missed[c, k] = 1 - (near & np.isin(at, visited)).mean()
     sure = 1 - missed.mean(axis=1) ** settings.tables >= settings.recall
     below = np.flatnonzero(~sure)
     return float(cosines[min(below[-1] + 1, len(cosines) - 1)]) if len(below) else -1.0
 
 
-def _code(cells: np.ndarray) -> np.ndarray:
-    """One number for the intervals of some functions (each from -128 to 127)."""
-    return (np.clip(cells, -128, 127) + 128).astype(np.int64) @ (
-        256 ** np.arange(cells.shape[-1], dtype=np.int64))
-
-
 def _vectors(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist(), np.float64)
 
 
+def lifted(x: np.ndarray, top: np.ndarray | float) -> np.ndarray:
+    """Vectors over the greatest length of their range, with what is missing to length 1."""
+    x = x / (top if np.isscalar(top) else top[:, None])
+    return np.hstack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))[:, None]])
+
+
+def chosen(sample: np.ndarray, rows: int, neighbours: int, settings: Settings) -> Settings:
+    """Settings with which the probes visit the fewest of the ``sample`` (lifted vectors) and
+    still reach ``aim`` of what is near.
+
+    Some vectors of the sample ask for the others. Near is what would be among the
+    ``neighbours`` if all ``rows`` were there, the nearest one of the sample at least; the
+    farther quarter of that has to be reached, and surely by nine of ten queries. Each pair of functions and width is tried as it would run. Where none
+    reaches the aim, the one that finds most is taken. More functions choose the task the
+    more rows there are, so that a cell holds about ``chunk_rows`` of each table.
+    """
+    asked = min(settings.sample_queries, len(sample))
+    queries = sample[:asked].copy()
+    queries[:, -1] = 0  # a query is not lifted; its length does not matter
+    queries /= np.maximum(np.sqrt((queries * queries).sum(axis=1)), 1e-300)[:, None]
+    products = queries @ sample.T
+    products[np.arange(asked), np.arange(asked)] = -np.inf
+    near = max(1, min(len(sample) - 1, round(neighbours * len(sample) / max(rows, 1))))
+    best = np.argsort(-products, axis=1)[:, near - max(1, near // 4):near]
+    tried = []
+    for functions in FUNCTIONS if settings.functions is None else [settings.functions]:
+        for width in WIDTHS if settings.width is None else [settings.width]:
+            one = replace(settings, functions=functions, width=width)
+            directions, shifts = hashes(one, sample.shape[1])
+            seen = np.zeros(products.shape, bool)
+            for t in range(settings.tables):
+                cells = np.floor((sample @ directions[t] + shifts[t]) / width)
+                codes = _mixed(cells)
+                f = queries @ directions[t] + shifts[t]
+                home = np.floor(f / width)
+                for k in range(asked):
+                    seen[k] |= np.isin(codes, _mixed(_probed(f[k], home[k], one)))
+            found = float(np.take_along_axis(seen, best, axis=1).mean()) if len(sample) > 1 else 1.0
+            tried.append((found, float(seen.mean()), functions, width))
+    # The cosine that nine of ten queries have with the last of what is near them.
+    last = np.take_along_axis(products, best[:, -1:], axis=1)
+    reach = float(np.quantile(last, 0.1)) if len(sample) > 1 else -1.0
+    good = sorted((x for x in tried if x[0] >= settings.aim), key=lambda x: x[1])
+    _, _, functions, width = next(
+        (x for x in good if sure_cosine(replace(settings, functions=x[2], width=x[3])) <= reach),
+        good[0] if good else max(tried, key=lambda x: (x[0], -x[1])))
+    # A function parts lifted vectors into about 1 + 2 / width intervals that hold most.
+    parts = max(1.0, rows / settings.chunk_rows)
+    coarse = settings.coarse or min(functions, max(1, math.ceil(
+        math.log(parts) / math.log(1 + 2 / width))))
+    return replace(settings, functions=functions, width=width, coarse=coarse)
+
+
+def _probed(f: np.ndarray, home: np.ndarray, settings: Settings) -> np.ndarray:
+    """The intervals of each bucket that a query visits in one table."""
+    sets = probe_sets(f - home * settings.width, settings.width, settings.probes)
+    out = np.repeat(home[None], len(sets), axis=0)
+    for row, moves in zip(out, sets):
+        for i, d in moves:
+            row[i] += d
+    return out
+
+
+def _mixed(cells: np.ndarray) -> np.ndarray:
+    """One 64-bit number for the intervals of any number of functions."""
+    out = np.zeros(len(cells), np.uint64)
+    for column in cells.astype(np.int64).astype(np.uint64).T:
+        out = (out ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out.view(np.int64)
+
+
 def _index_rows(batches, settings, dim):
     """(table, cell, bucket) of each vector, lifted to the unit sphere of its range."""
     directions, shifts = hashes(settings, dim + 1)
     for batch in batches:
         if not batch.num_rows:
             continue
-        x = _vectors(batch.column("vector")) / batch.column("top").to_numpy()[:, None]
-        rest = np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
-        x = np.hstack([x, rest[:, None]])
+        x = lifted(_vectors(batch.column("vector")), batch.column("top").to_numpy())
         first = batch.column("part").to_numpy() * settings.tables
         for t in range(settings.tables):
             cells = np.floor((x @ directions[t] + shifts[t]) / settings.width)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("vector"),
                  pa.array((first + t).astype(np.int32)),
-                 pa.array(_code(cells[:, :settings.coarse])),
-                 pa.array(_code(cells[:, settings.coarse:]))],
+                 pa.array(_mixed(cells[:, :settings.coarse])),
+                 pa.array(_mixed(cells[:, settings.coarse:]))],
                 names=["id", "vector", "table", "cell", "bucket"])
 
 
@@ -135,14 +207,9 @@ def _probe_rows(batches, settings, dim, parts):
             f = unit @ directions[t] + shifts[t]
             home = np.floor(f / settings.width)
             for k in range(len(q)):
-                sets = probe_sets(f[k] - home[k] * settings.width, settings.width,
-                                  settings.probes)
-                visited = np.repeat(home[k][None], len(sets), axis=0)
-                for row, moves in zip(visited, sets):
-                    for i, d in moves:
-                        row[i] += d
-                cell = _code(visited[:, :settings.coarse])
-                bucket = _code(visited[:, settings.coarse:])
+                visited = _probed(f[k], home[k], settings)
+                cell = _mixed(visited[:, :settings.coarse])
+                bucket = _mixed(visited[:, settings.coarse:])
                 for c in np.unique(cell):
                     rows.append(k)
                     tables.append(t)
@@ -192,10 +259,10 @@ def _nearest(members: pa.Table, probes: pa.Table, keep: int) -> pa.Table:
 def _chunked(rows: DataFrame, size: int, own: str, copies: DataFrame, other: str) -> DataFrame:
     """Rows with their own chunk, once for each chunk of the other side of their cell.
 
-    The numbers of chunks are broadcast: there are at most tables * 256 ** coarse cells
-    in each range, and never more than index rows.
+    Cells hold about a chunk of each side, so only crowded ones are copied. Spark
+    broadcasts the numbers of chunks where they are small and else splits their hot cells.
     """
-    return (rows.join(F.broadcast(copies), ["table", "cell"])
+    return (rows.join(copies, ["table", "cell"])
             .withColumn(own, F.pmod(F.xxhash64("id"), F.col(f"n_{own}")).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)))
             .drop(f"n_{own}", f"n_{other}"))
@@ -224,9 +291,10 @@ def nearest(df: DataFrame, is_query: Column, neighbours: int = 20, id_col: str =
     small ids, its ``neighbours`` + 1 smallest ids are all that any result can
     hold. Vectors are parted by length, and each range is lifted to a unit sphere by
     its own greatest length, where the largest inner product is the smallest distance.
-    Ranges of few vectors are compared with every query. In the others, index and probes
-    meet in cells of the coarse functions; each cell is cut into chunks on both sides, so a
-    crowded cell is spread, and a task hands on only the best of each of its queries.
+    Width and number of functions are chosen for each number of components from a sample of
+    ``sample_rows`` vectors (see ``chosen``); every vector is in the index. Index and probes
+    meet in cells of the coarse functions; crowded cells are cut into chunks on both sides,
+    and a task hands on only the best of each of its queries.
 
     The last score that a query found tells how surely the hash finds a vector of a range
     with such a score. Where that is less than ``recall``, and no length rules the
@@ -243,41 +311,53 @@ def nearest(df: DataFrame, is_query: Column, neighbours: int = 20, id_col: str =
     # Equal lengths may differ in their last bits, so length 1 is not at the edge of a range.
     sized = classes.withColumns({"dim": F.size("vector"), "norm": norm}).withColumn(
         "range", F.floor(F.log("norm") / F.log(F.lit(settings.ratio)) + 0.5))
-    large = (sized.groupBy("dim", "range").agg(F.count("*").alias("n"), F.max("norm").alias("top"))
-             .where(F.col("range").isNotNull() & (F.col("n") > settings.direct_rows))
-             .orderBy("dim", "range").collect())
-    parts = df.sparkSession.createDataFrame(
-        [(r["dim"], r["range"], k, r["top"]) for k, r in enumerate(large)],
-        "dim int, range bigint, part int, top double")
-    placed = sized.join(F.broadcast(parts), ["dim", "range"], "left")
-    hashed, asking = placed.where("part IS NOT NULL"), placed.where("asks")
-
-    index = _whole(placed.where("part IS NULL"), F.col("dim"))
-    probes = _whole(asking, F.col("dim"), queries=True)
-    for dim in sorted({r["dim"] for r in large}):
-        own = [k for k, r in enumerate(large) if r["dim"] == dim]
+    sized = cut_lineage(sized)
+    ranges = (sized.groupBy("dim", "range").agg(F.count("*").alias("n"),
+                                                F.max("norm").alias("top"))
+              .orderBy("dim", "range").collect())
+    if not ranges:
+        return _expanded(rows, classes, copies, _none(df.sparkSession), is_query, neighbours)
+    placed = sized.join(F.broadcast(df.sparkSession.createDataFrame(
+        [(r["dim"], r["range"], k, r["top"]) for k, r in enumerate(ranges)],
+        "dim int, range bigint, part int, top double")), ["dim", "range"])
+    asking = placed.where("asks")
+
+    index = probes = None
+    sure = []
+    for dim in sorted({r["dim"] for r in ranges}):
+        own = [k for k, r in enumerate(ranges) if r["dim"] == dim]
         here = F.col("dim") == dim
-        index = index.unionByName(
-            hashed.where(here).select("id", "vector", "part", "top").mapInArrow(
-                lambda b, dim=dim: _index_rows(b, settings, dim),
-                "id bigint, vector array<double>, table int, cell bigint, bucket bigint"))
-        probes = probes.unionByName(asking.where(here).select("id", "vector").mapInArrow(
-            lambda b, dim=dim, own=own: _probe_rows(b, settings, dim, own),
-            "id bigint, vector array<double>, table int, cell bigint, buckets array<bigint>"))
-    found = _best(_search(index, probes, settings, keep), keep)
-    if large:
-        found = cut_lineage(found)
-        last = found.where(F.col("place") == keep).select(F.col("query").alias("id"), "score")
-        unsure = (asking.drop("part", "top").join(last, "id", "left")
-                  .join(F.broadcast(parts.drop("range")), "dim")
-                  .where(F.col("score").isNull() | (
-                      F.col("score") < F.col("norm") * F.col("top") * sure_cosine(settings))))
-        more = _search(_whole(hashed, F.col("part")),
-                       _whole(unsure, F.col("part"), queries=True), settings, keep)
-        found = _best(found.drop("place").unionByName(more), keep)
+        # A bounded sample, the same one whatever the partitions are.
+        sample = placed.where(here).orderBy(F.xxhash64("id")).limit(settings.sample_rows)
+        sample = sample.select("vector", "top").toArrow()
+        fitted = chosen(lifted(_vectors(sample["vector"]), sample["top"].to_numpy()),
+                        sum(ranges[k]["n"] for k in own), neighbours, settings)
+        sure += [(k, dim, ranges[k]["top"], sure_cosine(fitted)) for k in own]
+        rows_of = placed.where(here).select("id", "vector", "part", "top").mapInArrow(
+            lambda b, dim=dim, s=fitted: _index_rows(b, s, dim),
+            "id bigint, vector array<double>, table int, cell bigint, bucket bigint")
+        asked = asking.where(here).select("id", "vector").mapInArrow(
+            lambda b, dim=dim, own=own, s=fitted: _probe_rows(b, s, dim, own),
+            "id bigint, vector array<double>, table int, cell bigint, buckets array<bigint>")
+        index = rows_of if index is None else index.unionByName(rows_of)
+        probes = asked if probes is None else probes.unionByName(asked)
+    found = cut_lineage(_best(_search(index, probes, settings, keep), keep))
+    last = found.where(F.col("place") == keep).select(F.col("query").alias("id"), "score")
+    parts = df.sparkSession.createDataFrame(sure, "part int, dim int, top double, sure double")
+    unsure = (asking.drop("part", "top").join(last, "id", "left")
+              .join(F.broadcast(parts), "dim")
+              .where(F.col("score").isNull() | (
+                  F.col("score") < F.col("norm") * F.col("top") * F.col("sure"))))
+    more = _search(_whole(placed, F.col("part")), _whole(unsure, F.col("part"), queries=True),
+                   settings, keep)
+    found = _best(found.drop("place").unionByName(more), keep)
     return _expanded(rows, classes, copies, found.drop("place"), is_query, neighbours)
 
 
+def _none(spark) -> DataFrame:
+    return spark.createDataFrame([], "query bigint, member bigint, score double")
+
+
 def _whole(side: DataFrame, cell: Column, queries: bool = False) -> DataFrame:
     """Index or probe rows of a comparison without a hash: one bucket for each ``cell``."""
     bucket = F.lit(0).cast("long")

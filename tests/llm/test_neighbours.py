@@ -1,5 +1,7 @@
 """Neighbours against all inner products."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from conftest import MEDIUM
@@ -106,7 +108,7 @@ def spheres(n, dim=64, seed=3):
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
-@pytest.mark.parametrize("changed", [{}, {"direct_rows": 100}])
+@pytest.mark.parametrize("changed", [{}, {"coarse": 2, "functions": 6, "width": 2.0}])
 @pytest.mark.parametrize("lengths", ["one longer", "lognormal"])
 def test_lengths_differ_in_many_dimensions(spark, lengths, changed):
     x = spheres(2000)
@@ -122,12 +124,13 @@ def test_lengths_differ_in_many_dimensions(spark, lengths, changed):
 
 
 def test_the_chance_of_a_visit_grows_with_the_cosine():
-    chances = [neighbours.sure_cosine(Settings(recall=r)) for r in (0.5, 0.9, 0.99)]
+    fixed = Settings(functions=6, width=2.0, coarse=2)
+    chances = [neighbours.sure_cosine(replace(fixed, recall=r)) for r in (0.5, 0.9, 0.99)]
     assert chances == sorted(chances) and -1 < chances[0] < chances[2] < 1
-    assert neighbours.sure_cosine(Settings(probes=1, width=0.1)) == 1
+    assert neighbours.sure_cosine(replace(fixed, probes=1, width=0.1)) == 1
 
 
-@pytest.mark.parametrize("changed", [{}, {"direct_rows": 0}])
+@pytest.mark.parametrize("changed", [{}, {"functions": 4, "width": 0.4}])
 def test_lists_are_whole_with_the_settings_in_use(spark, changed):
     def found(rows, step):
         df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
@@ -152,7 +155,7 @@ def test_other_dimensions_are_tables_of_their_own(spark):
     rows = [(i, v + [0.0] * (i == 3)) for i, v in enumerate(spheres(30, 8).tolist())]
     rows += [(i, v) for i, v in enumerate(spheres(30, 5).tolist(), 100)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    for changed in ({}, {"direct_rows": 9}):
+    for changed in ({}, {"chunk_rows": 9}):
         got = neighbours.nearest(df, F.col("id") % 10 == 0, 5,
                                  settings=Settings(**changed)).collect()
         assert {r["query_id"] for r in got} == {0, 10, 20, 100, 110, 120}
@@ -160,3 +163,58 @@ def test_other_dimensions_are_tables_of_their_own(spark):
             table = [(i, v) for i, v in rows if len(v) == dim]
             mine = [r for r in got if r["query_id"] in dict(table)]
             assert recall(mine, exact(table, lambda i: i % 10 == 0, 5)) >= 0.9
+
+
+def clustered(n=10_000, clusters=100, dim=64, seed=6):
+    """Tight clusters of unit vectors."""
+    rng = np.random.default_rng(seed)
+    x = spheres(clusters, dim, seed)[rng.integers(0, clusters, n)] + rng.normal(
+        size=(n, dim)) * 0.02
+    return x / np.sqrt((x * x).sum(axis=1))[:, None]
+
+
+def visited(x, settings, asked=40):
+    """Share of all vectors that the probes of some of them visit, and the recall of 20."""
+    directions, shifts = neighbours.hashes(settings, x.shape[1] + 1)
+    up, queries = neighbours.lifted(x, 1.0), np.hstack([x[:asked], np.zeros((asked, 1))])
+    seen = np.zeros((asked, len(x)), bool)
+    for t in range(settings.tables):
+        cells = np.floor((up @ directions[t] + shifts[t]) / settings.width)
+        f = queries @ directions[t] + shifts[t]
+        for k in range(asked):
+            for bucket in neighbours._probed(f[k], np.floor(f[k] / settings.width), settings):
+                seen[k] |= (cells == bucket).all(axis=1)
+    best = np.argsort(-(queries @ up.T), axis=1)[:, 1:21]
+    return seen.mean(), np.take_along_axis(seen, best, axis=1).mean()
+
+
+def test_settings_follow_the_data():
+    """Few vectors are visited where there are clusters, and the recall stays."""
+    x = clustered()
+    fitted = neighbours.chosen(neighbours.lifted(x[:4096], 1.0), len(x), 20, Settings())
+    share, found = visited(x, fitted)
+    assert share <= 0.15 and found >= 0.9
+    plain = spheres(3000)
+    fitted = neighbours.chosen(neighbours.lifted(plain, 1.0), len(plain), 20, Settings())
+    assert visited(plain, fitted)[1] >= 0.9
+
+
+def test_clusters_are_found_by_the_hash(spark):
+    x = clustered(6000, 60)
+    rows = list(enumerate(x.tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asks = [i for i in range(6000) if i % 100 == 0]
+    got = neighbours.nearest(df, F.col("id") % 100 == 0, 20).collect()
+    products = x[asks] @ x.T
+    hits = 0
+    for k, q in enumerate(asks):
+        order = [i for i in np.argsort(-products[k], kind="stable") if i != q][:20]
+        hits += len(set(order) & {r["vec_id"] for r in got if r["query_id"] == q})
+    assert hits / (20 * len(asks)) >= 0.9
+
+
+def test_more_rows_are_parted_by_more_functions():
+    sample = neighbours.lifted(spheres(500), 1.0)
+    fixed = Settings(functions=10, width=1.0)
+    coarse = [neighbours.chosen(sample, n, 20, fixed).coarse for n in (500, 10**6, 10**9)]
+    assert coarse == sorted(coarse) and coarse[0] < coarse[2] <= 10
