@@ -60,6 +60,17 @@ def fold(id_col: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has, upper or lower case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def slices(batch: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about SLICE_BYTES of text each, one row at least."""
     lengths = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_pylist()

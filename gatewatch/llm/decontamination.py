@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, LongType, StringType, StructField,
                                StructType)
 
-from gatewatch.llm.common import annotate, arrow_type
+from gatewatch.llm.common import annotate, arrow_type, free_names
 
 # Item texts that one automaton may hold; more items go to further automata.
 BLOCK_BYTES = 16 << 20
@@ -259,7 +259,11 @@ def remove_matches(matches: DataFrame, text_col: str = "text", min_words: int =
 def decontaminate(df: DataFrame, benchmark: DataFrame, window: int = 10, min_words: int = 10,
                   max_coverage: float = 0.5, text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text") -> DataFrame:
-    """``find_matches`` and ``remove_matches`` in one pass over the texts."""
+    """``find_matches`` and ``remove_matches`` in one pass over the texts.
+
+    All columns stay, whatever their names. A null or empty text stays as it is; an empty
+    benchmark cuts nothing; repeated rows are cut alike.
+    """
     matcher = _matcher(benchmark, window, item_col, item_text_col)
 
     def make():
@@ -276,10 +280,11 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, window: int = 10, min_wor
             return [kept, left]
         return work
 
-    found = annotate(df, text_col, [StructField("_kept", BooleanType()),
-                                    StructField("_left", StringType())], make)
-    text = F.when(F.col(f"`{text_col}`").isNotNull(), F.col("_left")).alias(text_col)
-    return found.where("_kept").select(*(text if c == text_col else F.col(f"`{c}`")
+    stays, rest = free_names(df, "_kept", "_left")
+    found = annotate(df, text_col, [StructField(stays, BooleanType()),
+                                    StructField(rest, StringType())], make)
+    text = F.when(F.col(f"`{text_col}`").isNotNull(), F.col(rest)).alias(text_col)
+    return found.where(F.col(stays)).select(*(text if c == text_col else F.col(f"`{c}`")
                                          for c in df.columns))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 
-from gatewatch.llm.common import release_kept
+from gatewatch.llm.common import free_names, release_kept
 from gatewatch.llm.packing import pack, pack_counts, range_slices, unpack, unpack_counts
 
 # Text that one group of documents holds, about; each is counted in one task.
@@ -107,13 +107,14 @@ REPLY = ("block int, bucket int, word_n binary, pair_n binary, total bigint, dis
          "starts bigint")
 
 
-def _request(rows: pa.Table, buckets: int, settings: Settings) -> pa.Table:
+def _request(rows: pa.Table, block_col: str, teaches_col: str, buckets: int,
+             settings: Settings) -> pa.Table:
     """What a block asks and teaches, one row for each range of numbers."""
     release_kept()
     block = Block(rows[settings.text_col].to_pylist(), settings.seed)
-    teaches = rows["_teaches"].to_numpy().astype(bool)
+    teaches = rows[teaches_col].to_numpy().astype(bool)
     word_n, pair_n = block.totals(teaches)
-    name = rows["_block"][0].as_py()
+    name = rows[block_col][0].as_py()
     out = []
     starts = int(teaches.sum())
     parts = zip(range_slices(block.words, buckets), range_slices(block.pairs, buckets))
@@ -190,23 +191,25 @@ def score_texts(df: DataFrame, teaches: Column, settings: Settings = Settings(),
     text is its end alone. Repeated rows count and come out each. Columns named
     like a result are replaced; an empty table gives an empty one.
     """
-    new = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "_block", "_teaches")
+    new = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     kept = [c for c in df.columns if c.lower() not in new and c != settings.text_col]
     spark, text = df.sparkSession, F.col(f"`{settings.text_col}`")
     size = df.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)))).first()[0]
     blocks = max((size or 0) // block_bytes + 1,
                  int(spark.conf.get("spark.sql.shuffle.partitions")))
+    name, learns = free_names(df, "_block", "_teaches")
     rows = df.select(
         *(F.col(f"`{c}`") for c in kept), text,
-        F.coalesce(teaches, F.lit(False)).alias("_teaches"),
+        F.coalesce(teaches, F.lit(False)).alias(learns),
         F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in kept), text), F.lit(blocks))
-        .cast("int").alias("_block"))
-    replies = (rows.groupBy("_block")
-               .applyInArrow(lambda t: _request(t, blocks, settings), f"{REQUEST}, starts bigint")
+        .cast("int").alias(name))
+    replies = (rows.groupBy(name)
+               .applyInArrow(lambda t: _request(t, name, learns, blocks, settings),
+                             f"{REQUEST}, starts bigint")
                .groupBy("bucket").applyInArrow(_reply, REPLY))
     schema = StructType([df.schema[c] for c in kept] + [
         StructField("n_tokens", LongType()), StructField("n_known", LongType()),
         StructField("train_tokens", LongType()), StructField("base_score", DoubleType()),
         StructField("score", DoubleType())])
-    return rows.groupBy("_block").cogroup(replies.groupBy("block")).applyInArrow(
+    return rows.groupBy(name).cogroup(replies.groupBy("block")).applyInArrow(
         lambda t, r: _scored(t, r, kept, settings), schema)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
-from gatewatch.llm.common import annotate
+from gatewatch.llm.common import annotate, free_names
 from gatewatch.llm.components import components, cut_lineage
 
 BITS = 64
@@ -219,15 +219,13 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     other), then its least fingerprint; of rows equal in both, one. Texts are
     shuffled once, by id and fingerprint, so copies spread evenly."""
     marked = _marked(df, id_col, text_col, shingle)
+    mark, least, none, fp = keys = free_names(df, "_fingerprint", "_id", "_none", "_fp")
     first = F.min(F.struct(F.col("least").isNull().alias("no_id"), "least", "fp"))
     chosen = (_groups(marked, distance, blocks).groupBy("root").agg(first.alias("c"))
-              .select(F.coalesce("c.least", F.lit(-1)).alias("_id"),
-                      F.col("c.no_id").alias("_none"), F.col("c.fp").alias("_fp")))
-    columns = [c for c in df.columns if c.lower() != "_fingerprint"]
-    rows = add_fingerprints(df.select(*(F.col(f"`{c}`") for c in columns)), text_col, shingle,
-                            "_fingerprint")
+              .select(F.coalesce("c.least", F.lit(-1)).alias(least),
+                      F.col("c.no_id").alias(none), F.col("c.fp").alias(fp)))
     own = F.col(f"`{id_col}`")
-    keys = ["_id", "_none", "_fp"]
-    return (rows.withColumns({"_id": F.coalesce(own, F.lit(-1)), "_none": own.isNull(),
-                              "_fp": _number("_fingerprint")}).drop("_fingerprint")
-            .join(chosen, keys, "left_semi").dropDuplicates(keys).drop(*keys))
+    rows = add_fingerprints(df, text_col, shingle, mark).withColumns({
+        least: F.coalesce(own, F.lit(-1)), none: own.isNull(), fp: _number(mark)})
+    return (rows.join(chosen, keys[1:], "left_semi").dropDuplicates(keys[1:])
+            .select(*(F.col(f"`{c}`") for c in df.columns)))

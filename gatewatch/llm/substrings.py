@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from gatewatch.llm.common import arrow_type, release_kept
+from gatewatch.llm.common import arrow_type, free_names, release_kept
 from gatewatch.llm.packing import pack, pack_counts, range_slices, unpack, unpack_counts
 
 # Text that one block of documents holds, about.
@@ -94,9 +94,10 @@ def _sliding_least(keys: np.ndarray, n: int) -> np.ndarray:
 
 @dataclass
 class Pieces:
-    """The pieces of a block: anchor digest, content digest, first window, windows."""
+    """The pieces of a block: anchor digest, both content digests, first window, windows."""
     anchor: np.ndarray
     content: np.ndarray
+    check: np.ndarray
     place: np.ndarray
     windows: np.ndarray
 
@@ -165,11 +166,11 @@ class Block:
             start = window[first]
             # Least digests are small numbers; stirred again they fill the ranges evenly.
             found.append((_stirred(gram[least[first]] + np.uint64(1)),
-                          digests.of(start, start + count + s.width - 1, 1),
+                          *(digests.of(start, start + count + s.width - 1, k) for k in (1, 0)),
                           start + a, count))
         columns = [np.concatenate(x) for x in zip(*found)] if found else [
-            np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64)]
-        order = np.lexsort((columns[2], columns[1], columns[0]))
+            np.zeros(0, t) for t in (np.uint64, np.uint64, np.uint64, np.int64, np.int64)]
+        order = np.lexsort(columns[3::-1])
         return Pieces(*(c[order] for c in columns))
 
 
@@ -198,7 +199,8 @@ def _unspans(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
-ASK = "block int, bucket int, anchor binary, content binary, id binary, place binary"
+ASK = ("block int, bucket int, anchor binary, content binary, check binary, id binary, "
+       "place binary")
 CODES = "block int, bucket int, codes binary"
 SEND = ("kind int, bucket int, block int, a binary, b binary, id binary, place binary, "
         "windows binary, text binary")
@@ -214,15 +216,16 @@ def _block(rows: pa.Table, settings: Settings) -> Block:
     return Block(rows[settings.id_col].to_pylist(), rows[settings.text_col].to_pylist(), settings)
 
 
-def _ask(rows: pa.Table, buckets: int, settings: Settings) -> pa.Table:
+def _ask(rows: pa.Table, column: str, buckets: int, settings: Settings) -> pa.Table:
     """The different pieces of a block, a row for each range of anchors."""
     block = _block(rows, settings)
-    pieces, name = block.pieces(), rows["_block"][0].as_py()
-    first = _firsts(pieces.anchor, pieces.content)
-    anchor, content, place = (x[first] for x in (pieces.anchor, pieces.content, pieces.place))
+    pieces, name = block.pieces(), rows[column][0].as_py()
+    first = _firsts(pieces.anchor, pieces.content, pieces.check)
+    anchor, content, check, place = (x[first] for x in (
+        pieces.anchor, pieces.content, pieces.check, pieces.place))
     ids = block.ids_at(place) if len(place) else place
-    out = [(name, b, pack(anchor[r]), pack_counts(content[r]), pack_counts(ids[r]),
-            pack_counts(place[r])) for b, r in enumerate(range_slices(anchor, buckets))]
+    out = [(name, b, pack(anchor[r]), pack_counts(content[r]), pack_counts(check[r]),
+            pack_counts(ids[r]), pack_counts(place[r])) for b, r in enumerate(range_slices(anchor, buckets))]
     return _table(out, ASK)
 
 
@@ -245,11 +248,11 @@ def _gathered(rows: pa.Table, ascending: str, *others: str):
 
 def _codes(rows: pa.Table, crowd: int) -> pa.Table:
     """For each piece: whether an earlier equal one exists, and what else its anchor has."""
-    anchor, (content, ids, place), row, lengths = _gathered(rows, "anchor", "content", "id",
-                                                            "place")
+    anchor, (content, check, ids, place), row, lengths = _gathered(
+        rows, "anchor", "content", "check", "id", "place")
     block = rows["block"].to_numpy()[row]
-    order = np.lexsort((place, block, ids, content, anchor))
-    first = _firsts(anchor[order], content[order])
+    order = np.lexsort((place, block, ids, check, content, anchor))
+    first = _firsts(anchor[order], content[order], check[order])
     group = np.cumsum(_firsts(anchor[order])) - 1
     contents = np.bincount(group, first, group[-1] + 1 if len(group) else 0)[group]
     code = np.where(~first, REPEATED, np.where(contents < 2, ALONE,
@@ -262,13 +265,14 @@ def _codes(rows: pa.Table, crowd: int) -> pa.Table:
                     names=["block", "bucket", "codes"])
 
 
-def _send(rows: pa.Table, replies: pa.Table, buckets: int, settings: Settings) -> pa.Table:
+def _send(rows: pa.Table, replies: pa.Table, column: str, buckets: int,
+          settings: Settings) -> pa.Table:
     """Known spans, pieces to sort and windows to compare of a block."""
     if not rows.num_rows:
         return _table([], SEND)
-    block, name = _block(rows, settings), rows["_block"][0].as_py()
+    block, name = _block(rows, settings), rows[column][0].as_py()
     pieces, width = block.pieces(), settings.width
-    first = _firsts(pieces.anchor, pieces.content)
+    first = _firsts(pieces.anchor, pieces.content, pieces.check)
     replies = replies.sort_by("bucket")
     codes = np.frombuffer(b"".join(replies["codes"].to_pylist()), np.uint8)
     code = np.full(len(first), REPEATED, np.uint8)
@@ -507,7 +511,7 @@ def find_repeats(df: DataFrame, settings: Settings = Settings(),
     spans. Null and empty texts have none, nor have those shorter than a window.
 
     Documents are dealt to blocks of about ``block_bytes`` by a digest of id and
-    text. A block sends its different pieces as digests (128 bits with the
+    text. A block sends its different pieces as digests (128 bits beside the
     anchor's) in ranges of anchors, gets back which of them repeat, and sends
     only pieces that differ under an anchor that others have. A task sorts
     pieces in portions of whole anchors. An anchor with over ``crowd`` pieces is not
@@ -516,7 +520,7 @@ def find_repeats(df: DataFrame, settings: Settings = Settings(),
     them grow with the square of the text over ``block_bytes``, executors with more
     memory are better served by larger blocks.
     """
-    kept = [c for c in df.columns if c.lower() not in ("repeat_spans", "_block")]
+    kept = [c for c in df.columns if c.lower() != "repeat_spans"]
     schema = StructType([df.schema[c] for c in kept] + [StructField("repeat_spans", SPAN)])
     return _finished(df, kept, settings, block_bytes, crowd, _marked, schema)
 
@@ -526,11 +530,9 @@ def without_repeats(df: DataFrame, settings: Settings = Settings(),
     """``df`` without the bytes that ``find_repeats`` marks.
 
     A letter of which only some bytes remain goes too. Texts that have no span
-    stay as they are, null included; a text may become empty.
+    stay as they are, null included; a text may become empty. All columns stay.
     """
-    kept = [c for c in df.columns if c.lower() != "_block"]
-    return _finished(df, kept, settings, block_bytes, crowd, _without,
-                     StructType([df.schema[c] for c in kept]))
+    return _finished(df, df.columns, settings, block_bytes, crowd, _without, df.schema)
 
 
 def _finished(df: DataFrame, kept: list[str], settings: Settings, block_bytes: int, crowd: int,
@@ -541,15 +543,16 @@ def _finished(df: DataFrame, kept: list[str], settings: Settings, block_bytes: i
     blocks = max((size or 0) // block_bytes + 1,
                  int(spark.conf.get("spark.sql.shuffle.partitions")))
     # One exchange of the rows serves all three passes.
+    name, = free_names(df, "_block")
     rows = df.select(*(F.col(f"`{c}`") for c in kept),
-                     F.pmod(F.xxhash64(ids, text), F.lit(blocks)).cast("int").alias("_block"))
-    codes = (rows.groupBy("_block")
-             .applyInArrow(lambda t: _ask(t, blocks, settings), ASK)
+                     F.pmod(F.xxhash64(ids, text), F.lit(blocks)).cast("int").alias(name))
+    codes = (rows.groupBy(name)
+             .applyInArrow(lambda t: _ask(t, name, blocks, settings), ASK)
              .groupBy("bucket").applyInArrow(lambda t: _codes(t, crowd), CODES))
-    sent = rows.groupBy("_block").cogroup(codes.groupBy("block")).applyInArrow(
-        lambda t, r: _send(t, r, blocks, settings), SEND)
+    sent = rows.groupBy(name).cogroup(codes.groupBy("block")).applyInArrow(
+        lambda t, r: _send(t, r, name, blocks, settings), SEND)
     found = sent.groupBy("kind", "bucket").applyInArrow(lambda t: _find(t, settings), FOUND)
-    return rows.groupBy("_block").cogroup(found.groupBy("block")).applyInArrow(
+    return rows.groupBy(name).cogroup(found.groupBy("block")).applyInArrow(
         lambda t, r: finish(t, r, kept, settings), schema)
 
 

@@ -86,3 +86,14 @@ def test_removal_by_length_and_coverage(spark):
     again = decontamination.find_matches(kept.where(F.col("doc_id") == 1), items).first()
     assert again["hit_spans"][0]["end"] - again["hit_spans"][0]["start"] == len(
         benchmark_words(passage))
+
+
+def test_columns_named_like_helpers_stay(spark):
+    df = awkward(spark).withColumns({n: F.lit("mine") for n in ("_kept", "_left", "items")})
+    items = spark.createDataFrame([(1, "tie tie tie tie tie tie")], "item_id long, text string")
+    got = decontamination.decontaminate(df, items, 4, min_words=1)
+    assert got.columns == df.columns
+    rows = got.collect()
+    assert rows and all(r["_kept"] == r["_left"] == r["items"] == "mine" for r in rows)
+    assert decontamination.decontaminate(df.limit(0), items).collect() == []
+    assert len(decontamination.decontaminate(df, items.limit(0)).collect()) == df.count()

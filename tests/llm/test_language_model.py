@@ -82,3 +82,9 @@ def test_awkward_documents(spark, block_bytes):
 def test_words_are_those_of_the_contract():
     block = ngram_lm.Block(["A b\x1fc\x0b D", None, ""], 42)
     assert block.lengths.tolist() == [len(plain_words("A b\x1fc\x0b D")) + 1, 1, 1]
+
+
+def test_columns_named_like_helpers_stay(spark):
+    df = awkward(spark).withColumns({n: F.lit("mine") for n in ("_block", "_teaches")})
+    got = ngram_lm.score_texts(df, F.lit(True)).collect()
+    assert len(got) == df.count() and all(r["_block"] == r["_teaches"] == "mine" for r in got)

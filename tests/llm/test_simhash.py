@@ -100,3 +100,16 @@ def test_awkward_documents(spark):
     alone = df.where(F.col("doc_id").isNull())
     assert {r["component_id"] for r in simhash.near_duplicates(alone).collect()} == {None}
     assert simhash.keep_first(alone).count() == 2
+
+
+def test_columns_named_like_helpers_stay(spark):
+    df = awkward(spark).withColumns({n: F.lit("mine") for n in (
+        "_id", "_none", "_fp", "_fingerprint", "__id", "least", "no_id", "c")})
+    kept = simhash.keep_first(df)
+    assert kept.columns == df.columns
+    rows = kept.collect()
+    assert rows and all(r["_id"] == r["_fp"] == r["__id"] == r["_fingerprint"] == "mine"
+                        for r in rows)
+    plain = simhash.keep_first(awkward(spark))
+    assert sorted(str(r["doc_id"]) for r in rows) == sorted(
+        str(r["doc_id"]) for r in plain.collect())

@@ -8,6 +8,7 @@ from brute import awkward, kept, repeats, runs, sha256
 from conftest import MEDIUM
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from gatewatch.llm import queries, substrings
 from gatewatch.llm.substrings import Settings
@@ -112,3 +113,11 @@ def test_awkward_documents(spark):
                    for (i, t), c in expected.items() if i == r["doc_id"]]
         assert r["text"] in options and r["block"] == "mine"
     assert substrings.find_repeats(df.limit(0)).collect() == []
+
+
+def test_columns_named_like_helpers_stay(spark):
+    df = awkward(spark).withColumns({n: F.lit("mine") for n in ("_block", "__block", "bucket")})
+    for got, columns in ((substrings.without_repeats(df), df.columns),
+                         (substrings.find_repeats(df), [*df.columns, "repeat_spans"])):
+        assert got.columns == columns
+        assert all(r["_block"] == r["__block"] == "mine" for r in got.collect())
