@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -136,9 +137,11 @@ class EventStore:
          .options(**USER_FILTER)
          .partitionBy("table", "event_date", "batch").parquet(self.path))
 
-    def compact(self, before: date) -> int:
+    def compact(self, before: date, at_once: int = 8) -> int:
         """Join the batches of each date before ``before``; returns how many dates changed.
 
+        ``at_once`` tables and dates are joined side by side, as each is a small job.
+
         The joined rows are a new batch, numbered below zero. Two notes in a hidden
         folder make the change of one date whole, wherever the driver dies: while there is
         only the note that it has begun, readers leave out the new batch; from
@@ -149,12 +152,12 @@ class EventStore:
         """
         for note in self._notes():
             self._settle(note)
-        changed = 0
-        for table in sub_folders(self.spark, self.path):
-            for day in sub_folders(self.spark, f"{self.path}/{table}"):
-                if table.startswith("table=") and day.split("=", 1)[1] < before.isoformat():
-                    changed += self._compact_day(table, day)
-        return changed
+        closed = [(table, day) for table in sub_folders(self.spark, self.path)
+                  if table.startswith("table=")
+                  for day in sub_folders(self.spark, f"{self.path}/{table}")
+                  if day.split("=", 1)[1] < before.isoformat()]
+        with ThreadPoolExecutor(at_once) as workers:
+            return sum(workers.map(lambda place: self._compact_day(*place), closed))
 
     def _compact_day(self, table: str, day: str) -> bool:
         folder = f"{self.path}/{table}/{day}"

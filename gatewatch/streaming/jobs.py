@@ -23,6 +23,7 @@ from gatewatch.operators import (
     users,
 )
 from gatewatch.schema import LOGIN
+from gatewatch.session import SETTINGS
 from gatewatch.sources.folders import (
     complete_versions,
     make_folder,
@@ -103,19 +104,21 @@ def state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-# What keeps arbitrary state; a query takes the setting along when it starts.
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# What arbitrary state needs; a query takes the settings along when it starts. Changes are
+# written as such, so a commit does not upload the files of the store.
+STATE_STORE = {name: SETTINGS[name] for name in SETTINGS if ".stateStore." in name}
 
 
 @contextmanager
 def rocks_db(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, ROCKS_DB)
+    before = {name: spark.conf.get(name, None) for name in STATE_STORE}
+    for name, value in STATE_STORE.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(STATE_STORE, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def start_appended(df: DataFrame, name: str, base: str, every: str | None,

@@ -283,6 +283,20 @@ def test_entry_points_on_kafka_shaped_messages(spark, inbox, base):
             == rows_of(store.active_sessions().select(columns)))
     table = read_changes(spark, f"{base}/users_table", jobs.USERS_KEYS)
     assert rows_of(table) == rows_of(store.users())
+    errors = read_snapshot(spark, f"{base}/errors_total")
+    assert rows_of(errors) == rows_of(metrics.errors_total(store.system_errors()))
+    assert rows_of(jobs.read_user_status(spark, base)) == rows_of(users.user_status(store.users()))
+    assert rows_of(gauges.read_running_sessions(spark, base)) == rows_of(
+        sessions.active_sessions_trend(store.login_events()))
+    tick(spark, f"{base}/ticks", dt.datetime(2100, 1, 1))
+    jobs.await_each(run.start_monitoring(messages, base, drain=True))
+    wanted = sessions.session_durations(store.login_events())
+    assert rows_of(jobs.read_session_durations(spark, base).drop("late")) == rows_of(wanted)
+    assert rows_of(jobs.read_duration_histogram(spark, base, run.DURATION_BUCKETS)) == rows_of(
+        metrics.histogram(wanted, "session_duration", ["device_type"], run.DURATION_BUCKETS))
+    for name, rule in jobs.RULES.items():
+        found, marked = spark.read.parquet(f"{base}/{name}"), rule(store.login_events())
+        assert rows_of(found.select("event_id")) == rows_of(marked.select("event_id"))
     samples = read_snapshot(spark, f"{base}/counters")
     flat = ingest.flatten(ingest.with_event_time(ingest.decode(raw)))
     logins = samples.filter("metric = 'login_events_total'").first()["value"]
