@@ -118,3 +118,28 @@ def test_short_benchmark_items_are_cut(spark, tmp_path):
                                  "n_chars long")
     row, = pipeline.cut_benchmark(spark, docs, str(tmp_path)).collect()
     assert row["text"] == f"{words}  {words}" and row["n_chars"] == len(row["text"])
+
+
+def test_empty_tables_and_extra_columns(spark, tmp_path):
+    """Tables without rows give none; columns beyond those of documents do not come out."""
+    for name in ("documents", "labels", "benchmark"):
+        table = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        table.limit(0).write.parquet(f"{tmp_path}/empty/{name}.parquet")
+        if name == "documents":
+            odd = table.limit(3).selectExpr(
+                "doc_id + 1000000 AS doc_id", "CAST(NULL AS STRING) AS text", "lang", "source",
+                "n_chars")
+            table = table.unionByName(odd).selectExpr(
+                "*", "'mine' AS _id", "1 AS _block", "'x' AS _kept", "'y' AS items",
+                "'z' AS repeat_spans", "2.0 AS _score")
+        table.write.parquet(f"{tmp_path}/wide/{name}.parquet")
+    empty = pipeline.run(spark, f"{tmp_path}/empty")
+    assert empty.collect() == []
+    wide = pipeline.run(spark, f"{tmp_path}/wide")
+    plain = pipeline.run(spark, "/root/testdata/sf0.001")
+    assert wide.columns == plain.columns == empty.columns
+    rows = {r["doc_id"]: r["ids_sha256"] for r in wide.collect()}
+    # The null texts are near duplicates of each other (and of what has no words).
+    assert {i: v for i, v in rows.items() if i < 1000000} == {
+        r["doc_id"]: r["ids_sha256"] for r in plain.collect()}
+    assert len([i for i in rows if i >= 1000000]) <= 1

@@ -1,7 +1,11 @@
 """Quality scores: held-out accuracy, the kernel, calibration, awkward rows."""
 
+import math
+import re
+import string
+
 import numpy as np
-from brute import awkward
+from brute import awkward, fold
 from conftest import MEDIUM
 from pyspark.sql import functions as F
 
@@ -81,3 +85,102 @@ def test_awkward_documents(spark):
 def test_all_bytes_count_for_the_share_outside_ascii():
     for text, share in (("é", 1.0), ("aé", 2 / 3), ("abcdef", 0.0), ("éaaaaa" * 50, 2 / 7)):
         assert quality.statistics(text)[13] == share
+
+
+def plain_statistics(text):
+    """The statistics letter by letter."""
+    letters = [c for c in text]
+    size = max(sum(len(c.encode()) for c in letters), 1)
+    total = sum(len(c.encode()) for c in letters)
+    words = [w for w in re.split("[ \t\n\r\x0b\x0c]+", text) if w]
+    spans = [len(w.encode()) for w in words]
+    n = max(len(words), 1)
+    lines = [x for x in text.split("\n") if x.strip()]
+    lines_n = max(len(lines), 1)
+
+    def share(test):
+        return sum(map(test, letters))
+
+    upper, lower = share(lambda c: "A" <= c <= "Z"), share(lambda c: "a" <= c <= "z")
+    marks = set(string.punctuation)
+    mean = sum(spans) / n
+    spread = math.sqrt(max(sum(x * x for x in spans) / n - mean ** 2, 0))
+    triples = {tuple(words[k:k + 3]) for k in range(len(words) - 2)}
+    ends = (".", "!", "?", ":", ";", "\u2026", '"', "\u201d")
+    return [
+        math.log1p(total), math.log1p(len(words)), math.log1p(len(lines)), min(mean, 40.0),
+        min(spread, 40.0), math.log1p(max(spans, default=0)), upper / size,
+        math.sqrt(upper / max(upper + lower, 1)),
+        math.sqrt(share(lambda c: "0" <= c <= "9") / size),
+        math.sqrt(share(lambda c: c in marks) / size),
+        math.sqrt((share(lambda c: c in "#$%&*|@~^<>{}[]=+_\\/") + size - total) / size),
+        math.sqrt(share(lambda c: c == "!") / n), math.sqrt(share(lambda c: c == "|") / n),
+        sum(len(c.encode()) for c in letters if ord(c) > 127) / size,
+        len(set(words)) / n, len(set(words)) / math.sqrt(n),
+        max((words.count(w) for w in set(words)), default=0) / n,
+        sum(a == b for a, b in zip(words, words[1:])) / n,
+        1 - len(set(lines)) / lines_n, math.log1p(size / lines_n),
+        sum(any(x.rstrip().endswith(e) for e in ends) for x in lines) / lines_n,
+        sum(x.lstrip()[0].isupper() for x in lines) / lines_n,
+        math.sqrt(sum(all(c in marks for c in w) for w in words) / n),
+        sum(text[k:k + 4] == "http" for k in range(len(text))) / n,
+        share(lambda c: c == "\n") / n,
+        1 - len(triples) / max(len(words) - 2, 1),
+    ]
+
+
+TEXTS = ["", " \n ", "One line.", "a|b !! \u00dcber \u2026\nA a A a a a\n\nhttp://x.y 12_3\n\u201cYes\u201d",
+         "same same same same", "TAB\tand\x0bmore\r\n...\n...\n"]
+
+
+def test_statistics_letter_by_letter():
+    for text in TEXTS:
+        assert np.allclose(quality.statistics(text), plain_statistics(text), atol=1e-12), text
+
+
+def pooled(at, n, ones):
+    """Isotonic means by the least and greatest averages of stretches."""
+    out = []
+    for k in range(len(at)):
+        out.append(max(min(sum(ones[a:b]) / sum(n[a:b]) for b in range(k + 1, len(at) + 1))
+                       for a in range(k + 1)))
+    return out
+
+
+def test_query_against_a_plain_version(spark):
+    """Every score of the query, from statistics, normal equations and pooling done plainly."""
+    docs = {r["doc_id"]: r["text"] or ""
+            for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").collect()}
+    labels = {r["doc_id"]: r["quality"]
+              for r in spark.read.parquet(f"{MEDIUM}/labels.parquet").collect()}
+    s = Settings()
+    x = np.array([plain_statistics(t) for t in docs.values()])
+    teach = [k for k, i in enumerate(docs) if i in labels and labels[i] is not None
+             and fold(i, 5) != 0]
+    y = np.array([labels[list(docs)[k]] for k in teach], float)
+    mean, scale = x[teach].mean(axis=0), np.maximum(x[teach].std(axis=0), 1e-6)
+    turn = np.random.default_rng(s.seed)
+    directions = turn.normal(0, 1 / s.width, (x.shape[1], s.features))
+    shifts = turn.uniform(0, 2 * np.pi, s.features)
+    z = np.cos(np.clip((x - mean) / scale, -8, 8) @ directions + shifts) * np.sqrt(2 / s.features)
+    z = np.hstack([z, np.ones((len(x), 1))])
+    penalty = np.append(np.full(s.features, s.ridge * len(teach) / s.features), 1e-9)
+    raw = z @ np.linalg.solve(z[teach].T @ z[teach] + np.diag(penalty), z[teach].T @ y)
+    at = np.round((np.clip(raw[teach], -1, 2) + 1) / 3 * s.bins).astype(int)
+    bins = sorted(set(at.tolist()))
+    n = [int((at == b).sum()) for b in bins]
+    ones = [float(y[at == b].sum()) for b in bins]
+    level = pooled(bins, n, ones)
+    knots, values = [], []
+    for value in sorted(set(np.round(level, 12))):
+        pool = [k for k, v in enumerate(level) if abs(v - value) < 1e-9]
+        rows = sum(n[k] for k in pool)
+        knots.append(sum(n[k] * (bins[k] / s.bins * 3 - 1) for k in pool) / rows)
+        values.append((sum(ones[k] for k in pool) + 0.5) / (rows + 1))
+    values = np.maximum.accumulate(values)
+    score = np.clip(0.99 * np.interp(raw, knots, values) + 0.01 / (1 + np.exp(-raw)), 0, 1)
+    got = {r["doc_id"]: r for r in queries.op9_quality(spark, MEDIUM).collect()}
+    assert got.keys() == docs.keys()
+    apart = [abs(got[i]["score"] - v) for i, v in zip(docs, score)]
+    assert max(apart) < 1e-6
+    assert all(got[i]["held_out"] == (fold(i, 5) == 0) for i in docs)

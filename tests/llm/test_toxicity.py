@@ -1,9 +1,13 @@
 """Toxicity scores: held-out accuracy, interactions, awkward rows."""
 
+import collections
+import math
 import random
+import re
 
 import numpy as np
-from brute import awkward
+import xxhash
+from brute import awkward, fold
 from conftest import MEDIUM
 
 from gatewatch.llm import queries, toxicity
@@ -95,3 +99,67 @@ def test_the_sample_is_bounded(spark):
     finally:
         toxicity._choose = original
     assert 20 <= seen[0] <= 90
+
+
+def test_query_against_a_plain_version(spark):
+    """Every score of the query, from terms in sets, a dense matrix and plain gradients."""
+    docs = {r["doc_id"]: r["text"] or ""
+            for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").collect()}
+    labels = {r["doc_id"]: r["toxic"]
+              for r in spark.read.parquet(f"{MEDIUM}/labels.parquet").collect()}
+    s = Settings()
+
+    def terms(text):
+        found = set()
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+        for w in re.findall("[a-z0-9\x80-\U0010ffff]+", lower):
+            forms = ["w" + w, *("p" + w[:k] for k in s.prefixes if len(w) > k)]
+            found |= {xxhash.xxh64_intdigest(f.encode(), 0) >> (64 - s.bits) for f in forms}
+        return found
+
+    rows = {i: terms(t) for i, t in docs.items()}
+    teach = sorted(i for i in docs if i in labels and labels[i] is not None and fold(i, 3) != 1)
+    assert len(teach) < s.sample_rows
+    y = np.array([labels[i] for i in teach], float)
+    n, n1 = len(y), y.sum()
+    total, ones = collections.Counter(), collections.Counter()
+    for i, label in zip(teach, y):
+        total.update(rows[i])
+        ones.update(rows[i] if label else ())
+    z = {}
+    for t, c in total.items():
+        if c >= s.min_documents:
+            pool = (c + 1) / (n + 2)
+            z[t] = ((ones[t] + 0.5) / (n1 + 1) - (c - ones[t] + 0.5) / (n - n1 + 1)) / math.sqrt(
+                pool * (1 - pool) * (1 / n1 + 1 / (n - n1)))
+    chosen = sorted(sorted((t for t in z if abs(z[t]) >= s.min_z),
+                           key=lambda t: (-abs(z[t]), t))[:s.max_terms])
+    place = {t: k for k, t in enumerate(chosen)}
+
+    def dense(ids):
+        x = np.zeros((len(ids), len(chosen)))
+        for k, i in enumerate(ids):
+            x[k, [place[t] for t in rows[i] if t in place]] = 1
+        return x
+
+    def margin(x, b, w, v):
+        return b + x @ w + 0.5 * ((x @ v) ** 2 - x @ (v * v)).sum(axis=1)
+
+    x = dense(teach)
+    share = (n1 + 0.5) / (n + 1)
+    b, w = math.log(share / (1 - share)), np.zeros(len(chosen))
+    v = np.random.default_rng(s.seed).normal(0, 0.01, (len(chosen), s.factors))
+    gb, gw, gv = 1e-8, np.full(w.shape, 1e-8), np.full(v.shape, 1e-8)
+    for _ in range(s.epochs):
+        error = 1 / (1 + np.exp(-np.clip(margin(x, b, w, v), -30, 30))) - y
+        db, dw = error.mean(), x.T @ error / n + s.shrink * w
+        dv = (x.T @ (error[:, None] * (x @ v)) - (x.T @ error)[:, None] * v) / n + s.shrink * v
+        gb, gw, gv = gb + db ** 2, gw + dw ** 2, gv + dv ** 2
+        b, w, v = (b - s.rate * db / math.sqrt(gb), w - s.rate * dw / np.sqrt(gw),
+                   v - s.rate * dv / np.sqrt(gv))
+    ids = list(docs)
+    score = 1 / (1 + np.exp(-np.clip(margin(dense(ids), b, w, v), -30, 30)))
+    got = {r["doc_id"]: r for r in queries.op4_toxicity(spark, MEDIUM).collect()}
+    assert got.keys() == docs.keys() and chosen
+    assert max(abs(got[i]["score"] - p) for i, p in zip(ids, score)) < 1e-6
+    assert all(got[i]["held_out"] == (fold(i, 3) == 1) for i in ids)
