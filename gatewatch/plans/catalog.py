@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta
+from threading import Timer
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -437,6 +438,33 @@ def _late_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_plain("event_time")(jobs.read_session_durations(spark, base).drop("late"))
 
 
+def _triggered_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session counters of a query that is triggered by the clock, awaited, and stopped."""
+    base = shared_folder(spark)
+    spark.streams.resetTerminated()
+    query = jobs.start_session_counters(event_stream(spark, sf_dir), base, "500 milliseconds")
+    query.processAllAvailable()
+    Timer(0.2, query.stop).start()
+    jobs.await_any(spark)
+    return read_snapshot(spark, f"{base}/session_counters")
+
+
+def _progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the progress table says were read, over a stop and a restart."""
+    base = shared_folder(spark)
+    log = jobs.log_progress(spark, base)
+    try:
+        _run(lambda: jobs.start_session_counters(event_stream(spark, sf_dir), base, None))
+        # Reports come by the listener bus, some time after their micro-batch.
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(log)
+    # An epoch that was stopped half-way and repeated reports once, when it is complete.
+    return (jobs.read_progress(spark, base).filter("query = 'session_counters'")
+            .groupBy("query", "batchId").agg(F.max("numInputRows").alias("n"))
+            .groupBy("query").agg(F.sum("n").alias("rows_read")))
+
+
 def store_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the store by table and date, after three batches were joined."""
     store = EventStore(spark, shared_folder(spark))
@@ -547,6 +575,8 @@ STREAMS = {
         lambda e, base, n: gauges.start_device_sketches(e, base, None, n),
         lambda spark, base: gauges.read_unique_devices(spark, base)),
     "stream_errors_total": _live_errors,
+    "stream_triggered_counters": _triggered_counters,
+    "stream_progress": _progress,
     "stream_user_status": _streamed(
         lambda e, base, n: jobs.start_users_table(e, base, None, n), jobs.read_user_status,
         stored=True),

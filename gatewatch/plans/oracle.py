@@ -352,6 +352,9 @@ def oracle() -> dict[str, str]:
     for name in ("rule_multiple_failed", "rule_unusual_location", "rule_device_switch",
                  "errors_total", "user_status"):
         found[f"stream_{name}"] = found[name]
+    found["stream_triggered_counters"] = found["session_counters"]
+    found["stream_progress"] = ("SELECT 'session_counters' AS query, "
+                                "CAST(count(*) AS BIGINT) AS rows_read FROM events")
     found["stream_duration_histogram"] = found["session_duration_histogram"]
     found["stream_running_sessions"] = found["active_sessions_trend"]
     found["stream_late_trend"] = found["activity_trend"]
