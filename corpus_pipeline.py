@@ -70,7 +70,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each result written and read again."""
+    """All stages over ``documents``, each result written and read again.
+
+    Null and empty texts are neither toxic nor benchmark; as near duplicates of one another
+    one of them stays, the one with the least id. Rows that repeat an id with another
+    text are documents of their own up to that stage, where ties go to the least fingerprint.
+    Of repeated rows one stays. Columns that documents do not have are not carried on,
+    whatever their names. An empty table gives an empty one; without labels of both kinds no
+    document is toxic unless its one common score is, and without items nothing is cut.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = shared_folder(spark)
     for k, (name, stage) in enumerate(STAGES):
