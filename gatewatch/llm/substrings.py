@@ -32,6 +32,7 @@ SORT_BYTES = 1 << 18
 CROWD = 1000
 
 _PLACE = np.uint64((1 << 24) - 1)
+_HALF = np.uint64((1 << 32) - 1)
 _RNG = np.random.default_rng(20)
 # Two independent digests: a factor and a number for each byte.
 _FACTORS = [0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93]
@@ -166,7 +167,8 @@ class Block:
             start = window[first]
             # Least digests are small numbers; stirred again they fill the ranges evenly.
             found.append((_stirred(gram[least[first]] + np.uint64(1)),
-                          *(digests.of(start, start + count + s.width - 1, k) for k in (1, 0)),
+                          digests.of(start, start + count + s.width - 1, 1),
+                          digests.of(start, start + count + s.width - 1, 0) & _HALF,
                           start + a, count))
         columns = [np.concatenate(x) for x in zip(*found)] if found else [
             np.zeros(0, t) for t in (np.uint64, np.uint64, np.uint64, np.int64, np.int64)]
@@ -511,7 +513,7 @@ def find_repeats(df: DataFrame, settings: Settings = Settings(),
     spans. Null and empty texts have none, nor have those shorter than a window.
 
     Documents are dealt to blocks of about ``block_bytes`` by a digest of id and
-    text. A block sends its different pieces as digests (128 bits beside the
+    text. A block sends its different pieces as digests (96 bits beside the
     anchor's) in ranges of anchors, gets back which of them repeat, and sends
     only pieces that differ under an anchor that others have. A task sorts
     pieces in portions of whole anchors. An anchor with over ``crowd`` pieces is not
