@@ -28,6 +28,7 @@ class Settings:
     width: float | None = None
     probes: int = 64
     chunk_rows: int = 4096
+    cell_chunks: int = 64
     ratio: float = 1.5
     recall: float = 0.9
     aim: float = 0.95
@@ -116,8 +117,9 @@ def chosen(sample: np.ndarray, rows: int, neighbours: int, settings: Settings) -
     Some vectors of the sample ask for the others. Near is what would be among the
     ``neighbours`` if all ``rows`` were there, the nearest one of the sample at least; the
     farther quarter of that has to be reached, and surely by nine of ten queries. Each pair of functions and width is tried as it would run. Where none
-    reaches the aim, the one that finds most is taken. More functions choose the task the
-    more rows there are, so that a cell holds about ``chunk_rows`` of each table.
+    reaches the aim, the one that finds most is taken. Two functions choose the task, and more
+    where a cell would hold over ``cell_chunks`` chunks of a table: few cells mean few lists
+    per query, many mean few copies of what meets in a cell.
     """
     asked = min(settings.sample_queries, len(sample))
     queries = sample[:asked].copy()
@@ -150,8 +152,8 @@ def chosen(sample: np.ndarray, rows: int, neighbours: int, settings: Settings) -
         (x for x in good if sure_cosine(replace(settings, functions=x[2], width=x[3])) <= reach),
         good[0] if good else max(tried, key=lambda x: (x[0], -x[1])))
     # A function parts lifted vectors into about 1 + 2 / width intervals that hold most.
-    parts = max(1.0, rows / settings.chunk_rows)
-    coarse = settings.coarse or min(functions, max(1, math.ceil(
+    parts = max(1.0, rows / (settings.chunk_rows * settings.cell_chunks))
+    coarse = settings.coarse or min(functions, max(2, math.ceil(
         math.log(parts) / math.log(1 + 2 / width))))
     return replace(settings, functions=functions, width=width, coarse=coarse)
 
@@ -259,8 +261,7 @@ def _nearest(members: pa.Table, probes: pa.Table, keep: int) -> pa.Table:
 def _chunked(rows: DataFrame, size: int, own: str, copies: DataFrame, other: str) -> DataFrame:
     """Rows with their own chunk, once for each chunk of the other side of their cell.
 
-    Cells hold about a chunk of each side, so only crowded ones are copied. Spark
-    broadcasts the numbers of chunks where they are small and else splits their hot cells.
+    Spark broadcasts the numbers of chunks where they are small and else splits hot cells.
     """
     return (rows.join(copies, ["table", "cell"])
             .withColumn(own, F.pmod(F.xxhash64("id"), F.col(f"n_{own}")).cast("int"))
