@@ -23,7 +23,7 @@ from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, Str
 from gatewatch.llm.common import arrow_type, kept_in_worker, slices
 from gatewatch.llm.components import cut_lineage
 
-CACHE_WORDS, CACHE_LENGTH = 1 << 20, 64
+CACHE_WORDS, CACHE_LENGTH = 3 << 19, 64
 LIST_WORDS = 50
 BYTE_0 = chr(256)
 _PLAIN = re.compile(r"[!-&(-;=-~]+").fullmatch
