@@ -316,12 +316,13 @@ def _cores(spark: SparkSession) -> int:
 AT_ONCE = 64
 
 
-def event_stream(spark: SparkSession, sf_dir: str, files: int = 1,
-                 k: bool = True) -> DataFrame:
-    """The whole table in files that follow in time, ``files`` of them per micro-batch; ``k``
-    as in ``_on_events``."""
+def event_stream(spark: SparkSession, sf_dir: str, files: int | None = None,
+                 k: bool = True, mixed: bool = False) -> DataFrame:
+    """The whole table in files that follow in time, a slice of them per micro-batch unless
+    ``files`` are named; ``k`` as in ``_on_events``, ``mixed`` as in ``event_slices``."""
+    folder, of_slice = testbed.event_slices(spark, sf_dir, mixed)
     return testbed.to_login_events(parquet_stream(
-        spark, testbed.event_slices(spark, sf_dir), testbed.EVENTS_SCHEMA, files), k)
+        spark, folder, testbed.EVENTS_SCHEMA, files or of_slice), k)
 
 
 def _run(start: Callable[[], StreamingQuery | list[StreamingQuery]]) -> None:
@@ -410,8 +411,7 @@ def _live_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _late_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trend of files out of order under a short watermark, with its late rows folded in."""
     base = shared_folder(spark)
-    events = testbed.to_login_events(parquet_stream(
-        spark, testbed.event_slices(spark, sf_dir, mixed=True), testbed.EVENTS_SCHEMA, 1))
+    events = event_stream(spark, sf_dir, mixed=True)
     _run(lambda: [
         jobs.start_activity_trend(events, base, watermark="1 minute", every=None),
         jobs.start_late_rows(events, base, "1 minute", every=None)])
@@ -422,8 +422,7 @@ def _late_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _late_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Durations of files out of order, with the users of late rows paired anew."""
     base = shared_folder(spark)
-    events = testbed.to_login_events(parquet_stream(
-        spark, testbed.event_slices(spark, sf_dir, mixed=True), testbed.EVENTS_SCHEMA, 1))
+    events = event_stream(spark, sf_dir, mixed=True)
 
     def started() -> list[StreamingQuery]:
         ticks = tick_stream(spark, f"{base}/ticks")

@@ -87,28 +87,42 @@ SOURCE_TYPES = {
 }
 
 
+# Least number of slices, and rows of a file: what a task is worth, and what it takes at most.
 SLICES = 6
-_slices: dict[tuple[str, str, bool], str] = {}
+LEAST_ROWS, MOST_ROWS = 20_000, 250_000
+_slices: dict[tuple[str, str, bool], tuple[str, int]] = {}
 
 
-def event_slices(spark: SparkSession, sf_dir: str, mixed: bool = False) -> str:
-    """A shared folder with the whole ``events`` table as files that follow in time.
+def slice_sizes(rows: int, cores: int) -> tuple[int, int]:
+    """Slices of a table, and files of a slice, so that each core has one where that pays.
 
-    Streams that take one file per trigger see several micro-batches. The files are
-    written once per session by one job, range by range; there are as many as the table has
-    splits, six at least. A stream takes files by their modification time, which is set to
-    the order of the ranges; with ``mixed``, to every second range before the others.
+    A file has at most ``MOST_ROWS`` rows, more or less, so a larger table has more slices.
+    """
+    files = max(1, min(cores, rows // (SLICES * LEAST_ROWS)))
+    return max(SLICES, -(-rows // (files * MOST_ROWS))), files
+
+
+def event_slices(spark: SparkSession, sf_dir: str, mixed: bool = False) -> tuple[str, int]:
+    """A shared folder with the whole ``events`` table as slices that follow in time, and
+    the number of files of a slice.
+
+    Streams that take one slice per trigger see several micro-batches. A task reads a file, as
+    Parquet files of this size have one row group, so slices of large tables have one for
+    each core. The files are written once per session by one job, range by range. A stream
+    takes files by their modification time, which is set to the order of the ranges; with
+    ``mixed``, to every second slice before the others.
     """
     key = (spark.sparkContext.applicationId, sf_dir, mixed)
     if key not in _slices:
         folder = shared_folder(spark)
         events = raw_events(spark, sf_dir)
-        ranges = max(SLICES, events.rdd.getNumPartitions())
-        (events.repartitionByRange(ranges, "ts").sortWithinPartitions("ts")
+        slices, files = slice_sizes(events.count(), spark.sparkContext.defaultParallelism)
+        (events.repartitionByRange(slices * files, "ts").sortWithinPartitions("ts")
          .write.mode("append").parquet(folder))
         names = file_names(spark, folder, ".parquet")
-        order_files(spark, folder, names[1::2] + names[::2] if mixed else names)
-        _slices[key] = folder
+        parts = [names[k:k + files] for k in range(0, len(names), files)]
+        order_files(spark, folder, sum(parts[1::2] + parts[::2] if mixed else parts, []))
+        _slices[key] = folder, files
     return _slices[key]
 
 

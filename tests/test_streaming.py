@@ -404,3 +404,26 @@ def test_stream_column_names_match_batch(spark, parts, inbox):
     assert live.isStreaming
     assert jobs.rate_table(live, "combo_metrics").columns == rates.login_rates(
         testbed.login_events(spark, SMALL), rates.COMBO_KEYS).columns
+
+
+def test_slices_of_a_larger_table_have_a_file_for_each_core(spark, tmp_path, monkeypatch):
+    """Each micro-batch takes one slice: all its files, and times behind those before."""
+    assert testbed.slice_sizes(100_000, 8) == (6, 1)
+    assert testbed.slice_sizes(6_000_000, 12) == (6, 12)
+    assert testbed.slice_sizes(36_000_000, 12) == (12, 12)
+    testbed.raw_events(spark, SMALL).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(testbed, "LEAST_ROWS", 20)
+    for mixed in (False, True):
+        folder, files = testbed.event_slices(spark, str(tmp_path), mixed)
+        assert files == 8
+        seen = {}
+        live = parquet_stream(spark, folder, testbed.EVENTS_SCHEMA, files)
+        live.writeStream.trigger(availableNow=True).foreachBatch(lambda df, epoch: seen.update(
+            {epoch: (df.rdd.getNumPartitions(), df.agg(F.count("*"), F.min("ts"), F.max("ts")).first())}
+        )).option("checkpointLocation", str(tmp_path / f"checkpoint-{mixed}")).start().awaitTermination()
+        assert [n for n, _ in seen.values()] == [8] * 6
+        assert sum(rows[0] for _, rows in seen.values()) == 1000
+        spans = [rows[1:] for _, rows in seen.values()]
+        in_time = sorted(spans)
+        assert spans == (in_time[1::2] + in_time[::2] if mixed else in_time)
+        assert all(a[1] <= b[0] for a, b in zip(in_time, in_time[1:]))
