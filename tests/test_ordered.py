@@ -196,3 +196,27 @@ def test_every_epoch_is_in_the_progress_table_after_a_restart(spark, base):
     assert sorted({r["batchId"] for r in rows if r["numInputRows"]}) == [0, 1, 2, 3, 4, 5]
     assert sum(r["numInputRows"] for r in rows) == 1020
     assert all(r["seconds"] > 0 for r in rows if r["numInputRows"])
+
+
+@pytest.mark.parametrize("keep", [None, 600])
+def test_many_users_share_few_entries_of_the_state(spark, base, keep):
+    """As many looks into the state as buckets, however many users; lags as over all rows."""
+    rows = [(i, f"user-{i * 7 % 400}", START + dt.timedelta(seconds=i // 3), "login", "web", True,
+             None, None) for i in range(1600)]
+    inbox, lags, entries = f"{base}/inbox", {"prev_id": "event_id", "prev_time": "event_time"}, []
+    for part in (rows[:900], rows[900:], None):
+        if part is None:
+            tick(spark, f"{base}/ticks", START + dt.timedelta(minutes=25))
+        else:
+            spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(inbox)
+        query = jobs.start_appended(lag_stream(
+            parquet_stream(spark, inbox, SCHEMA, 1), "user_id", ["event_time", "event_id"], lags,
+            delay="1 minute", ticks=tick_stream(spark, f"{base}/ticks"), keep_seconds=keep,
+            buckets=16), "lagged", base, None, 4)
+        query.awaitTermination()
+        entries += [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]
+                    if op["operatorName"].startswith("transformWithState")]
+    assert max(entries) == 16
+    whole = lag_by_key(spark.createDataFrame(rows, SCHEMA), "user_id", ["event_time", "event_id"],
+                       lags)
+    assert rows_of(spark.read.parquet(f"{base}/lagged")) == rows_of(whole)
