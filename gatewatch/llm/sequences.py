@@ -27,6 +27,9 @@ CACHE_WORDS, CACHE_LENGTH = 3 << 19, 64
 LIST_WORDS = 50
 BYTE_0 = chr(256)
 _PLAIN = re.compile(r"[!-&(-;=-~]+").fullmatch
+# Letters that have one letter in lower case, and signs behind them, if any: there the
+# library always cuts, and joins nothing over the cut.
+_STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)").fullmatch
 # Digits alone, and runs of what is neither letter nor digit.
 _CUTS = re.compile(r"[0-9]|[!-/:-@\[-`{-~]+").sub
 
@@ -54,7 +57,9 @@ class Encoder:
     cut at spaces and line feeds and each distinct word be encoded once. The library gets
     new words in lists, with a token between them that none of them holds. Plain words
     (printable ASCII without apostrophes) go to it lower-cased and split already, which saves
-    its normaliser and its splitting pattern; all others as they are.
+    its normaliser and its splitting pattern; all others as they are. Of a word of
+    Latin letters and signs behind them, the letters in lower case and the signs are looked up for
+    themselves, so other cases and signs of a known word do not go to the library.
     """
 
     def __init__(self, path: str):
@@ -89,17 +94,31 @@ class Encoder:
         new: set[str] = set()
         for ws in words:
             new.update(set(ws).difference(cache))
-        plain = [w for w in new if _PLAIN(w)]
-        odd = new.difference(plain)
-        special = [w for w in odd if "\0" in w or "<|" in w]
-        odd = list(odd.difference(special))
-        self._learn(plain, self.bare, lambda part: _CUTS(
+        plain, odd, special, derived = set(), set(), [], []
+        for w in new:
+            found = _STEM(w)
+            if found:
+                stem, signs = found[1].lower(), found[2]
+                for x in (stem, signs) if signs else (stem,):
+                    if x not in cache:
+                        (plain if x.isascii() else odd).add(x)
+                if stem != w:
+                    derived.append((w, stem, signs))
+            elif _PLAIN(w):
+                plain.add(w)
+            elif "\0" in w or "<|" in w:
+                special.append(w)
+            else:
+                odd.add(w)
+        self._learn(list(plain), self.bare, lambda part: _CUTS(
             r" \g<0> ", " \0 ".join(part).lower()).replace("\0", BYTE_0))
-        self._learn(odd, self.library, " \0 ".join)
+        self._learn(list(odd), self.library, " \0 ".join)
         for w in special:
             cache[w] = _binary(self._ids(w))
+        for w, stem, signs in derived:
+            cache[w] = cache[stem] + cache[signs] if signs else cache[stem]
         out = [b"".join(map(cache.__getitem__, ws)) for ws in words]
-        for w in [w for w in new if len(w) > CACHE_LENGTH]:
+        for w in [w for w in new.union(plain, odd) if len(w) > CACHE_LENGTH]:
             del cache[w]
         return out
 

@@ -178,3 +178,21 @@ def brute_least(lengths, capacity):
 @given(lengths=st.lists(st.integers(1, 12), min_size=1, max_size=7))
 def test_bound_is_a_bound(lengths):
     assert sequences.least_bins(np.array(lengths), 12) <= brute_least(lengths, 12)
+
+
+def test_cases_and_signs_of_known_words_do_not_go_to_the_library(library, monkeypatch):
+    own = Encoder(PATH)
+    own.encoded(["house été , *** ("])
+    asked = []
+    learn = own._learn
+    monkeypatch.setattr(own, "_learn", lambda words, *rest: (asked.extend(words),
+                                                             learn(words, *rest)))
+    text = "House, HOUSE*** house, Été, ÉTÉ*** été,"
+    own.encoded([text])
+    assert asked == []
+    # Letters whose lower case is two or joins what follows, marks, numbers, apostrophes.
+    texts = [text, "İ, İ. ß, ẞ, ÿ, Ÿ, µ, ǅ, é, É́, é̸= a²,", "don't, It's. l'été,",
+             "Ab<, ab<|endoftext|>, a_b, ab1, x×, x÷, ª, 'house, House'"]
+    for found, wanted in zip(own.encoded(texts), texts):
+        assert np.frombuffer(found, "<u4").tolist() == library.encode(
+            wanted, add_special_tokens=False).ids
