@@ -18,7 +18,9 @@ from gatewatch.llm.components import cut_lineage
 @dataclass(frozen=True)
 class Settings:
     """``coarse`` of the ``functions`` of a table choose the task, the others the bucket
-    in it; ``chunk_rows`` bounds each side of a task. ``width``, ``functions`` and ``coarse``
+    in it; ``chunk_rows`` bounds the queries of a task, and ``member_chunks`` times as many its
+    members: each task hands on the best of each of its queries, so few large chunks of members
+    mean few rows per query, however many members there are. ``width``, ``functions`` and ``coarse``
     are chosen from the data where they are None. Lengths within a range differ by at
     most the factor ``ratio``. What the hash finds with less chance than ``recall`` is compared
     directly; ``aim`` is the share of near vectors that a chosen width has to visit."""
@@ -28,6 +30,7 @@ class Settings:
     width: float | None = None
     probes: int = 64
     chunk_rows: int = 4096
+    member_chunks: int = 16
     cell_chunks: int = 64
     ratio: float = 1.5
     recall: float = 0.9
@@ -100,8 +103,12 @@ def sure_cosine(settings: Settings) -> float:
     return float(cosines[min(below[-1] + 1, len(cosines) - 1)]) if len(below) else -1.0
 
 
-def _vectors(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64)
+def _vectors(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows of an array of lists that are equally long and hold no null."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(len(column), len(flat) // max(1, len(column)))
 
 
 def lifted(x: np.ndarray, top: np.ndarray | float) -> np.ndarray:
@@ -233,7 +240,7 @@ def _nearest(members: pa.Table, probes: pa.Table, keep: int) -> pa.Table:
         x, ids = _vectors(members["vector"]), members["id"].to_numpy()
         names, bucket = np.unique(members["bucket"].to_numpy(), return_inverse=True)
         queries = probes["id"].to_numpy()
-        step = max(1, (1 << 23) // len(x))
+        step = max(1, (1 << 22) // len(x))
         for a in range(0, len(queries), step):
             part = probes.slice(a, step)
             q = _vectors(part["vector"])
@@ -258,7 +265,7 @@ def _nearest(members: pa.Table, probes: pa.Table, keep: int) -> pa.Table:
     return pa.table(dict(zip(("query", "member", "score"), flat)))
 
 
-def _chunked(rows: DataFrame, size: int, own: str, copies: DataFrame, other: str) -> DataFrame:
+def _chunked(rows: DataFrame, own: str, copies: DataFrame, other: str) -> DataFrame:
     """Rows with their own chunk, once for each chunk of the other side of their cell.
 
     Spark broadcasts the numbers of chunks where they are small and else splits hot cells.
@@ -370,14 +377,15 @@ def _whole(side: DataFrame, cell: Column, queries: bool = False) -> DataFrame:
 
 def _search(index: DataFrame, probes: DataFrame, settings: Settings, keep: int) -> DataFrame:
     """(query, member, score): the best of each task for each of its queries."""
-    def sizes(side: DataFrame, name: str) -> DataFrame:
+    def sizes(side: DataFrame, name: str, rows: int) -> DataFrame:
         return side.groupBy("table", "cell").agg(
-            F.ceil(F.count("*") / settings.chunk_rows).cast("int").alias(name))
+            F.ceil(F.count("*") / rows).cast("int").alias(name))
 
-    chunks = sizes(index, "n_i").join(sizes(probes, "n_j"), ["table", "cell"])
+    chunks = sizes(index, "n_i", settings.chunk_rows * settings.member_chunks).join(
+        sizes(probes, "n_j", settings.chunk_rows), ["table", "cell"])
     where = ["table", "cell", "i", "j"]
-    return (_chunked(index, settings.chunk_rows, "i", chunks, "j").groupBy(*where)
-            .cogroup(_chunked(probes, settings.chunk_rows, "j", chunks, "i").groupBy(*where))
+    return (_chunked(index, "i", chunks, "j").groupBy(*where)
+            .cogroup(_chunked(probes, "j", chunks, "i").groupBy(*where))
             .applyInArrow(lambda m, p: _nearest(m, p, keep),
                           "query bigint, member bigint, score double"))
 

@@ -218,3 +218,20 @@ def test_more_rows_are_parted_by_more_functions():
     fixed = Settings(functions=10, width=1.0)
     coarse = [neighbours.chosen(sample, n, 20, fixed).coarse for n in (500, 10**6, 10**9)]
     assert coarse == sorted(coarse) and coarse[0] < coarse[2] <= 10
+
+
+def test_rows_per_query_do_not_grow_with_the_cell(spark):
+    """A query's best of a cell come from one task, also where the cell has many members."""
+    rows = spark.range(10_000).selectExpr("id", "array(sin(id), cos(3 * id)) AS vector")
+    cell = F.lit(0)
+    asked = neighbours._whole(rows.where("id < 3"), cell, queries=True)
+    for n in (2_000, 10_000):
+        index = neighbours._whole(rows.where(F.col("id") < n), cell)
+        assert neighbours._search(index, asked, Settings(), 21).count() == 3 * 21
+    # Cut into chunks, with the same best ones.
+    cut = neighbours._search(index, asked, Settings(chunk_rows=100), 21)
+    assert cut.count() > 3 * 21
+    whole = neighbours._search(index, asked, Settings(), 21)
+    best = [sorted((r["query"], r["place"], r["member"], r["score"])
+                   for r in neighbours._best(found, 21).collect()) for found in (cut, whole)]
+    assert best[0] == best[1]
