@@ -132,8 +132,8 @@ def lag_stream(df: DataFrame, key: str, order: Sequence[str], lags: dict[str, st
     ``chained`` there is a column ``slot_end``, by which another aggregation in the same
     query can wait for the watermark.
 
-    The last rows are kept for ``buckets`` of keys, as each look into the state from Python
-    costs about as much as passing fifty slots on; a bucket with news is written as a whole.
+    The last rows are kept for ``buckets`` of keys, as a key's looks into the state from
+    Python cost much more than passing a slot on; a bucket with news is written as a whole.
     """
     time = order[0]
     fields = {f.name: f for f in df.schema.fields}
